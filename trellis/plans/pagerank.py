@@ -17,12 +17,14 @@ Two physical strategies, chosen from a size check:
 * ``broadcast`` - when the number of ranked sites is proven small, the
   ``share`` table is broadcast to the link partitions; the only shuffle per
   iteration is the partially aggregated contribution sum.
-* ``salted`` - otherwise the links are persisted hash-partitioned on
-  ``(src, salt)``.  A site with more than ``salt_bucket_rows`` distinct
-  targets is spread over several salt buckets, and its ``share`` row is
-  replicated once per bucket; each iteration shuffles only the site-sized
-  ``share`` table (co-partitioned with the persisted links) and the
-  partially aggregated contributions.  A hub never lands in one task.
+* ``salted`` - otherwise the links are hash-partitioned on ``(src, salt)``.
+  A site with more than ``salt_bucket_rows`` distinct targets is spread over
+  several salt buckets, and its ``share`` row is replicated once per bucket,
+  so a hub never lands in one task.  The salted links are written once as a
+  table bucketed on ``(src, salt)`` in the shared folder; its scan reports
+  that hash partitioning, so each iteration shuffles only the site-sized
+  ``share`` table (to the link buckets) and the partially aggregated
+  contributions, never the links themselves.
 
 Lineage is cut with reliable ``checkpoint()`` (into ``spark.checkpoint.dir``)
 every ``checkpoint_every`` iterations.
@@ -37,6 +39,7 @@ from pyspark.sql import functions as F
 from trellis.functions.rank import damp
 from trellis.operators.graph import adjacency_to_links
 from trellis.plans.sizing import BROADCAST_ROW_LIMIT, at_most, default_parallelism
+from trellis.plans.tables import write_bucketed
 from trellis.session import ensure_checkpoint_dir
 
 STRATEGIES = ("auto", "broadcast", "salted")
@@ -57,22 +60,20 @@ class PreparedGraph:
         self.deg = (deg.select("src", "n_out", n_salt.alias("n_salt"))
                     .repartition(self.num_partitions, "src")
                     .persist(StorageLevel.MEMORY_AND_DISK))
-        self.edges = edges
+        self.edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
         self._salted = None
 
     def salted_edges(self) -> DataFrame:
         if self._salted is None:
             salt = F.pmod(F.xxhash64("dst"), F.col("n_salt")).cast("int")
-            self._salted = (self.edges.join(self.deg.select("src", "n_salt"), "src")
-                            .select("src", salt.alias("salt"), "dst", "mult")
-                            .repartition(self.num_partitions, "src", "salt")
-                            .persist(StorageLevel.MEMORY_AND_DISK))
+            salted = (self.edges.join(self.deg.select("src", "n_salt"), "src")
+                      .select("src", salt.alias("salt"), "dst", "mult"))
+            self._salted = write_bucketed(salted, self.num_partitions, ["src", "salt"], "links")
         return self._salted
 
     def unpersist(self) -> None:
         self.deg.unpersist()
-        if self._salted is not None:
-            self._salted.unpersist()
+        self.edges.unpersist()
 
 
 def _shares(graph: PreparedGraph, ranks: DataFrame) -> DataFrame:
