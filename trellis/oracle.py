@@ -172,7 +172,83 @@ def _synth_links_sql(dist: str, lo: int = 20, hi: int = 40, seed: int = 42) -> s
         FROM (SELECT p_partkey, n, unnest(range(0, n_out)) AS j FROM deg) t"""
 
 
+# ------------------------------------------------------------------ matrix
+
+SUPPLY_T = """supply_t AS (SELECT k AS i, i AS j, v FROM supply)"""
+UPDATES = """updates AS (
+  SELECT l_suppkey AS i, l_partkey AS j, max(l_quantity) AS v
+  FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_suppkey, l_partkey)"""
+SET_SUPPLY = """set_supply AS (
+  SELECT i, k AS j, v FROM supply s
+  WHERE NOT EXISTS (SELECT 1 FROM updates u WHERE u.i = s.i AND u.j = s.k)
+  UNION ALL SELECT i, j, v FROM updates)"""
+PRODUCT = """product AS (
+  SELECT a.i, b.j, sum(a.v * b.v) AS v FROM supply a JOIN supply_t b ON a.k = b.i
+  GROUP BY a.i, b.j)"""
+
+
+def matrix_sql() -> dict:
+    q = {}
+    q["matrix_from_flat"] = """
+        SELECT vec_id, CAST((pos - 1) // 8 AS BIGINT) AS i, CAST((pos - 1) % 8 AS BIGINT) AS j,
+               CAST(embedding[pos] AS DOUBLE) AS v
+        FROM (SELECT vec_id, embedding, generate_subscripts(embedding, 1) AS pos FROM embeddings) e"""
+    q["matrix_to_rows"] = """
+        WITH w AS (SELECT max(len(embedding)) AS n FROM embeddings)
+        SELECT vec_id AS i, vec_id * n AS row_offset, CAST(embedding AS DOUBLE[]) AS row
+        FROM embeddings, w"""
+    q["matrix_shape"] = _with(SUPPLY) + (
+        "SELECT max(i) + 1 AS nrows, max(k) + 1 AS ncols FROM supply")
+    q["matrix_get"] = _with(SUPPLY) + """
+        SELECT w.i, w.j, coalesce(s.v, 0.0) AS v
+        FROM (SELECT DISTINCT l_suppkey AS i, l_partkey + 1 AS j FROM lineitem) w
+        LEFT JOIN supply s ON s.i = w.i AND s.k = w.j"""
+    q["matrix_set"] = _with(SUPPLY, UPDATES, SET_SUPPLY) + "SELECT i, j, v FROM set_supply"
+    q["matrix_incr"] = _with(SUPPLY) + """
+        SELECT i, j, sum(v) AS v FROM (
+          SELECT i, k AS j, v FROM supply
+          UNION ALL SELECT l_suppkey, l_partkey, l_quantity FROM lineitem WHERE l_returnflag = 'R') t
+        GROUP BY i, j"""
+    q["densify"] = _with(SUPPLY) + """,
+        shape AS (SELECT max(i) + 1 AS nr, max(k) + 1 AS nc FROM supply),
+        grid AS (SELECT r // nc AS i, r % nc AS j FROM shape, range(0, nr * nc) t(r))
+        SELECT g.i, g.j, coalesce(s.v, 0.0) AS v FROM grid g LEFT JOIN supply s ON s.i = g.i AND s.k = g.j"""
+    q["matmul_cells"] = _with(SUPPLY, SUPPLY_T, PRODUCT) + "SELECT i, j, v FROM product"
+    q["matmul_blocked"] = q["matmul_cells"]
+    q["matmul_dense"] = _with(SUPPLY, SUPPLY_T, PRODUCT) + """,
+        shape AS (SELECT max(i) + 1 AS n FROM supply),
+        grid AS (SELECT r // n AS i, r % n AS j FROM shape, range(0, n * n) t(r))
+        SELECT g.i, g.j, coalesce(p.v, 0.0) AS v FROM grid g LEFT JOIN product p ON p.i = g.i AND p.j = g.j"""
+    q["matmul_broadcast"] = _with(EMB) + """
+        SELECT a.i, b.i AS j, round(sum(a.v * b.v), 6) AS v
+        FROM emb a JOIN emb b ON a.k = b.k GROUP BY a.i, b.i"""
+    blocks = []
+    for size in ("1", "7", "nrows + 3"):
+        blocks.append(f"""
+        SELECT {size} AS size, b AS block, b * chunk AS start_row,
+               greatest(0, least((b + 1) * chunk, nrows) - b * chunk) AS n_rows,
+               b * chunk * ncols AS elem_offset,
+               greatest(0, least((b + 1) * chunk, nrows) - b * chunk) * ncols AS n_elems
+        FROM (SELECT nrows, ncols, ({size}) AS sz, (nrows + ({size}) - 1) // ({size}) AS chunk
+              FROM (SELECT (SELECT count(*) FROM part) AS nrows,
+                           (SELECT count(*) FROM supplier) AS ncols) x) y,
+             range(0, sz) t(b)""")
+    q["row_blocks"] = " UNION ALL ".join(blocks)
+    q["row_block_assign"] = """
+        SELECT p_partkey AS i, CAST(floor(p_partkey / ((n + 6) // 7)) AS BIGINT) AS block
+        FROM part, (SELECT count(*) AS n FROM part) c"""
+    q["gather_blocks"] = _with(SUPPLY) + "SELECT i, k AS j, v FROM supply ORDER BY i, k"
+    q["matrix_diff"] = _with(SUPPLY, UPDATES, SET_SUPPLY) + """
+        SELECT coalesce(a.i, b.i) AS i, coalesce(a.k, b.j) AS j, a.v AS va, b.v AS vb
+        FROM supply a FULL OUTER JOIN set_supply b ON a.i = b.i AND a.k = b.j
+        WHERE a.v IS DISTINCT FROM b.v"""
+    q["synth_matrix"] = _with(SUPPLY) + (
+        f"SELECT i, k AS j, CAST(({mix_sql('i', 'k', '314')}) % 100 AS DOUBLE) AS v FROM supply")
+    return q
+
+
 def all_sql() -> dict:
     out = {}
     out.update(graph_sql())
+    out.update(matrix_sql())
     return out

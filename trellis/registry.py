@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trellis.operators import graph as G
+from trellis.operators import matrix as M
 from trellis.operators import synth
 from trellis.plans.pagerank import pagerank
 from trellis.sources import views
@@ -149,7 +150,136 @@ GRAPH = {
 }
 
 
+# ------------------------------------------------------------------ matrix
+
+def supply_cells(spark, sf):
+    return views.supply(spark, sf).select("i", F.col("k").alias("j"), "v")
+
+
+def returned_lines(spark, sf):
+    li = read_table(spark, sf, "lineitem", "l_suppkey", "l_partkey", "l_quantity", "l_returnflag")
+    return li.where(F.col("l_returnflag") == "R")
+
+
+def q_matrix_from_flat(spark, sf):
+    e = read_table(spark, sf, "embeddings", "vec_id", "embedding")
+    return M.matrix_from_flat(e, "embedding", 8, keys=("vec_id",))
+
+
+def q_matrix_to_rows(spark, sf):
+    e = views.emb(spark, sf).select("i", F.col("k").alias("j"), "v")
+    return M.matrix_to_rows(e, M.shape_of(e)[1])
+
+
+def q_matrix_shape(spark, sf):
+    return M.matrix_shape(supply_cells(spark, sf))
+
+
+def q_matrix_get(spark, sf):
+    li = read_table(spark, sf, "lineitem", "l_suppkey", "l_partkey")
+    wanted = li.select(F.col("l_suppkey").alias("i"), (F.col("l_partkey") + 1).alias("j")).distinct()
+    return M.matrix_get(supply_cells(spark, sf), wanted)
+
+
+def _updates(spark, sf):
+    return (returned_lines(spark, sf)
+            .groupBy(F.col("l_suppkey").alias("i"), F.col("l_partkey").alias("j"))
+            .agg(F.max("l_quantity").alias("v")))
+
+
+def q_matrix_set(spark, sf):
+    return M.matrix_set(supply_cells(spark, sf), _updates(spark, sf))
+
+
+def q_matrix_incr(spark, sf):
+    deltas = returned_lines(spark, sf).select(
+        F.col("l_suppkey").alias("i"), F.col("l_partkey").alias("j"), F.col("l_quantity").alias("v"))
+    return M.matrix_incr(supply_cells(spark, sf), deltas)
+
+
+def q_densify(spark, sf):
+    m = supply_cells(spark, sf)
+    nrows, ncols = M.shape_of(m)
+    return M.densify(m, nrows, ncols)
+
+
+def q_matmul_cells(spark, sf):
+    s = supply_cells(spark, sf)
+    return M.matmul_cells(s, M.transpose(s))
+
+
+def q_matmul_dense(spark, sf):
+    s = supply_cells(spark, sf)
+    shape = M.shape_of(s)
+    return M.matmul_dense(s, M.transpose(s), shape, (shape[1], shape[0]))
+
+
+def q_matmul_blocked(spark, sf):
+    s = supply_cells(spark, sf)
+    return M.matmul_blocked(s, M.transpose(s), 64, 512, 64)
+
+
+def q_matmul_broadcast(spark, sf):
+    e = views.emb(spark, sf).select("i", F.col("k").alias("j"), "v")
+    nrows, ncols = M.shape_of(e)
+    rows = M.matrix_to_rows(e, ncols).select("i", "row")
+    out = M.rows_to_cells(M.matmul_broadcast(rows, M.transpose(e), (ncols, nrows), num_blocks=4))
+    return out.select("i", "j", F.round("v", 6).alias("v"))
+
+
+def q_row_blocks(spark, sf):
+    nrows = read_table(spark, sf, "part", "p_partkey").count()
+    ncols = read_table(spark, sf, "supplier", "s_suppkey").count()
+    parts = [M.row_blocks(spark, nrows, ncols, size).select(F.lit(size).alias("size"), "*")
+             for size in (1, 7, nrows + 3)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def q_row_block_assign(spark, sf):
+    from trellis.functions.blocks import row_block
+    part = read_table(spark, sf, "part", "p_partkey")
+    nrows = part.count()
+    return part.select(F.col("p_partkey").alias("i"), row_block("p_partkey", nrows, 7).alias("block"))
+
+
+def q_gather_blocks(spark, sf):
+    return M.gather_blocks(supply_cells(spark, sf))
+
+
+def q_matrix_diff(spark, sf):
+    s = supply_cells(spark, sf)
+    return M.matrix_diff(s, M.matrix_set(s, _updates(spark, sf)))
+
+
+def q_synth_matrix(spark, sf):
+    return synth.synth_values(supply_cells(spark, sf).select("i", "j"))
+
+
+MATRIX = {
+    "matrix_from_flat": q_matrix_from_flat,
+    "matrix_to_rows": q_matrix_to_rows,
+    "matrix_shape": q_matrix_shape,
+    "matrix_get": q_matrix_get,
+    "matrix_set": q_matrix_set,
+    "matrix_incr": q_matrix_incr,
+    "densify": q_densify,
+    "matmul_cells": q_matmul_cells,
+    "matmul_dense": q_matmul_dense,
+    "matmul_blocked": q_matmul_blocked,
+    "matmul_broadcast": q_matmul_broadcast,
+    "row_blocks": q_row_blocks,
+    "row_block_assign": q_row_block_assign,
+    "gather_blocks": q_gather_blocks,
+    "matrix_diff": q_matrix_diff,
+    "synth_matrix": q_synth_matrix,
+}
+
+
 def all_queries() -> dict:
     out = {}
     out.update(GRAPH)
+    out.update(MATRIX)
     return out
