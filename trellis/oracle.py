@@ -247,8 +247,163 @@ def matrix_sql() -> dict:
     return q
 
 
+# ------------------------------------------------------------------ catalog
+
+def comps_sql(p: str) -> str:
+    rest = f"substr({p}, 2)"
+    stripped = f"regexp_replace({rest}, '/+$', '')"
+    return (f"(CASE WHEN {p} IS NULL OR NOT starts_with({p}, '/') THEN NULL "
+            f"WHEN {rest} = '' THEN [''] "
+            f"WHEN {stripped} = '' THEN []::VARCHAR[] "
+            f"ELSE string_split({stripped}, '/') END)")
+
+
+def canon_sql(c: str) -> str:
+    return f"(CASE WHEN len({c}) = 0 THEN '' ELSE '/' || array_to_string({c}, '/') END)"
+
+
+def under_root_sql(c: str) -> str:
+    return f"coalesce(len({c}) > 0 AND {c}[1] = 'static', false)"
+
+
+def path_sql(line: str) -> str:
+    return f"string_split(regexp_replace({line}, ' +$', ''), ' ')[2]"
+
+
+RP = f"""rp AS (SELECT request_id, line, ts, driver, {path_sql('line')} AS path FROM requests)"""
+RPC = f"""rpc AS (SELECT *, {comps_sql('path')} AS comps FROM rp)"""
+FNODES = f"""fnodes AS (
+  SELECT {canon_sql('comps')} AS key, comps, len(comps) AS depth, contents
+  FROM (SELECT {comps_sql('path')} AS comps, contents FROM files) f
+  WHERE {under_root_sql('comps')} AND len(comps) >= 2)"""
+FOLDERS = f"""folders AS (
+  SELECT DISTINCT folder, depth FROM (
+    SELECT {canon_sql('comps[1:n]')} AS folder, n AS depth
+    FROM (SELECT comps, unnest(range(1, len(comps))) AS n FROM fnodes) t
+    UNION ALL SELECT '/static', 1) u)"""
+CHILDREN = f"""children AS (
+  SELECT DISTINCT parent, name, kind FROM (
+    SELECT {canon_sql('comps[1:len(comps) - 1]')} AS parent, comps[len(comps)] AS name, 'file' AS kind
+    FROM fnodes
+    UNION ALL
+    SELECT {canon_sql('comps[1:n - 1]')} AS parent, comps[n] AS name, 'folder' AS kind
+    FROM (SELECT comps, unnest(range(2, len(comps))) AS n FROM fnodes) t) u)"""
+ACCEPTED = """acc AS (
+  SELECT * FROM rp
+  WHERE line IS NOT NULL AND line <> '' AND starts_with(line, 'GET')
+    AND path IS NOT NULL AND starts_with(path, '/'))"""
+SERVED = f"""served AS (
+  SELECT a.request_id, a.ts, a.driver, a.path,
+         CASE WHEN f.contents IS NULL THEN 404 ELSE 200 END AS status, f.contents AS body
+  FROM acc a LEFT JOIN fnodes f ON f.key = {canon_sql(comps_sql('a.path'))})"""
+
+
+def catalog_sql() -> dict:
+    q = {}
+    q["path_components"] = _with(REQUESTS, RP) + f"SELECT request_id, path, {comps_sql('path')} AS comps FROM rp"
+    q["path_canonical"] = _with(REQUESTS, RP, RPC) + f"SELECT request_id, {canon_sql('comps')} AS canonical FROM rpc"
+    q["is_absolute"] = _with(REQUESTS, RP) + (
+        "SELECT request_id, coalesce(starts_with(path, '/'), false) AS absolute FROM rp")
+    q["path_part_depth"] = _with(REQUESTS, RP, RPC) + (
+        "SELECT request_id, comps[1] AS part0, comps[3] AS part2, CAST(len(comps) AS BIGINT) AS depth FROM rpc")
+    q["under_root"] = _with(REQUESTS, RP, RPC) + (
+        f"SELECT request_id, {under_root_sql('comps')} AS under_root FROM rpc")
+    q["folder_tree"] = _with(FILES, FNODES, FOLDERS) + "SELECT folder, CAST(depth AS BIGINT) AS depth FROM folders"
+    q["list_children"] = _with(FILES, FNODES, CHILDREN) + "SELECT parent, name, kind FROM children"
+    q["has_child"] = _with(REQUESTS, RP, RPC, FILES, FNODES, CHILDREN) + f"""
+        SELECT p.parent, p.name, coalesce(h.hit, false) AS found
+        FROM (SELECT {canon_sql('comps[1:len(comps) - 1]')} AS parent, comps[len(comps)] AS name
+              FROM rpc WHERE len(comps) >= 1) p
+        LEFT JOIN (SELECT DISTINCT parent AS pk, name, true AS hit FROM children) h
+             ON h.pk = {canon_sql(comps_sql('p.parent'))} AND h.name = p.name"""
+    q["read_files"] = _with(REQUESTS, RP, RPC, FILES, FNODES) + f"""
+        SELECT r.request_id, r.path, f.contents
+        FROM rpc r LEFT JOIN fnodes f ON f.key = {canon_sql('r.comps')}"""
+    q["path_kind"] = _with(REQUESTS, RP, RPC, FILES, FNODES, FOLDERS) + f"""
+        SELECT r.request_id, r.path,
+          CASE WHEN r.path IS NULL OR NOT starts_with(r.path, '/') THEN 'not_absolute'
+               WHEN NOT {under_root_sql('r.comps')} THEN 'outside_root'
+               WHEN EXISTS (SELECT 1 FROM fnodes f WHERE f.key = {canon_sql('r.comps')}) THEN 'file'
+               WHEN EXISTS (SELECT 1 FROM folders d WHERE d.folder = {canon_sql('r.comps')}) THEN 'folder'
+               WHEN EXISTS (SELECT 1 FROM fnodes f, range(2, len(r.comps)) t(n)
+                            WHERE f.key = {canon_sql('r.comps[1:n]')}) THEN 'below_file'
+               ELSE 'missing' END AS kind
+        FROM rpc r"""
+    q["add_files"] = _with(REQUESTS, RP) + f""",
+        batch AS (
+          SELECT doc_id AS seq,
+                 '/static/d' || CAST(doc_id % 4 AS VARCHAR) || '/e' || CAST(doc_id % 20 AS VARCHAR)
+                 || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS path
+          FROM documents
+          UNION ALL SELECT 1000000 + request_id, path FROM rp),
+        cat AS (
+          SELECT -1 AS seq, {canon_sql('c')} AS key, c AS comps
+          FROM (SELECT {comps_sql("'/static/d' || CAST(doc_id % 4 AS VARCHAR) || '/e' || CAST(doc_id % 20 AS VARCHAR) || '/' || CAST(doc_id AS VARCHAR) || '.txt'")} AS c
+                FROM documents WHERE lang = 'en') x),
+        b AS (
+          SELECT seq, path, {comps_sql('path')} AS comps,
+                 CASE WHEN path IS NULL OR NOT starts_with(path, '/') THEN 'not_absolute'
+                      WHEN NOT {under_root_sql(comps_sql('path'))} THEN 'wrong_root'
+                      WHEN len({comps_sql('path')}) < 2 THEN 'root_only' END AS pre
+          FROM batch),
+        vb AS (SELECT seq, {canon_sql('comps')} AS key, comps FROM b WHERE pre IS NULL),
+        allrows AS (SELECT seq, key, comps FROM cat UNION ALL SELECT seq, key, comps FROM vb),
+        anc AS (SELECT seq, key, {canon_sql('comps[1:n]')} AS pkey
+                FROM (SELECT seq, key, comps, unnest(range(2, len(comps))) AS n FROM allrows) t),
+        mu AS (SELECT pkey AS key, min(seq) AS min_under FROM anc GROUP BY pkey),
+        ms AS (SELECT key, min(seq) AS min_same FROM allrows GROUP BY key),
+        firsts AS (SELECT ms.key, min_same, min_under FROM ms LEFT JOIN mu ON mu.key = ms.key),
+        cand AS (SELECT key AS pkey, min_same AS cand FROM firsts
+                 WHERE min_under IS NULL OR min_same < min_under),
+        pf AS (SELECT DISTINCT a.seq, a.key FROM anc a JOIN cand c ON c.pkey = a.pkey WHERE c.cand < a.seq),
+        judged AS (
+          SELECT v.seq,
+            CASE WHEN pf.seq IS NOT NULL THEN 'parent_is_file'
+                 WHEN f.min_same < v.seq AND (f.min_under IS NULL OR f.min_under >= v.seq
+                                              OR f.min_same < f.min_under) THEN 'duplicate'
+                 WHEN f.min_under < v.seq THEN 'is_folder'
+                 ELSE 'accepted' END AS verdict
+          FROM vb v LEFT JOIN firsts f ON f.key = v.key
+          LEFT JOIN pf ON pf.seq = v.seq AND pf.key = v.key)
+        SELECT b.seq, b.path, coalesce(b.pre, j.verdict) AS verdict
+        FROM b LEFT JOIN judged j ON j.seq = b.seq"""
+    return q
+
+
+# ------------------------------------------------------------------ requests
+
+def requests_sql() -> dict:
+    q = {}
+    q["parse_requests"] = _with(REQUESTS, RP) + (
+        "SELECT request_id, line, coalesce(starts_with(line, 'GET'), false) AS method_ok, path FROM rp")
+    q["reject_requests"] = _with(REQUESTS, RP) + """
+        SELECT request_id, reason FROM (
+          SELECT request_id,
+            CASE WHEN line IS NULL OR line = '' THEN 'empty_line'
+                 WHEN NOT coalesce(starts_with(line, 'GET'), false) THEN 'not_get'
+                 WHEN path IS NULL OR NOT starts_with(path, '/') THEN 'bad_path' END AS reason
+          FROM rp) t WHERE reason IS NOT NULL"""
+    base = _with(REQUESTS, RP, FILES, FNODES, ACCEPTED, SERVED)
+    q["serve"] = base + "SELECT request_id, path, status, body FROM served"
+    q["serve_stream"] = q["serve"]
+    q["format_response"] = base + """
+        SELECT request_id, status,
+          CASE WHEN status = 200 THEN 'HTTP/1.0 200 OK' || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(body, '')
+               ELSE 'HTTP/1.0 404 Not Found' || chr(13) || chr(10) || chr(13) || chr(10) END AS response
+        FROM served"""
+    q["completed_requests"] = base + """
+        SELECT time_bucket(INTERVAL '10 seconds', ts) AS window_start, driver, count(*) AS n
+        FROM served GROUP BY ROLLUP (time_bucket(INTERVAL '10 seconds', ts), driver)"""
+    q["response_check"] = base + """
+        SELECT request_id, want, got, n_chars FROM (SELECT 1 AS request_id, '' AS want, '' AS got,
+          CAST(0 AS INTEGER) AS n_chars) t WHERE false"""
+    return q
+
+
 def all_sql() -> dict:
     out = {}
     out.update(graph_sql())
     out.update(matrix_sql())
+    out.update(catalog_sql())
+    out.update(requests_sql())
     return out

@@ -9,7 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trellis.functions import paths as P
+from trellis.functions.http import request_path
+from trellis.operators import catalog as C
 from trellis.operators import graph as G
+from trellis.operators import requests as R
 from trellis.operators import matrix as M
 from trellis.operators import synth
 from trellis.plans.pagerank import pagerank
@@ -278,8 +282,157 @@ MATRIX = {
 }
 
 
+# ------------------------------------------------------------------ catalog
+
+def request_paths(spark, sf):
+    """Every request with the path its line names (NULL when none)."""
+    return views.requests(spark, sf).select("request_id", request_path("line").alias("path"))
+
+
+def q_path_components(spark, sf):
+    return request_paths(spark, sf).select("request_id", "path", P.path_components("path").alias("comps"))
+
+
+def q_path_canonical(spark, sf):
+    rp = request_paths(spark, sf)
+    return rp.select("request_id", P.path_canonical(P.path_components("path")).alias("canonical"))
+
+
+def q_is_absolute(spark, sf):
+    return request_paths(spark, sf).select("request_id", P.is_absolute("path").alias("absolute"))
+
+
+def q_path_part_depth(spark, sf):
+    c = P.path_components("path")
+    return request_paths(spark, sf).select(
+        "request_id", P.path_part(c, 0).alias("part0"), P.path_part(c, 2).alias("part2"),
+        P.path_depth(c).cast("bigint").alias("depth"))
+
+
+def q_under_root(spark, sf):
+    return request_paths(spark, sf).select(
+        "request_id", P.under_root(P.path_components("path")).alias("under_root"))
+
+
+def q_folder_tree(spark, sf):
+    return C.folder_tree(views.files(spark, sf)).select("folder", F.col("depth").cast("bigint"))
+
+
+def q_list_children(spark, sf):
+    return C.list_children(views.files(spark, sf))
+
+
+def q_has_child(spark, sf):
+    c = P.path_components("path")
+    probe = (request_paths(spark, sf).where(F.size(c) >= 1)
+             .select("request_id", P.parent_key(c).alias("parent"), F.element_at(c, -1).alias("name")))
+    out = C.has_child(C.list_children(views.files(spark, sf)), probe.select("parent", "name"))
+    return out
+
+
+def q_read_files(spark, sf):
+    return C.read_files(views.files(spark, sf), request_paths(spark, sf))
+
+
+def q_path_kind(spark, sf):
+    return C.path_kind(views.files(spark, sf), request_paths(spark, sf))
+
+
+def insert_batch(spark, sf):
+    """All files in doc order, then every request path (contents = its line)."""
+    docs = views.document_files(spark, sf).withColumn("seq", F.col("doc_id"))
+    reqs = views.requests(spark, sf).select(
+        (F.lit(1000000) + F.col("request_id")).alias("seq"), request_path("line").alias("path"),
+        F.col("line").alias("contents"))
+    return docs.select("seq", "path", "contents").unionByName(reqs)
+
+
+def english_catalog(spark, sf):
+    docs = views.document_files(spark, sf)
+    return docs.where(F.col("lang") == "en").select("path", "contents")
+
+
+def q_add_files(spark, sf):
+    v = C.classify_inserts(english_catalog(spark, sf), insert_batch(spark, sf))
+    return v.select("seq", "path", "verdict")
+
+
+# ------------------------------------------------------------------ requests
+
+def q_parse_requests(spark, sf):
+    return R.parse_requests(views.requests(spark, sf)).select("request_id", "line", "method_ok", "path")
+
+
+def q_reject_requests(spark, sf):
+    return R.reject_requests(R.parse_requests(views.requests(spark, sf)))
+
+
+def q_serve(spark, sf):
+    return R.serve(views.requests(spark, sf), views.files(spark, sf)).select(
+        "request_id", "path", "status", "body")
+
+
+def q_format_response(spark, sf):
+    return R.responses(R.serve(views.requests(spark, sf), views.files(spark, sf)))
+
+
+def q_completed_requests(spark, sf):
+    return R.completed_requests(R.serve(views.requests(spark, sf), views.files(spark, sf)))
+
+
+def q_response_check(spark, sf):
+    req = views.requests(spark, sf)
+    files = views.files(spark, sf)
+    got = R.serve(req, files)
+    # expected, computed another way: strip trailing slashes and compare path strings
+    ok = R.accepted_requests(R.parse_requests(req)).select(
+        "request_id", F.regexp_replace("path", "/+$", "").alias("p"))
+    exp = (ok.join(files.select(F.col("path").alias("p"), "contents"), "p", "left")
+           .select("request_id", F.when(F.col("contents").isNull(), 404).otherwise(200).alias("status"),
+                   F.col("contents").alias("body")))
+    return R.response_check(got, exp)
+
+
+def q_serve_stream(spark, sf):
+    from trellis.streaming.serve import serve_available
+    return serve_available(spark, sf).select("request_id", "path", "status", "body")
+
+
+def q_completed_requests_stream(spark, sf):
+    from trellis.streaming.serve import completed_available
+    return completed_available(spark, sf)
+
+
+CATALOG = {
+    "path_components": q_path_components,
+    "path_canonical": q_path_canonical,
+    "is_absolute": q_is_absolute,
+    "path_part_depth": q_path_part_depth,
+    "under_root": q_under_root,
+    "folder_tree": q_folder_tree,
+    "list_children": q_list_children,
+    "has_child": q_has_child,
+    "read_files": q_read_files,
+    "path_kind": q_path_kind,
+    "add_files": q_add_files,
+}
+
+REQUESTS = {
+    "parse_requests": q_parse_requests,
+    "reject_requests": q_reject_requests,
+    "serve": q_serve,
+    "format_response": q_format_response,
+    "completed_requests": q_completed_requests,
+    "response_check": q_response_check,
+    "serve_stream": q_serve_stream,
+    "completed_requests_stream": q_completed_requests_stream,
+}
+
+
 def all_queries() -> dict:
     out = {}
     out.update(GRAPH)
     out.update(MATRIX)
+    out.update(CATALOG)
+    out.update(REQUESTS)
     return out

@@ -43,14 +43,19 @@ def supply(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.sum("l_quantity").alias("v")))
 
 
-def files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(path, contents): every document as a doubly nested file."""
-    d = read_table(spark, sf_dir, "documents", "doc_id", "text")
+def document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, lang, path, contents): every document as a doubly nested file."""
+    d = read_table(spark, sf_dir, "documents", "doc_id", "lang", "text")
     did = F.col("doc_id")
     path = F.concat(F.lit("/static/d"), (did % 4).cast("string"),
                     F.lit("/e"), (did % 20).cast("string"),
                     F.lit("/"), did.cast("string"), F.lit(".txt"))
-    return d.select(path.alias("path"), F.col("text").alias("contents"))
+    return d.select("doc_id", "lang", path.alias("path"), F.col("text").alias("contents"))
+
+
+def files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(path, contents): every document as a doubly nested file."""
+    return document_files(spark, sf_dir).select("path", "contents")
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
