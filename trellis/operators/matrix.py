@@ -2,8 +2,9 @@
 
 * cell form ``(i, j, v)`` - sparse; absent cells read as 0.0;
 * row form ``(i, row array<double>)`` - dense rows;
-* block form ``(bi, bj, cells array<struct<r, c, v>>)`` - bounded groups of
-  at most ``rows_per_block * cols_per_block`` cells.
+* block form ``(bi, bj, r, c, v)`` - parallel arrays of in-block positions
+  and values; bounded groups of at most ``rows_per_block * cols_per_block``
+  cells.
 
 Products: ``matmul_cells`` (join on k + aggregate, for sparse inputs),
 ``matmul_broadcast`` (small right side shipped whole, local GEMM per row
@@ -194,49 +195,41 @@ def matmul_broadcast(a_rows: DataFrame, b: DataFrame, shape_b: tuple, num_blocks
     return a_rows.select("i", "row").mapInPandas(_rows_times_matrix(bc, nrows_b), schema)
 
 
-_BLOCK_CELL = T.ArrayType(T.StructType([T.StructField("r", T.LongType()),
-                                        T.StructField("c", T.LongType()),
-                                        T.StructField("v", T.DoubleType())]))
-
-
 def to_blocks(m: DataFrame, rows_per_block: int, cols_per_block: int) -> DataFrame:
-    """Cells grouped into blocks ``(bi, bj, cells)``; each group holds at most
-    ``rows_per_block * cols_per_block`` cells."""
-    return (m.select(F.floor(F.col("i") / rows_per_block).cast("bigint").alias("bi"),
-                     F.floor(F.col("j") / cols_per_block).cast("bigint").alias("bj"),
-                     F.struct((F.col("i") % rows_per_block).alias("r"),
-                              (F.col("j") % cols_per_block).alias("c"),
-                              F.col("v").cast("double").alias("v")).alias("cell"))
-            .groupBy("bi", "bj").agg(F.collect_list("cell").alias("cells")))
+    """Cells grouped into blocks ``(bi, bj, r, c, v)`` with ``r``, ``c``, ``v``
+    parallel arrays of in-block positions and values; each group holds at
+    most ``rows_per_block * cols_per_block`` cells."""
+    cell = F.struct((F.col("i") % rows_per_block).alias("r"), (F.col("j") % cols_per_block).alias("c"),
+                    F.col("v").cast("double").alias("v"))
+    grouped = (m.select(F.floor(F.col("i") / rows_per_block).cast("bigint").alias("bi"),
+                        F.floor(F.col("j") / cols_per_block).cast("bigint").alias("bj"), cell.alias("cell"))
+               .groupBy("bi", "bj").agg(F.collect_list("cell").alias("cells")))
+    return grouped.select("bi", "bj", F.col("cells.r").alias("r"), F.col("cells.c").alias("c"),
+                          F.col("cells.v").alias("v"))
 
 
 def _block_pair_product(rb: int, kb: int, cb: int):
     """mapInPandas body: multiply block pairs; emit partial cells with match counts."""
-    def dense(cells, nr, nc):
+    def dense(r, c, v, nr, nc):
         val = np.zeros((nr, nc))
         hit = np.zeros((nr, nc))
-        if len(cells):
-            r = np.fromiter((x["r"] for x in cells), dtype=np.int64, count=len(cells))
-            c = np.fromiter((x["c"] for x in cells), dtype=np.int64, count=len(cells))
-            v = np.fromiter((x["v"] for x in cells), dtype=np.float64, count=len(cells))
-            np.add.at(val, (r, c), v)
-            np.add.at(hit, (r, c), 1.0)
+        np.add.at(val, (r, c), v)
+        np.add.at(hit, (r, c), 1.0)
         return val, hit
 
     def run(batches):
         for pdf in batches:
             out_i, out_j, out_v, out_n = [], [], [], []
-            for bi, bj, ac, bc in zip(pdf["bi"], pdf["bj"], pdf["a_cells"], pdf["b_cells"]):
-                av, ah = dense(ac, rb, kb)
-                bv, bh = dense(bc, kb, cb)
+            for row in pdf.itertuples(index=False):
+                av, ah = dense(row.ar, row.ac, row.av, rb, kb)
+                bv, bh = dense(row.br, row.bc, row.bv, kb, cb)
                 n = ah @ bh
                 rr, cc = np.nonzero(n)
                 if len(rr) == 0:
                     continue
-                v = (av @ bv)[rr, cc]
-                out_i.append(bi * rb + rr)
-                out_j.append(bj * cb + cc)
-                out_v.append(v)
+                out_i.append(row.bi * rb + rr)
+                out_j.append(row.bj * cb + cc)
+                out_v.append((av @ bv)[rr, cc])
                 out_n.append(n[rr, cc])
             if out_i:
                 yield pd.DataFrame({"i": np.concatenate(out_i), "j": np.concatenate(out_j),
@@ -255,10 +248,10 @@ def matmul_blocked(a: DataFrame, b: DataFrame, rows_per_block: int = 256,
     values so the result stores exactly the cells ``matmul_cells`` stores.
     """
     ab = to_blocks(a, rows_per_block, k_per_block).select(
-        "bi", F.col("bj").alias("bk"), F.col("cells").alias("a_cells"))
+        "bi", F.col("bj").alias("bk"), F.col("r").alias("ar"), F.col("c").alias("ac"), F.col("v").alias("av"))
     bb = to_blocks(b, k_per_block, cols_per_block).select(
-        F.col("bi").alias("bk"), "bj", F.col("cells").alias("b_cells"))
-    pairs = ab.join(bb, "bk").select("bi", "bj", "a_cells", "b_cells")
+        F.col("bi").alias("bk"), "bj", F.col("r").alias("br"), F.col("c").alias("bc"), F.col("v").alias("bv"))
+    pairs = ab.join(bb, "bk").select("bi", "bj", "ar", "ac", "av", "br", "bc", "bv")
     schema = "i long, j long, v double, n long"
     partial = pairs.mapInPandas(_block_pair_product(rows_per_block, k_per_block, cols_per_block), schema)
     return (partial.groupBy("i", "j").agg(F.sum("v").alias("v"), F.sum("n").alias("n"))
