@@ -10,6 +10,7 @@ skew-join splitting; no group is ever collected.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -113,17 +114,19 @@ def classify_inserts(catalog: DataFrame, batch: DataFrame) -> DataFrame:
     rule needs no recursion: a handful of joins on exploded prefix keys.
     """
     comps = path_components("path")
-    b = batch.select("seq", "path", "contents", comps.alias("comps"))
     pre = (F.when(~is_absolute("path"), "not_absolute")
            .when(~under_root("comps"), "wrong_root")
            .when(F.size("comps") < 2, "root_only"))
-    b = b.withColumn("pre", pre)
+    # normalised once, reused by every join and aggregate below
+    b = (batch.select(F.col("seq").cast("bigint").alias("seq"), "path", comps.alias("comps"))
+         .withColumn("pre", pre).persist(StorageLevel.MEMORY_AND_DISK))
     cat = file_nodes(catalog).select(F.lit(-1).cast("bigint").alias("seq"), "key", "comps")
     valid_batch = b.where(F.col("pre").isNull()).select(
-        F.col("seq").cast("bigint").alias("seq"), path_canonical("comps").alias("key"), "comps")
-    rows = cat.unionByName(valid_batch)
-    anc = rows.select("seq", "key", F.explode(strict_prefix_lengths("comps", 2)).alias("n"),
-                      "comps").select("seq", "key", path_prefix_key("comps", F.col("n")).alias("pkey"))
+        "seq", path_canonical("comps").alias("key"), "comps")
+    rows = cat.unionByName(valid_batch).persist(StorageLevel.MEMORY_AND_DISK)
+    anc = (rows.select("seq", "key", F.explode(strict_prefix_lengths("comps", 2)).alias("n"), "comps")
+           .select("seq", "key", path_prefix_key("comps", F.col("n")).alias("pkey"))
+           .persist(StorageLevel.MEMORY_AND_DISK))
     min_under = anc.groupBy(F.col("pkey").alias("key")).agg(F.min("seq").alias("min_under"))
     min_same = rows.groupBy("key").agg(F.min("seq").alias("min_same"))
     firsts = min_same.join(min_under, "key", "left")
@@ -142,7 +145,8 @@ def classify_inserts(catalog: DataFrame, batch: DataFrame) -> DataFrame:
                .otherwise("accepted"))
     v = judged.select("seq", "key", verdict.alias("verdict"))
     out = b.join(v.select("seq", "verdict"), "seq", "left")
-    return out.select("seq", "path", "contents", F.coalesce("pre", "verdict").alias("verdict"))
+    verdicts = out.select("seq", F.coalesce("pre", "verdict").alias("verdict"))
+    return batch.join(verdicts, "seq").select("seq", "path", "contents", "verdict")
 
 
 def add_files(catalog: DataFrame, batch: DataFrame) -> tuple:
