@@ -372,6 +372,12 @@ def catalog_sql() -> dict:
 
 # ------------------------------------------------------------------ requests
 
+def _fmt(status: str, body: str) -> str:
+    crlf2 = "chr(13) || chr(10) || chr(13) || chr(10)"
+    return (f"CASE WHEN {status} = 200 THEN 'HTTP/1.0 200 OK' || {crlf2} || coalesce({body}, '') "
+            f"ELSE 'HTTP/1.0 404 Not Found' || {crlf2} END")
+
+
 def requests_sql() -> dict:
     q = {}
     q["parse_requests"] = _with(REQUESTS, RP) + (
@@ -394,9 +400,16 @@ def requests_sql() -> dict:
     q["completed_requests"] = base + """
         SELECT time_bucket(INTERVAL '10 seconds', ts) AS window_start, driver, count(*) AS n
         FROM served GROUP BY ROLLUP (time_bucket(INTERVAL '10 seconds', ts), driver)"""
-    q["response_check"] = base + """
-        SELECT request_id, want, got, n_chars FROM (SELECT 1 AS request_id, '' AS want, '' AS got,
-          CAST(0 AS INTEGER) AS n_chars) t WHERE false"""
+    q["response_check"] = base + """,
+        expected AS (
+          SELECT a.request_id, CASE WHEN f.contents IS NULL THEN 404 ELSE 200 END AS status, f.contents AS body
+          FROM acc a LEFT JOIN files f ON f.path = regexp_replace(a.path, '/+$', '')),
+        w AS (SELECT request_id, """ + _fmt("status", "body") + """ AS resp FROM expected),
+        g AS (SELECT request_id, """ + _fmt("status", "body") + """ AS resp FROM served)
+        SELECT coalesce(w.request_id, g.request_id) AS request_id, w.resp AS want, g.resp AS got,
+               CAST(length(g.resp) AS INTEGER) AS n_chars
+        FROM w FULL OUTER JOIN g ON w.request_id = g.request_id
+        WHERE w.resp IS DISTINCT FROM g.resp"""
     return q
 
 

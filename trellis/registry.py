@@ -234,7 +234,7 @@ def q_matmul_broadcast(spark, sf):
 def q_row_blocks(spark, sf):
     nrows = read_table(spark, sf, "part", "p_partkey").count()
     ncols = read_table(spark, sf, "supplier", "s_suppkey").count()
-    parts = [M.row_blocks(spark, nrows, ncols, size).select(F.lit(size).alias("size"), "*")
+    parts = [M.row_blocks(spark, nrows, ncols, size).select(F.lit(size).cast("bigint").alias("size"), "*")
              for size in (1, 7, nrows + 3)]
     out = parts[0]
     for p in parts[1:]:
