@@ -209,7 +209,11 @@ def to_blocks(m: DataFrame, rows_per_block: int, cols_per_block: int) -> DataFra
 
 
 def _block_pair_product(rb: int, kb: int, cb: int):
-    """mapInPandas body: multiply block pairs; emit partial cells with match counts."""
+    """mapInPandas body: multiply block pairs; emit partial cells with match counts.
+
+    Join output arrives grouped by the k block, so consecutive pairs share a
+    left block; the last densified left block is kept and reused.
+    """
     def dense(r, c, v, nr, nc):
         val = np.zeros((nr, nc))
         hit = np.zeros((nr, nc))
@@ -218,10 +222,14 @@ def _block_pair_product(rb: int, kb: int, cb: int):
         return val, hit
 
     def run(batches):
+        last_key, last_a = None, None
         for pdf in batches:
             out_i, out_j, out_v, out_n = [], [], [], []
             for row in pdf.itertuples(index=False):
-                av, ah = dense(row.ar, row.ac, row.av, rb, kb)
+                key = (row.bi, row.bk)
+                if key != last_key:
+                    last_key, last_a = key, dense(row.ar, row.ac, row.av, rb, kb)
+                av, ah = last_a
                 bv, bh = dense(row.br, row.bc, row.bv, kb, cb)
                 n = ah @ bh
                 rr, cc = np.nonzero(n)
@@ -239,19 +247,23 @@ def _block_pair_product(rb: int, kb: int, cb: int):
 
 
 def matmul_blocked(a: DataFrame, b: DataFrame, rows_per_block: int = 256,
-                   k_per_block: int = 256, cols_per_block: int = 256) -> DataFrame:
+                   k_per_block: int = 4096, cols_per_block: int = 256) -> DataFrame:
     """Product for operands that do not fit in memory.
 
     Both sides are cut into bounded blocks, joined on the k block, each block
     pair multiplied by numpy inside ``mapInPandas``, and the partial cells
     summed with a partial + final aggregate.  Match counts travel with the
     values so the result stores exactly the cells ``matmul_cells`` stores.
+
+    Memory per task is bounded by the block sizes: a dense left block is
+    ``rows_per_block * k_per_block`` doubles (8 MB at the defaults), and
+    Arrow input batches are capped by ``spark.sql.execution.arrow.maxBytesPerBatch``.
     """
     ab = to_blocks(a, rows_per_block, k_per_block).select(
         "bi", F.col("bj").alias("bk"), F.col("r").alias("ar"), F.col("c").alias("ac"), F.col("v").alias("av"))
     bb = to_blocks(b, k_per_block, cols_per_block).select(
         F.col("bi").alias("bk"), "bj", F.col("r").alias("br"), F.col("c").alias("bc"), F.col("v").alias("bv"))
-    pairs = ab.join(bb, "bk").select("bi", "bj", "ar", "ac", "av", "br", "bc", "bv")
+    pairs = ab.join(bb, "bk").select("bi", "bk", "bj", "ar", "ac", "av", "br", "bc", "bv")
     schema = "i long, j long, v double, n long"
     partial = pairs.mapInPandas(_block_pair_product(rows_per_block, k_per_block, cols_per_block), schema)
     return (partial.groupBy("i", "j").agg(F.sum("v").alias("v"), F.sum("n").alias("n"))

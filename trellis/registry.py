@@ -220,7 +220,7 @@ def q_matmul_dense(spark, sf):
 
 def q_matmul_blocked(spark, sf):
     s = supply_cells(spark, sf)
-    return M.matmul_blocked(s, M.transpose(s), 64, 512, 64)
+    return M.matmul_blocked(s, M.transpose(s))
 
 
 def q_matmul_broadcast(spark, sf):
