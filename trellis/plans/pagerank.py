@@ -27,7 +27,10 @@ Two physical strategies, chosen from a size check:
   contributions, never the links themselves.
 
 Lineage is cut with reliable ``checkpoint()`` (into ``spark.checkpoint.dir``)
-every ``checkpoint_every`` iterations.
+every ``checkpoint_every`` iterations (default: every one - the rank table is
+node-sized, far smaller than the links, and a short plan keeps the driver's
+re-optimisation cheap) and after the last, after which the cached link
+tables are released.
 """
 
 from __future__ import annotations
@@ -113,7 +116,7 @@ def choose_strategy(graph: PreparedGraph, ranks: DataFrame, strategy: str = "aut
 
 
 def pagerank(links: DataFrame, ranks: DataFrame, iterations: int = 5,
-             keep_unlinked: bool = False, checkpoint_every: int = 5,
+             keep_unlinked: bool = False, checkpoint_every: int = 1,
              strategy: str = "auto", salt_bucket_rows: int = 1_000_000,
              row_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """``iterations`` updates of ``ranks(id, rank)`` over ``links(src, dst)``.
@@ -128,8 +131,11 @@ def pagerank(links: DataFrame, ranks: DataFrame, iterations: int = 5,
     current = ranks.select("id", F.col("rank").cast("double").alias("rank"))
     for it in range(1, iterations + 1):
         current = step(graph, current, chosen, keep_unlinked)
-        if checkpoint_every and it % checkpoint_every == 0 and it < iterations:
+        if checkpoint_every and (it % checkpoint_every == 0 or it == iterations):
             current = current.checkpoint(eager=True)
+    if checkpoint_every:
+        # the result no longer depends on the cached link tables
+        graph.unpersist()
     return current
 
 
