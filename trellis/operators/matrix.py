@@ -211,8 +211,8 @@ def to_blocks(m: DataFrame, rows_per_block: int, cols_per_block: int) -> DataFra
 def _block_pair_product(rb: int, kb: int, cb: int):
     """mapInPandas body: multiply block pairs; emit partial cells with match counts.
 
-    Join output arrives grouped by the k block, so consecutive pairs share a
-    left block; the last densified left block is kept and reused.
+    Pairs arrive sorted by left block within a partition, so consecutive
+    pairs share a left block; the last densified left block is reused.
     """
     def dense(r, c, v, nr, nc):
         val = np.zeros((nr, nc))
@@ -247,23 +247,33 @@ def _block_pair_product(rb: int, kb: int, cb: int):
 
 
 def matmul_blocked(a: DataFrame, b: DataFrame, rows_per_block: int = 256,
-                   k_per_block: int = 4096, cols_per_block: int = 256) -> DataFrame:
+                   k_per_block: int = 4096, cols_per_block: int = 256,
+                   num_partitions: int | None = None) -> DataFrame:
     """Product for operands that do not fit in memory.
 
-    Both sides are cut into bounded blocks, joined on the k block, each block
-    pair multiplied by numpy inside ``mapInPandas``, and the partial cells
-    summed with a partial + final aggregate.  Match counts travel with the
-    values so the result stores exactly the cells ``matmul_cells`` stores.
+    Both sides are cut into bounded blocks.  The block indexes (ids only)
+    are joined on the k block to list the block pairs that meet; the blocks
+    themselves are then attached to that list, hash-partitioned on
+    ``(bk, bj)`` so the work spreads over every (k block, column block) and
+    not only over the k blocks.  Each pair is multiplied by numpy inside
+    ``mapInPandas``, and the partial cells are summed with a partial + final
+    aggregate.  Match counts travel with the values so the result stores
+    exactly the cells ``matmul_cells`` stores.
 
     Memory per task is bounded by the block sizes: a dense left block is
     ``rows_per_block * k_per_block`` doubles (8 MB at the defaults), and
     Arrow input batches are capped by ``spark.sql.execution.arrow.maxBytesPerBatch``.
     """
+    n = num_partitions or int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ab = to_blocks(a, rows_per_block, k_per_block).select(
         "bi", F.col("bj").alias("bk"), F.col("r").alias("ar"), F.col("c").alias("ac"), F.col("v").alias("av"))
     bb = to_blocks(b, k_per_block, cols_per_block).select(
         F.col("bi").alias("bk"), "bj", F.col("r").alias("br"), F.col("c").alias("bc"), F.col("v").alias("bv"))
-    pairs = ab.join(bb, "bk").select("bi", "bk", "bj", "ar", "ac", "av", "br", "bc", "bv")
+    meets = ab.select("bi", "bk").join(bb.select("bk", "bj"), "bk")
+    with_a = meets.join(ab, ["bi", "bk"]).repartition(n, "bk", "bj")
+    pairs = (with_a.join(bb.repartition(n, "bk", "bj"), ["bk", "bj"])
+             .select("bi", "bk", "bj", "ar", "ac", "av", "br", "bc", "bv")
+             .sortWithinPartitions("bi", "bk"))
     schema = "i long, j long, v double, n long"
     partial = pairs.mapInPandas(_block_pair_product(rows_per_block, k_per_block, cols_per_block), schema)
     return (partial.groupBy("i", "j").agg(F.sum("v").alias("v"), F.sum("n").alias("n"))
