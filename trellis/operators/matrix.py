@@ -211,26 +211,27 @@ def to_blocks(m: DataFrame, rows_per_block: int, cols_per_block: int) -> DataFra
 def _block_pair_product(rb: int, kb: int, cb: int):
     """mapInPandas body: multiply block pairs; emit partial cells with match counts.
 
-    Pairs arrive sorted by left block within a partition, so consecutive
-    pairs share a left block; the last densified left block is reused.
+    Pairs arrive sorted by right block within a partition, so consecutive
+    pairs share it; the last densified right block is reused.  Match counts
+    are small integers, exact in float32, so that product runs in float32.
     """
     def dense(r, c, v, nr, nc):
         val = np.zeros((nr, nc))
-        hit = np.zeros((nr, nc))
+        hit = np.zeros((nr, nc), dtype=np.float32)
         np.add.at(val, (r, c), v)
-        np.add.at(hit, (r, c), 1.0)
+        np.add.at(hit, (r, c), np.float32(1.0))
         return val, hit
 
     def run(batches):
-        last_key, last_a = None, None
+        last_key, last_b = None, None
         for pdf in batches:
             out_i, out_j, out_v, out_n = [], [], [], []
             for row in pdf.itertuples(index=False):
-                key = (row.bi, row.bk)
+                key = (row.bk, row.bj)
                 if key != last_key:
-                    last_key, last_a = key, dense(row.ar, row.ac, row.av, rb, kb)
-                av, ah = last_a
-                bv, bh = dense(row.br, row.bc, row.bv, kb, cb)
+                    last_key, last_b = key, dense(row.br, row.bc, row.bv, kb, cb)
+                bv, bh = last_b
+                av, ah = dense(row.ar, row.ac, row.av, rb, kb)
                 n = ah @ bh
                 rr, cc = np.nonzero(n)
                 if len(rr) == 0:
@@ -273,7 +274,7 @@ def matmul_blocked(a: DataFrame, b: DataFrame, rows_per_block: int = 256,
     with_a = meets.join(ab, ["bi", "bk"]).repartition(n, "bk", "bj")
     pairs = (with_a.join(bb.repartition(n, "bk", "bj"), ["bk", "bj"])
              .select("bi", "bk", "bj", "ar", "ac", "av", "br", "bc", "bv")
-             .sortWithinPartitions("bi", "bk"))
+             .sortWithinPartitions("bk", "bj"))
     schema = "i long, j long, v double, n long"
     partial = pairs.mapInPandas(_block_pair_product(rows_per_block, k_per_block, cols_per_block), schema)
     return (partial.groupBy("i", "j").agg(F.sum("v").alias("v"), F.sum("n").alias("n"))
