@@ -8,7 +8,7 @@ from trellis.operators import synth
 from trellis.plans import matmul as MM
 from trellis.plans.pagerank import PreparedGraph, choose_strategy
 from trellis.plans.sizing import at_most
-from trellis.plans.tables import write_bucketed
+from trellis.plans.tables import drop_table, write_bucketed
 from trellis.session import ensure_checkpoint_dir, shared_dir
 
 
@@ -38,7 +38,7 @@ def test_pagerank_strategy_follows_size(spark):
 
 def test_bucketed_table_avoids_reshuffle(spark):
     df = spark.range(200).select((F.col("id") % 7).alias("src"), (F.col("id") % 3).alias("salt"), "id")
-    t = write_bucketed(df, 4, ["src", "salt"], "test")
+    name, t = write_bucketed(df, 4, ["src", "salt"], "test")
     other = spark.range(50).select((F.col("id") % 7).alias("src"), (F.col("id") % 3).alias("salt"),
                                    F.col("id").alias("w"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -49,6 +49,8 @@ def test_bucketed_table_avoids_reshuffle(spark):
     # the bucketed side is read as-is; only the other side is exchanged
     assert plan.count("Exchange hashpartitioning") == 1
     assert t.join(other, ["src", "salt"]).count() == df.join(other, ["src", "salt"]).count()
+    drop_table(spark, name)
+    assert name not in {x.name for x in spark.catalog.listTables()}
 
 
 def test_matmul_strategy_choice(spark):

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from trellis.functions.rank import damp
 from trellis.operators.graph import adjacency_to_links
 from trellis.plans.sizing import BROADCAST_ROW_LIMIT, at_most, default_parallelism
-from trellis.plans.tables import write_bucketed
+from trellis.plans.tables import drop_table, write_bucketed
 from trellis.session import ensure_checkpoint_dir
 
 STRATEGIES = ("auto", "broadcast", "salted")
@@ -65,18 +65,23 @@ class PreparedGraph:
                     .persist(StorageLevel.MEMORY_AND_DISK))
         self.edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
         self._salted = None
+        self._salted_name = None
 
     def salted_edges(self) -> DataFrame:
         if self._salted is None:
             salt = F.pmod(F.xxhash64("dst"), F.col("n_salt")).cast("int")
             salted = (self.edges.join(self.deg.select("src", "n_salt"), "src")
                       .select("src", salt.alias("salt"), "dst", "mult"))
-            self._salted = write_bucketed(salted, self.num_partitions, ["src", "salt"], "links")
+            self._salted_name, self._salted = write_bucketed(
+                salted, self.num_partitions, ["src", "salt"], "links")
         return self._salted
 
     def unpersist(self) -> None:
         self.deg.unpersist()
         self.edges.unpersist()
+        if self._salted_name:
+            drop_table(self.deg.sparkSession, self._salted_name)
+            self._salted, self._salted_name = None, None
 
 
 def _shares(graph: PreparedGraph, ranks: DataFrame) -> DataFrame:

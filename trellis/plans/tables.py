@@ -14,10 +14,21 @@ from pyspark.sql import DataFrame
 from trellis.session import shared_dir
 
 
-def write_bucketed(df: DataFrame, num_buckets: int, columns: list, label: str) -> DataFrame:
-    """Write ``df`` bucketed on ``columns`` below the shared folder; return its scan."""
+def write_bucketed(df: DataFrame, num_buckets: int, columns: list, label: str) -> tuple:
+    """Write ``df`` bucketed on ``columns`` below the shared folder.
+
+    Returns ``(name, scan)``.  The table is registered under a unique name
+    (bucketing needs a catalog entry); ``drop_table(spark, name)`` removes the
+    entry once the caller is done.  The files live in the shared folder,
+    never in the warehouse.
+    """
     spark = df.sparkSession
     name = f"trellis_{label}_{uuid.uuid4().hex[:12]}"
     (df.write.format("parquet").bucketBy(num_buckets, *columns)
      .option("path", shared_dir(spark, label)).saveAsTable(name))
-    return spark.table(name)
+    return name, spark.table(name)
+
+
+def drop_table(spark, name: str) -> None:
+    """Remove a catalog entry made by ``write_bucketed`` (files stay put)."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
