@@ -79,6 +79,7 @@ def test_flat_rows_roundtrip(spark):
     rows = {r["i"]: (r["row_offset"], list(r["row"])) for r in M.matrix_to_rows(c, 3).collect()}
     assert rows == {0: (0, [1.0, 2.0, 3.0]), 1: (3, [4.0, 5.0, 6.0])}
     assert tuple(M.matrix_shape(c).first()) == (2, 3)
+    assert tuple(M.matrix_shape(c, nrows=5).first()) == (5, 3)
 
 
 def test_get_set_incr_diff(spark):

@@ -32,6 +32,12 @@ def links_to_adjacency(nodes: DataFrame, links: DataFrame, sort_edges: bool = Tr
     ``nodes`` has an ``id`` column.  ``collect_list`` is partially aggregated
     map-side; ``sort_edges`` makes the list order deterministic (the order of
     appends is not defined once links are shuffled).
+
+    The array form holds a site's whole out-list in one row, as the
+    reference's data model does, so a hub becomes one large row.  Nothing in
+    this package computes on that form at scale: PageRank runs on the link
+    table (``trellis.plans.pagerank``), and this conversion is for exchange
+    with array-form inputs.
     """
     grouped = links.groupBy(F.col("src").alias("id")).agg(F.collect_list("dst").alias("edges"))
     if sort_edges:

@@ -62,9 +62,12 @@ def transpose(m: DataFrame) -> DataFrame:
     return m.select(F.col("j").alias("i"), F.col("i").alias("j"), "v")
 
 
-def matrix_shape(m: DataFrame) -> DataFrame:
-    """M3: ``(nrows, ncols)`` from the largest stored indices."""
-    return m.agg((F.max("i") + 1).alias("nrows"), (F.max("j") + 1).alias("ncols"))
+def matrix_shape(m: DataFrame, nrows: int | None = None, ncols: int | None = None) -> DataFrame:
+    """M3: ``(nrows, ncols)`` from the largest stored indices; a declared
+    dimension wins (trailing empty rows or columns store no cells)."""
+    r = F.lit(nrows).cast("bigint") if nrows is not None else F.max("i") + 1
+    c = F.lit(ncols).cast("bigint") if ncols is not None else F.max("j") + 1
+    return m.agg(r.alias("nrows"), c.alias("ncols"))
 
 
 def shape_of(m: DataFrame) -> tuple:
