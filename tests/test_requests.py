@@ -83,3 +83,27 @@ def test_completed_counts(spark):
                       F.col("n").alias("sn")).join(per, ["window_start", "driver"])
     assert j.count() == closed.count() and j.where("sn <> n").count() == 0
     assert closed.count() <= per.count()
+
+
+def test_stream_with_bucketed_catalog(spark, capsys):
+    from trellis.session import shared_dir
+    from trellis.streaming.serve import prepare_catalog, request_stream, serve_stream
+    files = views.files(spark, SF)
+    keyed = prepare_catalog(files, broadcast_rows=0)  # force the bucketed table
+    out = shared_dir(spark, "test-serve-out")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the catalog were large
+    try:
+        q = serve_stream(request_stream(spark, SF), files, out, shared_dir(spark, "test-serve-ckpt"),
+                         available_now=True, keyed=keyed)
+        q.awaitTermination()
+        q.explain()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    plan = capsys.readouterr().out
+    # the catalog is read from its buckets; only the micro-batch is exchanged
+    final = plan.split("== Initial Plan ==")[0]
+    assert "Bucketed: true" in final
+    assert final.count("Exchange hashpartitioning(_key") == 1
+    batch = R.serve(views.requests(spark, SF), files).select("request_id", "status", "body")
+    stream = spark.read.parquet(out).select("request_id", "status", "body")
+    assert sorted(map(tuple, batch.collect())) == sorted(map(tuple, stream.collect()))

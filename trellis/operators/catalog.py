@@ -63,12 +63,23 @@ def has_child(children: DataFrame, probe: DataFrame) -> DataFrame:
             .select("parent", "name", F.coalesce("_hit", F.lit(False)).alias("found")))
 
 
-def read_files(files: DataFrame, wanted: DataFrame, path_col: str = "path") -> DataFrame:
+def keyed_files(files: DataFrame) -> DataFrame:
+    """``(_key, contents)``: the lookup side of F11."""
+    return file_nodes(files).select(F.col("key").alias("_key"), "contents")
+
+
+def read_files(files: DataFrame, wanted: DataFrame, path_col: str = "path",
+               keyed: DataFrame | None = None) -> DataFrame:
     """every wanted row plus ``contents``; NULL when the path is missing,
-    a folder, below a file, outside the root or not absolute."""
-    nodes = file_nodes(files).select(F.col("key").alias("_key"), "contents")
-    keyed = wanted.withColumn("_key", path_canonical(path_components(path_col)))
-    return keyed.join(nodes, "_key", "left").drop("_key")
+    a folder, below a file, outside the root or not absolute.
+
+    ``keyed`` may hold a prepared lookup side (``keyed_files`` output, e.g.
+    broadcast or bucketed on ``_key``), which is then used instead of
+    ``files``.
+    """
+    nodes = keyed if keyed is not None else keyed_files(files)
+    w = wanted.withColumn("_key", path_canonical(path_components(path_col)))
+    return w.join(nodes, "_key", "left").drop("_key")
 
 
 def path_kind(files: DataFrame, wanted: DataFrame, path_col: str = "path") -> DataFrame:

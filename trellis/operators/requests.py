@@ -36,13 +36,14 @@ def accepted_requests(parsed: DataFrame) -> DataFrame:
     return parsed.where(_reason().isNull())
 
 
-def serve(req: DataFrame, files: DataFrame) -> DataFrame:
+def serve(req: DataFrame, files: DataFrame, keyed: DataFrame | None = None) -> DataFrame:
     """For every request R2 does not reject, 200 and the body when the
     path names a file, else 404 and no body.  Extra request columns (``ts``,
-    ``driver``) pass through.
+    ``driver``) pass through.  ``keyed`` is an optional prepared lookup side
+    (see ``read_files``).
     """
     ok = accepted_requests(parse_requests(req)).drop("method_ok", "line")
-    served = read_files(files, ok, "path")
+    served = read_files(files, ok, "path", keyed=keyed)
     status = F.when(F.col("contents").isNull(), F.lit(404)).otherwise(F.lit(200))
     return served.select(*[c for c in ok.columns], status.alias("status"),
                          F.col("contents").alias("body"))

@@ -3,7 +3,9 @@ completed requests per event-time window (R6, streaming form).
 
 The request feed is unbounded; each micro-batch is parsed, rejected rows
 are dropped, and the rest is left-joined to the (static) file catalog -
-a stateless stream-static join, so no state grows with the stream.  Output
+a stateless stream-static join, so no state grows with the stream.  The
+catalog side is prepared once (``prepare_catalog``): broadcast when proven
+small, else a table bucketed on the path key.  Output
 is appended to a parquet sink; the checkpoint location makes the sink
 exactly-once across restarts and lost executors.  The static side is a
 snapshot: a restart picks up new files.
@@ -15,7 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from trellis.operators.catalog import keyed_files
 from trellis.operators.requests import serve
+from trellis.plans.tables import write_bucketed
 from trellis.session import shared_dir
 from trellis.sources import views
 
@@ -36,10 +40,32 @@ def request_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int
     return views.request_lines(events)
 
 
+def prepare_catalog(files: DataFrame, broadcast_rows: int = 1_000_000,
+                    broadcast_bytes: int = 256 * 1024 * 1024,
+                    num_buckets: int | None = None) -> DataFrame:
+    """The lookup side of a stream-static join, prepared once.
+
+    A stream-static join re-plans the static side in every micro-batch.  A
+    catalog proven small (rows and total content bytes) is broadcast;
+    otherwise it is written once as a table bucketed on the path key, so
+    each micro-batch shuffles only its own requests, never the catalog.
+    """
+    keyed = keyed_files(files)
+    stats = keyed.agg(F.count(F.lit(1)).alias("n"),
+                      F.coalesce(F.sum(F.length("contents")), F.lit(0)).alias("chars")).first()
+    if stats["n"] <= broadcast_rows and stats["chars"] * 4 <= broadcast_bytes:
+        return F.broadcast(keyed)
+    spark = files.sparkSession
+    n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    _, table = write_bucketed(keyed, n, ["_key"], "catalog")
+    return table
+
+
 def serve_stream(requests: DataFrame, files: DataFrame, out_dir: str, checkpoint_dir: str,
-                 available_now: bool = False, processing_time: str | None = None) -> StreamingQuery:
+                 available_now: bool = False, processing_time: str | None = None,
+                 keyed: DataFrame | None = None) -> StreamingQuery:
     """Append ``(request_id, ts, driver, path, status, body)`` rows as requests arrive."""
-    served = serve(requests, files)
+    served = serve(requests, files, keyed=keyed if keyed is not None else prepare_catalog(files))
     writer = (served.writeStream.format("parquet").outputMode("append")
               .option("path", out_dir).option("checkpointLocation", checkpoint_dir))
     if available_now:
@@ -81,7 +107,8 @@ def serve_available(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def completed_available(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run R5 -> R6 (streaming) over everything in the feed; return closed windows."""
-    served = serve(request_stream(spark, sf_dir), views.files(spark, sf_dir))
+    files = views.files(spark, sf_dir)
+    served = serve(request_stream(spark, sf_dir), files, keyed=prepare_catalog(files))
     out = shared_dir(spark, "completed-out")
     q = completed_stream(served, out, shared_dir(spark, "completed-ckpt"), available_now=True)
     q.awaitTermination()
