@@ -82,28 +82,41 @@ def read_files(files: DataFrame, wanted: DataFrame, path_col: str = "path",
     return w.join(nodes, "_key", "left").drop("_key")
 
 
+def node_kinds(files: DataFrame) -> DataFrame:
+    """``(key, is_file, is_folder)`` for every tree node, from one pass over
+    the catalog: each file yields its own key and every strict prefix."""
+    nodes = file_nodes(files).select("comps")
+    own = F.struct(path_canonical("comps").alias("key"), F.lit(True).alias("f"))
+    prefixes = F.transform(strict_prefix_lengths("comps"),
+                           lambda n: F.struct(path_prefix_key("comps", n).alias("key"),
+                                              F.lit(False).alias("f")))
+    rows = nodes.select(F.explode(F.concat(F.array(own), prefixes)).alias("x")).select("x.*")
+    return (rows.groupBy("key").agg(F.max(F.col("f").cast("int")).cast("boolean").alias("is_file"),
+                                    F.max((~F.col("f")).cast("int")).cast("boolean").alias("is_folder")))
+
+
 def path_kind(files: DataFrame, wanted: DataFrame, path_col: str = "path") -> DataFrame:
     """every wanted row plus ``kind``: ``file``, ``folder``, ``below_file``,
     ``missing``, ``outside_root`` (or ``not_absolute``).
 
-    The kind is computed once per distinct key (partial aggregation), then
-    joined back, so a hot path costs one row of work.
+    The catalog is read once into per-key node flags; the kind is computed
+    once per distinct wanted key (partial aggregation) and joined back, so
+    a hot path costs one row of work.
     """
-    nodes = file_nodes(files).select("key")
-    folders = folder_tree(files).select(F.col("folder").alias("key"))
+    kinds_of = node_kinds(files)
     comps = path_components(path_col)
     keyed = wanted.withColumn("_comps", comps).withColumn("_key", path_canonical("_comps"))
     distinct_keys = keyed.where(under_root("_comps")).select("_key", "_comps").distinct()
-    is_file = nodes.select(F.col("key").alias("_key"), F.lit(True).alias("_file")).distinct()
-    is_folder = folders.select(F.col("key").alias("_key"), F.lit(True).alias("_folder")).distinct()
     below = (distinct_keys.select("_key", F.explode(strict_prefix_lengths("_comps", 2)).alias("n"),
                                   "_comps")
              .select("_key", path_prefix_key("_comps", F.col("n")).alias("_pre"))
-             .join(is_file.select(F.col("_key").alias("_pre")), "_pre", "left_semi")
+             .join(kinds_of.where("is_file").select(F.col("key").alias("_pre")), "_pre", "left_semi")
              .select("_key").distinct().withColumn("_below", F.lit(True)))
-    flags = (distinct_keys.select("_key").join(is_file, "_key", "left")
-             .join(is_folder, "_key", "left").join(below, "_key", "left"))
-    kind = (F.when(F.col("_file"), "file").when(F.col("_folder"), "folder")
+    flags = (distinct_keys.select("_key")
+             .join(kinds_of.select(F.col("key").alias("_key"), "is_file", "is_folder"), "_key", "left")
+             .join(below, "_key", "left"))
+    root = F.col("_key") == F.lit(ROOT_KEY)
+    kind = (F.when(F.col("is_file"), "file").when(F.col("is_folder") | root, "folder")
             .when(F.col("_below"), "below_file").otherwise("missing"))
     kinds = flags.select("_key", kind.alias("_kind"))
     out = keyed.join(kinds, "_key", "left")
