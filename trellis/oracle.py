@@ -400,6 +400,13 @@ def requests_sql() -> dict:
     q["completed_requests"] = base + """
         SELECT time_bucket(INTERVAL '10 seconds', ts) AS window_start, driver, count(*) AS n
         FROM served GROUP BY ROLLUP (time_bucket(INTERVAL '10 seconds', ts), driver)"""
+    # streaming R6 over a fixed feed read in one micro-batch: a window is
+    # written once the final watermark (max event time - 10 s) reaches its end
+    q["completed_requests_stream"] = base + """
+        SELECT time_bucket(INTERVAL '10 seconds', ts) AS window_start, driver, count(*) AS n
+        FROM served GROUP BY time_bucket(INTERVAL '10 seconds', ts), driver
+        HAVING time_bucket(INTERVAL '10 seconds', ts) + INTERVAL '10 seconds'
+               <= (SELECT max(ts) FROM served) - INTERVAL '10 seconds'"""
     q["response_check"] = base + """,
         expected AS (
           SELECT a.request_id, CASE WHEN f.contents IS NULL THEN 404 ELSE 200 END AS status, f.contents AS body

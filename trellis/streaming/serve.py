@@ -88,7 +88,7 @@ def completed_stream(responses: DataFrame, out_dir: str, checkpoint_dir: str,
                .withWatermark("event_time", lateness)
                .groupBy(F.window("event_time", window).alias("w"), "driver")
                .agg(F.count(F.lit(1)).alias("n"))
-               .select(F.col("w.start").alias("window_start"), "driver", "n"))
+               .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "driver", "n"))
     writer = (counted.writeStream.format("parquet").outputMode("append")
               .option("path", out_dir).option("checkpointLocation", checkpoint_dir))
     if available_now:
