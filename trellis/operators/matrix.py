@@ -188,8 +188,8 @@ def matmul_broadcast(a_rows: DataFrame, b: DataFrame, shape_b: tuple, num_blocks
         raise ShapeError("right operand too large to broadcast; use matmul_blocked")
     spark = a_rows.sparkSession
     dense = np.zeros((nrows_b, ncols_b), dtype=np.float64)
-    for part in b.select("i", "j", "v").toLocalIterator(prefetchPartitions=True):
-        dense[part["i"], part["j"]] += part["v"]
+    cells = b.select("i", "j", "v").toPandas()  # Arrow transfer of a size-checked side
+    np.add.at(dense, (cells["i"].to_numpy(), cells["j"].to_numpy()), cells["v"].to_numpy())
     bc = spark.sparkContext.broadcast(dense)
     if num_blocks:
         a_rows = a_rows.repartitionByRange(num_blocks, "i")
