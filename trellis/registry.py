@@ -6,7 +6,6 @@ column names equal those of the matching SQL in ``trellis.oracle``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trellis.functions import paths as P
