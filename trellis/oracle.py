@@ -215,6 +215,7 @@ def matrix_sql() -> dict:
         SELECT g.i, g.j, coalesce(s.v, 0.0) AS v FROM grid g LEFT JOIN supply s ON s.i = g.i AND s.k = g.j"""
     q["matmul_cells"] = _with(SUPPLY, SUPPLY_T, PRODUCT) + "SELECT i, j, v FROM product"
     q["matmul_blocked"] = q["matmul_cells"]
+    q["matmul"] = q["matmul_cells"]
     q["matmul_dense"] = _with(SUPPLY, SUPPLY_T, PRODUCT) + """,
         shape AS (SELECT max(i) + 1 AS n FROM supply),
         grid AS (SELECT r // n AS i, r % n AS j FROM shape, range(0, n * n) t(r))

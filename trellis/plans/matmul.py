@@ -1,10 +1,10 @@
 """Choosing a physical strategy for a matrix product from size checks.
 
-* ``broadcast`` - the right operand, densified, holds at most
-  ``broadcast_cells`` values: ship it whole (the reference's strategy) and
-  run one GEMM per row batch of the left operand;
-* ``cells`` - sparse operands: join on k and aggregate, letting Spark
+* ``cells`` - a sparse left operand: join on k and aggregate, letting Spark
   combine partial sums map-side;
+* ``broadcast`` - a dense left operand and a right operand that, densified,
+  holds at most ``broadcast_cells`` values: ship it whole (the reference's
+  strategy) and run one GEMM per row batch of the left operand;
 * ``blocked`` - everything else: bounded blocks, GEMM per block pair.
 """
 
@@ -20,13 +20,20 @@ STRATEGIES = ("auto", "broadcast", "cells", "blocked")
 
 def choose(shape_a: tuple, shape_b: tuple, b: DataFrame, broadcast_cells: int = 4_000_000,
            density_cutoff: float = 0.05, a: DataFrame | None = None) -> str:
+    """Pick a strategy from bounded counts only.
+
+    A sparse left side (at most ``density_cutoff`` of its cells stored)
+    joins on k - densifying its rows would cost more than the product, and
+    Spark broadcasts a small right side of that join by its own size check.
+    A dense left side uses the broadcast GEMM when the right side is proven
+    small, else the blocked product.
+    """
+    cells_a = shape_a[0] * shape_a[1]
+    if a is not None and cells_a and at_most(a, int(cells_a * density_cutoff)):
+        return "cells"
     nrows_b, ncols_b = shape_b
     if nrows_b * ncols_b <= broadcast_cells and at_most(b, broadcast_cells):
         return "broadcast"
-    if a is not None:
-        cells_a = shape_a[0] * shape_a[1]
-        if cells_a and at_most(a, int(cells_a * density_cutoff)):
-            return "cells"
     return "blocked"
 
 

@@ -17,6 +17,7 @@ from trellis.operators import graph as G
 from trellis.operators import requests as R
 from trellis.operators import matrix as M
 from trellis.operators import synth
+from trellis.plans.matmul import matmul
 from trellis.plans.pagerank import pagerank
 from trellis.sources import views
 from trellis.sources.tables import read_table
@@ -224,6 +225,11 @@ def q_matmul_blocked(spark, sf):
     return M.matmul_blocked(s, M.transpose(s))
 
 
+def q_matmul(spark, sf):
+    s = supply_cells(spark, sf)
+    return matmul(s, M.transpose(s))
+
+
 def q_matmul_broadcast(spark, sf):
     e = views.emb(spark, sf).select("i", F.col("k").alias("j"), "v")
     nrows, ncols = M.shape_of(e)
@@ -273,6 +279,7 @@ MATRIX = {
     "matmul_cells": q_matmul_cells,
     "matmul_dense": q_matmul_dense,
     "matmul_blocked": q_matmul_blocked,
+    "matmul": q_matmul,
     "matmul_broadcast": q_matmul_broadcast,
     "row_blocks": q_row_blocks,
     "row_block_assign": q_row_block_assign,
