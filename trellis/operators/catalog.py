@@ -14,6 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trellis.session import ensure_checkpoint_dir
 from trellis.functions.paths import (ROOT_NAME, is_absolute, parent_key, path_canonical,
                                      path_components, path_prefix_key, strict_prefix_lengths,
                                      under_root)
@@ -136,6 +137,10 @@ def classify_inserts(catalog: DataFrame, batch: DataFrame) -> DataFrame:
     when an earlier row equals P or lies under P, the first such row decides
     (``duplicate`` / ``is_folder``).  A failed insert creates nothing, so the
     rule needs no recursion: a handful of joins on exploded prefix keys.
+
+    Runs eagerly: the verdicts are checkpointed (into ``spark.checkpoint.dir``)
+    and the intermediate tables released; the returned frame joins them back
+    to the batch lazily.
     """
     comps = path_components("path")
     pre = (F.when(~is_absolute("path"), "not_absolute")
@@ -170,6 +175,12 @@ def classify_inserts(catalog: DataFrame, batch: DataFrame) -> DataFrame:
     v = judged.select("seq", "key", verdict.alias("verdict"))
     out = b.join(v.select("seq", "verdict"), "seq", "left")
     verdicts = out.select("seq", F.coalesce("pre", "verdict").alias("verdict"))
+    # materialise the small (seq, verdict) table in the checkpoint folder,
+    # then release the intermediate tables it was computed from
+    ensure_checkpoint_dir(batch.sparkSession)
+    verdicts = verdicts.checkpoint(eager=True)
+    for cached in (anc, rows, b):
+        cached.unpersist()
     return batch.join(verdicts, "seq").select("seq", "path", "contents", "verdict")
 
 
