@@ -8,6 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +39,7 @@ def text_slices(batch: pa.RecordBatch, index: int, limit: int = SLICE_BYTES):
     n = batch.num_rows
     if n == 0:
         return
-    sizes = pa.compute.binary_length(batch.column(index)).fill_null(0).to_numpy(zero_copy_only=False)
+    sizes = pc.binary_length(batch.column(index)).fill_null(0).to_numpy(zero_copy_only=False)
     slot = np.cumsum(sizes.astype(np.int64)) // limit
     cuts = np.flatnonzero(np.diff(slot)) + 1
     start = 0

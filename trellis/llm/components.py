@@ -9,6 +9,7 @@ the lineage and survives a lost executor.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,3 +44,29 @@ def connected_components(edges: DataFrame, src: str, dst: str, max_rounds: int =
                 e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         before = now
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+
+
+def block_components(link: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Labels of the rows and columns of a bipartite link matrix: equal where
+    connected within the matrix; a row or column without links keeps its own."""
+    n, m = link.shape
+    row = np.arange(n, dtype=np.int32)
+    col = np.arange(n, n + m, dtype=np.int32)
+    none = np.int32(n + m)
+    while True:
+        new = np.minimum(row, np.where(link, col[None, :], none).min(axis=1, initial=none))
+        newer = np.minimum(col, np.where(link, new[:, None], none).min(axis=0, initial=none))
+        if np.array_equal(new, row) and np.array_equal(newer, col):
+            return row, col
+        row, col = new, newer
+
+
+def star_edges(link: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (node, centre) that connect what ``link`` connects, one a node at
+    most; ``rows`` and ``cols`` number the nodes."""
+    a, b = block_components(link)
+    names = np.concatenate([rows, cols])
+    linked = np.concatenate([link.any(axis=1), link.any(axis=0)])
+    centre = names[np.concatenate([a, b])]
+    keep = linked & (names != centre)
+    return names[keep], centre[keep]

@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trellis.llm.common import documents
+
 RULES = ("length", "symbols", "dup_lines", "repeats", "word_length", "upper", "marks", "symbol_share")
 #: EM starts from these: (good vote given good, bad vote given bad, share of good).
 START = (0.99, 0.3, 0.8)
@@ -202,7 +204,7 @@ def oracle_sql() -> str:
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT rid, doc_id, t, regexp_extract_all(t, '[^ 	-]+') AS ws,
-      list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^ 	-]')) AS ls FROM d),
+      list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS ls FROM d),
 tri AS (SELECT rid, unnest(range(1, len(ws) - 1)) AS i, ws FROM w),
 dup AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (
         PARTITION BY rid, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) AS c FROM tri) WHERE c > 1),
@@ -221,3 +223,10 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND ({odds}) >= 0 AS kept
 FROM v, m{STEPS}"""
+
+
+def op9_quality_rules(spark, sf_dir):
+    counts = signals(documents(spark, sf_dir, "doc_id", "text")).checkpoint()
+    out = judge(counts, fit_rules(counts))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      "base_failed", "kept")

@@ -7,23 +7,24 @@ derives the digest columns from the operator's output.
 from __future__ import annotations
 
 from trellis.llm import quality_rules
-from trellis.llm.common import documents
-
-
-def op9_quality_rules(spark, sf_dir):
-    counts = quality_rules.signals(documents(spark, sf_dir, "doc_id", "text")).checkpoint()
-    out = quality_rules.judge(counts, quality_rules.fit_rules(counts))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                      "base_failed", "kept")
+from trellis.llm.byte_bpe import op7_byte_bpe
+from trellis.llm.forest_join import op3_ngram_jaccard_join
+from trellis.llm.language_id import op8_language_id
+from trellis.llm.line_crf import op5_line_crf
+from trellis.llm.multi_index import op2_multi_index
+from trellis.llm.packing import op4_best_fit_packing
+from trellis.llm.quality_rules import op9_quality_rules
+from trellis.llm.sharding import op6_rendezvous_sharding
+from trellis.llm.token_counts import op10_token_counts
+from trellis.llm.warc import op1_warc
 
 
 def all_queries() -> dict:
-    return {
-        "op9_quality_rules": op9_quality_rules,
-    }
+    found = (op1_warc, op2_multi_index, op3_ngram_jaccard_join, op4_best_fit_packing, op5_line_crf,
+             op6_rendezvous_sharding, op7_byte_bpe, op8_language_id, op9_quality_rules, op10_token_counts)
+    return {f.__name__: f for f in found}
 
 
 def all_sql() -> dict:
-    return {
-        "op9_quality_rules": quality_rules.oracle_sql(),
-    }
+    """DuckDB SQL where a query's rows have an SQL form."""
+    return {"op9_quality_rules": quality_rules.oracle_sql()}
