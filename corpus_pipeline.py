@@ -8,7 +8,7 @@ read again as the next one's ``docs``.  All but the last return the columns of
 
 from __future__ import annotations
 
-from trellis.llm import quality_rules
+from trellis.llm import forest_join, language_id, packing, quality_rules
 from trellis.session import shared_dir
 
 
@@ -17,10 +17,30 @@ def rule_stage(spark, docs, sf_dir):
     return quality_rules.keep_documents(docs)
 
 
-STAGES = [("quality_rules", rule_stage)]
+def language_stage(spark, docs, sf_dir):
+    """Drop the documents without a language (no letter in them)."""
+    return language_id.keep_documents(docs, language_id.fit_documents(docs))
 
-#: No SQL: the stages learn models and compare signatures; tests hold them
-#: against brute force.
+
+def duplicate_stage(spark, docs, sf_dir):
+    """Leave one document of each group of near duplicates."""
+    return forest_join.keep_documents(docs)
+
+
+def packing_stage(spark, docs, sf_dir):
+    """Pack what is left into sequences; one row per piece."""
+    return packing.pack_documents(docs, packing.vocabulary_path())
+
+
+STAGES = [
+    ("quality_rules", rule_stage),
+    ("language_id", language_stage),
+    ("ngram_jaccard_join", duplicate_stage),
+    ("best_fit_packing", packing_stage),
+]
+
+#: No SQL: the stages learn models, compare signatures and run a tokenizer;
+#: tests hold them against brute force.
 ORACLE_SQL = None
 
 
