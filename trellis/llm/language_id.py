@@ -18,17 +18,17 @@ without any labelled row every text is ``und``; further columns are ignored.
 from __future__ import annotations
 
 import re
-import unicodedata
-import zlib
 from bisect import bisect_right
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trellis.llm.common import crc_of_id, documents, text_slices, texts_of
+from trellis.llm.common import crc_of_id, documents, mix64, text_slices, texts_of
+
+_U = np.uint64
 
 BUCKETS = 1 << 15
 #: The model is fitted on all labelled rows if they are at most so many, else
@@ -71,13 +71,27 @@ def letters_of(word: str) -> str:
     return word if word.isalpha() else "".join(_LETTERS.findall(word))
 
 
-def grams(letters: str) -> list[int]:
-    """Buckets of the lower-cased word and of its 1- to 3-grams with borders."""
-    w = f"<{letters.lower()}>"
-    found = ["=" + w, *w[1:-1]]
-    found += [w[i:i + 2] for i in range(len(w) - 1)]
-    found += [w[i:i + 3] for i in range(len(w) - 2)]
-    return [zlib.crc32(g.encode("utf-8", "surrogatepass")) % BUCKETS for g in found]
+def gram_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of each word (letters only), lower-cased, and of its 1- to 3-grams
+    with borders; with each bucket the number of its word."""
+    text = "".join([f"<{w.lower()}>" for w in words])
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    if not len(c):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    opens, closes = c == ord("<"), c == ord(">")
+    word = np.cumsum(opens) - 1
+    start = np.flatnonzero(opens)
+    m = mix64(c)
+    one = np.flatnonzero(~opens & ~closes)
+    two = np.flatnonzero(~closes)
+    three = two[:-1][~closes[two[:-1] + 1]] if len(two) > 1 else two[:0]
+    place = (np.arange(len(c)) - start[word]).astype(np.uint64)
+    with np.errstate(over="ignore"):
+        whole = np.add.reduceat(mix64(m + place), start)
+        hashes = np.concatenate([m[one] + _U(1), m[two] * _U(3) + m[two + 1] + _U(2),
+                                 (m[three] * _U(3) + m[three + 1]) * _U(5) + m[three + 2] + _U(3), whole + _U(4)])
+    own = np.concatenate([word[one], word[two], word[three], np.arange(len(start))])
+    return (mix64(hashes) & _U(BUCKETS - 1)).astype(np.int64), own
 
 
 @dataclass
@@ -85,22 +99,50 @@ class LanguageModel:
     languages: list[str]
     table: np.ndarray                       # BUCKETS x languages, log-probabilities
     scripts: dict[str, np.ndarray]          # script -> mask of languages seen with it
-    cache: dict = field(default_factory=dict, repr=False)
-
-    def __getstate__(self):
-        return {"languages": self.languages, "table": self.table, "scripts": self.scripts, "cache": {}}
 
-    def word(self, word: str) -> tuple[int, np.ndarray | None]:
-        """Letters of the word and its scores (None: no evidence)."""
-        letters = letters_of(word)
-        if not letters:
-            return 0, None
-        mask = self.scripts.get(script_of(letters))
-        if mask is None:
-            return len(letters), None
-        s = self.table[grams(letters)].sum(axis=0)
-        s = np.where(mask, s, -np.inf)
-        return len(letters), np.maximum(s - s.max(), -WORD_RANGE).astype(np.float32)
+    def word_scores(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Letters of each word and its score by language: 0 for the best of its
+        candidates, down to -WORD_RANGE; all 0 where a word gives no evidence."""
+        letters = [letters_of(w) for w in words]
+        buckets, own = gram_buckets([x or "-" for x in letters])
+        scores = np.stack([np.bincount(own, self.table[buckets, k], len(words))
+                           for k in range(len(self.languages))], axis=1)
+        mask = np.zeros(scores.shape, bool)
+        for i, x in enumerate(letters):
+            found = self.scripts.get(script_of(x)) if x else None
+            if found is not None:
+                mask[i] = found
+        scores = np.where(mask, scores, -np.inf)
+        top = scores.max(axis=1, keepdims=True)
+        known = np.isfinite(top)
+        scores = np.where(known, np.maximum(scores - np.where(known, top, 0), -WORD_RANGE), 0)
+        return np.array([len(x) for x in letters], np.int64), scores.astype(np.float32)
+
+
+class WordTable:
+    """Scores of the distinct words seen by a worker, in one growing table."""
+
+    def __init__(self, model: LanguageModel):
+        self.model = model
+        self.reset()
+
+    def reset(self):
+        self.at: dict[str, int] = {}
+        self.letters = np.zeros(0, np.int64)
+        self.scores = np.zeros((0, len(self.model.languages)), np.float32)
+
+    def rows(self, words: list[list[str]]) -> np.ndarray:
+        """Table rows of all words in order."""
+        if len(self.at) > CACHE_WORDS:
+            self.reset()
+        at = self.at
+        fresh = list({w for own in words for w in own if w not in at})
+        if fresh:
+            letters, scores = self.model.word_scores(fresh)
+            at.update(zip(fresh, range(len(at), len(at) + len(fresh)), strict=True))
+            self.letters = np.concatenate([self.letters, letters])
+            self.scores = np.concatenate([self.scores, scores])
+        return np.array([at[w] for own in words for w in own], np.int64)
 
 
 def _count_batches(batches):
@@ -114,13 +156,13 @@ def _count_batches(batches):
             at, weight = [], []
             for w, n in own.items():
                 if letters := letters_of(w):
-                    found = grams(letters)
-                    at += found
-                    weight += [n] * len(found)
+                    at.append(letters)
+                    weight.append(n)
                     script = script_of(letters)
                     seen[lang, script] = seen.get((lang, script), 0) + n
+            buckets, word = gram_buckets(at)
             total = counts.setdefault(lang, np.zeros(BUCKETS, np.int64))
-            total += np.bincount(np.array(at, np.int64), np.array(weight, np.float64), BUCKETS).astype(np.int64)
+            total += np.bincount(buckets, np.array(weight, np.float64)[word], BUCKETS).astype(np.int64)
         words.clear()
 
     for batch in batches:
@@ -213,87 +255,63 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float = SWITCH_PEN
     return path
 
 
-def _rows_of(model: LanguageModel, texts: list[str]):
-    """Per text: language index (-1: none), score, and the path of its words."""
-    k = len(model.languages)
-    cache = model.cache
-    index: list[int] = []
-    lengths = np.zeros(len(texts), np.int64)
-    if len(cache) > CACHE_WORDS:
-        cache.clear()
-    local: dict[str, int] = {}
-    letters: list[int] = []
-    known: list[np.ndarray | None] = []
-    for i, text in enumerate(texts):
-        words = text.split()
-        lengths[i] = len(words)
-        for w in words:
-            at = local.get(w)
-            if at is None:
-                hit = cache.get(w)
-                if hit is None:
-                    hit = cache[w] = model.word(w)
-                at = local[w] = len(letters)
-                letters.append(hit[0])
-                known.append(hit[1])
-            index.append(at)
-    index = np.array(index, np.int64)
-    table = np.zeros((len(known), k), np.float32)
-    for j, s in enumerate(known):
-        if s is not None:
-            table[j] = s
-    scores = table[index] if len(index) else np.zeros((0, k), np.float32)
-    count = np.array(letters, np.int64)[index] if len(index) else np.zeros(0, np.int64)
-    path = viterbi(scores, lengths) if k else np.zeros(len(index), np.int16)
+def _paths(words: WordTable, texts: list[str]):
+    """Per text: letters by language of the path, evidence by language; the
+    paths of all words and the number of words of each text."""
+    own = [t.split() for t in texts]
+    lengths = np.array([len(x) for x in own], np.int64)
+    rows = words.rows(own)
+    scores = words.scores[rows]
+    path = viterbi(scores, lengths)
+    k = len(words.model.languages)
     doc = np.repeat(np.arange(len(texts)), lengths)
-    held = np.zeros((len(texts), max(k, 1)))
-    np.add.at(held, (doc, path), count)
-    evidence = np.zeros((len(texts), max(k, 1)))
-    if k:
-        np.add.at(evidence, doc, scores)
+    held = np.bincount(doc * k + path, words.letters[rows], len(texts) * k).reshape(-1, k)
+    evidence = np.stack([np.bincount(doc, scores[:, j], len(texts)) for j in range(k)], axis=1)
     return held, evidence, path, lengths
 
 
-def label_texts(model: LanguageModel, texts: list[str]) -> tuple[list[str], np.ndarray]:
+def label_texts(words: WordTable, texts: list[str]) -> tuple[list[str], np.ndarray]:
     """Language and score of each text."""
-    held, evidence, _, _ = _rows_of(model, texts)
-    total = held.sum(axis=1)
-    k = len(model.languages)
-    if not k:
+    languages = words.model.languages
+    k = len(languages)
+    if not k or not texts:
         return ["und"] * len(texts), np.zeros(len(texts))
+    held, evidence, _, _ = _paths(words, texts)
+    total = held.sum(axis=1)
     # most letters; the better total score decides between equals
-    best = np.lexsort((evidence, held), axis=1)[:, -1] if k > 1 else np.zeros(len(texts), np.int64)
+    best = np.lexsort((evidence, held), axis=1)[:, -1]
     rows = np.arange(len(texts))
     gap = np.exp(evidence - evidence.max(axis=1, keepdims=True))
     sure = gap[rows, best] / gap.sum(axis=1)
     share = np.divide(held[rows, best], total, out=np.zeros(len(texts)), where=total > 0)
     score = np.clip(share * np.maximum(sure, 1.0 / k), 0.0, 1.0)
-    labels = [model.languages[b] if n > 0 else "und" for b, n in zip(best, total, strict=True)]
-    return labels, np.where(total > 0, score, 0.0)
+    return ([languages[b] if n > 0 else "und" for b, n in zip(best, total, strict=True)],
+            np.where(total > 0, score, 0.0))
 
 
 def spans(model: LanguageModel, text: str | None) -> list[tuple[int, int, str]]:
     """(first word, end, language) of the spans of one text."""
-    _, _, path, _ = _rows_of(model, [text or ""])
-    if not len(path) or not model.languages:
+    if not model.languages or not (text or "").split():
         return []
+    _, _, path, _ = _paths(WordTable(model), [text])
     cuts = np.flatnonzero(np.diff(path)) + 1
     edges = [0, *cuts.tolist(), len(path)]
     return [(a, b, model.languages[path[a]]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
 
-def has_letter(text: str) -> bool:
-    return any(unicodedata.category(c)[0] == "L" for c in text)
+def _slice_bytes(model: LanguageModel) -> int:
+    """Text bytes worked on at a time: their word scores take a few times 64 MB."""
+    return (64 << 20) // max(4, len(model.languages))
 
 
 def predict(docs: DataFrame, model: LanguageModel, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, lang_pred, score, spans: one row per document."""
+    """doc_id, lang_pred, score: one row per document."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        own = shared.value
+        own = WordTable(shared.value)
         for batch in batches:
-            for part in text_slices(batch, 1):
+            for part in text_slices(batch, 1, _slice_bytes(own.model)):
                 labels, score = label_texts(own, texts_of(part, 1))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(labels, pa.string()), pa.array(score, pa.float64())],
@@ -310,9 +328,9 @@ def keep_documents(docs: DataFrame, model: LanguageModel, text: str = "text") ->
     at = docs.columns.index(text)
 
     def run(batches):
-        own = shared.value
+        own = WordTable(shared.value)
         for batch in batches:
-            for part in text_slices(batch, at):
+            for part in text_slices(batch, at, _slice_bytes(own.model)):
                 labels, _ = label_texts(own, texts_of(part, at))
                 yield part.filter(pa.array([x != "und" for x in labels], pa.bool_()))
 
