@@ -300,8 +300,8 @@ def spans(model: LanguageModel, text: str | None) -> list[tuple[int, int, str]]:
 
 
 def _slice_bytes(model: LanguageModel) -> int:
-    """Text bytes worked on at a time: their word scores take a few times 64 MB."""
-    return (64 << 20) // max(4, len(model.languages))
+    """Text bytes worked on at a time: their words and scores take some 100 MB."""
+    return (16 << 20) // max(4, len(model.languages))
 
 
 def predict(docs: DataFrame, model: LanguageModel, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -338,12 +338,13 @@ def keep_documents(docs: DataFrame, model: LanguageModel, text: str = "text") ->
 
 
 def held_out(column: str = "doc_id"):
-    return F.pmod(crc_of_id(column), F.lit(5)) == 0
+    """Whether a row is held out; a null id is not."""
+    return F.coalesce(F.pmod(crc_of_id(column), F.lit(5)) == 0, F.lit(False))
 
 
 def fit_documents(docs: DataFrame) -> LanguageModel:
-    """Fit on the rows of the training folds (null ids belong to none)."""
-    return fit(docs.where(~held_out()))
+    """Fit on the rows of the training folds (a null id belongs to none)."""
+    return fit(docs.where(F.col("doc_id").isNotNull() & ~held_out()))
 
 
 def op8_language_id(spark, sf_dir):
