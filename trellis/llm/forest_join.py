@@ -262,7 +262,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     facts = (classes.select("key", "class_id", "copies").join(counts, "key", "left").join(named, "key", "left")
              .select("key", "class_id", (F.col("copies") - 1 + F.coalesce("weight", F.lit(0))).alias("n_links"),
                      F.coalesce("links", F.lit(0)).alias("n_class_links"),
-                     F.coalesce("group_id", "class_id").alias("group_id")))
+                     F.coalesce("group_id", "class_id").alias("group_id")).checkpoint())
+    # both sides are plain shuffles here, so AQE splits the copies of a common text
     return (members.join(facts, "key", "left")
             .select("doc_id", F.coalesce("class_id", F.when(F.col("key").isNull(), F.col("doc_id"))).alias("class_id"),
                     F.coalesce("n_links", F.lit(0)).alias("n_links"),
@@ -287,10 +288,10 @@ def keep_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     out = near_duplicates(docs, text, doc_id).where("doc_id is not null")
     drop = out.groupBy("doc_id").agg(F.max(F.col("kept").cast("int")).alias("stays"),
                                      F.count("*").alias("rows"), F.max("n_links").alias("n_links"))
-    marked = fresh(docs, "_rows")
+    marked, named_id = fresh(docs, "_rows"), fresh(docs, "_named")
     verdict = (drop.where("stays = 0 or (rows > 1 and n_links > 0)")
-               .select(F.col("doc_id").alias(marked + "_id"), F.when(F.col("stays") == 0, 0).otherwise(2).alias(marked)))
-    named = docs.join(verdict, F.col(f"`{doc_id}`") == F.col(marked + "_id"), "left").drop(marked + "_id")
+               .select(F.col("doc_id").alias(named_id), F.when(F.col("stays") == 0, 0).otherwise(2).alias(marked)))
+    named = docs.join(verdict, F.col(f"`{doc_id}`") == F.col(named_id), "left").drop(named_id)
     single = named.where(F.col(marked).isNull()).select(*[F.col(f"`{c}`") for c in docs.columns])
     again = named.where(F.col(marked) == 2).select(*[F.col(f"`{c}`") for c in docs.columns])
     return single.unionByName(again.dropDuplicates([doc_id]))

@@ -277,7 +277,8 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", vec: str = "embe
     facts = (classes.select("key", "class_id", "copies").join(counts, "key", "left").join(named, "key", "left")
              .select("key", (F.col("copies") - 1 + F.coalesce("weight", F.lit(0))).alias("n_links"),
                      F.coalesce("component_id", "class_id").alias("component_id"),
-                     F.coalesce("links", F.lit(0)).alias("n_class_links")))
+                     F.coalesce("links", F.lit(0)).alias("n_class_links")).checkpoint())
+    # both sides are plain shuffles here, so AQE splits the copies of a common vector
     return (keyed.select("vec_id", "key").join(facts, "key", "left")
             .select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"),
                     F.coalesce("component_id", "vec_id").alias("component_id"),
