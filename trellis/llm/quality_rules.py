@@ -203,8 +203,8 @@ def oracle_sql() -> str:
         steps.append(f"m{k} AS MATERIALIZED (SELECT {', '.join(parts)} FROM {q})")
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
-w AS (SELECT rid, doc_id, t, regexp_extract_all(t, '[^ 	-]+') AS ws,
-      list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS ls FROM d),
+w AS (SELECT rid, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
+      list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
 tri AS (SELECT rid, unnest(range(1, len(ws) - 1)) AS i, ws FROM w),
 dup AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (
         PARTITION BY rid, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) AS c FROM tri) WHERE c > 1),
