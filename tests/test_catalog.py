@@ -176,10 +176,52 @@ def test_load_files(spark, tmp_path):
     assert got == dict(TINY_FILES)
 
 
-def test_append_files_never_overwrites(spark, tmp_path):
+def test_append_files_never_overwrites_or_repeats(spark, tmp_path):
     out = str(tmp_path / "catalog")
     acc = files_df(spark)
     C.append_files(acc, out)
-    C.append_files(acc.limit(1), out)
-    assert spark.read.parquet(out).count() == len(TINY_FILES) + 1
-    assert spark.read.parquet(out).where(F.col("path") == "/static/A.txt").count() >= 1
+    more = spark.createDataFrame([("/static/A.txt", "other"), ("/static/A.txt/", "other"), ("/static/new", "n")],
+                                 "path string, contents string")
+    C.append_files(more, out)
+    C.append_files(more, out)
+    rows = {r.path: r.contents for r in spark.read.parquet(out).collect()}
+    assert len(rows) == spark.read.parquet(out).count() == len(TINY_FILES) + 1
+    assert rows["/static/A.txt"] == "11111" and rows["/static/new"] == "n"
+
+
+def test_rows_without_an_own_seq_are_rejected(spark):
+    b = spark.createDataFrame([(1, "/static/a", "x"), (1, "/static/b", "y"), (None, "/static/c", "z"),
+                               (None, None, None), (2, "/static/a", "v"), (3, "/static/a/", "w")],
+                              "seq bigint, path string, contents string")
+    empty = spark.createDataFrame([], "path string, contents string")
+    got = sorted((str(r.seq), str(r.path), r.verdict) for r in C.classify_inserts(empty, b).collect())
+    assert got == [("1", "/static/a", "repeated_seq"), ("1", "/static/b", "repeated_seq"), ("2", "/static/a", "accepted"),
+                   ("3", "/static/a/", "duplicate"), ("None", "/static/c", "no_seq"), ("None", "None", "no_seq")]
+    acc, rej = C.add_files(empty, b)
+    assert acc.count() == 1 and rej.count() == 5
+
+
+def test_one_node_per_name(spark):
+    f = spark.createDataFrame([("/static/a", "2"), ("/static/a/", "0"), ("/static/a", "1")], "path string, contents string")
+    assert [tuple(r) for r in C.file_nodes(f).collect()] == [("/static/a", "1")]
+    assert C.list_children(f).count() == 1
+
+
+def test_path_before_a_line_break(spark):
+    df = spark.createDataFrame([("/static/a/\n",), ("/static/a/ ",)], "path string")
+    got = [r.c for r in df.select(P.path_components("path").alias("c")).collect()]
+    assert got == [["static", "a", "\n"], ["static", "a", " "]]
+
+
+def test_keys_equal_canonical_components(spark):
+    rnd = random.Random(3)
+    paths = [None, "", "/", "//", "/static", "/static/", "a/b"] + [
+        "/" + "".join(rnd.choice("ab//") for _ in range(rnd.randint(0, 9))) for _ in range(300)]
+    df = spark.createDataFrame([(p,) for p in paths], "path string")
+    c = P.path_components("path")
+    k = F.col("k")
+    out = df.select(c.alias("c"), P.path_canonical(c).alias("want"), P.path_key("path").alias("k"))
+    for r in out.select("*", P.key_depth(k).alias("d"), P.key_parent(k).alias("up"), P.key_name(k).alias("name")).collect():
+        assert r.k == r.want
+        if r.c:
+            assert r.d == len(r.c) and r.name == r.c[-1] and r.up == "".join("/" + x for x in r.c[:-1])

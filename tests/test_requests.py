@@ -74,30 +74,59 @@ def test_stream_equals_batch(spark):
 def test_completed_counts(spark):
     served = R.serve(views.requests(spark, SF), views.files(spark, SF))
     counts = R.completed_requests(served)
-    total = counts.where(F.col("window_start").isNull()).first()["n"]
+    total = counts.where("level = 3").first()["n"]
     assert total == served.count()
-    closed = completed_available(spark, SF)
-    # every closed window agrees with the batch count of the same window
-    per = counts.where(F.col("window_start").isNotNull() & F.col("driver").isNotNull())
-    j = closed.select("window_start", "driver", F.col("n").alias("sn")).join(per, ["window_start", "driver"])
-    assert j.count() == closed.count() and j.where("sn <> n").count() == 0
-    assert closed.count() <= per.count()
+    per = sorted(map(tuple, counts.where("level = 0").drop("level").collect()), key=str)
+    for files in (None, 1):
+        streamed = completed_available(spark, SF, files)
+        assert sorted(map(tuple, streamed.select("window_start", "driver", "n").collect()), key=str) == per
+
+
+def test_counts_do_not_depend_on_the_batches(spark, tmp_path):
+    """A feed of many files, read one at a time, newest first."""
+    feed = spark.read.parquet(f"{SF}/events.parquet").withColumn("user_id", F.when(F.col("event_id") % 5 > 0, F.col("user_id")))
+    for k in (3, 1, 0, 2):
+        feed.where(F.col("event_id") % 4 == k).coalesce(1).write.parquet(str(tmp_path / f"part{k}"))
+        (next((tmp_path / f"part{k}").glob("*.parquet"))).rename(tmp_path / f"events{k}.parquet")
+    spark.read.parquet(f"{SF}/documents.parquet").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    streamed = completed_available(spark, str(tmp_path), 1)
+    served = R.serve(views.request_lines(feed), views.files(spark, SF))
+    batch = R.completed_requests(served).where("level = 0").drop("level")
+    assert sorted(map(tuple, streamed.select("window_start", "driver", "n").collect()), key=str) == sorted(
+        map(tuple, batch.collect()), key=str)
+
+
+def test_totals_are_told_from_a_missing_driver(spark):
+    import datetime
+    ts = datetime.datetime(2024, 1, 1)
+    resp = spark.createDataFrame([(ts, None), (ts, 1), (ts, 1)], "ts timestamp_ntz, driver bigint")
+    got = sorted(((r.driver, r.n, r.level) for r in R.completed_requests(resp).collect()), key=str)
+    assert got == sorted([(None, 1, 0), (1, 2, 0), (None, 3, 1), (None, 3, 3)], key=str)
+
+
+def test_one_answer_per_request(spark):
+    files = spark.createDataFrame([("/static/a", "second"), ("/static/a/", "third"), ("/static/a", "first")],
+                                  "path string, contents string")
+    req = spark.createDataFrame([(1, "GET /static/a HTTP/1.1", 1, None), (2, "GET /static/a/ x", 1, None)],
+                                "request_id bigint, line string, driver bigint, ts timestamp_ntz")
+    assert sorted((r.request_id, r.body) for r in R.serve(req, files).collect()) == [(1, "first"), (2, "first")]
 
 
 def test_stream_with_bucketed_catalog(spark, capsys):
     from trellis.session import shared_dir
     from trellis.streaming.serve import prepare_catalog, request_stream, serve_stream
     files = views.files(spark, SF)
-    keyed = prepare_catalog(files, broadcast_rows=0)  # force the bucketed table
+    catalog = prepare_catalog(files, broadcast_rows=0)  # force the bucketed table
     out = shared_dir(spark, "test-serve-out")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the catalog were large
     try:
         q = serve_stream(request_stream(spark, SF), files, out, shared_dir(spark, "test-serve-ckpt"),
-                         available_now=True, keyed=keyed)
+                         available_now=True, keyed=catalog.table)
         q.awaitTermination()
         q.explain()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        catalog.release()
     plan = capsys.readouterr().out
     # the catalog is read from its buckets; only the micro-batch is exchanged
     final = plan.split("== Initial Plan ==")[0]

@@ -16,4 +16,4 @@ def row_chunk(nrows: int, size: int) -> int:
 def row_block(i: Column | str, nrows: int, size: int) -> Column:
     """M10 as a column: the block that row ``i`` belongs to."""
     i = F.col(i) if isinstance(i, str) else i
-    return F.floor(i / F.lit(max(row_chunk(nrows, size), 1))).cast("bigint")
+    return F.call_function("div", i.cast("bigint"), F.lit(max(row_chunk(nrows, size), 1)).cast("bigint"))

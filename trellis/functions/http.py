@@ -22,7 +22,7 @@ def method_ok(line) -> Column:
 def request_path(line) -> Column:
     """Second item of the line split on single spaces (trailing empty
     items dropped, so ``"GET "`` has no path; two spaces give ``""``)."""
-    trimmed = F.regexp_replace(_c(line), " +$", "")
+    trimmed = F.rtrim(_c(line), F.lit(" "))
     return F.get(F.split(trimmed, " "), 1)
 
 

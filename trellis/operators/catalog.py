@@ -6,6 +6,9 @@ paths, and every lookup is an equi-join on canonical path keys (see
 ``trellis.functions.paths``).  Hot folders are handled by map-side partial
 aggregation (``distinct`` / ``min`` on exploded prefixes) and by AQE's
 skew-join splitting; no group is ever collected.
+
+A tree has one node per name: where several catalog rows name the same file,
+the row with the smallest path, then the smallest contents, stands for it.
 """
 
 from __future__ import annotations
@@ -15,123 +18,123 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trellis.session import ensure_checkpoint_dir
-from trellis.functions.paths import (ROOT_NAME, is_absolute, parent_key, path_canonical,
-                                     path_components, path_prefix_key, strict_prefix_lengths,
-                                     under_root)
+from trellis.functions.paths import (ROOT_NAME, is_absolute, key_depth, key_name, key_parent, key_prefix,
+                                     key_prefix_lengths, key_under_root, path_key)
 
 ROOT_KEY = "/" + ROOT_NAME
 
-REASONS = ("not_absolute", "wrong_root", "root_only", "duplicate", "is_folder", "parent_is_file")
+REASONS = ("no_seq", "repeated_seq", "not_absolute", "wrong_root", "root_only", "duplicate", "is_folder",
+           "parent_is_file")
+
+
+def _named(files: DataFrame, *columns) -> DataFrame:
+    """``key`` and ``columns`` of every valid catalog row (repeats included)."""
+    return files.select(path_key("path").alias("key"), *columns).where(F.col("key").startswith(ROOT_KEY + "/"))
+
+
+def file_keys(files: DataFrame) -> DataFrame:
+    """``key`` of every file, each once; reads no contents."""
+    return _named(files).distinct()
 
 
 def file_nodes(files: DataFrame) -> DataFrame:
-    """``(key, comps, depth, contents)`` for every valid file of a catalog."""
-    comps = path_components("path")
-    return (files.select(comps.alias("comps"), "contents")
-            .where(under_root("comps") & (F.size("comps") >= 2))
-            .select(path_canonical("comps").alias("key"), "comps",
-                    F.size("comps").alias("depth"), "contents"))
+    """``(key, contents)``: one row per file of a catalog.  A hot name is
+    combined map-side."""
+    return (_named(files, "path", "contents").groupBy("key")
+            .agg(F.min(F.struct("path", "contents")).alias("first"))
+            .select("key", F.col("first.contents").alias("contents")))
 
 
 def folder_tree(files: DataFrame) -> DataFrame:
     """F8: ``(folder, depth)`` for every folder implied by a file, each once;
     the root is always present."""
-    nodes = file_nodes(files).select("comps")
-    folders = nodes.select(F.explode(strict_prefix_lengths("comps")).alias("n"), "comps").select(
-        path_prefix_key("comps", F.col("n")).alias("folder"), F.col("n").alias("depth"))
+    folders = (_named(files).select(F.explode(key_prefix_lengths("key")).alias("depth"), "key")
+               .select(key_prefix("key", F.col("depth")).alias("folder"), "depth"))
     root = files.sparkSession.createDataFrame([(ROOT_KEY, 1)], "folder string, depth int")
     return folders.unionByName(root).distinct()
 
 
 def list_children(files: DataFrame) -> DataFrame:
     """``(parent, name, kind)``: direct children of each folder."""
-    nodes = file_nodes(files)
-    file_rows = nodes.select(parent_key("comps").alias("parent"),
-                             F.element_at("comps", -1).alias("name"), F.lit("file").alias("kind"))
-    sub = (nodes.select(F.explode(strict_prefix_lengths("comps", 2)).alias("n"), "comps")
-           .select(path_prefix_key("comps", F.col("n") - 1).alias("parent"),
-                   F.get("comps", F.col("n") - 1).alias("name"), F.lit("folder").alias("kind")))
+    keys = _named(files)
+    file_rows = keys.select(key_parent("key").alias("parent"), key_name("key").alias("name"), F.lit("file").alias("kind"))
+    sub = (keys.select(F.explode(key_prefix_lengths("key", 2)).alias("n"), "key")
+           .select(key_prefix("key", F.col("n") - 1).alias("parent"),
+                   key_name(key_prefix("key", F.col("n"))).alias("name"), F.lit("folder").alias("kind")))
     return file_rows.unionByName(sub).distinct()
 
 
 def has_child(children: DataFrame, probe: DataFrame) -> DataFrame:
     """for each probe ``(parent, name)`` (parent given as a path), whether
     the folder holds a child of that name."""
-    pk = path_canonical(path_components("parent"))
-    keyed = probe.select("parent", "name", pk.alias("_pk"))
-    hits = children.select(F.col("parent").alias("_pk"), "name").distinct().withColumn("_hit", F.lit(True))
+    keyed = probe.select("parent", "name", path_key("parent").alias("_pk"))
+    hits = (children.select(F.col("parent").alias("_pk"), "name").distinct()
+            .withColumn("_hit", F.lit(True)))
     return (keyed.join(hits, ["_pk", "name"], "left")
             .select("parent", "name", F.coalesce("_hit", F.lit(False)).alias("found")))
 
 
 def keyed_files(files: DataFrame) -> DataFrame:
-    """``(_key, contents)``: the lookup side of F11."""
+    """``(_key, contents)``: the lookup side of F11, unique on ``_key``."""
     return file_nodes(files).select(F.col("key").alias("_key"), "contents")
 
 
 def read_files(files: DataFrame, wanted: DataFrame, path_col: str = "path",
                keyed: DataFrame | None = None) -> DataFrame:
-    """every wanted row plus ``contents``; NULL when the path is missing,
-    a folder, below a file, outside the root or not absolute.
+    """every wanted row, once, plus ``contents``; NULL when the path is
+    missing, a folder, below a file, outside the root or not absolute.
 
     ``keyed`` may hold a prepared lookup side (``keyed_files`` output, e.g.
     broadcast or bucketed on ``_key``), which is then used instead of
     ``files``.
     """
     nodes = keyed if keyed is not None else keyed_files(files)
-    w = wanted.withColumn("_key", path_canonical(path_components(path_col)))
-    return w.join(nodes, "_key", "left").drop("_key")
+    return wanted.withColumn("_key", path_key(path_col)).join(nodes, "_key", "left").drop("_key")
 
 
 def node_kinds(files: DataFrame) -> DataFrame:
     """``(key, is_file, is_folder)`` for every tree node, from one pass over
     the catalog: each file yields its own key and every strict prefix."""
-    nodes = file_nodes(files).select("comps")
-    own = F.struct(path_canonical("comps").alias("key"), F.lit(True).alias("f"))
-    prefixes = F.transform(strict_prefix_lengths("comps"),
-                           lambda n: F.struct(path_prefix_key("comps", n).alias("key"),
-                                              F.lit(False).alias("f")))
-    rows = nodes.select(F.explode(F.concat(F.array(own), prefixes)).alias("x")).select("x.*")
-    return (rows.groupBy("key").agg(F.max(F.col("f").cast("int")).cast("boolean").alias("is_file"),
-                                    F.max((~F.col("f")).cast("int")).cast("boolean").alias("is_folder")))
+    lengths = F.concat(key_prefix_lengths("key"), F.array(key_depth("key")))
+    rows = (_named(files).select("key", key_depth("key").alias("depth"), F.explode(lengths).alias("n"))
+            .select(key_prefix("key", F.col("n")).alias("key"), (F.col("n") == F.col("depth")).cast("int").alias("f")))
+    return (rows.groupBy("key").agg((F.max("f") == 1).alias("is_file"), (F.min("f") == 0).alias("is_folder")))
 
 
 def path_kind(files: DataFrame, wanted: DataFrame, path_col: str = "path") -> DataFrame:
     """every wanted row plus ``kind``: ``file``, ``folder``, ``below_file``,
     ``missing``, ``outside_root`` (or ``not_absolute``).
 
-    The catalog is read once into per-key node flags; the kind is computed
-    once per distinct wanted key (partial aggregation) and joined back, so
-    a hot path costs one row of work.
+    Each distinct wanted key below the root is exploded into itself and its
+    strict prefixes, which meet the node flags in one join; the flags found
+    are combined per key and joined back, so a hot path costs one row of work.
     """
-    kinds_of = node_kinds(files)
-    comps = path_components(path_col)
-    keyed = wanted.withColumn("_comps", comps).withColumn("_key", path_canonical("_comps"))
-    distinct_keys = keyed.where(under_root("_comps")).select("_key", "_comps").distinct()
-    below = (distinct_keys.select("_key", F.explode(strict_prefix_lengths("_comps", 2)).alias("n"),
-                                  "_comps")
-             .select("_key", path_prefix_key("_comps", F.col("n")).alias("_pre"))
-             .join(kinds_of.where("is_file").select(F.col("key").alias("_pre")), "_pre", "left_semi")
-             .select("_key").distinct().withColumn("_below", F.lit(True)))
-    flags = (distinct_keys.select("_key")
-             .join(kinds_of.select(F.col("key").alias("_key"), "is_file", "is_folder"), "_key", "left")
-             .join(below, "_key", "left"))
-    root = F.col("_key") == F.lit(ROOT_KEY)
-    kind = (F.when(F.col("is_file"), "file").when(F.col("is_folder") | root, "folder")
-            .when(F.col("_below"), "below_file").otherwise("missing"))
-    kinds = flags.select("_key", kind.alias("_kind"))
-    out = keyed.join(kinds, "_key", "left")
-    final = (F.when(~is_absolute(path_col), "not_absolute")
-             .when(~under_root("_comps"), "outside_root")
+    keyed = wanted.withColumn("_key", path_key(path_col))
+    keys = keyed.where(key_under_root("_key")).select("_key").distinct()
+    lengths = F.concat(key_prefix_lengths("_key", 2), F.array(key_depth("_key")))
+    steps = (keys.select("_key", key_depth("_key").alias("depth"), F.explode(lengths).alias("n"))
+             .select("_key", key_prefix("_key", F.col("n")).alias("key"), (F.col("n") == F.col("depth")).alias("own")))
+    found = steps.join(node_kinds(files), "key", "left")
+    own = F.col("own")
+    kinds = (found.groupBy("_key").agg(
+        F.max(own & F.coalesce("is_file", F.lit(False))).alias("file"),
+        F.max(own & F.coalesce("is_folder", F.lit(False))).alias("folder"),
+        F.max(~own & F.coalesce("is_file", F.lit(False))).alias("below"))
+        .select("_key", F.when(F.col("file"), "file").when(F.col("folder") | (F.col("_key") == ROOT_KEY), "folder")
+                .when(F.col("below"), "below_file").otherwise("missing").alias("_kind")))
+    final = (F.when(~is_absolute(path_col), "not_absolute").when(~key_under_root("_key"), "outside_root")
              .otherwise(F.col("_kind")))
-    return out.select(*wanted.columns, final.alias("kind"))
+    return keyed.join(kinds, "_key", "left").select(*wanted.columns, final.alias("kind"))
 
 
 def classify_inserts(catalog: DataFrame, batch: DataFrame) -> DataFrame:
     """F7 verdicts: every batch row ``(seq, path, contents)`` plus ``verdict``
     (``accepted`` or one of ``REASONS``).
 
-    Inserts apply in ``seq`` order after the existing catalog, insert-only.
+    A row without a ``seq`` has no place in the order and rows that share one
+    have no order among themselves: both are rejected (``no_seq``,
+    ``repeated_seq``).  The others are not negative and apply in ``seq`` order
+    after the existing catalog, insert-only.
     A valid row P is rejected when (c) an earlier row A is a strict ancestor
     of P and no row before A lies under A (``parent_is_file``); otherwise
     when an earlier row equals P or lies under P, the first such row decides
@@ -142,19 +145,19 @@ def classify_inserts(catalog: DataFrame, batch: DataFrame) -> DataFrame:
     and the intermediate tables released; the returned frame joins them back
     to the batch lazily.
     """
-    comps = path_components("path")
     pre = (F.when(~is_absolute("path"), "not_absolute")
-           .when(~under_root("comps"), "wrong_root")
-           .when(F.size("comps") < 2, "root_only"))
-    # normalised once, reused by every join and aggregate below
-    b = (batch.select(F.col("seq").cast("bigint").alias("seq"), "path", comps.alias("comps"))
+           .when(~key_under_root("key"), "wrong_root")
+           .when(key_depth("key") < 2, "root_only"))
+    # only rows that a seq names are judged; normalised once, reused below
+    named = batch.where(F.col("seq").isNotNull()).select(F.col("seq").cast("bigint").alias("seq"), "path")
+    single = named.groupBy("seq").agg(F.count("*").alias("n"), F.min("path").alias("path")).where("n = 1")
+    b = (single.select("seq", "path", path_key("path").alias("key"))
          .withColumn("pre", pre).persist(StorageLevel.MEMORY_AND_DISK))
-    cat = file_nodes(catalog).select(F.lit(-1).cast("bigint").alias("seq"), "key", "comps")
-    valid_batch = b.where(F.col("pre").isNull()).select(
-        "seq", path_canonical("comps").alias("key"), "comps")
+    cat = _named(catalog).select(F.lit(-1).cast("bigint").alias("seq"), "key").distinct()
+    valid_batch = b.where(F.col("pre").isNull()).select("seq", "key")
     rows = cat.unionByName(valid_batch).persist(StorageLevel.MEMORY_AND_DISK)
-    anc = (rows.select("seq", "key", F.explode(strict_prefix_lengths("comps", 2)).alias("n"), "comps")
-           .select("seq", "key", path_prefix_key("comps", F.col("n")).alias("pkey"))
+    anc = (rows.select("seq", "key", F.explode(key_prefix_lengths("key", 2)).alias("n"))
+           .select("seq", "key", key_prefix("key", F.col("n")).alias("pkey"))
            .persist(StorageLevel.MEMORY_AND_DISK))
     min_under = anc.groupBy(F.col("pkey").alias("key")).agg(F.min("seq").alias("min_under"))
     min_same = rows.groupBy("key").agg(F.min("seq").alias("min_same"))
@@ -181,11 +184,13 @@ def classify_inserts(catalog: DataFrame, batch: DataFrame) -> DataFrame:
     verdicts = verdicts.checkpoint(eager=True)
     for cached in (anc, rows, b):
         cached.unpersist()
-    return batch.join(verdicts, "seq").select("seq", "path", "contents", "verdict")
+    verdict = (F.when(F.col("seq").isNull(), "no_seq")
+               .otherwise(F.coalesce("verdict", F.lit("repeated_seq"))))
+    return batch.join(verdicts, "seq", "left").select("seq", "path", "contents", verdict.alias("verdict"))
 
 
 def add_files(catalog: DataFrame, batch: DataFrame) -> tuple:
-    """``(accepted, rejected)``; ``batch`` has unique ``seq`` values.
+    """``(accepted, rejected)``.
 
     ``accepted(path, contents)`` is what an insert-only sink appends (see
     ``append_files``); ``rejected(seq, path, reason)`` is a dead-letter table.
@@ -198,5 +203,15 @@ def add_files(catalog: DataFrame, batch: DataFrame) -> tuple:
 
 
 def append_files(accepted: DataFrame, table_path: str) -> None:
-    """F7 sink: append accepted files to a parquet catalog; never overwrites."""
+    """F7 sink: append accepted files to a parquet catalog; never overwrites.
+
+    Rows whose node the table already holds are left out (keys only are
+    compared), so appending the same files again changes nothing.
+    """
+    spark = accepted.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(table_path)
+    if target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+        held = file_keys(spark.read.parquet(table_path)).select(F.col("key").alias("_key"))
+        accepted = (accepted.withColumn("_key", path_key("path"))
+                    .join(held, "_key", "left_anti").drop("_key"))
     accepted.write.mode("append").parquet(table_path)

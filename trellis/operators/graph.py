@@ -47,6 +47,16 @@ def links_to_adjacency(nodes: DataFrame, links: DataFrame, sort_edges: bool = Tr
             .select("id", F.coalesce(F.col("edges").cast("array<bigint>"), empty).alias("edges")))
 
 
+def links_to_adjacency_chunks(links: DataFrame, chunk: int = 100_000) -> DataFrame:
+    """G2 for graphs with hubs: ``(id, part, edges)``, a site's targets spread by
+    hash over as many parts as keep each near ``chunk`` links, so no row and
+    no group grows with a hub (parallel links to one target share a part)."""
+    deg = links.groupBy(F.col("src").alias("id")).agg(F.ceil(F.count(F.lit(1)) / F.lit(chunk)).cast("int").alias("parts"))
+    dealt = (links.select(F.col("src").alias("id"), "dst").join(deg, "id")
+             .withColumn("part", F.pmod(F.xxhash64("dst"), F.col("parts")).cast("int")))
+    return dealt.groupBy("id", "part").agg(F.array_sort(F.collect_list("dst")).alias("edges"))
+
+
 def out_degree(sites: DataFrame) -> DataFrame:
     """G3 on the array form: number of out-links, parallel links counted."""
     return sites.select("id", F.size("edges").cast("bigint").alias("n_out"))
@@ -84,19 +94,32 @@ def contribution_sum(contribs: DataFrame) -> DataFrame:
     return contribs.groupBy("id").agg(F.sum("c").alias("x"))
 
 
+def pagerank_step_links(links: DataFrame, ranks: DataFrame, keep_unlinked: bool = False) -> DataFrame:
+    """G8 (``keep_unlinked`` False) or G9 on the link form: parallel links are
+    combined map-side first, the degree is an aggregate of the links, and no
+    site's list is ever one row."""
+    edges = links.select("src", "dst").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("mult"))
+    deg = edges.groupBy("src").agg(F.sum("mult").alias("n_out"))
+    shares = (ranks.withColumnRenamed("id", "src").join(deg, "src")
+              .select("src", (F.col("rank") / F.col("n_out")).alias("share")))
+    summed = (edges.join(shares, "src").groupBy(F.col("dst").alias("id"))
+              .agg(F.sum(F.col("share") * F.col("mult")).alias("x")))
+    if keep_unlinked:
+        return (ranks.select("id").join(summed, "id", "left")
+                .select("id", damp(F.coalesce("x", F.lit(0.0))).alias("rank")))
+    return summed.select("id", damp("x").alias("rank"))
+
+
 def pagerank_step(sites: DataFrame, ranks: DataFrame) -> DataFrame:
     """One update.  Only targets with at least one in-link from a ranked
     site appear in the result; a target absent from ``sites`` does appear."""
-    summed = contribution_sum(rank_contributions(site_rank_join(sites, ranks)))
-    return summed.select("id", damp("x").alias("rank"))
+    return pagerank_step_links(adjacency_to_links(sites), ranks)
 
 
 def pagerank_step_all_sites(sites: DataFrame, ranks: DataFrame) -> DataFrame:
     """Sequential variant; every id of ``ranks`` gets a rank, 0.15 when
     nothing links to it."""
-    summed = contribution_sum(rank_contributions(site_rank_join(sites, ranks)))
-    return (ranks.select("id").join(summed, "id", "left")
-            .select("id", damp(F.coalesce("x", F.lit(0.0))).alias("rank")))
+    return pagerank_step_links(adjacency_to_links(sites), ranks, keep_unlinked=True)
 
 
 # ---------------------------------------------------------------- checks on results

@@ -7,27 +7,36 @@
   cells.
 
 Products: ``matmul_cells`` (join on k + aggregate, for sparse inputs),
-``matmul_broadcast`` (small right side shipped whole, local GEMM per row
-block) and ``matmul_blocked`` (both sides large).  ``trellis.plans.matmul``
-chooses among them from size checks.
+``matmul_broadcast`` (small right side shipped whole, local GEMM per slice of
+rows) and ``matmul_blocked`` (both sides large).  All return the same cells:
+those with at least one matching k.  ``trellis.plans.matmul`` chooses among
+them from sizes.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from trellis.functions.blocks import row_chunk
-from trellis.plans.sizing import at_most
+
+# Doubles that a task holds of a product or of dense rows at a time (32 MB).
+SLICE_CELLS = 4_000_000
 
 
 class ShapeError(ValueError):
     """Operand shapes do not fit the operation."""
 
 
+def _div(x, n: int) -> Column:
+    """Integer division in 64-bit integers (exact, unlike floor of a double)."""
+    x = F.col(x) if isinstance(x, str) else x
+    return F.call_function("div", x.cast("bigint"), F.lit(int(n)).cast("bigint"))
+
+
 # ---------------------------------------------------------------- conversions
 
 def matrix_from_flat(df: DataFrame, array_col: str, ncols: int, keys: tuple = ()) -> DataFrame:
@@ -36,20 +45,46 @@ def matrix_from_flat(df: DataFrame, array_col: str, ncols: int, keys: tuple = ()
         raise ShapeError("ncols must be positive")
     exploded = df.select(*keys, F.posexplode(array_col).alias("pos", "v"))
     pos = F.col("pos").cast("bigint")
-    return exploded.select(*keys, F.floor(pos / F.lit(ncols)).cast("bigint").alias("i"),
+    return exploded.select(*keys, _div(pos, ncols).alias("i"),
                            (pos % F.lit(ncols)).alias("j"), F.col("v").cast("double").alias("v"))
 
 
+def _row_lists(m: DataFrame) -> DataFrame:
+    """``(i, js, vs)``: the stored cells of each row, at most the matrix width."""
+    cells = m.groupBy("i").agg(F.collect_list(F.struct("j", F.col("v").cast("double").alias("v"))).alias("c"))
+    return cells.select("i", F.col("c.j").alias("js"), F.col("c.v").alias("vs"))
+
+
+def _row_slices(batches, width: int):
+    """Arrow batches of ``_row_lists`` in slices of at most SLICE_CELLS dense
+    cells: row numbers, and for every stored cell its row in the slice, its
+    column and its value."""
+    step = max(1, SLICE_CELLS // max(1, width))
+    for batch in batches:
+        for a in range(0, batch.num_rows, step):
+            part = batch.slice(a, step)
+            js, vs = part.column(1), part.column(2)
+            n = js.value_lengths().to_numpy(zero_copy_only=False)
+            yield (part.column(0).to_numpy(), np.repeat(np.arange(len(n)), n),
+                   js.flatten().to_numpy(zero_copy_only=False), vs.flatten().to_numpy(zero_copy_only=False))
+
+
 def matrix_to_rows(m: DataFrame, ncols: int) -> DataFrame:
     """M2: one dense array per row (absent cells 0.0) with its flat offset ``i * ncols``.
 
-    A row group holds at most ``ncols`` cells, so the collected map is bounded
-    by the matrix width.
+    A row group holds at most ``ncols`` cells; they are scattered into the
+    dense row in time linear in its width, a slice of rows at a time.
     """
-    byrow = m.groupBy("i").agg(F.map_from_entries(F.collect_list(F.struct("j", "v"))).alias("m"))
-    row = F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(ncols - 1).cast("bigint")),
-                      lambda j: F.coalesce(F.try_element_at(F.col("m"), j), F.lit(0.0)))
-    return byrow.select("i", (F.col("i") * F.lit(ncols)).alias("row_offset"), row.alias("row"))
+    def run(batches):
+        for i, r, j, v in _row_slices(batches, ncols):
+            dense = np.zeros((len(i), ncols))
+            dense[r, j] = v
+            flat = pa.ListArray.from_arrays(pa.array(np.arange(0, dense.size + 1, ncols, dtype=np.int32)),
+                                            pa.array(dense.ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(i * ncols), flat], ["i", "row_offset", "row"])
+
+    return (_row_lists(m).select(F.col("i").cast("bigint").alias("i"), "js", "vs")
+            .mapInArrow(run, "i bigint, row_offset bigint, row array<double>"))
 
 
 def rows_to_cells(rows: DataFrame) -> DataFrame:
@@ -162,40 +197,39 @@ def row_blocks(spark: SparkSession, nrows: int, ncols: int, size: int) -> DataFr
         (start * F.lit(ncols)).alias("elem_offset"), (n_rows * F.lit(ncols)).alias("n_elems"))
 
 
-def _rows_times_matrix(b_np: np.ndarray, ncols_a: int):
-    """mapInPandas body: stack a batch of dense rows, one GEMM, rows out."""
-    def run(batches):
-        bm = b_np.value if hasattr(b_np, "value") else b_np
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            a = np.vstack(pdf["row"].to_numpy()) if len(pdf) else np.zeros((0, ncols_a))
-            c = a @ bm
-            yield pd.DataFrame({"i": pdf["i"].to_numpy(), "row": list(c)})
-    return run
-
-
-def matmul_broadcast(a_rows: DataFrame, b: DataFrame, shape_b: tuple, num_blocks: int | None = None,
-                     max_cells: int = 32_000_000) -> DataFrame:
-    """``a`` in row form split into contiguous row blocks; ``b`` (cells)
-    shipped whole to every task as a broadcast array; one GEMM per batch.
+def matmul_broadcast(a: DataFrame, b: DataFrame, shape_b: tuple, max_cells: int = SLICE_CELLS) -> DataFrame:
+    """Rows of ``a`` times a small ``b`` that every task holds whole.
 
-    ``b`` is broadcast only after a check that it holds at most ``max_cells``
-    stored cells and its dense shape fits the same bound.
+    ``b`` is shipped only where its dense shape has at most ``max_cells``
+    cells (a proven bound); a larger one goes through ``matmul_blocked``,
+    which returns the same cells.  The rows of ``a`` are grouped by the
+    shuffle, so the number of tasks follows the data; a task multiplies a
+    slice of rows of bounded size at a time.  As in ``matmul_cells`` only
+    cells with a matching k are returned.
     """
     nrows_b, ncols_b = shape_b
-    if nrows_b * ncols_b > max_cells or not at_most(b, max_cells):
-        raise ShapeError("right operand too large to broadcast; use matmul_blocked")
-    spark = a_rows.sparkSession
-    dense = np.zeros((nrows_b, ncols_b), dtype=np.float64)
-    cells = b.select("i", "j", "v").toPandas()  # Arrow transfer of a size-checked side
-    np.add.at(dense, (cells["i"].to_numpy(), cells["j"].to_numpy()), cells["v"].to_numpy())
-    bc = spark.sparkContext.broadcast(dense)
-    if num_blocks:
-        a_rows = a_rows.repartitionByRange(num_blocks, "i")
-    schema = T.StructType([T.StructField("i", T.LongType()),
-                           T.StructField("row", T.ArrayType(T.DoubleType()))])
-    return a_rows.select("i", "row").mapInPandas(_rows_times_matrix(bc, nrows_b), schema)
+    if nrows_b * ncols_b > max_cells:
+        return matmul_blocked(a, b)
+    cells = b.select("i", "j", F.col("v").cast("double").alias("v")).toArrow()
+    value = np.zeros((nrows_b, ncols_b))
+    held = np.zeros((nrows_b, ncols_b), np.float32)
+    at = (cells["i"].to_numpy(), cells["j"].to_numpy())
+    np.add.at(value, at, cells["v"].to_numpy())
+    held[at] = 1
+    shared = a.sparkSession.sparkContext.broadcast((value, held))
+
+    def run(batches):
+        bv, bh = shared.value
+        for i, r, j, v in _row_slices(batches, max(bv.shape)):
+            av, ah = np.zeros((len(i), len(bv))), np.zeros((len(i), len(bv)), np.float32)
+            np.add.at(av, (r, j), v)
+            ah[r, j] = 1
+            rr, cc = np.nonzero(ah @ bh)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(i[rr]), pa.array(cc.astype(np.int64)), pa.array((av @ bv)[rr, cc])], ["i", "j", "v"])
+
+    return (_row_lists(a).select(F.col("i").cast("bigint").alias("i"), "js", "vs")
+            .mapInArrow(run, "i bigint, j bigint, v double"))
 
 
 def to_blocks(m: DataFrame, rows_per_block: int, cols_per_block: int) -> DataFrame:
@@ -204,8 +238,7 @@ def to_blocks(m: DataFrame, rows_per_block: int, cols_per_block: int) -> DataFra
     most ``rows_per_block * cols_per_block`` cells."""
     cell = F.struct((F.col("i") % rows_per_block).alias("r"), (F.col("j") % cols_per_block).alias("c"),
                     F.col("v").cast("double").alias("v"))
-    grouped = (m.select(F.floor(F.col("i") / rows_per_block).cast("bigint").alias("bi"),
-                        F.floor(F.col("j") / cols_per_block).cast("bigint").alias("bj"), cell.alias("cell"))
+    grouped = (m.select(_div("i", rows_per_block).alias("bi"), _div("j", cols_per_block).alias("bj"), cell.alias("cell"))
                .groupBy("bi", "bj").agg(F.collect_list("cell").alias("cells")))
     return grouped.select("bi", "bj", F.col("cells.r").alias("r"), F.col("cells.c").alias("c"),
                           F.col("cells.v").alias("v"))
@@ -217,7 +250,12 @@ def _block_pair_product(rb: int, kb: int, cb: int):
     Pairs arrive sorted by right block within a partition, so consecutive
     pairs share it; the last densified right block is reused.  Match counts
     are small integers, exact in float32, so that product runs in float32.
+    Output is handed on as soon as a bounded number of cells is held.
     """
+    def frame(out):
+        i, j, v, n = (np.concatenate(x) for x in out)
+        return pd.DataFrame({"i": i, "j": j, "v": v, "n": n.astype(np.int64)})
+
     def dense(r, c, v, nr, nc):
         val = np.zeros((nr, nc))
         hit = np.zeros((nr, nc), dtype=np.float32)
@@ -227,8 +265,8 @@ def _block_pair_product(rb: int, kb: int, cb: int):
 
     def run(batches):
         last_key, last_b = None, None
+        out, size = ([], [], [], []), 0
         for pdf in batches:
-            out_i, out_j, out_v, out_n = [], [], [], []
             for row in pdf.itertuples(index=False):
                 key = (row.bk, row.bj)
                 if key != last_key:
@@ -239,14 +277,14 @@ def _block_pair_product(rb: int, kb: int, cb: int):
                 rr, cc = np.nonzero(n)
                 if len(rr) == 0:
                     continue
-                out_i.append(row.bi * rb + rr)
-                out_j.append(row.bj * cb + cc)
-                out_v.append((av @ bv)[rr, cc])
-                out_n.append(n[rr, cc])
-            if out_i:
-                yield pd.DataFrame({"i": np.concatenate(out_i), "j": np.concatenate(out_j),
-                                    "v": np.concatenate(out_v),
-                                    "n": np.concatenate(out_n).astype(np.int64)})
+                for x, y in zip(out, (row.bi * rb + rr, row.bj * cb + cc, (av @ bv)[rr, cc], n[rr, cc]), strict=True):
+                    x.append(y)
+                size += len(rr)
+                if size >= SLICE_CELLS // 4:
+                    yield frame(out)
+                    out, size = ([], [], [], []), 0
+        if size:
+            yield frame(out)
     return run
 
 
@@ -255,14 +293,15 @@ def matmul_blocked(a: DataFrame, b: DataFrame, rows_per_block: int = 256,
                    num_partitions: int | None = None) -> DataFrame:
     """Product for operands that do not fit in memory.
 
-    Both sides are cut into bounded blocks.  The block indexes (ids only)
-    are joined on the k block to list the block pairs that meet; the blocks
-    themselves are then attached to that list, hash-partitioned on
-    ``(bk, bj)`` so the work spreads over every (k block, column block) and
-    not only over the k blocks.  Each pair is multiplied by numpy inside
-    ``mapInPandas``, and the partial cells are summed with a partial + final
-    aggregate.  Match counts travel with the values so the result stores
-    exactly the cells ``matmul_cells`` stores.
+    Both sides are cut into bounded blocks, built once (checkpointed).  The
+    block indexes (ids only) are joined on the k block to list the block pairs
+    that meet.  Pairs are dealt out by ``(bk, bj)`` and a salt of the left block
+    row: where there are fewer right blocks than tasks, as for a tall left side
+    with a thin right side, each right block is replicated to several salts so
+    that the left rows still spread over the cluster.  Each pair is multiplied by
+    numpy inside ``mapInPandas``, and the partial cells are summed with a
+    partial + final aggregate.  Match counts travel with the values so the
+    result stores exactly the cells ``matmul_cells`` stores.
 
     Memory per task is bounded by the block sizes: a dense left block is
     ``rows_per_block * k_per_block`` doubles (8 MB at the defaults), and
@@ -270,12 +309,16 @@ def matmul_blocked(a: DataFrame, b: DataFrame, rows_per_block: int = 256,
     """
     n = num_partitions or int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ab = to_blocks(a, rows_per_block, k_per_block).select(
-        "bi", F.col("bj").alias("bk"), F.col("r").alias("ar"), F.col("c").alias("ac"), F.col("v").alias("av"))
+        "bi", F.col("bj").alias("bk"), F.col("r").alias("ar"), F.col("c").alias("ac"), F.col("v").alias("av")).checkpoint()
     bb = to_blocks(b, k_per_block, cols_per_block).select(
-        F.col("bi").alias("bk"), "bj", F.col("r").alias("br"), F.col("c").alias("bc"), F.col("v").alias("bv"))
+        F.col("bi").alias("bk"), "bj", F.col("r").alias("br"), F.col("c").alias("bc"), F.col("v").alias("bv")).checkpoint()
+    # each task should find about four (right block, salt) keys
+    salts = max(1, -(-4 * n // max(1, bb.count())))
+    salt = F.pmod(F.xxhash64("bi"), F.lit(salts)).cast("int")
     meets = ab.select("bi", "bk").join(bb.select("bk", "bj"), "bk")
-    with_a = meets.join(ab, ["bi", "bk"]).repartition(n, "bk", "bj")
-    pairs = (with_a.join(bb.repartition(n, "bk", "bj"), ["bk", "bj"])
+    left = meets.join(ab, ["bi", "bk"]).withColumn("salt", salt).repartition(n, "bk", "bj", "salt")
+    right = bb.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).repartition(n, "bk", "bj", "salt")
+    pairs = (left.join(right, ["bk", "bj", "salt"])
              .select("bi", "bk", "bj", "ar", "ac", "av", "br", "bc", "bv")
              .sortWithinPartitions("bk", "bj"))
     schema = "i long, j long, v double, n long"
@@ -285,6 +328,7 @@ def matmul_blocked(a: DataFrame, b: DataFrame, rows_per_block: int = 256,
 
 
 def gather_blocks(m: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """Cells placed in row order (range-partitioned on i, sorted within)."""
+    """Cells placed in row order (range-partitioned on (i, j), sorted
+    within), so a heavy row is spread over several tasks."""
     n = num_partitions or int(m.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return m.repartitionByRange(n, "i").sortWithinPartitions("i", "j")
+    return m.repartitionByRange(n, "i", "j").sortWithinPartitions("i", "j")

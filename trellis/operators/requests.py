@@ -42,7 +42,8 @@ def serve(req: DataFrame, files: DataFrame, keyed: DataFrame | None = None) -> D
     ``driver``) pass through.  ``keyed`` is an optional prepared lookup side
     (see ``read_files``).
     """
-    ok = accepted_requests(parse_requests(req)).drop("method_ok", "line")
+    parsed = parse_requests(req)
+    ok = accepted_requests(parsed).drop("method_ok", "line")
     served = read_files(files, ok, "path", keyed=keyed)
     status = F.when(F.col("contents").isNull(), F.lit(404)).otherwise(F.lit(200))
     return served.select(*[c for c in ok.columns], status.alias("status"),
@@ -57,10 +58,12 @@ def responses(served: DataFrame) -> DataFrame:
 
 def completed_requests(resp: DataFrame, window: str = "10 seconds") -> DataFrame:
     """R6 (batch): completed requests per window and driver, with per-window
-    and grand totals (``driver`` / ``window_start`` NULL) from a rollup."""
+    and grand totals from a rollup.  ``level`` tells them apart, also where a
+    driver is NULL: 0 for a window and driver, 1 for a window, 3 for all."""
     w = F.window("ts", window)
     keyed = resp.select(w.start.alias("window_start"), "driver")
-    return (keyed.rollup("window_start", "driver").agg(F.count(F.lit(1)).alias("n")))
+    return (keyed.rollup("window_start", "driver")
+            .agg(F.count(F.lit(1)).alias("n"), F.grouping_id().cast("int").alias("level")))
 
 
 def response_check(resp: DataFrame, expected: DataFrame) -> DataFrame:

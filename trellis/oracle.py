@@ -23,6 +23,10 @@ TRADE_LINKS = """trade_links AS (
   SELECT o_custkey AS src, 1000000000 + l_suppkey AS dst
   FROM orders JOIN lineitem ON l_orderkey = o_orderkey)"""
 
+TRADE_RING = """trade_ring AS (
+  SELECT src, dst FROM trade_links UNION ALL SELECT dst, src FROM trade_links)"""
+RING_DEG = """ring_deg AS (SELECT src, count(*) AS n_out FROM trade_ring GROUP BY src)"""
+
 TRADE_NODES = """trade_nodes AS (
   SELECT c_custkey AS id FROM customer
   UNION ALL SELECT 1000000000 + s_suppkey AS id FROM supplier)"""
@@ -59,6 +63,11 @@ EMB = """emb AS (
   FROM (SELECT vec_id, embedding, generate_subscripts(embedding, 1) AS pos FROM embeddings) e)"""
 
 
+EMB_POS = "pos AS (SELECT i, k, v FROM emb WHERE v > 0)"
+GRAM = """gram AS (
+  SELECT a.k AS i, b.k AS j, sum(a.v * b.v) AS v FROM emb a JOIN emb b ON a.i = b.i GROUP BY a.k, b.k)"""
+
+
 def start_rank_sql(id_col: str, seed: int = 42) -> str:
     return f"CAST(({mix_sql(id_col, '0', str(seed))}) % 1000000 AS DOUBLE) / 10000.0"
 
@@ -120,11 +129,11 @@ def graph_sql() -> dict:
         SELECT l.dst AS id, round(sum(r.rank / d.n_out), 9) AS x
         FROM part_links l JOIN part_deg d ON d.src = l.src JOIN part_r0 r ON r.id = l.src
         GROUP BY l.dst"""
-    q["damp"] = _with(TRADE_LINKS, TRADE_NODES, TRADE_DEG, TRADE_R0) + """
+    q["damp"] = _with(PART_R0) + "SELECT id, round(0.15 + 0.85 * rank, 9) AS rank FROM part_r0"
+    q["pagerank_step"] = _with(TRADE_LINKS, TRADE_NODES, TRADE_DEG, TRADE_R0) + """
         SELECT l.dst AS id, round(0.15 + 0.85 * sum(r.rank / d.n_out), 9) AS rank
         FROM trade_links l JOIN trade_deg d ON d.src = l.src JOIN trade_r0 r ON r.id = l.src
         GROUP BY l.dst"""
-    q["pagerank_step"] = q["damp"]
     q["pagerank_step_all_sites"] = _with(TRADE_LINKS, TRADE_NODES, TRADE_DEG, TRADE_R0) + """
         SELECT p.id, round(0.15 + 0.85 * coalesce(s.x, 0.0), 9) AS rank
         FROM trade_r0 p LEFT JOIN (
@@ -133,8 +142,8 @@ def graph_sql() -> dict:
           GROUP BY l.dst) s ON s.id = p.id"""
     ctes, last = _pagerank_sql(PART_LINKS, "part_links", PART_DEG, "part_deg", PART_R0, "part_r0", 5)
     q["pagerank"] = _with(*ctes) + f"SELECT id, round(rank, 9) AS rank FROM {last}"
-    ctes, last = _pagerank_sql(TRADE_LINKS, "trade_links", TRADE_DEG, "trade_deg", TRADE_R0,
-                               "trade_r0", 5, extra=(TRADE_NODES,))
+    ctes, last = _pagerank_sql(TRADE_RING, "trade_ring", RING_DEG, "ring_deg", TRADE_R0,
+                               "trade_r0", 5, extra=(TRADE_NODES, TRADE_LINKS))
     q["pagerank_trade"] = _with(*ctes) + f"SELECT id, round(rank, 9) AS rank FROM {last}"
     ctes, last = _pagerank_sql(TRADE_LINKS, "trade_links", TRADE_DEG, "trade_deg", TRADE_R0,
                                "trade_r0", 5, keep_unlinked=True, extra=(TRADE_NODES,))
@@ -209,20 +218,20 @@ def matrix_sql() -> dict:
           SELECT i, k AS j, v FROM supply
           UNION ALL SELECT l_suppkey, l_partkey, l_quantity FROM lineitem WHERE l_returnflag = 'R') t
         GROUP BY i, j"""
-    q["densify"] = _with(SUPPLY) + """,
-        shape AS (SELECT max(i) + 1 AS nr, max(k) + 1 AS nc FROM supply),
+    q["densify"] = _with(EMB, EMB_POS) + """,
+        shape AS (SELECT max(i) + 1 AS nr, max(k) + 1 AS nc FROM pos),
         grid AS (SELECT r // nc AS i, r % nc AS j FROM shape, range(0, nr * nc) t(r))
-        SELECT g.i, g.j, coalesce(s.v, 0.0) AS v FROM grid g LEFT JOIN supply s ON s.i = g.i AND s.k = g.j"""
+        SELECT g.i, g.j, coalesce(s.v, 0.0) AS v FROM grid g LEFT JOIN pos s ON s.i = g.i AND s.k = g.j"""
     q["matmul_cells"] = _with(SUPPLY, SUPPLY_T, PRODUCT) + "SELECT i, j, v FROM product"
     q["matmul_blocked"] = q["matmul_cells"]
     q["matmul"] = q["matmul_cells"]
-    q["matmul_dense"] = _with(SUPPLY, SUPPLY_T, PRODUCT) + """,
-        shape AS (SELECT max(i) + 1 AS n FROM supply),
-        grid AS (SELECT r // n AS i, r % n AS j FROM shape, range(0, n * n) t(r))
-        SELECT g.i, g.j, coalesce(p.v, 0.0) AS v FROM grid g LEFT JOIN product p ON p.i = g.i AND p.j = g.j"""
-    q["matmul_broadcast"] = _with(EMB) + """
-        SELECT a.i, b.i AS j, round(sum(a.v * b.v), 6) AS v
-        FROM emb a JOIN emb b ON a.k = b.k GROUP BY a.i, b.i"""
+    q["matmul_dense"] = _with(EMB, EMB_POS, GRAM) + """,
+        product AS (SELECT a.i, g.j, sum(a.v * g.v) AS v FROM pos a JOIN gram g ON a.k = g.i GROUP BY a.i, g.j),
+        shape AS (SELECT max(p.i) + 1 AS nr, (SELECT max(j) + 1 FROM gram) AS nc FROM pos p),
+        grid AS (SELECT r // nc AS i, r % nc AS j FROM shape, range(0, nr * nc) t(r))
+        SELECT g.i, g.j, round(coalesce(p.v, 0.0), 6) AS v FROM grid g LEFT JOIN product p ON p.i = g.i AND p.j = g.j"""
+    q["matmul_broadcast"] = _with(EMB, GRAM) + """
+        SELECT a.i, g.j, round(sum(a.v * g.v), 6) AS v FROM emb a JOIN gram g ON a.k = g.i GROUP BY a.i, g.j"""
     blocks = []
     for size in ("1", "7", "nrows + 3"):
         blocks.append(f"""
@@ -252,7 +261,7 @@ def matrix_sql() -> dict:
 
 def comps_sql(p: str) -> str:
     rest = f"substr({p}, 2)"
-    stripped = f"regexp_replace({rest}, '/+$', '')"
+    stripped = f"rtrim({rest}, '/')"
     return (f"(CASE WHEN {p} IS NULL OR NOT starts_with({p}, '/') THEN NULL "
             f"WHEN {rest} = '' THEN [''] "
             f"WHEN {stripped} = '' THEN []::VARCHAR[] "
@@ -268,15 +277,16 @@ def under_root_sql(c: str) -> str:
 
 
 def path_sql(line: str) -> str:
-    return f"string_split(regexp_replace({line}, ' +$', ''), ' ')[2]"
+    return f"string_split(rtrim({line}, ' '), ' ')[2]"
 
 
 RP = f"""rp AS (SELECT request_id, line, ts, driver, {path_sql('line')} AS path FROM requests)"""
 RPC = f"""rpc AS (SELECT *, {comps_sql('path')} AS comps FROM rp)"""
 FNODES = f"""fnodes AS (
-  SELECT {canon_sql('comps')} AS key, comps, len(comps) AS depth, contents
-  FROM (SELECT {comps_sql('path')} AS comps, contents FROM files) f
-  WHERE {under_root_sql('comps')} AND len(comps) >= 2)"""
+  SELECT key, any_value(comps) AS comps, any_value(len(comps)) AS depth,
+         first(contents ORDER BY path, contents NULLS FIRST) AS contents
+  FROM (SELECT {canon_sql('comps')} AS key, * FROM (SELECT {comps_sql('path')} AS comps, path, contents FROM files) f)
+  WHERE {under_root_sql('comps')} AND len(comps) >= 2 GROUP BY key)"""
 FOLDERS = f"""folders AS (
   SELECT DISTINCT folder, depth FROM (
     SELECT {canon_sql('comps[1:n]')} AS folder, n AS depth
@@ -332,11 +342,11 @@ def catalog_sql() -> dict:
         FROM rpc r"""
     q["add_files"] = _with(REQUESTS, RP) + f""",
         batch AS (
-          SELECT doc_id AS seq,
+          SELECT 2 * doc_id AS seq,
                  '/static/d' || CAST(doc_id % 4 AS VARCHAR) || '/e' || CAST(doc_id % 20 AS VARCHAR)
                  || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS path
           FROM documents
-          UNION ALL SELECT 1000000 + request_id, path FROM rp),
+          UNION ALL SELECT 2 * request_id + 1, path FROM rp),
         cat AS (
           SELECT -1 AS seq, {canon_sql('c')} AS key, c AS comps
           FROM (SELECT {comps_sql("'/static/d' || CAST(doc_id % 4 AS VARCHAR) || '/e' || CAST(doc_id % 20 AS VARCHAR) || '/' || CAST(doc_id AS VARCHAR) || '.txt'")} AS c
@@ -368,6 +378,12 @@ def catalog_sql() -> dict:
           LEFT JOIN pf ON pf.seq = v.seq AND pf.key = v.key)
         SELECT b.seq, b.path, coalesce(b.pre, j.verdict) AS verdict
         FROM b LEFT JOIN judged j ON j.seq = b.seq"""
+    verdicts = q["add_files"]
+    docs = """SELECT 2 * doc_id AS seq, text AS contents FROM documents
+              UNION ALL SELECT 2 * request_id + 1, line FROM rp"""
+    q["add_files_accepted"] = f"SELECT v.path, c.contents FROM ({verdicts}) v JOIN (" + _with(REQUESTS, RP) + docs + \
+        ") c ON c.seq = v.seq WHERE v.verdict = 'accepted'"
+    q["add_files_rejected"] = f"SELECT seq, path, verdict AS reason FROM ({verdicts}) v WHERE verdict <> 'accepted'"
     return q
 
 
@@ -399,21 +415,24 @@ def requests_sql() -> dict:
                ELSE 'HTTP/1.0 404 Not Found' || chr(13) || chr(10) || chr(13) || chr(10) END AS response
         FROM served"""
     q["completed_requests"] = base + """
-        SELECT time_bucket(INTERVAL '10 seconds', ts) AS window_start, driver, count(*) AS n
-        FROM served GROUP BY ROLLUP (time_bucket(INTERVAL '10 seconds', ts), driver)"""
-    # streaming R6 over a fixed feed read in one micro-batch: a window is
-    # written once the final watermark (max event time - 10 s) reaches its end
+        SELECT window_start, driver, count(*) AS n, CAST(grouping(window_start, driver) AS INTEGER) AS level
+        FROM (SELECT time_bucket(INTERVAL '10 seconds', ts) AS window_start, driver FROM served) t
+        GROUP BY ROLLUP (window_start, driver)"""
     q["completed_requests_stream"] = base + """
         SELECT time_bucket(INTERVAL '10 seconds', ts) AS window_start, driver, count(*) AS n
-        FROM served GROUP BY time_bucket(INTERVAL '10 seconds', ts), driver
-        HAVING time_bucket(INTERVAL '10 seconds', ts) + INTERVAL '10 seconds'
-               <= (SELECT max(ts) FROM served) - INTERVAL '10 seconds'"""
+        FROM served GROUP BY time_bucket(INTERVAL '10 seconds', ts), driver"""
     q["response_check"] = base + """,
         expected AS (
           SELECT a.request_id, CASE WHEN f.contents IS NULL THEN 404 ELSE 200 END AS status, f.contents AS body
           FROM acc a LEFT JOIN files f ON f.path = regexp_replace(a.path, '/+$', '')),
         w AS (SELECT request_id, """ + _fmt("status", "body") + """ AS resp FROM expected),
-        g AS (SELECT request_id, """ + _fmt("status", "body") + """ AS resp FROM served)
+        english AS (
+          SELECT a.request_id, CASE WHEN e.contents IS NULL THEN 404 ELSE 200 END AS status, e.contents AS body
+          FROM acc a LEFT JOIN (
+            SELECT f.key, f.contents FROM fnodes f
+            JOIN documents d ON d.lang = 'en' AND ends_with(f.key, '/' || CAST(d.doc_id AS VARCHAR) || '.txt')) e
+            ON e.key = """ + canon_sql(comps_sql("a.path")) + """),
+        g AS (SELECT request_id, """ + _fmt("status", "body") + """ AS resp FROM english)
         SELECT coalesce(w.request_id, g.request_id) AS request_id, w.resp AS want, g.resp AS got,
                CAST(length(g.resp) AS INTEGER) AS n_chars
         FROM w FULL OUTER JOIN g ON w.request_id = g.request_id

@@ -1,60 +1,63 @@
-"""Choosing a physical strategy for a matrix product from size checks.
+"""Choosing a physical strategy for a matrix product from sizes.
 
 * ``cells`` - a sparse left operand: join on k and aggregate, letting Spark
   combine partial sums map-side;
 * ``broadcast`` - a dense left operand and a right operand that, densified,
   holds at most ``broadcast_cells`` values: ship it whole (the reference's
-  strategy) and run one GEMM per row batch of the left operand;
+  strategy) and run one GEMM per slice of rows of the left operand;
 * ``blocked`` - everything else: bounded blocks, GEMM per block pair.
+
+The strategies differ in cost only: each returns the cells with at least one
+matching k.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from trellis.operators import matrix as M
-from trellis.plans.sizing import at_most
 
 STRATEGIES = ("auto", "broadcast", "cells", "blocked")
 
 
-def choose(shape_a: tuple, shape_b: tuple, b: DataFrame, broadcast_cells: int = 4_000_000,
-           density_cutoff: float = 0.05, a: DataFrame | None = None) -> str:
-    """Pick a strategy from bounded counts only.
+def sizes(m: DataFrame) -> tuple[int, tuple[int, int]]:
+    """Stored cells and shape, from one aggregate."""
+    r = m.agg(F.count(F.lit(1)).alias("nnz"), F.max("i").alias("i"), F.max("j").alias("j")).first()
+    return r["nnz"], (0 if r["i"] is None else r["i"] + 1, 0 if r["j"] is None else r["j"] + 1)
+
 
-    A sparse left side (at most ``density_cutoff`` of its cells stored)
+def choose(shape_a: tuple, shape_b: tuple, nnz_a: int, broadcast_cells: int = M.SLICE_CELLS,
+           density_cutoff: float = 0.05) -> str:
+    """A sparse left side (at most ``density_cutoff`` of its cells stored)
     joins on k - densifying its rows would cost more than the product, and
     Spark broadcasts a small right side of that join by its own size check.
     A dense left side uses the broadcast GEMM when the right side is proven
-    small, else the blocked product.
+    small by its shape, else the blocked product.
     """
-    cells_a = shape_a[0] * shape_a[1]
-    if a is not None and cells_a and at_most(a, int(cells_a * density_cutoff)):
+    if nnz_a <= shape_a[0] * shape_a[1] * density_cutoff:
         return "cells"
-    nrows_b, ncols_b = shape_b
-    if nrows_b * ncols_b <= broadcast_cells and at_most(b, broadcast_cells):
-        return "broadcast"
-    return "blocked"
+    return "broadcast" if shape_b[0] * shape_b[1] <= broadcast_cells else "blocked"
 
 
 def matmul(a: DataFrame, b: DataFrame, shape_a: tuple | None = None, shape_b: tuple | None = None,
            strategy: str = "auto", **block_sizes) -> DataFrame:
-    """``a @ b`` in cell form ``(i, j, v)``.
-
-    ``cells`` and ``blocked`` store only cells with at least one matching k;
-    ``broadcast`` returns full dense rows (0.0 where nothing matched) for
-    every row of ``a``, as the reference's dense result does.
+    """``a @ b`` in cell form ``(i, j, v)``: the cells with a matching k,
+    whatever the strategy.  Sizes are taken from one aggregate over each side;
+    a declared shape wins over the stored one.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
-    shape_a = shape_a or M.shape_of(a)
-    shape_b = shape_b or M.shape_of(b)
+    nnz_a = None
+    if shape_a is None or strategy == "auto":
+        nnz_a, stored = sizes(a)
+        shape_a = shape_a or stored
+    shape_b = shape_b or sizes(b)[1]
     M.check_inner(shape_a, shape_b)
     if strategy == "auto":
-        strategy = choose(shape_a, shape_b, b, a=a)
+        strategy = choose(shape_a, shape_b, nnz_a)
     if strategy == "cells":
         return M.matmul_cells(a, b)
     if strategy == "blocked":
         return M.matmul_blocked(a, b, **block_sizes)
-    rows = M.matrix_to_rows(a, shape_a[1]).select("i", "row")
-    return M.rows_to_cells(M.matmul_broadcast(rows, b, shape_b))
+    return M.matmul_broadcast(a, b, shape_b)

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from trellis.functions.rank import damp
 from trellis.operators.graph import adjacency_to_links
 from trellis.plans.sizing import BROADCAST_ROW_LIMIT, at_most, default_parallelism
-from trellis.plans.tables import drop_table, write_bucketed
+from trellis.plans.tables import write_bucketed
 from trellis.session import ensure_checkpoint_dir
 
 STRATEGIES = ("auto", "broadcast", "salted")
@@ -65,23 +65,21 @@ class PreparedGraph:
                     .persist(StorageLevel.MEMORY_AND_DISK))
         self.edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
         self._salted = None
-        self._salted_name = None
 
     def salted_edges(self) -> DataFrame:
         if self._salted is None:
             salt = F.pmod(F.xxhash64("dst"), F.col("n_salt")).cast("int")
             salted = (self.edges.join(self.deg.select("src", "n_salt"), "src")
                       .select("src", salt.alias("salt"), "dst", "mult"))
-            self._salted_name, self._salted = write_bucketed(
-                salted, self.num_partitions, ["src", "salt"], "links")
-        return self._salted
+            self._salted = write_bucketed(salted, self.num_partitions, ["src", "salt"], "links")
+        return self._salted.scan()
 
     def unpersist(self) -> None:
         self.deg.unpersist()
         self.edges.unpersist()
-        if self._salted_name:
-            drop_table(self.deg.sparkSession, self._salted_name)
-            self._salted, self._salted_name = None, None
+        if self._salted is not None:
+            self._salted.drop()
+            self._salted = None
 
 
 def _shares(graph: PreparedGraph, ranks: DataFrame) -> DataFrame:
@@ -98,7 +96,7 @@ def step(graph: PreparedGraph, ranks: DataFrame, strategy: str,
     else:
         replicated = shares.select(
             "src", "share", F.explode(F.sequence(F.lit(0), F.col("n_salt") - 1)).alias("salt"))
-        contrib = graph.salted_edges().join(replicated.hint("shuffle_hash"), ["src", "salt"])
+        contrib = graph.salted_edges().join(replicated, ["src", "salt"])
     summed = (contrib.groupBy(F.col("dst").alias("id"))
               .agg(F.sum(F.col("share") * F.col("mult")).alias("x")))
     if keep_unlinked:
@@ -130,17 +128,21 @@ def pagerank(links: DataFrame, ranks: DataFrame, iterations: int = 5,
     (the reference's step) sites without an in-link drop out after a step.
     """
     graph = PreparedGraph(links, salt_bucket_rows=salt_bucket_rows)
-    chosen = choose_strategy(graph, ranks, strategy, row_limit)
-    if checkpoint_every:
-        ensure_checkpoint_dir(links.sparkSession)
-    current = ranks.select("id", F.col("rank").cast("double").alias("rank"))
-    for it in range(1, iterations + 1):
-        current = step(graph, current, chosen, keep_unlinked)
-        if checkpoint_every and (it % checkpoint_every == 0 or it == iterations):
-            current = current.checkpoint(eager=True)
-    if checkpoint_every:
-        # the result no longer depends on the cached link tables
-        graph.unpersist()
+    done = False
+    try:
+        chosen = choose_strategy(graph, ranks, strategy, row_limit)
+        if checkpoint_every:
+            ensure_checkpoint_dir(links.sparkSession)
+        current = ranks.select("id", F.col("rank").cast("double").alias("rank"))
+        for it in range(1, iterations + 1):
+            current = step(graph, current, chosen, keep_unlinked)
+            if checkpoint_every and (it % checkpoint_every == 0 or it == iterations):
+                current = current.checkpoint(eager=True)
+        done = True
+    finally:
+        if checkpoint_every or not done:
+            # the checkpointed result no longer depends on the link tables
+            graph.unpersist()
     return current
 
 

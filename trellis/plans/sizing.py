@@ -1,8 +1,8 @@
 """Size checks that guard every explicit broadcast.
 
 A side is broadcast only when it is proven to hold at most ``limit`` rows.
-``at_most`` runs a bounded count (it stops reading once ``limit + 1`` rows
-were seen), so the check itself never scans a large table in full.
+The check is a plain count: it is combined map-side, so no partition ever
+gathers rows for it.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ BROADCAST_ROW_LIMIT = 2_000_000
 
 def at_most(df: DataFrame, limit: int) -> bool:
     """True when ``df`` has no more than ``limit`` rows."""
-    return df.limit(limit + 1).count() <= limit
+    return df.count() <= limit
 
 
 def default_parallelism(df: DataFrame) -> int:

@@ -11,24 +11,37 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from trellis.session import shared_dir
+from trellis.session import delete_dir, shared_dir
 
 
-def write_bucketed(df: DataFrame, num_buckets: int, columns: list, label: str) -> tuple:
+class BucketedTable:
+    """A bucketed table below the shared folder: its scan, and its removal."""
+
+    def __init__(self, spark, name: str, path: str):
+        self.spark, self.name, self.path = spark, name, path
+
+    def scan(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def drop(self) -> None:
+        """Remove the catalog entry and the files; harmless if repeated."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        delete_dir(self.spark, self.path)
+
+
+def write_bucketed(df: DataFrame, num_buckets: int, columns: list, label: str) -> BucketedTable:
     """Write ``df`` bucketed on ``columns`` below the shared folder.
 
-    Returns ``(name, scan)``.  The table is registered under a unique name
-    (bucketing needs a catalog entry); ``drop_table(spark, name)`` removes the
-    entry once the caller is done.  The files live in the shared folder,
-    never in the warehouse.
+    The rows are dealt out by the bucket columns first, so each bucket is one
+    file, not one for each task.  The table is registered under a unique name
+    (bucketing needs a catalog entry) until ``drop``.
     """
     spark = df.sparkSession
-    name = f"trellis_{label}_{uuid.uuid4().hex[:12]}"
-    (df.write.format("parquet").bucketBy(num_buckets, *columns)
-     .option("path", shared_dir(spark, label)).saveAsTable(name))
-    return name, spark.table(name)
-
-
-def drop_table(spark, name: str) -> None:
-    """Remove a catalog entry made by ``write_bucketed`` (files stay put)."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    table = BucketedTable(spark, f"trellis_{label}_{uuid.uuid4().hex[:12]}", shared_dir(spark, label))
+    try:
+        (df.repartition(num_buckets, *columns).write.format("parquet").bucketBy(num_buckets, *columns)
+         .option("path", table.path).saveAsTable(table.name))
+    except Exception:
+        table.drop()
+        raise
+    return table

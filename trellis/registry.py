@@ -1,7 +1,9 @@
 """Registered queries: one Spark job per operator, over the driver tables.
 
-Every callable takes ``(spark, sf_dir)`` and returns a lazy DataFrame whose
-column names equal those of the matching SQL in ``trellis.oracle``.
+Every callable takes ``(spark, sf_dir)`` and returns a DataFrame whose column
+names equal those of the matching SQL in ``trellis.oracle``.  PageRank, insert
+classification, the blocked product, the streams and the queries that need a
+shape or a count run jobs while the DataFrame is built; the others are lazy.
 """
 
 from __future__ import annotations
@@ -60,7 +62,7 @@ def q_links_to_adjacency(spark, sf):
 
 
 def q_out_degree(spark, sf):
-    return G.out_degree(part_sites(spark, sf))
+    return G.out_degree_links(views.part_links(spark, sf), part_nodes(spark, sf))
 
 
 def q_site_rank_join(spark, sf):
@@ -79,18 +81,18 @@ def q_contribution_sum(spark, sf):
 
 
 def q_damp(spark, sf):
-    joined = G.site_rank_join(trade_sites(spark, sf), synth.initial_ranks(trade_nodes(spark, sf)))
-    summed = G.contribution_sum(G.rank_contributions(joined))
-    return summed.select("id", F.round(damp("x"), 9).alias("rank"))
+    r0 = synth.initial_ranks(part_nodes(spark, sf))
+    return r0.select("id", F.round(damp("rank"), 9).alias("rank"))
 
 
 def q_pagerank_step(spark, sf):
-    out = G.pagerank_step(trade_sites(spark, sf), synth.initial_ranks(trade_nodes(spark, sf)))
+    out = G.pagerank_step_links(views.trade_links(spark, sf), synth.initial_ranks(trade_nodes(spark, sf)))
     return out.select("id", _r9("rank"))
 
 
 def q_pagerank_step_all_sites(spark, sf):
-    out = G.pagerank_step_all_sites(trade_sites(spark, sf), synth.initial_ranks(trade_nodes(spark, sf)))
+    out = G.pagerank_step_links(views.trade_links(spark, sf), synth.initial_ranks(trade_nodes(spark, sf)),
+                                keep_unlinked=True)
     return out.select("id", _r9("rank"))
 
 
@@ -100,7 +102,7 @@ def q_pagerank(spark, sf):
 
 
 def q_pagerank_trade(spark, sf):
-    out = pagerank(views.trade_links(spark, sf), synth.initial_ranks(trade_nodes(spark, sf)), 5)
+    out = pagerank(views.trade_ring(spark, sf), synth.initial_ranks(trade_nodes(spark, sf)), 5)
     return out.select("id", _r9("rank"))
 
 
@@ -204,7 +206,7 @@ def q_matrix_incr(spark, sf):
 
 
 def q_densify(spark, sf):
-    m = supply_cells(spark, sf)
+    m = views.emb_positive(spark, sf)
     nrows, ncols = M.shape_of(m)
     return M.densify(m, nrows, ncols)
 
@@ -215,9 +217,10 @@ def q_matmul_cells(spark, sf):
 
 
 def q_matmul_dense(spark, sf):
-    s = supply_cells(spark, sf)
-    shape = M.shape_of(s)
-    return M.matmul_dense(s, M.transpose(s), shape, (shape[1], shape[0]))
+    e = views.emb_positive(spark, sf)
+    g = views.emb_gram(spark, sf)
+    out = M.matmul_dense(e, g, M.shape_of(e), M.shape_of(g))
+    return out.select("i", "j", F.round("v", 6).alias("v"))
 
 
 def q_matmul_blocked(spark, sf):
@@ -232,9 +235,8 @@ def q_matmul(spark, sf):
 
 def q_matmul_broadcast(spark, sf):
     e = views.emb(spark, sf).select("i", F.col("k").alias("j"), "v")
-    nrows, ncols = M.shape_of(e)
-    rows = M.matrix_to_rows(e, ncols).select("i", "row")
-    out = M.rows_to_cells(M.matmul_broadcast(rows, M.transpose(e), (ncols, nrows), num_blocks=4))
+    gram = views.emb_gram(spark, sf).checkpoint()
+    out = M.matmul_broadcast(e, gram, M.shape_of(gram))
     return out.select("i", "j", F.round("v", 6).alias("v"))
 
 
@@ -330,9 +332,9 @@ def q_list_children(spark, sf):
 
 
 def q_has_child(spark, sf):
-    c = P.path_components("path")
-    probe = (request_paths(spark, sf).where(F.size(c) >= 1)
-             .select("request_id", P.parent_key(c).alias("parent"), F.element_at(c, -1).alias("name")))
+    keys = request_paths(spark, sf).select("request_id", P.path_key("path").alias("key"))
+    probe = (keys.where(P.key_depth("key") >= 1)
+             .select("request_id", P.key_parent("key").alias("parent"), P.key_name("key").alias("name")))
     out = C.has_child(C.list_children(views.files(spark, sf)), probe.select("parent", "name"))
     return out
 
@@ -346,10 +348,11 @@ def q_path_kind(spark, sf):
 
 
 def insert_batch(spark, sf):
-    """All files in doc order, then every request path (contents = its line)."""
-    docs = views.document_files(spark, sf).withColumn("seq", F.col("doc_id"))
+    """Every file and every request path (contents = its line), interleaved: files
+    have even numbers, requests odd ones, so they never meet at any scale."""
+    docs = views.document_files(spark, sf).withColumn("seq", 2 * F.col("doc_id"))
     reqs = views.requests(spark, sf).select(
-        (F.lit(1000000) + F.col("request_id")).alias("seq"), request_path("line").alias("path"),
+        (2 * F.col("request_id") + 1).alias("seq"), request_path("line").alias("path"),
         F.col("line").alias("contents"))
     return docs.select("seq", "path", "contents").unionByName(reqs)
 
@@ -364,6 +367,16 @@ def q_add_files(spark, sf):
     return v.select("seq", "path", "verdict")
 
 
+def q_add_files_accepted(spark, sf):
+    accepted, _ = C.add_files(english_catalog(spark, sf), insert_batch(spark, sf))
+    return accepted
+
+
+def q_add_files_rejected(spark, sf):
+    _, rejected = C.add_files(english_catalog(spark, sf), insert_batch(spark, sf))
+    return rejected
+
+
 # ------------------------------------------------------------------ requests
 
 def q_parse_requests(spark, sf):
@@ -390,7 +403,8 @@ def q_completed_requests(spark, sf):
 def q_response_check(spark, sf):
     req = views.requests(spark, sf)
     files = views.files(spark, sf)
-    got = R.serve(req, files)
+    # served from the English files only, so requests for the others differ
+    got = R.serve(req, english_catalog(spark, sf))
     # expected, computed another way: strip trailing slashes and compare path strings
     ok = R.accepted_requests(R.parse_requests(req)).select(
         "request_id", F.regexp_replace("path", "/+$", "").alias("p"))
@@ -420,6 +434,8 @@ CATALOG = {
     "read_files": q_read_files,
     "path_kind": q_path_kind,
     "add_files": q_add_files,
+    "add_files_accepted": q_add_files_accepted,
+    "add_files_rejected": q_add_files_rejected,
 }
 
 REQUESTS = {

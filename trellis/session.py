@@ -17,18 +17,19 @@ from pyspark.sql import SparkSession
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "trellis", extra: dict | None = None) -> SparkSession:
     """A session configured the way every job in this package expects.
 
     AQE stays on (partition coalescing, skew-join splitting, runtime
-    broadcast demotion); the UI stays off; timestamps are read in UTC.
+    broadcast demotion); the UI stays off; timestamps are read in UTC.  The
+    number of shuffle partitions and the driver's heap are the cluster's own
+    settings; only for a local master are they set here.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = {
-        "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -36,8 +37,12 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": os.environ.get("TRELLIS_DRIVER_MEMORY", "16g"),
     }
+    if master and master.startswith("local"):
+        conf["spark.driver.memory"] = os.environ.get("TRELLIS_DRIVER_MEMORY", "8g")
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
+    elif shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if extra:
         conf.update(extra)
     for k, v in conf.items():
@@ -52,8 +57,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, setting it only where the session has none.
 
     ``spark.checkpoint.dir`` (cluster-provided, shared) wins.  A local
-    temporary folder is used only when nothing is configured, which is the
-    situation in tests and local benchmarks.
+    temporary folder is used only on a local master (tests, benchmarks); on a
+    cluster without the setting this raises, since executors do not see each
+    other's folders.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -61,6 +67,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="trellis-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, configured)
     sc.setCheckpointDir(configured)
@@ -72,3 +80,9 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     base = spark.conf.get(_CHECKPOINT_KEY, None) or ensure_checkpoint_dir(spark)
     base = base.rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def delete_dir(spark: SparkSession, path: str) -> None:
+    """Remove a folder of ours through the file system that holds it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -36,6 +36,13 @@ def trade_links(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.lit(SUPPLIER_ID_OFFSET) + F.col("l_suppkey")).alias("dst")))
 
 
+def trade_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(src, dst): ``trade_links`` in both directions, so every site that links
+    is linked to."""
+    out = trade_links(spark, sf_dir)
+    return out.unionByName(out.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+
+
 def supply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(i, k, v): sparse supplier x part matrix of summed quantities."""
     li = read_table(spark, sf_dir, "lineitem", "l_suppkey", "l_partkey", "l_quantity")
@@ -66,7 +73,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def request_lines(events: DataFrame) -> DataFrame:
     """Turn event rows into request lines; stateless, so it also runs on a stream."""
-    n = F.floor(F.col("event_id") / 4).cast("bigint")
+    n = F.call_function("div", F.col("event_id").cast("bigint"), F.lit(4).cast("bigint"))
     d = n.cast("string")
     d4 = (n % 4).cast("string")
     d20 = (n % 20).cast("string")
@@ -90,3 +97,17 @@ def emb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.col("vec_id").alias("i"),
                     F.posexplode("embedding").alias("k", "v")).select(
         "i", F.col("k").cast("bigint").alias("k"), F.col("v").cast("double").alias("v"))
+
+
+def emb_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(i, j, v): the positive embedding cells, a sparse matrix of bounded width."""
+    return emb(spark, sf_dir).where("v > 0").select("i", F.col("k").alias("j"), "v")
+
+
+def emb_gram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(i, j, v): the embeddings' Gram matrix over all rows (width x width)."""
+    e = read_table(spark, sf_dir, "embeddings", "embedding")
+    cells = e.select(F.posexplode("embedding").alias("i", "a"), "embedding").select(
+        "i", "a", F.posexplode("embedding").alias("j", "b"))
+    return (cells.groupBy(F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j"))
+            .agg(F.sum(F.col("a").cast("double") * F.col("b").cast("double")).alias("v")))

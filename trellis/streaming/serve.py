@@ -4,8 +4,8 @@ completed requests per event-time window (R6, streaming form).
 The request feed is unbounded; each micro-batch is parsed, rejected rows
 are dropped, and the rest is left-joined to the (static) file catalog -
 a stateless stream-static join, so no state grows with the stream.  The
-catalog side is prepared once (``prepare_catalog``): broadcast when proven
-small, else a table bucketed on the path key.  Output
+catalog side is read once (``prepare_catalog``): kept in memory and broadcast
+when proven small, else a table bucketed on the path key.  Output
 is appended to a parquet sink; the checkpoint location makes the sink
 exactly-once across restarts and lost executors.  The static side is a
 snapshot: a restart picks up new files.
@@ -13,6 +13,7 @@ snapshot: a restart picks up new files.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -40,32 +41,44 @@ def request_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int
     return views.request_lines(events)
 
 
+class PreparedCatalog:
+    """The lookup side of a stream-static join, prepared once for all
+    micro-batches; ``release`` frees it when the query has ended."""
+
+    def __init__(self, table: DataFrame, free):
+        self.table = table
+        self._free = free
+
+    def release(self) -> None:
+        self._free()
+
+
 def prepare_catalog(files: DataFrame, broadcast_rows: int = 1_000_000,
                     broadcast_bytes: int = 256 * 1024 * 1024,
-                    num_buckets: int | None = None) -> DataFrame:
-    """The lookup side of a stream-static join, prepared once.
-
-    A stream-static join re-plans the static side in every micro-batch.  A
-    catalog proven small (rows and total content bytes) is broadcast;
-    otherwise it is written once as a table bucketed on the path key, so
-    each micro-batch shuffles only its own requests, never the catalog.
+                    num_buckets: int | None = None) -> PreparedCatalog:
+    """A catalog proven small (rows and total content bytes) is kept in memory
+    and broadcast to each micro-batch; otherwise it is written once as a table
+    bucketed on the path key, so a micro-batch shuffles only its own requests,
+    never the catalog.  Either way the files are read once, not per batch.
     """
-    keyed = keyed_files(files)
+    keyed = keyed_files(files).persist(StorageLevel.MEMORY_AND_DISK)
     stats = keyed.agg(F.count(F.lit(1)).alias("n"),
-                      F.coalesce(F.sum(F.length("contents")), F.lit(0)).alias("chars")).first()
-    if stats["n"] <= broadcast_rows and stats["chars"] * 4 <= broadcast_bytes:
-        return F.broadcast(keyed)
-    spark = files.sparkSession
-    n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    _, table = write_bucketed(keyed, n, ["_key"], "catalog")
-    return table
+                      F.coalesce(F.sum(F.octet_length("contents")), F.lit(0)).alias("size")).first()
+    if stats["n"] <= broadcast_rows and stats["size"] <= broadcast_bytes:
+        return PreparedCatalog(F.broadcast(keyed), keyed.unpersist)
+    n = num_buckets or int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    table = write_bucketed(keyed, n, ["_key"], "catalog")
+    keyed.unpersist()
+    return PreparedCatalog(table.scan(), table.drop)
 
 
 def serve_stream(requests: DataFrame, files: DataFrame, out_dir: str, checkpoint_dir: str,
                  available_now: bool = False, processing_time: str | None = None,
                  keyed: DataFrame | None = None) -> StreamingQuery:
-    """Append ``(request_id, ts, driver, path, status, body)`` rows as requests arrive."""
-    served = serve(requests, files, keyed=keyed if keyed is not None else prepare_catalog(files))
+    """Append ``(request_id, ts, driver, path, status, body)`` rows as requests
+    arrive.  ``keyed`` is the table of a ``prepare_catalog`` that the caller
+    releases; without it the catalog is joined as it is."""
+    served = serve(requests, files, keyed=keyed)
     writer = (served.writeStream.format("parquet").outputMode("append")
               .option("path", out_dir).option("checkpointLocation", checkpoint_dir))
     if available_now:
@@ -76,40 +89,69 @@ def serve_stream(requests: DataFrame, files: DataFrame, out_dir: str, checkpoint
 
 
 def completed_stream(responses: DataFrame, out_dir: str, checkpoint_dir: str,
-                     window: str = "10 seconds", lateness: str = "10 seconds",
+                     window: str = "10 seconds", lateness: str | None = None,
                      available_now: bool = False) -> StreamingQuery:
     """R6 streaming form: completed requests per tumbling window and driver.
 
-    ``ts`` arrives as ``timestamp_ntz``; it is read as a UTC timestamp for the
-    watermark.  In append mode a window is written once the watermark passes
-    its end, so the newest windows stay open until later data arrives.
+    Every micro-batch writes the new counts of the windows it changed below
+    ``out_dir``, in a folder of its own that a repeated batch replaces;
+    ``completed_counts`` reads the latest count of each.  However the feed is
+    cut into batches, the counts are those of the batch form.
+
+    ``ts`` arrives as ``timestamp_ntz``; it is read as a UTC timestamp.
+    ``lateness`` is the caller's: with it, windows older than the watermark are
+    closed, their state is freed and later rows for them are not counted;
+    without it nothing is ever dropped and state holds one row per window and
+    driver.
     """
-    counted = (responses.withColumn("event_time", F.col("ts").cast("timestamp"))
-               .withWatermark("event_time", lateness)
-               .groupBy(F.window("event_time", window).alias("w"), "driver")
+    timed = responses.withColumn("event_time", F.col("ts").cast("timestamp"))
+    if lateness:
+        timed = timed.withWatermark("event_time", lateness)
+    counted = (timed.groupBy(F.window("event_time", window).alias("w"), "driver")
                .agg(F.count(F.lit(1)).alias("n"))
                .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "driver", "n"))
-    writer = (counted.writeStream.format("parquet").outputMode("append")
-              .option("path", out_dir).option("checkpointLocation", checkpoint_dir))
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
+
+    writer = counted.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", checkpoint_dir)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
 
-def serve_available(spark: SparkSession, sf_dir: str) -> DataFrame:
+def completed_counts(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The latest ``(window_start, driver, n)`` that ``completed_stream`` wrote."""
+    rows = (spark.read.schema("window_start timestamp_ntz, driver bigint, n bigint, batch bigint")
+            .option("basePath", out_dir).parquet(f"{out_dir}/batch=*"))
+    return (rows.groupBy("window_start", "driver").agg(F.max_by("n", "batch").alias("n"))
+            .select("window_start", "driver", "n"))
+
+
+def serve_available(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Run R5 over everything currently in the feed; return the sink's rows."""
     out = shared_dir(spark, "serve-out")
-    q = serve_stream(request_stream(spark, sf_dir), views.files(spark, sf_dir), out,
-                     shared_dir(spark, "serve-ckpt"), available_now=True)
-    q.awaitTermination()
+    files = views.files(spark, sf_dir)
+    catalog = prepare_catalog(files)
+    try:
+        q = serve_stream(request_stream(spark, sf_dir, max_files_per_trigger), files, out,
+                         shared_dir(spark, "serve-ckpt"), available_now=True, keyed=catalog.table)
+        q.awaitTermination()
+    finally:
+        catalog.release()
     return spark.read.parquet(out)
 
 
-def completed_available(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run R5 -> R6 (streaming) over everything in the feed; return closed windows."""
-    files = views.files(spark, sf_dir)
-    served = serve(request_stream(spark, sf_dir), files, keyed=prepare_catalog(files))
+def completed_available(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Run R5 -> R6 (streaming) over everything in the feed; return the counts.
+    Only whether a request completes matters, so no contents are read."""
+    files = views.files(spark, sf_dir).select("path", F.lit("").alias("contents"))
+    catalog = prepare_catalog(files)
     out = shared_dir(spark, "completed-out")
-    q = completed_stream(served, out, shared_dir(spark, "completed-ckpt"), available_now=True)
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    try:
+        served = serve(request_stream(spark, sf_dir, max_files_per_trigger), files, keyed=catalog.table)
+        q = completed_stream(served, out, shared_dir(spark, "completed-ckpt"), available_now=True)
+        q.awaitTermination()
+    finally:
+        catalog.release()
+    return completed_counts(spark, out)
