@@ -13,6 +13,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trellis.plans.tables import stored
+
 
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -34,10 +36,10 @@ def connected_components(edges: DataFrame, src: str, dst: str, max_rounds: int =
     """
     e = (edges.select(F.col(src).alias("u"), F.col(dst).alias("v"))
          .where("u is not null and v is not null and u != v").distinct())
-    e = e.checkpoint()
+    e = stored(e)
     before = None
     for _ in range(max_rounds):
-        e = _small_star(_large_star(e)).distinct().checkpoint()
+        e = stored(_small_star(_large_star(e)).distinct())
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(

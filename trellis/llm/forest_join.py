@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from trellis.llm.common import column_bytes, documents, fresh, mix64, shingles, text_slices
 from trellis.llm.components import connected_components, star_edges
+from trellis.plans.tables import stored
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -237,13 +238,13 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     depth = matched_depth()
     depths = (depth - 1, depth) if depth > 1 else (depth,)
     kind = dict(docs.dtypes)[doc_id]
-    signed = _members(docs, text, doc_id).mapInArrow(
-        _signatures(depths), f"doc_id {kind}, key binary, n long, nodes array<long>").checkpoint()
+    signed = stored(_members(docs, text, doc_id).mapInArrow(
+        _signatures(depths), f"doc_id {kind}, key binary, n long, nodes array<long>"))
     members = signed.select("doc_id", "key")
-    classes = (signed.where("key is not null").groupBy("key")
-               .agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies"), F.max("n").alias("n"),
-                    F.first("nodes").alias("nodes")).checkpoint())
-    groups = candidate_groups(classes, depth).checkpoint()
+    classes = stored(signed.where("key is not null").groupBy("key")
+                     .agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies"), F.max("n").alias("n"),
+                          F.first("nodes").alias("nodes")))
+    groups = stored(candidate_groups(classes, depth))
     # texts of the candidates, one for each class, read again
     wanted = groups.select("key", "group", "n").join(classes.select("key", "class_id", "copies"), "key")
     texts = (_members(docs, text, doc_id).where("doc_id is not null")
@@ -251,18 +252,18 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
              .select("text", "doc_id").mapInArrow(_keyed_sets, "key binary, set binary").dropDuplicates(["key"]))
     dealt = _dealt(groups)
     sized = dealt.join(texts, "key").join(classes.select("key", "copies"), "key")
-    found = (sized.select("key", "set", "copies", "group", "band", "block", "pair.band_a", "pair.block_a", "pair.band_b", "pair.block_b")
+    found = stored(sized.select("key", "set", "copies", "group", "band", "block", "pair.band_a", "pair.block_a", "pair.band_b", "pair.block_b")
              .groupBy("group", "band_a", "block_a", "band_b", "block_b")
-             .applyInArrow(_verify, "key binary, other binary, links long, weight long").checkpoint())
+             .applyInArrow(_verify, "key binary, other binary, links long, weight long"))
     counts = found.where("other is null").groupBy("key").agg(F.sum("links").alias("links"), F.sum("weight").alias("weight"))
     linked = connected_components(found.where("other is not null"), "key", "other")
     named = linked.join(classes.select(F.col("key").alias("node"), "class_id"), "node")
     least = named.groupBy("root").agg(F.min("class_id").alias("group_id"))
     named = named.join(least, "root").select(F.col("node").alias("key"), "group_id")
-    facts = (classes.select("key", "class_id", "copies").join(counts, "key", "left").join(named, "key", "left")
+    facts = stored(classes.select("key", "class_id", "copies").join(counts, "key", "left").join(named, "key", "left")
              .select("key", "class_id", (F.col("copies") - 1 + F.coalesce("weight", F.lit(0))).alias("n_links"),
                      F.coalesce("links", F.lit(0)).alias("n_class_links"),
-                     F.coalesce("group_id", "class_id").alias("group_id")).checkpoint())
+                     F.coalesce("group_id", "class_id").alias("group_id")))
     # both sides are plain shuffles here, so AQE splits the copies of a common text
     return (members.join(facts, "key", "left")
             .select("doc_id", F.coalesce("class_id", F.when(F.col("key").isNull(), F.col("doc_id"))).alias("class_id"),

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trellis.llm.components import connected_components, star_edges
+from trellis.plans.tables import stored
 from trellis.sources.tables import read_table
 
 THRESHOLD = 0.95
@@ -225,13 +226,13 @@ def _found(classes: DataFrame, width: int, n: int, threshold: float, centroids:
         centroids = min(MAX_CENTROIDS, max(1, math.ceil(math.sqrt(n / PER_CELL))))
     index = spark.sparkContext.broadcast(fit(unit, centroids, threshold))
     kind = dict(own.dtypes)["vec"]
-    placed = own.select("key", "copies", "vec").mapInArrow(
-        _assign(index), f"key binary, copies long, vec {kind}, home int, cells array<int>").checkpoint()
+    placed = stored(own.select("key", "copies", "vec").mapInArrow(
+        _assign(index), f"key binary, copies long, vec {kind}, home int, cells array<int>"))
     # at most centroids squared rows
-    stored = placed.groupBy(F.col("home").alias("cell")).agg(F.ceil(F.count("*") / F.lit(BLOCK_STORED)).cast("int").alias("blocks"))
+    held = placed.groupBy(F.col("home").alias("cell")).agg(F.ceil(F.count("*") / F.lit(BLOCK_STORED)).cast("int").alias("blocks"))
     visited = (placed.select(F.explode("cells").alias("cell")).groupBy("cell")
                .agg(F.ceil(F.count("*") / F.lit(BLOCK_VISITORS)).cast("int").alias("chunks")))
-    cells = F.broadcast(stored.join(visited, "cell"))
+    cells = F.broadcast(held.join(visited, "cell"))
     rows = placed.select("*", F.explode("cells").alias("cell")).join(cells, "cell")
     rows = rows.select("*", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("own_block"),
                        F.pmod(F.xxhash64("key", F.lit(1)), F.col("chunks")).cast("int").alias("own_chunk"),
@@ -257,10 +258,10 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", vec: str = "embe
     kept, n_class_links (other distinct vectors linked)."""
     kind = dict(vectors.dtypes)[vec]
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vec).alias("vec"))
-    keyed = rows.mapInArrow(_keyed, f"vec_id long, key binary, width int, vec {kind}").checkpoint()
-    classes = (keyed.where("key is not null").groupBy("key")
-               .agg(F.min("vec_id").alias("class_id"), F.count("*").alias("copies"),
-                    F.first("width").alias("width"), F.first("vec").alias("vec")).checkpoint())
+    keyed = stored(rows.mapInArrow(_keyed, f"vec_id long, key binary, width int, vec {kind}"))
+    classes = stored(keyed.where("key is not null").groupBy("key")
+                     .agg(F.min("vec_id").alias("class_id"), F.count("*").alias("copies"),
+                          F.first("width").alias("width"), F.first("vec").alias("vec")))
     found = None
     for r in classes.groupBy("width").agg(F.count("*").alias("n")).collect():
         part = _found(classes, r["width"], r["n"], threshold, centroids)
@@ -268,16 +269,16 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", vec: str = "embe
     if found is None:
         out = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
         return out.select("*", F.lit(True).alias("kept"), F.lit(0).cast("long").alias("n_class_links"))
-    found = found.checkpoint()
+    found = stored(found)
     counts = found.where("other is null").groupBy("key").agg(F.sum("links").alias("links"), F.sum("weight").alias("weight"))
     linked = connected_components(found.where("other is not null"), "key", "other")
     named = linked.join(classes.select(F.col("key").alias("node"), "class_id"), "node")
     least = named.groupBy("root").agg(F.min("class_id").alias("component_id"))
     named = named.join(least, "root").select(F.col("node").alias("key"), "component_id")
-    facts = (classes.select("key", "class_id", "copies").join(counts, "key", "left").join(named, "key", "left")
+    facts = stored(classes.select("key", "class_id", "copies").join(counts, "key", "left").join(named, "key", "left")
              .select("key", (F.col("copies") - 1 + F.coalesce("weight", F.lit(0))).alias("n_links"),
                      F.coalesce("component_id", "class_id").alias("component_id"),
-                     F.coalesce("links", F.lit(0)).alias("n_class_links")).checkpoint())
+                     F.coalesce("links", F.lit(0)).alias("n_class_links")))
     # both sides are plain shuffles here, so AQE splits the copies of a common vector
     return (keyed.select("vec_id", "key").join(facts, "key", "left")
             .select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"),

@@ -31,6 +31,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trellis.llm.common import documents, text_slices, texts_of
+from trellis.plans.tables import stored
 
 CAPACITY = 4096
 END_ID = 1
@@ -203,7 +204,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """
     spark = pieces.sparkSession
     # one row for each length and task, then for each length: at most `capacity`
-    tally = pieces.groupBy("length", "task").agg(F.count("*").alias("n")).checkpoint()
+    tally = stored(pieces.groupBy("length", "task").agg(F.count("*").alias("n")))
     counts = {r["length"]: r["n"] for r in tally.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     runs, _ = plan(counts, capacity)
     before = W.partitionBy("length").orderBy("task").rowsBetween(W.unboundedPreceding, -1)
@@ -216,7 +217,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
-    out = pack(tokenise(docs, vocabulary).checkpoint())
+    out = pack(stored(tokenise(docs, vocabulary)))
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trellis.llm.common import documents
+from trellis.plans.tables import stored
 
 RULES = ("length", "symbols", "dup_lines", "repeats", "word_length", "upper", "marks", "symbol_share")
 #: EM starts from these: (good vote given good, bad vote given bad, share of good).
@@ -226,7 +227,7 @@ FROM v, m{STEPS}"""
 
 
 def op9_quality_rules(spark, sf_dir):
-    counts = signals(documents(spark, sf_dir, "doc_id", "text")).checkpoint()
+    counts = stored(signals(documents(spark, sf_dir, "doc_id", "text")))
     out = judge(counts, fit_rules(counts))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", "kept")

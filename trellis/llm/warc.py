@@ -28,6 +28,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trellis.plans.tables import stored
 from trellis.session import shared_dir
 from trellis.sources.tables import read_table
 
@@ -182,7 +183,7 @@ def write_archives(rows: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BY
         if held:
             yield flush(held)
 
-    return rows.mapInArrow(run, "path string, records long").checkpoint()
+    return stored(rows.mapInArrow(run, "path string, records long"))
 
 
 def read_archives(manifest: DataFrame) -> DataFrame:
