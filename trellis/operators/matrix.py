@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trellis.functions.blocks import row_chunk
+from trellis.plans.tables import stored
 
 # Doubles that a task holds of a product or of dense rows at a time (32 MB).
 SLICE_CELLS = 4_000_000
@@ -308,10 +309,10 @@ def matmul_blocked(a: DataFrame, b: DataFrame, rows_per_block: int = 256,
     Arrow input batches are capped by ``spark.sql.execution.arrow.maxBytesPerBatch``.
     """
     n = num_partitions or int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ab = to_blocks(a, rows_per_block, k_per_block).select(
-        "bi", F.col("bj").alias("bk"), F.col("r").alias("ar"), F.col("c").alias("ac"), F.col("v").alias("av")).checkpoint()
-    bb = to_blocks(b, k_per_block, cols_per_block).select(
-        F.col("bi").alias("bk"), "bj", F.col("r").alias("br"), F.col("c").alias("bc"), F.col("v").alias("bv")).checkpoint()
+    ab = stored(to_blocks(a, rows_per_block, k_per_block).select(
+        "bi", F.col("bj").alias("bk"), F.col("r").alias("ar"), F.col("c").alias("ac"), F.col("v").alias("av")))
+    bb = stored(to_blocks(b, k_per_block, cols_per_block).select(
+        F.col("bi").alias("bk"), "bj", F.col("r").alias("br"), F.col("c").alias("bc"), F.col("v").alias("bv")))
     # each task should find about four (right block, salt) keys
     salts = max(1, -(-4 * n // max(1, bb.count())))
     salt = F.pmod(F.xxhash64("bi"), F.lit(salts)).cast("int")

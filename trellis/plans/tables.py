@@ -11,7 +11,15 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from trellis.session import delete_dir, shared_dir
+from trellis.session import delete_dir, ensure_checkpoint_dir, shared_dir
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` computed now and kept in the checkpoint folder: its lineage is cut,
+    a lost executor costs a re-read, and Spark's cleaner removes the files when
+    nothing refers to them."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
 
 
 class BucketedTable:

@@ -21,6 +21,7 @@ from trellis.operators import matrix as M
 from trellis.operators import synth
 from trellis.plans.matmul import matmul
 from trellis.plans.pagerank import pagerank
+from trellis.plans.tables import stored
 from trellis.sources import views
 from trellis.sources.tables import read_table
 from trellis.streaming.serve import completed_available, serve_available
@@ -235,7 +236,7 @@ def q_matmul(spark, sf):
 
 def q_matmul_broadcast(spark, sf):
     e = views.emb(spark, sf).select("i", F.col("k").alias("j"), "v")
-    gram = views.emb_gram(spark, sf).checkpoint()
+    gram = stored(views.emb_gram(spark, sf))
     out = M.matmul_broadcast(e, gram, M.shape_of(gram))
     return out.select("i", "j", F.round("v", 6).alias("v"))
 
