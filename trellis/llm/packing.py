@@ -20,6 +20,7 @@ an empty result; further columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from functools import lru_cache
 
@@ -30,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from trellis.llm.byte_bpe import byte_alphabet
 from trellis.llm.common import documents, text_slices, texts_of
 from trellis.plans.tables import stored
 
@@ -46,29 +48,73 @@ def word_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+#: A word in lower-case Latin-1 letters and the punctuation after it: the tokenizer
+#: splits between the two, and its normaliser leaves both as they are.
+_PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([^\w\s]*)")
+
+
+def _lowered(text: str) -> str:
+    """Lower case ahead of the tokenizer, for texts of Latin-1 characters only,
+    where both lower character by character alike."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
+
+
 class ChunkEncoder:
     """Token ids of whole texts, chunk by chunk.
 
     No token of this vocabulary reaches over white space and no rule of its
     normaliser or splitter looks past it, so a text's ids are those of its
-    blank-separated chunks in order; each distinct chunk is tokenised once.
+    blank-separated chunks in order; each distinct chunk is tokenised once.  A
+    plain word goes straight to the library's BPE model in the characters that
+    stand for its bytes; anything else through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         self.tokenizer = word_tokenizer(path)
+        self.model = self.tokenizer.model
+        self.byte_chars = dict(enumerate(byte_alphabet()))
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {"": b""}
+
+    def _word(self, word: str) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            as_chars = word.encode().decode("latin-1").translate(self.byte_chars)
+            ids = self.words[word] = np.array([t.id for t in self.model.tokenize(as_chars)], "<u4").tobytes()
+        return ids
+
+    def _learn(self, chunks: set[str]) -> None:
+        rest = []
+        for c in chunks:
+            plain = _PLAIN.fullmatch(c.lower())
+            if plain and plain[2] in self.words:
+                self.known[c] = self._word(plain[1]) + self.words[plain[2]]
+            else:
+                rest.append(c)
+        for i in range(0, len(rest), 20_000):
+            some = rest[i:i + 20_000]
+            for c, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                ids = self.known[c] = np.array(e.ids, "<u4").tobytes()
+                if c and not any(x.isalnum() or x.isspace() for x in c) and c.isascii():
+                    self.words[c] = ids          # punctuation by itself, for the words it follows
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers."""
         if len(self.known) > CACHE_CHUNKS:
             self.known.clear()
+        if len(self.words) > CACHE_CHUNKS:
+            self.words = {"": b""}
+        chunks = [_lowered(t).replace("\n", " ").split(" ") for t in texts]
+        fresh = {c for own in chunks for c in own if c not in self.known}
+        if fresh:
+            marks = {m[2] for c in fresh if (m := _PLAIN.fullmatch(c)) and m[2].isascii()} - self.words.keys()
+            self._learn(marks)
+            self._learn(fresh)
         known = self.known
-        chunks = [t.replace("\n", " ").split(" ") for t in texts]
-        fresh = list({c for own in chunks for c in own if c not in known})
-        for i in range(0, len(fresh), 20_000):
-            some = fresh[i:i + 20_000]
-            for c, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[c] = np.array(e.ids, "<u4").tobytes()
         return [b"".join([known[c] for c in own]) for own in chunks]
 
 
