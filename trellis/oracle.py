@@ -361,21 +361,21 @@ def catalog_sql() -> dict:
         allrows AS (SELECT seq, key, comps FROM cat UNION ALL SELECT seq, key, comps FROM vb),
         anc AS (SELECT seq, key, {canon_sql('comps[1:n]')} AS pkey
                 FROM (SELECT seq, key, comps, unnest(range(2, len(comps))) AS n FROM allrows) t),
-        mu AS (SELECT pkey AS key, min(seq) AS min_under FROM anc GROUP BY pkey),
-        ms AS (SELECT key, min(seq) AS min_same FROM allrows GROUP BY key),
-        firsts AS (SELECT ms.key, min_same, min_under FROM ms LEFT JOIN mu ON mu.key = ms.key),
-        cand AS (SELECT key AS pkey, min_same AS cand FROM firsts
-                 WHERE min_under IS NULL OR min_same < min_under),
-        pf AS (SELECT DISTINCT a.seq, a.key FROM anc a JOIN cand c ON c.pkey = a.pkey WHERE c.cand < a.seq),
+        -- what first made each node: a row of its own name, or one below it
+        made AS (
+          SELECT node, min(seq) AS s, arg_min(how, seq) AS how FROM (
+            SELECT key AS node, seq, 'file' AS how FROM allrows
+            UNION ALL SELECT pkey, seq, 'folder' FROM anc) e
+          GROUP BY node),
+        blocked AS (SELECT DISTINCT a.seq FROM anc a JOIN made m ON m.node = a.pkey
+                    WHERE m.how = 'file' AND m.s < a.seq),
         judged AS (
           SELECT v.seq,
-            CASE WHEN pf.seq IS NOT NULL THEN 'parent_is_file'
-                 WHEN f.min_same < v.seq AND (f.min_under IS NULL OR f.min_under >= v.seq
-                                              OR f.min_same < f.min_under) THEN 'duplicate'
-                 WHEN f.min_under < v.seq THEN 'is_folder'
-                 ELSE 'accepted' END AS verdict
-          FROM vb v LEFT JOIN firsts f ON f.key = v.key
-          LEFT JOIN pf ON pf.seq = v.seq AND pf.key = v.key)
+            CASE WHEN v.seq IN (SELECT seq FROM blocked) THEN 'parent_is_file'
+                 WHEN m.s = v.seq THEN 'accepted'
+                 WHEN m.how = 'file' THEN 'duplicate'
+                 ELSE 'is_folder' END AS verdict
+          FROM vb v JOIN made m ON m.node = v.key)
         SELECT b.seq, b.path, coalesce(b.pre, j.verdict) AS verdict
         FROM b LEFT JOIN judged j ON j.seq = b.seq"""
     verdicts = q["add_files"]
