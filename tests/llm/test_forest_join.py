@@ -54,6 +54,17 @@ def test_links_and_groups_against_brute_force(spark, monkeypatch, block):
     assert got == brute(rows)
 
 
+def test_rows_without_an_id_link_too(spark):
+    base = words(77, 200)
+    other = base[:100] + ["x"] + base[101:]
+    rows = [(None, " ".join(base)), (None, " ".join(base)), (None, " ".join(other)), (4, " ".join(words(78, 50)))]
+    out = J.near_duplicates(docs_frame(spark, rows)).collect()
+    assert sorted((r.doc_id or -1, r.n_links) for r in out) == [(-1, 2), (-1, 2), (-1, 2), (4, 0)]
+    rows.append((9, " ".join(other[:-1] + ["y"])))
+    out = J.near_duplicates(docs_frame(spark, rows)).collect()
+    assert {r.group_id for r in out} == {9, 4}
+
+
 def test_keeps_one_of_each_group(spark):
     rows = edge_rows() + near_rows()
     df = docs_frame(spark, rows)

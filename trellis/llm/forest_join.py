@@ -247,9 +247,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     groups = stored(candidate_groups(classes, depth))
     # texts of the candidates, one for each class, read again
     wanted = groups.select("key", "group", "n").join(classes.select("key", "class_id", "copies"), "key")
-    texts = (_members(docs, text, doc_id).where("doc_id is not null")
-             .join(wanted.where("class_id is not null").select(F.col("class_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-             .select("text", "doc_id").mapInArrow(_keyed_sets, "key binary, set binary").dropDuplicates(["key"]))
+    named = wanted.select("class_id").distinct()       # null where a class has no other id
+    texts = (_members(docs, text, doc_id).join(named, F.col("doc_id").eqNullSafe(F.col("class_id")), "left_semi")
+             .select("text").mapInArrow(_keyed_sets, "key binary, set binary").dropDuplicates(["key"]))
     dealt = _dealt(groups)
     sized = dealt.join(texts, "key").join(classes.select("key", "copies"), "key")
     found = stored(sized.select("key", "set", "copies", "group", "band", "block", "pair.band_a", "pair.block_a", "pair.band_b", "pair.block_b")
@@ -257,10 +257,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
              .applyInArrow(_verify, "key binary, other binary, links long, weight long"))
     counts = found.where("other is null").groupBy("key").agg(F.sum("links").alias("links"), F.sum("weight").alias("weight"))
     linked = connected_components(found.where("other is not null"), "key", "other")
-    named = linked.join(classes.select(F.col("key").alias("node"), "class_id"), "node")
-    least = named.groupBy("root").agg(F.min("class_id").alias("group_id"))
-    named = named.join(least, "root").select(F.col("node").alias("key"), "group_id")
-    facts = stored(classes.select("key", "class_id", "copies").join(counts, "key", "left").join(named, "key", "left")
+    members_of = linked.join(classes.select(F.col("key").alias("node"), "class_id"), "node")
+    least = members_of.groupBy("root").agg(F.min("class_id").alias("group_id"))
+    grouped = members_of.join(least, "root").select(F.col("node").alias("key"), "group_id")
+    facts = stored(classes.select("key", "class_id", "copies").join(counts, "key", "left").join(grouped, "key", "left")
              .select("key", "class_id", (F.col("copies") - 1 + F.coalesce("weight", F.lit(0))).alias("n_links"),
                      F.coalesce("links", F.lit(0)).alias("n_class_links"),
                      F.coalesce("group_id", "class_id").alias("group_id")))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trellis.plans.tables import stored
-from trellis.session import shared_dir
+from trellis.session import delete_dir, shared_dir
 from trellis.sources.tables import read_table
 
 #: Magic number of the skippable frame that holds the dictionary.
@@ -229,5 +229,8 @@ def _row(record: dict) -> dict:
 
 def op1_warc(spark, sf_dir):
     pages = read_table(spark, sf_dir, "pages", "page_id", "url", "html")
-    manifest = write_archives(with_revisits(pages), shared_dir(spark, "warc"))
-    return read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    folder = shared_dir(spark, "warc")
+    manifest = write_archives(with_revisits(pages), folder)
+    out = stored(read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+    delete_dir(spark, folder)       # the query wants the rows only
+    return out
