@@ -9,7 +9,7 @@ read again as the next one's ``docs``.  All but the last return the columns of
 from __future__ import annotations
 
 from trellis.llm import forest_join, language_id, packing, quality_rules
-from trellis.session import shared_dir
+from trellis.session import delete_dir, shared_dir
 
 
 def rule_stage(spark, docs, sf_dir):
@@ -47,8 +47,13 @@ ORACLE_SQL = None
 def run(spark, sf_dir):
     """The rows of the last stage over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    before = None
     for name, stage in STAGES[:-1]:
         path = shared_dir(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
-    return STAGES[-1][1](spark, docs, sf_dir)
+        if before:
+            delete_dir(spark, before)
+        docs, before = spark.read.parquet(path), path
+    out = STAGES[-1][1](spark, docs, sf_dir)
+    delete_dir(spark, before)           # the pieces are stored; their documents are not read again
+    return out
