@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from trellis.llm.common import column_bytes, documents, fresh, mix64, shingles, text_slices
 from trellis.llm.components import connected_components, star_edges
+from trellis.plans.sizing import BROADCAST_ROW_LIMIT, at_most
 from trellis.plans.tables import stored
 
 WIDTH = 5
@@ -248,6 +249,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     # texts of the candidates, one for each class, read again
     wanted = groups.select("key", "group", "n").join(classes.select("key", "class_id", "copies"), "key")
     named = wanted.select("class_id").distinct()       # null where a class has no other id
+    if groups.count() <= BROADCAST_ROW_LIMIT:
+        named = F.broadcast(named)                      # else both sides are shuffled
     texts = (_members(docs, text, doc_id).join(named, F.col("doc_id").eqNullSafe(F.col("class_id")), "left_semi")
              .select("text").mapInArrow(_keyed_sets, "key binary, set binary").dropDuplicates(["key"]))
     dealt = _dealt(groups)
@@ -290,8 +293,10 @@ def keep_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     drop = out.groupBy("doc_id").agg(F.max(F.col("kept").cast("int")).alias("stays"),
                                      F.count("*").alias("rows"), F.max("n_links").alias("n_links"))
     marked, named_id = fresh(docs, "_rows"), fresh(docs, "_named")
-    verdict = (drop.where("stays = 0 or (rows > 1 and n_links > 0)")
-               .select(F.col("doc_id").alias(named_id), F.when(F.col("stays") == 0, 0).otherwise(2).alias(marked)))
+    verdict = stored(drop.where("stays = 0 or (rows > 1 and n_links > 0)")
+                     .select(F.col("doc_id").alias(named_id), F.when(F.col("stays") == 0, 0).otherwise(2).alias(marked)))
+    if at_most(verdict, BROADCAST_ROW_LIMIT):
+        verdict = F.broadcast(verdict)                  # else both sides are shuffled
     named = docs.join(verdict, F.col(f"`{doc_id}`") == F.col(named_id), "left").drop(named_id)
     single = named.where(F.col(marked).isNull()).select(*[F.col(f"`{c}`") for c in docs.columns])
     again = named.where(F.col(marked) == 2).select(*[F.col(f"`{c}`") for c in docs.columns])
