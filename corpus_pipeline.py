@@ -18,7 +18,8 @@ def rule_stage(spark, docs, sf_dir):
 
 
 def language_stage(spark, docs, sf_dir):
-    """Drop the documents without a language (no letter in them)."""
+    """Drop the documents without a letter, and those whose spans show no main
+    language; without a learned language every text with a letter stays."""
     return language_id.keep_documents(docs, language_id.fit_documents(docs))
 
 

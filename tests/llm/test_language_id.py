@@ -82,3 +82,22 @@ def test_nothing_learned_and_empty_table(spark):
 def test_sampled_fit(spark):
     model = L.fit(docs_frame(spark, corpus()), max_rows=60)
     assert model.languages == ["de", "en", "ru"]
+
+
+def test_nothing_learned_keeps_texts_with_a_letter(spark):
+    model = L.fit_documents(docs_frame(spark, []))
+    kept = L.keep_documents(docs_frame(spark, edge_rows() + [(50, "1234 !!"), (51, "γειά σου")]), model)
+    assert sorted(r.doc_id or -1 for r in kept.select("doc_id").collect()) == [-1, 1, 5, 6, 7, 8, 8, 9, 10, 51]
+
+
+def test_stage_decides_by_the_share_of_the_spans(spark):
+    own = {"en": "the and of with house water", "de": "und der nicht straße über haus", "ru": "и в не на дом вода",
+           "el": "και το δεν στο σπίτι νερό", "he": "של את לא על בית מים"}
+    rows = [(100 * k + i, f"{text} " * 5, lang) for k, (lang, text) in enumerate(own.items()) for i in range(20)]
+    model = L.fit_documents(docs_frame(spark, rows))
+    assert model.languages == sorted(own)
+    parts = [f"{text} " * 6 for text in own.values()]
+    letters = max(len(p) for p in parts)
+    salad = "".join(p * round(letters / len(p)) for p in parts)
+    cases = docs_frame(spark, [(1, parts[0]), (2, parts[0] + parts[2]), (3, parts[2] + parts[3] + parts[0]), (4, salad)])
+    assert sorted(r.doc_id for r in L.keep_documents(cases, model).collect()) == [1, 2, 3]

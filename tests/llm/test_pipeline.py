@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.conftest import SF_SMALL
@@ -31,3 +32,13 @@ def test_registered_names():
     names = list(queries.all_queries())
     assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)]
     assert set(queries.all_sql()) <= set(names)
+
+
+@pytest.mark.parametrize("null", ["lang", "doc_id"])
+def test_run_keeps_clean_documents_where_no_language_is_learned(spark, tmp_path, null):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    docs.withColumn(null, F.lit(None).cast(docs.schema[null].dataType)).write.parquet(f"{tmp_path}/documents.parquet")
+    kept = corpus_pipeline.rule_stage(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), None)
+    kept = corpus_pipeline.duplicate_stage(spark, kept, None).count()       # every document has a letter
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert kept and sum(r.piece == 0 for r in out) == kept

@@ -13,6 +13,13 @@ The model is a table of hashed n-gram log-probabilities of fixed size
 Defined results: a null text, or one without a letter, is ``und`` with score 0;
 ids may be null or repeated (row by row); an empty table gives an empty result;
 without any labelled row every text is ``und``; further columns are ignored.
+
+``keep_documents`` tells "no letter" from "nothing learned": a text without a
+letter goes; without a learned language every text with a letter stays; else a
+text stays if the spans of some language hold at least ``KEEP_SHARE`` of its
+letters.  Texts in one, two or three languages reach that, and so do words that
+give no evidence (they stay in their neighbours' span); a text pieced together
+from four or more languages in like parts does not.
 """
 
 from __future__ import annotations
@@ -40,6 +47,8 @@ SWITCH_PENALTY = 12.0
 #: A word's log-score lies at most so far below its best language's.
 WORD_RANGE = 6.0
 CACHE_WORDS = 300_000
+#: Least share of a kept text's letters in the spans of one language.
+KEEP_SHARE = 0.3
 
 #: First code points of script ranges (Unicode blocks) and names.
 SCRIPTS = [
@@ -289,6 +298,15 @@ def label_texts(words: WordTable, texts: list[str]) -> tuple[list[str], np.ndarr
             np.where(total > 0, score, 0.0))
 
 
+def kept_texts(words: WordTable, texts: list[str]) -> np.ndarray:
+    """Whether each text stays in the corpus (see the module's rule)."""
+    if not words.model.languages:
+        return np.array([_LETTERS.search(t) is not None for t in texts], bool)
+    held, _, _, _ = _paths(words, texts)
+    total = held.sum(axis=1)
+    return (total > 0) & (held.max(axis=1) >= KEEP_SHARE * total)
+
+
 def spans(model: LanguageModel, text: str | None) -> list[tuple[int, int, str]]:
     """(first word, end, language) of the spans of one text."""
     if not model.languages or not (text or "").split():
@@ -323,7 +341,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", doc_id: s
 
 
 def keep_documents(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` with a language, all columns as they were."""
+    """The rows of ``docs`` that ``kept_texts`` keeps, all columns as they were."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text)
 
@@ -331,8 +349,7 @@ def keep_documents(docs: DataFrame, model: LanguageModel, text: str = "text") ->
         own = WordTable(shared.value)
         for batch in batches:
             for part in text_slices(batch, at, _slice_bytes(own.model)):
-                labels, _ = label_texts(own, texts_of(part, at))
-                yield part.filter(pa.array([x != "und" for x in labels], pa.bool_()))
+                yield part.filter(pa.array(kept_texts(own, texts_of(part, at)), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
