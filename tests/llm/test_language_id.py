@@ -1,6 +1,6 @@
 import numpy as np
 
-from tests.llm.cases import docs_frame, edge_rows
+from tests.llm.cases import docs_frame, edge_rows, words
 from trellis.llm import language_id as L
 
 
@@ -101,3 +101,27 @@ def test_stage_decides_by_the_share_of_the_spans(spark):
     salad = "".join(p * round(letters / len(p)) for p in parts)
     cases = docs_frame(spark, [(1, parts[0]), (2, parts[0] + parts[2]), (3, parts[2] + parts[3] + parts[0]), (4, salad)])
     assert sorted(r.doc_id for r in L.keep_documents(cases, model).collect()) == [1, 2, 3]
+
+
+def test_every_language_of_many_is_learned(spark):
+    own = {f"l{k:03d}": words(1000 + k, 8) for k in range(90)}
+    rows = [(100 * k + i, " ".join(w * 4), lang) for k, (lang, w) in enumerate(own.items()) for i in range(3 + (k < 70))]
+    model = L.fit(docs_frame(spark, rows))
+    assert model.languages == sorted(own)
+    out = {r.doc_id: r.lang_pred for r in L.predict(docs_frame(spark, rows), model).collect()}
+    assert all(out[i] == lang for i, _, lang in rows)
+
+
+def test_word_scores_against_one_language_at_a_time(spark):
+    model = L.fit(docs_frame(spark, corpus()))
+    counts = {lang: np.zeros(L.BUCKETS) for lang in model.languages}
+    for _, text, lang in corpus():
+        counts[lang] += np.bincount(L.gram_buckets(text.split())[0], minlength=L.BUCKETS)
+    letters, got = model.word_scores(["the", "straße", "вода", "wasser", "12", "σου"])
+    assert letters.tolist() == [3, 6, 4, 6, 0, 3]
+    for word, row in zip(["the", "straße", "вода", "wasser"], got, strict=False):
+        mine = L.gram_buckets([word])[0]
+        own = [np.log((counts[x][mine] + 0.5) / (counts[x].sum() + 0.5 * L.BUCKETS)).sum()
+               if (x == "ru") == (word == "вода") else -np.inf for x in model.languages]
+        assert np.allclose(row, np.maximum(np.array(own) - max(own), -L.WORD_RANGE), atol=1e-4)
+    assert not got[4:].any()

@@ -7,8 +7,9 @@ Viterbi pass over the words of a document, with a fixed penalty for switching
 language, labels spans.  The document's language is the one whose spans hold
 the most letters; its score is that share, weighed by the spans' confidence.
 
-The model is a table of hashed n-gram log-probabilities of fixed size
-(``BUCKETS`` x languages), so its broadcast does not grow with the corpus.
+The model is a sparse table of hashed n-gram log-probabilities: for each of
+``BUCKETS`` buckets the languages that have it.  Every learned language is in it;
+its size follows the n-grams of the training rows, not the corpus.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0;
 ids may be null or repeated (row by row); an empty table gives an empty result;
@@ -30,6 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,12 +43,14 @@ BUCKETS = 1 << 15
 #: The model is fitted on all labelled rows if they are at most so many, else
 #: on about so many, chosen by a hash of the text.
 MAX_TRAINING_ROWS = 20_000
-#: Most languages that a model holds: the most frequent ones.
-MAX_LANGUAGES = 64
 SWITCH_PENALTY = 12.0
 #: A word's log-score lies at most so far below its best language's.
 WORD_RANGE = 6.0
 CACHE_WORDS = 300_000
+#: Scores (words x languages) that a worker remembers, and (n-gram, language)
+#: pairs and scores that it works on at a time.
+CACHE_SCORES = 20_000_000
+WORK_PAIRS = 2_000_000
 #: Least share of a kept text's letters in the spans of one language.
 KEEP_SHARE = 0.3
 
@@ -106,26 +110,46 @@ def gram_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 @dataclass
 class LanguageModel:
     languages: list[str]
-    table: np.ndarray                       # BUCKETS x languages, log-probabilities
-    scripts: dict[str, np.ndarray]          # script -> mask of languages seen with it
+    starts: np.ndarray                      # BUCKETS + 1 borders among the pairs of each bucket
+    owners: np.ndarray                      # language of each (bucket, language) pair
+    gains: np.ndarray                       # its log-probability above the language's unseen bucket
+    unseen: np.ndarray                      # by language, log-probability of a bucket without a count
+    scripts: dict[str, np.ndarray]          # script -> languages seen with it, ascending
+
+    def _sums(self, words: list[str]) -> np.ndarray:
+        """Log-probability of each word by language, all languages."""
+        k = len(self.languages)
+        out = np.empty((len(words), k))
+        step = max(1, WORK_PAIRS // (16 * k))
+        for i in range(0, len(words), step):
+            some = words[i:i + step]
+            buckets, own = gram_buckets(some)
+            grams = np.bincount(own, minlength=len(some))
+            first = self.starts[buckets]
+            n = self.starts[buckets + 1] - first
+            at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            gained = np.bincount(np.repeat(own * k, n) + self.owners[at], self.gains[at], len(some) * k)
+            out[i:i + step] = gained.reshape(-1, k) + grams[:, None] * self.unseen
+        return out
 
     def word_scores(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Letters of each word and its score by language: 0 for the best of its
         candidates, down to -WORD_RANGE; all 0 where a word gives no evidence."""
         letters = [letters_of(w) for w in words]
-        buckets, own = gram_buckets([x or "-" for x in letters])
-        scores = np.stack([np.bincount(own, self.table[buckets, k], len(words))
-                           for k in range(len(self.languages))], axis=1)
-        mask = np.zeros(scores.shape, bool)
+        scores = np.zeros((len(words), len(self.languages)), np.float32)
+        by_script: dict[str, list[int]] = {}
         for i, x in enumerate(letters):
-            found = self.scripts.get(script_of(x)) if x else None
-            if found is not None:
-                mask[i] = found
-        scores = np.where(mask, scores, -np.inf)
-        top = scores.max(axis=1, keepdims=True)
-        known = np.isfinite(top)
-        scores = np.where(known, np.maximum(scores - np.where(known, top, 0), -WORD_RANGE), 0)
-        return np.array([len(x) for x in letters], np.int64), scores.astype(np.float32)
+            if x:
+                by_script.setdefault(script_of(x), []).append(i)
+        step = max(1, WORK_PAIRS // len(self.languages))
+        for script, rows in by_script.items():
+            found = self.scripts.get(script)
+            for i in range(0, len(rows) if found is not None else 0, step):
+                some = rows[i:i + step]
+                own = self._sums([letters[j] for j in some])[:, found]
+                scores[some] = -WORD_RANGE
+                scores[np.ix_(some, found)] = np.maximum(own - own.max(axis=1, keepdims=True), -WORD_RANGE)
+        return np.array([len(x) for x in letters], np.int64), scores
 
 
 class WordTable:
@@ -142,7 +166,7 @@ class WordTable:
 
     def rows(self, words: list[list[str]]) -> np.ndarray:
         """Table rows of all words in order."""
-        if len(self.at) > CACHE_WORDS:
+        if len(self.at) > min(CACHE_WORDS, CACHE_SCORES // len(self.model.languages)):
             self.reset()
         at = self.at
         fresh = list({w for own in words for w in own if w not in at})
@@ -194,35 +218,34 @@ def _count_batches(batches):
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", max_rows: int = MAX_TRAINING_ROWS) -> LanguageModel:
     """Learn from rows with text and language.  What reaches the driver is the
-    summed counts: at most (BUCKETS + scripts) x MAX_LANGUAGES rows."""
+    summed counts: one row for each n-gram bucket and script of a language."""
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(text).alias("text"), F.col(lang).alias("lang"))
-    by_lang = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    by_lang = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()
     total = sum(r["n"] for r in by_lang)
     languages = sorted(r["lang"] for r in by_lang)
     if not languages:
-        return LanguageModel([], np.zeros((BUCKETS, 0), np.float32), {})
+        return LanguageModel([], np.zeros(BUCKETS + 1, np.int64), np.zeros(0, np.int32), np.zeros(0, np.float32), np.zeros(0), {})
     if total > max_rows:
         rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(1_000_000 * max_rows / total))
-    rows = rows.where(F.col("lang").isin(languages))
     summed = (rows.mapInArrow(_count_batches, "lang string, script string, bucket int, n long")
-              .groupBy("lang", "script", "bucket").agg(F.sum("n").alias("n")).toArrow().to_pydict())
-    place = {x: i for i, x in enumerate(languages)}
-    counts = np.zeros((BUCKETS, len(languages)))
+              .groupBy("lang", "script", "bucket").agg(F.sum("n").alias("n")).toArrow())
+    place = pc.index_in(summed["lang"], pa.array(languages)).to_numpy()
+    counts = summed["n"].to_numpy()
+    gram = pc.is_null(summed["script"]).to_numpy()
+    bucket, owner, count = summed["bucket"].to_numpy()[gram], place[gram], counts[gram]
+    order = np.lexsort((owner, bucket))
+    bucket, owner, count = bucket[order], owner[order], count[order]
+    total = np.bincount(owner, count, len(languages)) + 0.5 * BUCKETS
+    words = np.bincount(place[~gram], counts[~gram], len(languages))
     scripts: dict[str, np.ndarray] = {}
-    sums: dict[str, np.ndarray] = {}
-    for x, s, b, n in zip(summed["lang"], summed["script"], summed["bucket"], summed["n"], strict=True):
-        if s is None:
-            counts[b, place[x]] = n
-        else:
-            sums.setdefault(s, np.zeros(len(languages)))[place[x]] = n
-    words = sum(sums.values()) if sums else np.zeros(len(languages))
-    for s, n in sums.items():  # a language has a script if at least a thousandth of its words do
-        mask = n >= np.maximum(1, 0.001 * words)
-        if mask.any():
-            scripts[s] = mask
-    table = np.log((counts + 0.5) / (counts.sum(axis=0) + 0.5 * BUCKETS)).astype(np.float32)
-    return LanguageModel(languages, table, scripts)
+    # a language has a script if at least a thousandth of its words do
+    for s, k, n in zip(summed["script"].filter(pa.array(~gram)).to_pylist(), place[~gram], counts[~gram], strict=True):
+        if n >= max(1, 0.001 * words[k]):
+            scripts.setdefault(s, []).append(k)
+    return LanguageModel(languages, np.searchsorted(bucket, np.arange(BUCKETS + 1)), owner.astype(np.int32),
+                         np.log(2.0 * count + 1).astype(np.float32), np.log(0.5 / total),
+                         {s: np.array(sorted(own)) for s, own in scripts.items()})
 
 
 def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float = SWITCH_PENALTY) -> np.ndarray:
@@ -230,16 +253,16 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float = SWITCH_PEN
     step at a time; of equals the first state, and staying before switching."""
     total, k = scores.shape
     if total == 0:
-        return np.zeros(0, np.int16)
+        return np.zeros(0, np.int32)
     order = np.argsort(-lengths, kind="stable")
     begin = (np.cumsum(lengths) - lengths)[order]
     left = lengths[order]
     steps = int(left[0])
     active = np.searchsorted(-left, -np.arange(1, steps + 1), side="right")
     stay = np.ones((total, k), bool)
-    source = np.zeros(total, np.int16)
+    source = np.zeros(total, np.int32)
     value = scores[begin[:active[0]]].astype(np.float64)
-    last = np.zeros(len(lengths), np.int16)
+    last = np.zeros(len(lengths), np.int32)
     for t in range(steps):
         n = int(active[t])
         if t:
@@ -253,7 +276,7 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float = SWITCH_PEN
         ends = int(active[t + 1]) if t + 1 < steps else 0
         if ends < n:
             last[ends:n] = value[ends:n].argmax(axis=1)
-    path = np.zeros(total, np.int16)
+    path = np.zeros(total, np.int32)
     state = last
     for t in range(steps - 1, -1, -1):
         n = int(active[t])
