@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from tests.llm.cases import docs_frame, edge_rows, words
 from trellis.llm import language_id as L
@@ -125,3 +126,15 @@ def test_word_scores_against_one_language_at_a_time(spark):
                if (x == "ru") == (word == "вода") else -np.inf for x in model.languages]
         assert np.allclose(row, np.maximum(np.array(own) - max(own), -L.WORD_RANGE), atol=1e-4)
     assert not got[4:].any()
+
+
+def test_sample_counts_copies_once_and_has_every_language(spark):
+    rows = [(i, f"text number {i} of these", "en") for i in range(3000)]
+    rows += [(3000 + 1500 * k + i, f"the same text {k}", "de") for k in range(3) for i in range(1500)]
+    rows += [(9000 + i, f"rare text {i}", "sw") for i in range(3)]
+    languages, sample = L.training_rows(docs_frame(spark, rows).select("text", "lang"), 300)
+    own = {r.lang: (r["n"], r.texts) for r in sample.groupBy("lang").agg(
+        F.count("*").alias("n"), F.count_distinct("text").alias("texts")).collect()}
+    assert languages == ["de", "en", "sw"]
+    assert own["de"] == (3, 3) and own["sw"] == (3, 3) and 200 < own["en"][0] == own["en"][1] < 400
+    assert L.fit(docs_frame(spark, rows), max_rows=300).languages == languages

@@ -25,6 +25,7 @@ from four or more languages in like parts does not.
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_right
 from dataclasses import dataclass
@@ -41,8 +42,10 @@ _U = np.uint64
 
 BUCKETS = 1 << 15
 #: The model is fitted on all labelled rows if they are at most so many, else
-#: on about so many, chosen by a hash of the text.
+#: on about so many distinct texts, chosen by their hash ...
 MAX_TRAINING_ROWS = 20_000
+#: ... and on about so many of a language at least (all, if it has fewer).
+FLOOR_ROWS = 50
 SWITCH_PENALTY = 12.0
 #: A word's log-score lies at most so far below its best language's.
 WORD_RANGE = 6.0
@@ -216,18 +219,29 @@ def _count_batches(batches):
                                          ["lang", "script", "bucket", "n"])
 
 
+def training_rows(rows: DataFrame, max_rows: int) -> tuple[list[str], DataFrame]:
+    """The languages of (text, lang) rows and the rows to fit on: all of them, or
+    each chosen text of a language once, so that copies count as one text."""
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    by_lang = rows.groupBy("lang").agg(F.count("*").alias("n"), F.count_distinct("hash").alias("texts")).collect()
+    languages = sorted(r["lang"] for r in by_lang)
+    if sum(r["n"] for r in by_lang) > max_rows:
+        whole = 1_000_000_000
+        even = max_rows / sum(r["texts"] for r in by_lang)
+        cuts = [(r["lang"], math.ceil(whole * min(1.0, max(even, FLOOR_ROWS / r["texts"])))) for r in by_lang]
+        cuts = rows.sparkSession.createDataFrame(cuts, "lang string, cut long")
+        rows = (rows.join(F.broadcast(cuts), "lang").where(F.pmod("hash", F.lit(whole)) < F.col("cut"))
+                .dropDuplicates(["lang", "hash"]))
+    return languages, rows.select("text", "lang")
+
+
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", max_rows: int = MAX_TRAINING_ROWS) -> LanguageModel:
     """Learn from rows with text and language.  What reaches the driver is the
     summed counts: one row for each n-gram bucket and script of a language."""
-    rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(text).alias("text"), F.col(lang).alias("lang"))
-    by_lang = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()
-    total = sum(r["n"] for r in by_lang)
-    languages = sorted(r["lang"] for r in by_lang)
+    languages, rows = training_rows(labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
+        F.col(text).alias("text"), F.col(lang).alias("lang")), max_rows)
     if not languages:
         return LanguageModel([], np.zeros(BUCKETS + 1, np.int64), np.zeros(0, np.int32), np.zeros(0, np.float32), np.zeros(0), {})
-    if total > max_rows:
-        rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(1_000_000 * max_rows / total))
     summed = (rows.mapInArrow(_count_batches, "lang string, script string, bucket int, n long")
               .groupBy("lang", "script", "bucket").agg(F.sum("n").alias("n")).toArrow())
     place = pc.index_in(summed["lang"], pa.array(languages)).to_numpy()
