@@ -95,3 +95,36 @@ def test_one_large_group_of_copies(spark):
     text = " ".join(words(5, 60))
     out = J.near_duplicates(docs_frame(spark, [(i, text) for i in range(300)])).collect()
     assert {(r.n_links, r.group_id) for r in out} == {(299, 0)} and sum(r.kept for r in out) == 1
+
+
+def test_rows_are_judged_by_their_class_not_by_their_id(spark):
+    a, b, c = (" ".join(words(70 + i, 80)) for i in range(3))
+    near = a.split()
+    near[40] = "changed"
+    rows = [(7, a), (7, b), (9, a), (9, c), (5, c), (3, a), (3, " ".join(near)), (3, None), (3, "")]
+    kept = J.keep_documents(docs_frame(spark, rows)).select("doc_id", "text").collect()
+    assert len(kept) == 5
+    got = {(r.doc_id, r.text) for r in kept}
+    assert {(7, b), (5, c), (3, None), (3, "")} <= got
+    assert len(got & {(3, a), (3, " ".join(near))}) == 1
+    out = J.near_duplicates(docs_frame(spark, rows)).where("kept").collect()
+    assert sorted((r.doc_id, r.n_links) for r in out) == [(3, 0), (3, 0), (3, 3), (5, 1), (7, 0)]
+
+
+def test_rows_without_an_id_leave_one_of_a_group(spark):
+    rows = [(None, t) for _, t in near_rows()] + [(None, "a b c"), (None, "a b c"), (None, None), (None, "")]
+    kept = [r.text for r in J.keep_documents(docs_frame(spark, rows)).collect()]
+    sets = [shingle_set(t) for _, t in rows]
+    group = {}
+    for i, x in enumerate(sets):
+        group[i] = i
+        for j in range(i):
+            if x and 5 * len(x & sets[j]) >= 4 * len(x | sets[j]) and group[j] != group[i]:
+                old, new = group[i], group[j]
+                group = {k: new if g == old else g for k, g in group.items()}
+    text_group = {rows[i][1]: g for i, g in group.items()}
+    assert sorted(text_group[t] for t in kept) == sorted({text_group[t] for _, t in rows})
+    # one row with an id stays before any without
+    rows.append((4, near_rows()[0][1]))
+    kept = J.keep_documents(docs_frame(spark, rows)).where("doc_id = 4 or text is null").collect()
+    assert sorted((r.doc_id or -1) for r in kept) == [-1, 4]

@@ -21,8 +21,9 @@ the link itself is exact but for collisions of 64-bit shingle hashes.
 Defined results: a null, empty or blank text has no shingles, its document is a
 class of its own and links with nothing; a text of one to four words has one
 shingle; ids may be null or repeated, rows with equal sets (repeated rows too)
-are copies; ids of a class or group are the smallest non-null ones; an empty
-table gives an empty result; further columns are ignored.
+are copies; ids of a class or group are the smallest non-null ones; the class
+that stands for a group is the one with the smallest id (null last, then the
+smallest key); an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from trellis.llm.common import column_bytes, documents, fresh, mix64, shingles, text_slices
 from trellis.llm.components import connected_components, star_edges
@@ -231,11 +233,9 @@ def _sets_of(batches):
                 [part.column(0), pa.array([x.tobytes() for x in text_sets(part, 1)], pa.binary())], ["key", "set"])
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per document: doc_id, class_id (smallest id with the same shingle
-    set), n_links (other documents at the threshold or above, copies of the
-    same set included), n_class_links (other classes linked), group_id (smallest
-    id reachable by links), kept (the class and id that stand for the group)."""
+def _judged(docs: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, key) of every document and the facts of every class: key,
+    class_id, copies, n_links, n_class_links, group_id, stands (for its group)."""
     depth = matched_depth()
     depths = (depth - 1, depth) if depth > 1 else (depth,)
     kind = dict(docs.dtypes)[doc_id]
@@ -261,19 +261,31 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     counts = found.where("other is null").groupBy("key").agg(F.sum("links").alias("links"), F.sum("weight").alias("weight"))
     linked = connected_components(found.where("other is not null"), "key", "other")
     members_of = linked.join(classes.select(F.col("key").alias("node"), "class_id"), "node")
-    least = members_of.groupBy("root").agg(F.min("class_id").alias("group_id"))
-    grouped = members_of.join(least, "root").select(F.col("node").alias("key"), "group_id")
+    first = F.min(F.struct(F.col("class_id").isNull(), "class_id", F.col("node").alias("key"))).alias("first")
+    least = members_of.groupBy("root").agg(first)
+    grouped = members_of.join(least, "root").select(
+        F.col("node").alias("key"), F.col("first.class_id").alias("group_id"), (F.col("node") == F.col("first.key")).alias("stands"))
     facts = stored(classes.select("key", "class_id", "copies").join(counts, "key", "left").join(grouped, "key", "left")
-             .select("key", "class_id", (F.col("copies") - 1 + F.coalesce("weight", F.lit(0))).alias("n_links"),
+             .select("key", "class_id", "copies", (F.col("copies") - 1 + F.coalesce("weight", F.lit(0))).alias("n_links"),
                      F.coalesce("links", F.lit(0)).alias("n_class_links"),
-                     F.coalesce("group_id", "class_id").alias("group_id")))
+                     F.coalesce("group_id", "class_id").alias("group_id"), F.coalesce("stands", F.lit(True)).alias("stands")))
+    return members, facts
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """One row per document: doc_id, class_id (smallest id with the same shingle
+    set), n_links (other documents at the threshold or above, copies of the
+    same set included), n_class_links (other classes linked), group_id (smallest
+    id reachable by links), kept (the class and id that stand for the group; rows
+    that repeat both are all marked)."""
+    members, facts = _judged(docs, text, doc_id)
     # both sides are plain shuffles here, so AQE splits the copies of a common text
     return (members.join(facts, "key", "left")
             .select("doc_id", F.coalesce("class_id", F.when(F.col("key").isNull(), F.col("doc_id"))).alias("class_id"),
                     F.coalesce("n_links", F.lit(0)).alias("n_links"),
                     F.coalesce("n_class_links", F.lit(0)).alias("n_class_links"),
-                    F.coalesce("group_id", F.when(F.col("key").isNull(), F.col("doc_id"))).alias("group_id"))
-            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("group_id"), F.col("group_id").isNull())))
+                    F.coalesce("group_id", F.when(F.col("key").isNull(), F.col("doc_id"))).alias("group_id"),
+                    (F.col("key").isNull() | (F.col("stands") & F.col("doc_id").eqNullSafe(F.col("class_id")))).alias("kept")))
 
 
 def _keyed_sets(batches):
@@ -285,22 +297,39 @@ def _keyed_sets(batches):
                 ["key", "set"])
 
 
+def _with_key(docs: DataFrame, text: str, name: str) -> DataFrame:
+    """``docs`` and the class key of every row (null without a shingle)."""
+    at = docs.columns.index(text)
+
+    def run(batches):
+        for batch in batches:
+            for part in text_slices(batch, at):
+                keys = [_digest(x) if len(x) else None for x in text_sets(part, at)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(keys, pa.binary())], [*part.schema.names, name])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, BinaryType())]))
+
+
 def keep_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` less all but one of each near-duplicate group (the
-    smallest id stays), all columns as they were.  Rows with a null id or without
-    words stay.  Of rows that repeat the id that stays, one stays."""
-    out = near_duplicates(docs, text, doc_id).where("doc_id is not null")
-    drop = out.groupBy("doc_id").agg(F.max(F.col("kept").cast("int")).alias("stays"),
-                                     F.count("*").alias("rows"), F.max("n_links").alias("n_links"))
-    marked, named_id = fresh(docs, "_rows"), fresh(docs, "_named")
-    verdict = stored(drop.where("stays = 0 or (rows > 1 and n_links > 0)")
-                     .select(F.col("doc_id").alias(named_id), F.when(F.col("stays") == 0, 0).otherwise(2).alias(marked)))
+    """The rows of ``docs`` less all but one of each near-duplicate group, all
+    columns as they were.  Rows are judged by their own class, not by their id: one
+    row with the smallest id (null last) of the class that stands for the group
+    stays.  Rows without words stay."""
+    _, facts = _judged(docs, text, doc_id)
+    key, own, stands, first = (fresh(docs, c) for c in ("_key", "_own", "_stands", "_first"))
+    verdict = stored(facts.where("not stands or copies > 1").select(
+        F.col("key").alias(own), F.col("stands").alias(stands), F.col("class_id").alias(first)))
+    copied = verdict.where(F.col(stands))
+    named = copied.select(first).distinct()
     if at_most(verdict, BROADCAST_ROW_LIMIT):
-        verdict = F.broadcast(verdict)                  # else both sides are shuffled
-    named = docs.join(verdict, F.col(f"`{doc_id}`") == F.col(named_id), "left").drop(named_id)
-    single = named.where(F.col(marked).isNull()).select(*[F.col(f"`{c}`") for c in docs.columns])
-    again = named.where(F.col(marked) == 2).select(*[F.col(f"`{c}`") for c in docs.columns])
-    return single.unionByName(again.dropDuplicates([doc_id]))
+        verdict, copied, named = F.broadcast(verdict), F.broadcast(copied), F.broadcast(named)  # else both sides are shuffled
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    same_id = F.col(f"`{doc_id}`").eqNullSafe(F.col(first))
+    single = _with_key(docs, text, key).join(verdict, F.col(key) == F.col(own), "left_anti").select(*columns)
+    # only rows with the smallest id of a copied class are read for the second part
+    again = (_with_key(docs.join(named, same_id, "left_semi"), text, key)
+             .join(copied, (F.col(key) == F.col(own)) & same_id, "left_semi").dropDuplicates([key]).select(*columns))
+    return single.unionByName(again)
 
 
 def op3_ngram_jaccard_join(spark, sf_dir):
