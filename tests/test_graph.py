@@ -143,3 +143,34 @@ def test_synth_links_degree_rules(spark):
     assert 0 <= dst[0] and dst[1] < n
     ranks = synth.initial_ranks(nodes).agg(F.min("rank"), F.max("rank")).first()
     assert 0.0 <= ranks[0] and ranks[1] < 100.0
+
+
+def test_chunks_of_a_hub_stay_small(spark):
+    # site 1: 2,000 targets and 2,000 parallel links to one; site 2: two links
+    rows = [(1, i) for i in range(2000)] + [(1, 5000)] * 2000 + [(2, 1), (2, 1)]
+    chunks = G.links_to_adjacency_chunks(spark.createDataFrame(rows, "src bigint, dst bigint"), chunk=200)
+    found = chunks.collect()
+    assert max(len(r["edges"]) for r in found) <= 3 * 200
+    assert len({(r["id"], r["part"]) for r in found}) == len(found) and all(r["edges"] == sorted(r["edges"]) for r in found)
+    assert sorted(tuple(r) for r in G.adjacency_to_links(chunks).collect()) == sorted(rows)
+
+
+def test_contributions_on_links_equal_the_array_form(spark):
+    ranks = spark.createDataFrame([(1, 3.0), (1, 3.0), (2, 1.0), (4, 2.0), (7, 1.0)], "id bigint, rank double")
+    sites = G.links_to_adjacency(nodes_df(spark), links_df(spark))
+    want = sorted(tuple(r) for r in G.rank_contributions(G.site_rank_join(sites, ranks)).collect())
+    assert sorted(tuple(r) for r in G.rank_contributions_links(links_df(spark), ranks).collect()) == want
+
+
+def test_queries_gather_no_whole_list(spark, monkeypatch):
+    from tests.conftest import SF_SMALL
+    from trellis import registry
+    from trellis.sources import views
+    links = sorted(tuple(r) for r in views.part_links(spark, SF_SMALL).collect())
+
+    def refused(*_a, **_k):
+        raise AssertionError("a site's whole list in one row")
+    monkeypatch.setattr(G, "links_to_adjacency", refused)
+    assert sorted(tuple(r) for r in registry.q_adjacency_to_links(spark, SF_SMALL).collect()) == links
+    assert registry.q_rank_contributions(spark, SF_SMALL).count() == len(links)
+    assert registry.q_contribution_sum(spark, SF_SMALL).count() == len({d for _, d in links})

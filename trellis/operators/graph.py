@@ -34,10 +34,9 @@ def links_to_adjacency(nodes: DataFrame, links: DataFrame, sort_edges: bool = Tr
     appends is not defined once links are shuffled).
 
     The array form holds a site's whole out-list in one row, as the
-    reference's data model does, so a hub becomes one large row.  Nothing in
-    this package computes on that form at scale: PageRank runs on the link
-    table (``trellis.plans.pagerank``), and this conversion is for exchange
-    with array-form inputs.
+    reference's data model does, so a hub becomes one large row.  It is for
+    exchange only, where a result is defined as whole lists; everything else
+    runs on the link table or on ``links_to_adjacency_chunks``.
     """
     grouped = links.groupBy(F.col("src").alias("id")).agg(F.collect_list("dst").alias("edges"))
     if sort_edges:
@@ -49,12 +48,18 @@ def links_to_adjacency(nodes: DataFrame, links: DataFrame, sort_edges: bool = Tr
 
 def links_to_adjacency_chunks(links: DataFrame, chunk: int = 100_000) -> DataFrame:
     """G2 for graphs with hubs: ``(id, part, edges)``, a site's targets spread by
-    hash over as many parts as keep each near ``chunk`` links, so no row and
-    no group grows with a hub (parallel links to one target share a part)."""
-    deg = links.groupBy(F.col("src").alias("id")).agg(F.ceil(F.count(F.lit(1)) / F.lit(chunk)).cast("int").alias("parts"))
-    dealt = (links.select(F.col("src").alias("id"), "dst").join(deg, "id")
-             .withColumn("part", F.pmod(F.xxhash64("dst"), F.col("parts")).cast("int")))
-    return dealt.groupBy("id", "part").agg(F.array_sort(F.collect_list("dst")).alias("edges"))
+    hash over as many parts as keep each near ``chunk`` links, so no row and no
+    group grows with a hub.  Parallel links are counted first and dealt in pieces
+    of at most a quarter of ``chunk``, so a target linked often is spread too."""
+    piece = max(1, chunk // 4)
+    pairs = links.groupBy(F.col("src").alias("id"), "dst").agg(F.count(F.lit(1)).alias("mult"))
+    deg = pairs.groupBy("id").agg(F.ceil(F.sum("mult") / F.lit(chunk)).cast("int").alias("parts"))
+    pieces = pairs.select("id", "dst", "mult", F.explode(
+        F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("mult") - 1) / F.lit(piece)))).alias("nth"))
+    dealt = (pieces.join(deg, "id").withColumn("part", F.pmod(F.xxhash64("dst", "nth"), F.col("parts")).cast("int"))
+             .withColumn("n", F.least(F.lit(piece), F.col("mult") - F.col("nth") * piece).cast("int")))
+    return dealt.groupBy("id", "part").agg(
+        F.array_sort(F.flatten(F.collect_list(F.array_repeat("dst", F.col("n"))))).alias("edges"))
 
 
 def out_degree(sites: DataFrame) -> DataFrame:
@@ -89,6 +94,14 @@ def rank_contributions(joined: DataFrame) -> DataFrame:
     return joined.select(F.explode("edges").alias("id"), share.alias("c"))
 
 
+def rank_contributions_links(links: DataFrame, ranks: DataFrame) -> DataFrame:
+    """G4 and G5 on the link form: the degree is an aggregate of the links, and
+    each link takes its source's share, so no site's list is ever one row."""
+    shares = (ranks.withColumnRenamed("id", "src").join(out_degree_links(links).withColumnRenamed("id", "src"), "src")
+              .select("src", (F.col("rank") / F.col("n_out")).alias("c")))
+    return links.select("src", "dst").join(shares, "src").select(F.col("dst").alias("id"), "c")
+
+
 def contribution_sum(contribs: DataFrame) -> DataFrame:
     """Sum of contributions per target (partial + final aggregate)."""
     return contribs.groupBy("id").agg(F.sum("c").alias("x"))

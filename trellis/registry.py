@@ -44,6 +44,7 @@ def trade_nodes(spark, sf):
     return cust.unionByName(supp)
 
 
+# whole lists: only for the two queries whose SQL returns them
 def part_sites(spark, sf):
     return G.links_to_adjacency(part_nodes(spark, sf), views.part_links(spark, sf))
 
@@ -55,7 +56,7 @@ def trade_sites(spark, sf):
 # ------------------------------------------------------------------ graph queries
 
 def q_adjacency_to_links(spark, sf):
-    return G.adjacency_to_links(part_sites(spark, sf))
+    return G.adjacency_to_links(G.links_to_adjacency_chunks(views.part_links(spark, sf)))
 
 
 def q_links_to_adjacency(spark, sf):
@@ -72,13 +73,13 @@ def q_site_rank_join(spark, sf):
 
 
 def q_rank_contributions(spark, sf):
-    joined = G.site_rank_join(part_sites(spark, sf), synth.initial_ranks(part_nodes(spark, sf)))
-    return G.rank_contributions(joined).select("id", _r9("c"))
+    out = G.rank_contributions_links(views.part_links(spark, sf), synth.initial_ranks(part_nodes(spark, sf)))
+    return out.select("id", _r9("c"))
 
 
 def q_contribution_sum(spark, sf):
-    joined = G.site_rank_join(part_sites(spark, sf), synth.initial_ranks(part_nodes(spark, sf)))
-    return G.contribution_sum(G.rank_contributions(joined)).select("id", _r9("x"))
+    out = G.rank_contributions_links(views.part_links(spark, sf), synth.initial_ranks(part_nodes(spark, sf)))
+    return G.contribution_sum(out).select("id", _r9("x"))
 
 
 def q_damp(spark, sf):
