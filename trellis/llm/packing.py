@@ -55,7 +55,10 @@ _PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([^\w\s]*)")
 
 def _lowered(text: str) -> str:
     """Lower case ahead of the tokenizer, for texts of Latin-1 characters only,
-    where both lower character by character alike."""
+    where both lower character by character alike.  A text with ``<|`` keeps its
+    case: the tokenizer looks for its special tokens before it lowers."""
+    if "<|" in text:
+        return text
     try:
         text.encode("latin-1")
     except UnicodeEncodeError:
