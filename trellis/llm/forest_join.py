@@ -50,6 +50,8 @@ SPARSE = 4
 #: Verification works on blocks of about so many sets and shingles.
 BLOCK_SETS = 256
 BLOCK_SHINGLES = 1_000_000
+#: Sets are made of about so many text bytes at a time: their arrays take some 60 times that.
+SET_BYTES = 1 << 20
 
 
 def recall_at(depth: int, threshold: float = THRESHOLD, trees: int = TREES) -> float:
@@ -98,7 +100,7 @@ def _signatures(depths: tuple[int, ...]):
 
     def run(batches):
         for batch in batches:
-            for part in text_slices(batch, 1):
+            for part in text_slices(batch, 1, SET_BYTES):
                 keys, sizes, nodes = [], [], []
                 for own in text_sets(part, 1):
                     sizes.append(len(own))
@@ -228,7 +230,7 @@ def _verify(key, table):
 
 def _sets_of(batches):
     for batch in batches:
-        for part in text_slices(batch, 1):
+        for part in text_slices(batch, 1, SET_BYTES):
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array([x.tobytes() for x in text_sets(part, 1)], pa.binary())], ["key", "set"])
 
@@ -290,7 +292,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
 
 def _keyed_sets(batches):
     for batch in batches:
-        for part in text_slices(batch, 0):
+        for part in text_slices(batch, 0, SET_BYTES):
             sets = [x for x in text_sets(part, 0) if len(x)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_digest(x) for x in sets], pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())],
@@ -303,7 +305,7 @@ def _with_key(docs: DataFrame, text: str, name: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in text_slices(batch, at):
+            for part in text_slices(batch, at, SET_BYTES):
                 keys = [_digest(x) if len(x) else None for x in text_sets(part, at)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(keys, pa.binary())], [*part.schema.names, name])
 
