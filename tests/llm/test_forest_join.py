@@ -128,3 +128,8 @@ def test_rows_without_an_id_leave_one_of_a_group(spark):
     rows.append((4, near_rows()[0][1]))
     kept = J.keep_documents(docs_frame(spark, rows)).where("doc_id = 4 or text is null").collect()
     assert sorted((r.doc_id or -1) for r in kept) == [-1, 4]
+
+
+def test_labels_of_the_matched_depth_are_a_prefix():
+    own = J.mix64(J.np.arange(500, dtype=J.np.uint64))
+    assert (J.labels(own, J.matched_depth()) == J.labels(own)[:, :J.matched_depth()]).all()

@@ -1,13 +1,14 @@
-"""N-gram Jaccard self-join by a MinHash LSH forest with exact verification.
+"""N-gram Jaccard self-join by MinHash LSH prefixes with exact verification.
 
 1. Texts with the same set of shingles (five words) are one class; everything
    below works on one representative of each class.
-2. A signature has ``TREES`` tries of ``DEPTH`` labels.  Prefixes are matched at
-   their full length and shortened, all trees in step, until the chance that a
-   pair at the threshold shares a prefix in some tree reaches ``RECALL``; where a
-   trie is sparse (at most ``SPARSE`` classes below a node) one label less is
-   asked for.  Classes that share a node are joined to the node's smallest
-   class, so a node of m classes gives m - 1 rows, never pairs.
+2. A signature has ``TREES`` tries.  The depth of the matched prefixes follows
+   from the parameters alone, not from the data: of at most ``DEPTH`` labels the
+   longest prefix for which the chance that a pair at the threshold shares one in
+   some tree reaches ``RECALL`` (5 here; 6 would reach 0.992), so this is banding,
+   16 bands of 5 rows.  Where a node one label higher has at most ``SPARSE``
+   classes, they match at that depth (4) too; deeper labels are not computed.
+   Classes that share a node are joined to the node's smallest class, so a node of m classes gives m - 1 rows, never pairs.
 3. Connected candidates form groups.  Only their texts are read again; every
    pair inside a group is verified exactly on the shingle sets, block by block
    (blocks of hashed members within bands of set size; bands too far apart to
@@ -50,7 +51,7 @@ SPARSE = 4
 #: Verification works on blocks of about so many sets and shingles.
 BLOCK_SETS = 256
 BLOCK_SHINGLES = 1_000_000
-#: Sets are made of about so many text bytes at a time: their arrays take some 60 times that.
+#: Sets are made of about so many text bytes at a time, which bounds their arrays.
 SET_BYTES = 1 << 20
 
 
@@ -59,7 +60,8 @@ def recall_at(depth: int, threshold: float = THRESHOLD, trees: int = TREES) -> f
 
 
 def matched_depth(threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> int:
-    """Shorten prefixes from ``depth`` until the target recall is reached."""
+    """The longest prefix, of at most ``depth`` labels, that reaches the target
+    recall: fixed by the parameters, whatever the data."""
     while depth > 1 and recall_at(depth, threshold, trees) < recall:
         depth -= 1
     return depth
@@ -79,19 +81,20 @@ def _digest(own: np.ndarray) -> bytes:
 _SEEDS = mix64(np.arange(1, TREES * DEPTH + 1, dtype=np.uint64))
 
 
-def labels(own: np.ndarray) -> np.ndarray:
-    """TREES x DEPTH trie labels: the least of each permutation, mixed to 16 bits."""
-    out = np.empty(len(_SEEDS), np.uint64)
+def labels(own: np.ndarray, depth: int = DEPTH) -> np.ndarray:
+    """TREES x depth trie labels: the least of each permutation, mixed to 16 bits."""
+    seeds = _SEEDS.reshape(TREES, DEPTH)[:, :depth].ravel()
+    out = np.empty(len(seeds), np.uint64)
     with np.errstate(over="ignore"):
-        step = max(1, (1 << 18) // len(_SEEDS))
+        step = max(1, (1 << 18) // len(seeds))
         out[:] = np.uint64(0xFFFFFFFFFFFFFFFF)
         for a in range(0, len(own), step):
-            x = own[a:a + step, None] ^ _SEEDS[None, :]
+            x = own[a:a + step, None] ^ seeds[None, :]
             x *= np.uint64(0xBF58476D1CE4E5B9)
             x ^= x >> np.uint64(32)
             x *= np.uint64(0x94D049BB133111EB)
             np.minimum(out, x.min(axis=0), out=out)
-    return (mix64(out) >> np.uint64(48)).reshape(TREES, DEPTH)
+    return (mix64(out) >> np.uint64(48)).reshape(TREES, depth)
 
 
 def _signatures(depths: tuple[int, ...]):
@@ -109,7 +112,7 @@ def _signatures(depths: tuple[int, ...]):
                         nodes.append(None)
                         continue
                     keys.append(_digest(own))
-                    path = labels(own)
+                    path = labels(own, max(depths))
                     with np.errstate(over="ignore"):
                         made, state = [], salt[:, 0].copy()
                         for d in range(max(depths)):
