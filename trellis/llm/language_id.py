@@ -53,7 +53,9 @@ CACHE_WORDS = 300_000
 #: Scores (words x languages) that a worker remembers, and (n-gram, language)
 #: pairs and scores that it works on at a time.
 CACHE_SCORES = 20_000_000
-WORK_PAIRS = 2_000_000
+WORK_PAIRS = 250_000
+#: Words whose n-grams are counted at a time.
+COUNT_WORDS = 10_000
 #: Least share of a kept text's letters in the spans of one language.
 KEEP_SHARE = 0.3
 
@@ -196,9 +198,10 @@ def _count_batches(batches):
                     weight.append(n)
                     script = script_of(letters)
                     seen[lang, script] = seen.get((lang, script), 0) + n
-            buckets, word = gram_buckets(at)
             total = counts.setdefault(lang, np.zeros(BUCKETS, np.int64))
-            total += np.bincount(buckets, np.array(weight, np.float64)[word], BUCKETS).astype(np.int64)
+            for i in range(0, len(at), COUNT_WORDS):
+                buckets, word = gram_buckets(at[i:i + COUNT_WORDS])
+                total += np.bincount(buckets, np.array(weight[i:i + COUNT_WORDS], np.float64)[word], BUCKETS).astype(np.int64)
         words.clear()
 
     for batch in batches:
