@@ -206,9 +206,9 @@ def oracle_sql() -> str:
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT rid, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
       list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
-tri AS (SELECT rid, unnest(range(1, len(ws) - 1)) AS i, ws FROM w),
-dup AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (
-        PARTITION BY rid, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) AS c FROM tri) WHERE c > 1),
+pos AS (SELECT rid, unnest(ws) AS x, unnest(range(1, len(ws) + 1)) AS i FROM w),
+tri AS (SELECT rid, i, x, lead(x, 1) OVER (PARTITION BY rid ORDER BY i) AS y, lead(x, 2) OVER (PARTITION BY rid ORDER BY i) AS z FROM pos),
+dup AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, x, y, z) AS c FROM tri WHERE z IS NOT NULL) WHERE c > 1),
 rep AS (SELECT rid, count(DISTINCT j) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS j FROM dup) GROUP BY rid),
 s AS (SELECT w.rid, doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
       length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols, len(ls)::BIGINT AS n_lines,
