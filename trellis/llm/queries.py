@@ -6,8 +6,9 @@ derives the digest columns from the operator's output.
 
 from __future__ import annotations
 
-from trellis.llm import collocations, quality_rules
+from trellis.llm import code_search, collocations, quality_rules
 from trellis.llm.byte_bpe import op7_byte_bpe
+from trellis.llm.code_search import op11_equal_average
 from trellis.llm.collocations import op13_collocations
 from trellis.llm.forest_join import op3_ngram_jaccard_join
 from trellis.llm.language_id import op8_language_id
@@ -22,10 +23,11 @@ from trellis.llm.warc import op1_warc
 
 def all_queries() -> dict:
     found = (op1_warc, op2_multi_index, op3_ngram_jaccard_join, op4_best_fit_packing, op5_line_crf,
-             op6_rendezvous_sharding, op7_byte_bpe, op8_language_id, op9_quality_rules, op10_token_counts, op13_collocations)
+             op6_rendezvous_sharding, op7_byte_bpe, op8_language_id, op9_quality_rules, op10_token_counts, op11_equal_average, op13_collocations)
     return {f.__name__: f for f in found}
 
 
 def all_sql() -> dict:
     """DuckDB SQL where a query's rows have an SQL form."""
-    return {"op9_quality_rules": quality_rules.oracle_sql(), "op13_collocations": collocations.oracle_sql()}
+    return {"op9_quality_rules": quality_rules.oracle_sql(), "op11_equal_average": code_search.oracle_sql(),
+            "op13_collocations": collocations.oracle_sql()}
