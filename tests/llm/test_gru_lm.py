@@ -1,0 +1,156 @@
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tests.llm.cases import docs_frame, edge_rows, words
+from trellis.llm import gru_lm as G
+
+
+def tokens_of(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return [*re.findall(r"[^\x20\x09-\x0D]+", low), ""]
+
+
+def held(doc):
+    return doc is not None and zlib.crc32(str(doc).encode()) % 7 == 2
+
+
+def vocabulary(counts, total=None, distinct=None):
+    counts = np.array(sorted(counts, reverse=True), np.int64)
+    names = pa.array([f"w{i}" for i in range(len(counts))], pa.large_string())
+    return G.Vocabulary(total or int(counts.sum()), distinct or len(counts), names, counts)
+
+
+def plain_log_p(v, flat, doc):
+    """Log-probabilities of one document's places, a word at a time."""
+    w = {k: x.astype(float) for k, x in G._split(flat, v.known).items()}
+    n, h, before, out = G.WIDTH, np.zeros(G.WIDTH), v.known, []
+    sigma = lambda x: 1 / (1 + np.exp(-x))
+    for word in doc:
+        x, u = w["inputs"][before] @ w["x"] + w["bias"], h @ w["h"]
+        z, r = sigma(x[:n] + u[:n]), sigma(x[n:2 * n] + u[n:2 * n])
+        h = (1 - z) * h + z * np.tanh(x[2 * n:] + r * u[2 * n:])
+        word = word if 0 <= word < v.known else v.known
+        k = int(np.searchsorted(v.starts, word, side="right")) - 1 if word < v.known else G.CLASSES
+        p = np.exp(h @ w["classes"] + w["class_bias"])
+        value = math.log(p[k] / p.sum())
+        if word < v.known:
+            a, b = v.starts[k], v.starts[k + 1]
+            q = np.exp(w["words"][a:b] @ h + w["word_bias"][a:b])
+            value += math.log(q[word - a] / q.sum())
+        out.append(value)
+        before = word
+    return out
+
+
+@pytest.fixture
+def trained():
+    r = np.random.default_rng(3)
+    v = vocabulary(r.integers(1, 500, 300))
+    flat = G.initial(v) + r.normal(0, 0.2, len(G.initial(v))).astype(np.float32)
+    return v, flat
+
+
+def test_state_is_carried_through_whole_documents(trained):
+    v, flat = trained
+    r = np.random.default_rng(4)
+    lengths = np.array([700, 1, 3, 40, 33, 32, 31, 150, 1, 64])
+    places = r.integers(-1, 300, lengths.sum()).astype(np.int32)
+    for streams in (1, 3, 256):
+        laid = G.lay_out(places, lengths, streams)
+        got = G.run_network(G.Network(v, flat), laid)
+        for d, doc in enumerate(np.split(places, np.cumsum(lengths)[:-1])):
+            assert np.allclose(got[laid.owner == d] if streams > 1 else got[laid.owner == d], plain_log_p(v, flat, doc), atol=1e-4)
+
+
+def test_probabilities_sum_to_one(trained):
+    v, flat = trained
+    state = plain_log_p(v, flat, [5, 7, 1])
+    assert len(state) == 3
+    every = [math.exp(plain_log_p(v, flat, [5, 7, w])[2]) for w in range(v.known)]
+    others = math.exp(plain_log_p(v, flat, [5, 7, -1])[2])
+    assert sum(every) + others == pytest.approx(1, abs=1e-5)
+    # the others' share is divided by add-one counts, one unseen word among them
+    v = vocabulary([50, 20, 3, 2, 1], total=100, distinct=15)
+    rest = [c for c in range(10)]
+    assert v.known == 5 and v.rest == 100 - 76 + 10 + 1 and len(rest) == v.distinct - v.known
+
+
+def test_gradients(trained, monkeypatch):
+    """Backpropagation against differences, with the step recorded instead of taken."""
+    v, flat = trained
+    network = G.Network(v, flat.copy(), np.ones(len(flat), np.float32))
+    found = {}
+
+    def record(self, name, gradient, rows=slice(None)):
+        full = np.zeros_like(self.w[name])
+        full[rows] += gradient
+        found[name] = full
+
+    monkeypatch.setattr(G.Network, "_step", record)
+    r = np.random.default_rng(5)
+    target = r.integers(0, v.known + 1, (6, 4)).astype(np.int16)
+    before = r.integers(0, v.known + 1, (6, 4)).astype(np.int16)
+    fresh = r.random((6, 4)) < 0.3
+    used = r.random((6, 4)) < 0.9
+    args = (np.zeros((G.WIDTH, 4), np.float32), before, target, fresh, used)
+    network.window(*args, train=True)
+
+    def loss(name, at, by):
+        other = flat.astype(np.float32).copy()
+        G._split(other, v.known)[name][at] += by
+        return -G.Network(v, other).window(*args)[0].sum()
+
+    for name, gradient in found.items():
+        top = np.argsort(-np.abs(gradient).ravel())[:3]
+        for at in (np.unravel_index(i, gradient.shape) for i in top):
+            assert (loss(name, at, 0.01) - loss(name, at, -0.01)) / 0.02 == pytest.approx(gradient[at], rel=0.05, abs=0.02)
+
+
+def learnable_rows(n=400):
+    """Documents in one of two invented languages: the state tells which."""
+    r = random.Random(9)
+    sides = [words(1, 60), words(2, 60)]
+    return [(i, " ".join(r.choice(sides[i % 2]) for _ in range(r.randint(20, 200)))) for i in range(n)]
+
+
+def test_query_against_plain_counts(spark, tmp_path):
+    rows = learnable_rows() + [(10_000 + (x or 0), t) for x, t in edge_rows()] + [(None, "null id"), (7, "ÀB ab\x0bAB\x00c")]
+    docs_frame(spark, rows, clashes=False).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    out = G.op12_gru_scores(spark, str(tmp_path)).collect()
+    counts = Counter(t for i, text in rows if not held(i) for t in tokens_of(text))
+    total, distinct = sum(counts.values()), len(counts)
+    want = Counter()
+    for i, text in rows:
+        own = tokens_of(text)
+        base = sum(math.log10((counts[t] + 1) / (total + distinct + 1)) for t in own)
+        want[i, held(i), len(own), sum(counts[t] > 0 for t in own), total, round(base, 6)] += 1
+    assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in out) == want
+    assert all(math.isfinite(r.score) and r.score < 0 for r in out)
+    mine = [r for r in out if r.held_out and r.doc_id < 10_000]
+    assert sum(r.score for r in mine) > sum(r.base_score for r in mine) + 0.1 * sum(r.n_tokens for r in mine)
+
+
+def test_scores_with_clashing_columns_and_nothing_to_learn(spark):
+    docs = docs_frame(spark, [(1, "a b"), (2, None)])
+    from pyspark.sql import functions as F
+    out = G.score(docs, F.lit(True)).collect()
+    assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in sorted(out)] == [(3, 0, 0, 0.0), (1, 0, 0, 0.0)]
+    assert G.score(docs_frame(spark, []), F.lit(False)).count() == 0
+
+
+def test_rare_words_are_joined(spark, monkeypatch):
+    """With a small head, counts of the other words come from the table."""
+    monkeypatch.setattr(G, "HEAD", 40)
+    rows = learnable_rows(60)
+    out = G.score(docs_frame(spark, rows), G.held_out()).collect()
+    counts = Counter(t for i, text in rows if not held(i) for t in tokens_of(text))
+    total, distinct = sum(counts.values()), len(counts)
+    want = {i: sum(math.log10((counts[t] + 1) / (total + distinct + 1)) for t in tokens_of(text)) for i, text in rows}
+    assert {r.doc_id: round(r.base_score, 6) for r in out} == {i: round(b, 6) for i, b in want.items()}

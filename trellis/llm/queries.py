@@ -11,6 +11,7 @@ from trellis.llm.byte_bpe import op7_byte_bpe
 from trellis.llm.code_search import op11_equal_average
 from trellis.llm.collocations import op13_collocations
 from trellis.llm.forest_join import op3_ngram_jaccard_join
+from trellis.llm.gru_lm import op12_gru_scores
 from trellis.llm.language_id import op8_language_id
 from trellis.llm.line_crf import op5_line_crf
 from trellis.llm.multi_index import op2_multi_index
@@ -23,7 +24,8 @@ from trellis.llm.warc import op1_warc
 
 def all_queries() -> dict:
     found = (op1_warc, op2_multi_index, op3_ngram_jaccard_join, op4_best_fit_packing, op5_line_crf,
-             op6_rendezvous_sharding, op7_byte_bpe, op8_language_id, op9_quality_rules, op10_token_counts, op11_equal_average, op13_collocations)
+             op6_rendezvous_sharding, op7_byte_bpe, op8_language_id, op9_quality_rules, op10_token_counts, op11_equal_average, op12_gru_scores,
+             op13_collocations)
     return {f.__name__: f for f in found}
 
 
