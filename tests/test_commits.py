@@ -1,0 +1,168 @@
+"""Commit protocol of the catalog table (F7 sink) and serving while it changes."""
+
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from trellis.operators.catalog import path_kind
+from trellis.operators.requests import serve
+from trellis.session import create_once, publish_once, read_text, shared_dir
+from trellis.sources import views
+from trellis.sources.catalog_log import CatalogTable, insert_stream, nodes_per_name
+from trellis.streaming import live
+
+SF = "/root/testdata/sf0.001"
+BATCH = "seq bigint, path string, contents string"
+
+
+def table(spark):
+    return CatalogTable(spark, shared_dir(spark, "test-catalog"))
+
+
+def batch(spark, *paths, body="x"):
+    return spark.createDataFrame([(i, p, body) for i, p in enumerate(paths)], BATCH)
+
+
+def rows(t, version=None):
+    return sorted((r.path, r.contents) for r in t.files(version).collect())
+
+
+def test_two_interleaved_batches_and_a_replayed_one(spark):
+    """B publishes between A's staging and A's publishing: A is judged anew."""
+    t = table(spark)
+    a = batch(spark, "/static/a", "/static/both", "/static/d/f", "/static/e", body="A")
+    b = batch(spark, "/static/b", "/static/both", "/static/d", "/static/e/under", body="B")
+    met = []
+
+    def other():
+        if not met:
+            met.append(CatalogTable(spark, t.path).insert(b, "B"))
+
+    first = t.insert(a, "A", before_publish=other)
+    assert met[0].version == 1 and first.version == 2 and first.accepted == 1
+    want = [("/static/a", "A"), ("/static/b", "B"), ("/static/both", "B"), ("/static/d", "B"), ("/static/e/under", "B")]
+    assert rows(t) == want
+    assert {(r.path, r.reason) for r in t.rejected("A").collect()} == {
+        ("/static/both", "duplicate"), ("/static/d/f", "parent_is_file"), ("/static/e", "is_folder")}
+    assert t.insert(a, "A") == first and t.insert(b, "B") == met[0]     # replayed
+    assert rows(t) == want and t.version() == 2 and nodes_per_name(t.files()).count() == 0
+    assert rows(t, 1) == [r for r in want if r[1] == "B"] and rows(t, 0) == []
+    # the folder that A staged first is gone; only published ones are left
+    data = t.path.replace("file:", "") + "/data"
+    assert sorted(os.listdir(data)) == sorted(c.folder.split("/")[1] for c in t.commits())
+
+
+def test_replay_after_a_failure_before_publishing(spark):
+    t = table(spark)
+
+    def fail():
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError, match="lost"):
+        t.insert(batch(spark, "/static/a", "/static/b"), "A", before_publish=fail)
+    assert rows(t) == [] and t.version() == 0           # staged rows are not seen
+    t.insert(batch(spark, "/static/a", "/static/b"), "A")
+    assert rows(t) == [("/static/a", "x"), ("/static/b", "x")]
+
+
+def test_random_batches_equal_one_batch_after_another(spark):
+    """Each commit against a sequential tree; nodes never repeat."""
+    r = random.Random(3)
+    t, names, folders = table(spark), set(), {"/static"}
+    for k in range(4):
+        paths = ["/static/" + "/".join(r.choice("abc") for _ in range(r.randint(1, 3))) for _ in range(12)] + ["/static/none", "rel", "/other/x"]
+        t.insert(batch(spark, *paths, body=str(k)), f"b{k}")
+        for p in paths:
+            up = ["/".join(p.split("/")[:i]) for i in range(2, len(p.split("/")))]
+            if p.startswith("/static/") and p not in names | folders and not names & set(up):
+                names.add(p)
+                folders.update(up)
+        assert {p for p, _ in rows(t)} == names
+    kinds = path_kind(t.files(), spark.createDataFrame([(p,) for p in sorted(names | folders)], "path string")).collect()
+    assert {x.path for x in kinds if x.kind == "file"} == names and {x.path for x in kinds if x.kind == "folder"} == folders
+
+
+def test_insert_stream_commits_each_micro_batch_once(spark, tmp_path):
+    t = table(spark)
+    for k in range(3):
+        batch(spark, f"/static/{k}", "/static/same").coalesce(1).write.parquet(str(tmp_path / f"feed/{k}"))
+    feed = spark.readStream.schema(BATCH).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "feed"))
+    for _ in range(2):                                     # the second run finds nothing new
+        insert_stream(feed, t, str(tmp_path / "ckpt"), "feed", available_now=True).awaitTermination()
+    assert [p for p, _ in rows(t)] == ["/static/0", "/static/1", "/static/2", "/static/same"]
+    assert [c.batch_id for c in t.commits()] == ["feed-0", "feed-1", "feed-2"]
+    # a micro-batch that is run again although it was published
+    assert t.insert(batch(spark, "/static/9"), "feed-1").version == 2 and t.version() == 3
+
+
+def test_small_files_are_whole_and_written_once(spark):
+    d = shared_dir(spark, "once")
+    assert read_text(spark, f"{d}/x") is None
+    assert create_once(spark, f"{d}/x", "ä") and not create_once(spark, f"{d}/x", "b") and read_text(spark, f"{d}/x") == "ä"
+    for k in (1, 2):
+        spark.range(k).write.parquet(f"{d}/staged{k}")
+        publish_once(spark, f"{d}/staged{k}", f"{d}/in/final")
+    assert spark.read.parquet(f"{d}/in/final").count() == 1
+    assert not os.path.exists(f"{d}/staged2".replace("file:", ""))
+
+
+def request_feed(spark, d, lines):
+    ev = spark.createDataFrame([(i, line, i, None) for i, line in lines], "request_id bigint, line string, driver bigint, ts timestamp_ntz")
+    ev.coalesce(1).write.parquet(f"{d}/{lines[0][0]}")
+
+
+def run_live(spark, d, catalog, **more):
+    schema = "request_id bigint, line string, driver bigint, ts timestamp_ntz"
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(f"{d}/feed")
+    live.serve_live(stream, catalog, f"{d}/out", f"{d}/ckpt", available_now=True, **more).awaitTermination()
+    return {r.request_id: (r.status, r.body, r.version) for r in live.answers(spark, f"{d}/out").collect()}
+
+
+@pytest.mark.parametrize("limits", [{}, {"broadcast_rows": 0}])
+def test_a_file_added_between_micro_batches_is_served(spark, tmp_path, limits):
+    t, d = table(spark), str(tmp_path)
+    catalog = live.LiveCatalog(t, segments=2, **limits)
+    t.insert(batch(spark, "/static/a", body="one"), "1")
+    ask = [f"GET /static/{x} HTTP/1.1" for x in "abcd"]
+    want = {}
+    for k, name in enumerate("bcd"):
+        lines = [(10 * k + i, line) for i, line in enumerate(ask)]
+        request_feed(spark, f"{d}/feed", lines)
+        got = run_live(spark, d, catalog)
+        held = "abcd"[:k + 1]
+        want.update({i: (200, "one", k + 1) if "abcd"[i % 10] in held else (404, None, k + 1) for i, _ in lines})
+        assert got == want
+        assert sum(seg.count() for seg in catalog.at(t.version())) == k + 1 and len(catalog.held) <= 2
+        t.insert(batch(spark, f"/static/{name}", body="one"), f"add-{name}")
+    catalog.release()
+
+
+def test_a_repeated_micro_batch_answers_from_the_same_version(spark, tmp_path):
+    """The query fails after choosing a version; a file is added; the retry does not see it."""
+    t, d = table(spark), str(tmp_path)
+    catalog = live.LiveCatalog(t)
+    t.insert(batch(spark, "/static/a"), "1")
+    request_feed(spark, f"{d}/feed", [(0, "GET /static/a x"), (1, "GET /static/b x")])
+
+    def fail(_):
+        raise RuntimeError("lost")
+
+    with pytest.raises(Exception, match="lost"):
+        run_live(spark, d, catalog, before_answer=fail)
+    t.insert(batch(spark, "/static/b"), "2")
+    assert run_live(spark, d, catalog) == {0: (200, "x", 1), 1: (404, None, 1)}
+    request_feed(spark, f"{d}/feed", [(5, "GET /static/b x")])
+    assert run_live(spark, d, catalog)[5] == (200, "x", 2)
+    catalog.release()
+
+
+def test_lookup_in_segments_equals_one_table(spark):
+    files, req = views.files(spark, SF), views.requests(spark, SF)
+    parts = [files.where(F.pmod(F.xxhash64("path"), F.lit(3)) == k) for k in range(3)]
+    from trellis.operators.catalog import keyed_files
+    got = serve(req, files, keyed=[keyed_files(p) for p in parts])
+    key = lambda r: (r.request_id, r.path, r.status, r.body)
+    assert sorted(map(key, got.collect())) == sorted(map(key, serve(req, files).collect()))
+    assert {r.status for r in serve(req, files, keyed=[]).collect()} == {404}

@@ -80,16 +80,22 @@ def keyed_files(files: DataFrame) -> DataFrame:
 
 
 def read_files(files: DataFrame, wanted: DataFrame, path_col: str = "path",
-               keyed: DataFrame | None = None) -> DataFrame:
+               keyed: DataFrame | list[DataFrame] | None = None) -> DataFrame:
     """every wanted row, once, plus ``contents``; NULL when the path is
     missing, a folder, below a file, outside the root or not absolute.
 
     ``keyed`` may hold a prepared lookup side (``keyed_files`` output, e.g.
     broadcast or bucketed on ``_key``), which is then used instead of
-    ``files``.
+    ``files``; or a list of them that have no key in common.
     """
     nodes = keyed if keyed is not None else keyed_files(files)
-    return wanted.withColumn("_key", path_key(path_col)).join(nodes, "_key", "left").drop("_key")
+    out = wanted.withColumn("_key", path_key(path_col))
+    if not isinstance(nodes, list):
+        return out.join(nodes, "_key", "left").drop("_key")
+    for k, part in enumerate(nodes):
+        out = out.join(part.select("_key", F.col("contents").alias(f"_c{k}")), "_key", "left")
+    found = F.coalesce(*[F.col(f"_c{k}") for k in range(len(nodes))]) if nodes else F.lit(None).cast("string")
+    return out.select(*wanted.columns, found.alias("contents"))
 
 
 def node_kinds(files: DataFrame) -> DataFrame:
@@ -203,7 +209,9 @@ def add_files(catalog: DataFrame, batch: DataFrame) -> tuple:
 
 
 def append_files(accepted: DataFrame, table_path: str) -> None:
-    """F7 sink: append accepted files to a parquet catalog; never overwrites.
+    """F7 sink for one writer: append accepted files to a parquet folder; never
+    overwrites.  ``trellis.sources.catalog_log`` is the sink for several writers, and for
+    batches that may be repeated.
 
     Rows whose node the table already holds are left out (keys only are
     compared), so appending the same files again changes nothing.

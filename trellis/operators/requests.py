@@ -36,7 +36,7 @@ def accepted_requests(parsed: DataFrame) -> DataFrame:
     return parsed.where(_reason().isNull())
 
 
-def serve(req: DataFrame, files: DataFrame, keyed: DataFrame | None = None) -> DataFrame:
+def serve(req: DataFrame, files: DataFrame, keyed: DataFrame | list[DataFrame] | None = None) -> DataFrame:
     """For every request R2 does not reject, 200 and the body when the
     path names a file, else 404 and no body.  Extra request columns (``ts``,
     ``driver``) pass through.  ``keyed`` is an optional prepared lookup side

@@ -309,44 +309,15 @@ SERVED = f"""served AS (
   FROM acc a LEFT JOIN fnodes f ON f.key = {canon_sql(comps_sql('a.path'))})"""
 
 
-def catalog_sql() -> dict:
-    q = {}
-    q["path_components"] = _with(REQUESTS, RP) + f"SELECT request_id, path, {comps_sql('path')} AS comps FROM rp"
-    q["path_canonical"] = _with(REQUESTS, RP, RPC) + f"SELECT request_id, {canon_sql('comps')} AS canonical FROM rpc"
-    q["is_absolute"] = _with(REQUESTS, RP) + (
-        "SELECT request_id, coalesce(starts_with(path, '/'), false) AS absolute FROM rp")
-    q["path_part_depth"] = _with(REQUESTS, RP, RPC) + (
-        "SELECT request_id, comps[1] AS part0, comps[3] AS part2, CAST(len(comps) AS BIGINT) AS depth FROM rpc")
-    q["under_root"] = _with(REQUESTS, RP, RPC) + (
-        f"SELECT request_id, {under_root_sql('comps')} AS under_root FROM rpc")
-    q["folder_tree"] = _with(FILES, FNODES, FOLDERS) + "SELECT folder, CAST(depth AS BIGINT) AS depth FROM folders"
-    q["list_children"] = _with(FILES, FNODES, CHILDREN) + "SELECT parent, name, kind FROM children"
-    q["has_child"] = _with(REQUESTS, RP, RPC, FILES, FNODES, CHILDREN) + f"""
-        SELECT p.parent, p.name, coalesce(h.hit, false) AS found
-        FROM (SELECT {canon_sql('comps[1:len(comps) - 1]')} AS parent, comps[len(comps)] AS name
-              FROM rpc WHERE len(comps) >= 1) p
-        LEFT JOIN (SELECT DISTINCT parent AS pk, name, true AS hit FROM children) h
-             ON h.pk = {canon_sql(comps_sql('p.parent'))} AND h.name = p.name"""
-    q["read_files"] = _with(REQUESTS, RP, RPC, FILES, FNODES) + f"""
-        SELECT r.request_id, r.path, f.contents
-        FROM rpc r LEFT JOIN fnodes f ON f.key = {canon_sql('r.comps')}"""
-    q["path_kind"] = _with(REQUESTS, RP, RPC, FILES, FNODES, FOLDERS) + f"""
-        SELECT r.request_id, r.path,
-          CASE WHEN r.path IS NULL OR NOT starts_with(r.path, '/') THEN 'not_absolute'
-               WHEN NOT {under_root_sql('r.comps')} THEN 'outside_root'
-               WHEN EXISTS (SELECT 1 FROM fnodes f WHERE f.key = {canon_sql('r.comps')}) THEN 'file'
-               WHEN EXISTS (SELECT 1 FROM folders d WHERE d.folder = {canon_sql('r.comps')}) THEN 'folder'
-               WHEN EXISTS (SELECT 1 FROM fnodes f, range(2, len(r.comps)) t(n)
-                            WHERE f.key = {canon_sql('r.comps[1:n]')}) THEN 'below_file'
-               ELSE 'missing' END AS kind
-        FROM rpc r"""
-    q["add_files"] = _with(REQUESTS, RP) + f""",
+def _verdicts(doc_seq: str, req_seq: str) -> str:
+    """Verdicts of inserting documents and requests, in the order given, after the English files."""
+    return _with(REQUESTS, RP) + f""",
         batch AS (
-          SELECT 2 * doc_id AS seq,
+          SELECT {doc_seq} AS seq,
                  '/static/d' || CAST(doc_id % 4 AS VARCHAR) || '/e' || CAST(doc_id % 20 AS VARCHAR)
                  || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS path
           FROM documents
-          UNION ALL SELECT 2 * request_id + 1, path FROM rp),
+          UNION ALL SELECT {req_seq}, path FROM rp),
         cat AS (
           SELECT -1 AS seq, {canon_sql('c')} AS key, c AS comps
           FROM (SELECT {comps_sql("'/static/d' || CAST(doc_id % 4 AS VARCHAR) || '/e' || CAST(doc_id % 20 AS VARCHAR) || '/' || CAST(doc_id AS VARCHAR) || '.txt'")} AS c
@@ -378,12 +349,60 @@ def catalog_sql() -> dict:
           FROM vb v JOIN made m ON m.node = v.key)
         SELECT b.seq, b.path, coalesce(b.pre, j.verdict) AS verdict
         FROM b LEFT JOIN judged j ON j.seq = b.seq"""
+
+
+def catalog_sql() -> dict:
+    q = {}
+    q["path_components"] = _with(REQUESTS, RP) + f"SELECT request_id, path, {comps_sql('path')} AS comps FROM rp"
+    q["path_canonical"] = _with(REQUESTS, RP, RPC) + f"SELECT request_id, {canon_sql('comps')} AS canonical FROM rpc"
+    q["is_absolute"] = _with(REQUESTS, RP) + (
+        "SELECT request_id, coalesce(starts_with(path, '/'), false) AS absolute FROM rp")
+    q["path_part_depth"] = _with(REQUESTS, RP, RPC) + (
+        "SELECT request_id, comps[1] AS part0, comps[3] AS part2, CAST(len(comps) AS BIGINT) AS depth FROM rpc")
+    q["under_root"] = _with(REQUESTS, RP, RPC) + (
+        f"SELECT request_id, {under_root_sql('comps')} AS under_root FROM rpc")
+    q["folder_tree"] = _with(FILES, FNODES, FOLDERS) + "SELECT folder, CAST(depth AS BIGINT) AS depth FROM folders"
+    q["list_children"] = _with(FILES, FNODES, CHILDREN) + "SELECT parent, name, kind FROM children"
+    q["has_child"] = _with(REQUESTS, RP, RPC, FILES, FNODES, CHILDREN) + f"""
+        SELECT p.parent, p.name, coalesce(h.hit, false) AS found
+        FROM (SELECT {canon_sql('comps[1:len(comps) - 1]')} AS parent, comps[len(comps)] AS name
+              FROM rpc WHERE len(comps) >= 1) p
+        LEFT JOIN (SELECT DISTINCT parent AS pk, name, true AS hit FROM children) h
+             ON h.pk = {canon_sql(comps_sql('p.parent'))} AND h.name = p.name"""
+    q["read_files"] = _with(REQUESTS, RP, RPC, FILES, FNODES) + f"""
+        SELECT r.request_id, r.path, f.contents
+        FROM rpc r LEFT JOIN fnodes f ON f.key = {canon_sql('r.comps')}"""
+    q["path_kind"] = _with(REQUESTS, RP, RPC, FILES, FNODES, FOLDERS) + f"""
+        SELECT r.request_id, r.path,
+          CASE WHEN r.path IS NULL OR NOT starts_with(r.path, '/') THEN 'not_absolute'
+               WHEN NOT {under_root_sql('r.comps')} THEN 'outside_root'
+               WHEN EXISTS (SELECT 1 FROM fnodes f WHERE f.key = {canon_sql('r.comps')}) THEN 'file'
+               WHEN EXISTS (SELECT 1 FROM folders d WHERE d.folder = {canon_sql('r.comps')}) THEN 'folder'
+               WHEN EXISTS (SELECT 1 FROM fnodes f, range(2, len(r.comps)) t(n)
+                            WHERE f.key = {canon_sql('r.comps[1:n]')}) THEN 'below_file'
+               ELSE 'missing' END AS kind
+        FROM rpc r"""
+    q["add_files"] = _verdicts("2 * doc_id", "2 * request_id + 1")
     verdicts = q["add_files"]
     docs = """SELECT 2 * doc_id AS seq, text AS contents FROM documents
               UNION ALL SELECT 2 * request_id + 1, line FROM rp"""
     q["add_files_accepted"] = f"SELECT v.path, c.contents FROM ({verdicts}) v JOIN (" + _with(REQUESTS, RP) + docs + \
         ") c ON c.seq = v.seq WHERE v.verdict = 'accepted'"
     q["add_files_rejected"] = f"SELECT seq, path, verdict AS reason FROM ({verdicts}) v WHERE verdict <> 'accepted'"
+    # one commit after another is one batch in that order: requests, then documents
+    after = 1_000_000_000_000
+    judged = _verdicts(f"{after} + doc_id", "request_id")
+    told = "CASE WHEN v.seq < {a} THEN 'requests' ELSE 'documents' END".format(a=after)
+    docs = f"""SELECT {after} + doc_id AS seq, text AS contents FROM documents
+               UNION ALL SELECT request_id, line FROM rp"""
+    q["insert_files"] = f"""
+        SELECT 'kept' AS batch, CAST(NULL AS BIGINT) AS seq, v.path, c.contents AS reason
+        FROM ({judged}) v JOIN (""" + _with(REQUESTS, RP) + docs + f""") c ON c.seq = v.seq WHERE v.verdict = 'accepted'
+        UNION ALL
+        SELECT 'kept', NULL, path, contents FROM (""" + _with(FILES) + f"""SELECT path, contents FROM files
+          JOIN documents ON lang = 'en' AND ends_with(path, '/' || CAST(doc_id AS VARCHAR) || '.txt')) f
+        UNION ALL
+        SELECT {told}, v.seq % {after}, v.path, v.verdict FROM ({judged}) v WHERE v.verdict <> 'accepted'"""
     return q
 
 
@@ -421,6 +440,23 @@ def requests_sql() -> dict:
     q["completed_requests_stream"] = base + """
         SELECT time_bucket(INTERVAL '10 seconds', ts) AS window_start, driver, count(*) AS n
         FROM served GROUP BY time_bucket(INTERVAL '10 seconds', ts), driver"""
+    arrivals = """,
+        arrivals AS (SELECT event_id, CAST(floor(event_id * 3 / (SELECT max(event_id) + 1 FROM events)) AS INTEGER)
+                            + CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END AS arrival FROM events)"""
+    q["completed_requests_late"] = base + arrivals + """,
+        timed AS (SELECT s.driver, a.arrival, s.ts, time_bucket(INTERVAL '10 seconds', s.ts) AS window_start
+                  FROM served s JOIN arrivals a ON a.event_id = s.request_id),
+        high AS (SELECT b.arrival, max(t.ts) - INTERVAL 5 DAY AS watermark
+                 FROM (SELECT DISTINCT arrival FROM timed) b JOIN timed t ON t.arrival < b.arrival GROUP BY b.arrival),
+        judged AS (SELECT t.*, coalesce(t.window_start + INTERVAL 10 SECOND <= h.watermark, false) AS late
+                   FROM timed t LEFT JOIN high h ON h.arrival = t.arrival)
+        SELECT window_start, driver, count(*) FILTER (NOT late) AS n, count(*) FILTER (late) AS n_late
+        FROM judged GROUP BY window_start, driver"""
+    q["serve_live"] = base + arrivals + """,
+        english AS (SELECT DISTINCT '/' || CAST(doc_id AS VARCHAR) || '.txt' AS name FROM documents WHERE lang = 'en')
+        SELECT request_id, path, CASE WHEN seen THEN status ELSE 404 END AS status, CASE WHEN seen THEN body END AS body
+        FROM (SELECT s.*, a.arrival > 0 OR s.status = 404 OR regexp_extract(rtrim(s.path, '/'), '/[^/]*$') IN (SELECT name FROM english) AS seen
+              FROM served s JOIN arrivals a ON a.event_id = s.request_id) t"""
     q["response_check"] = base + """,
         expected AS (
           SELECT a.request_id, CASE WHEN f.contents IS NULL THEN 404 ELSE 200 END AS status, f.contents AS body

@@ -24,7 +24,10 @@ from trellis.plans.pagerank import pagerank
 from trellis.plans.tables import stored
 from trellis.sources import views
 from trellis.sources.tables import read_table
-from trellis.streaming.serve import completed_available, serve_available
+from trellis.session import shared_dir
+from trellis.sources.catalog_log import CatalogTable
+from trellis.streaming.live import serve_arrivals
+from trellis.streaming.serve import completed_arrivals, completed_available, serve_available
 
 
 def _r9(c: str):
@@ -374,6 +377,21 @@ def q_add_files_accepted(spark, sf):
     return accepted
 
 
+def q_insert_files(spark, sf):
+    """Three commits and a repeated one; the table's rows and dead letters."""
+    table = CatalogTable(spark, shared_dir(spark, "insert-files"))
+    docs = views.document_files(spark, sf).withColumn("seq", F.col("doc_id"))
+    reqs = views.requests(spark, sf).select(F.col("request_id").alias("seq"), request_path("line").alias("path"),
+                                            F.col("line").alias("contents"))
+    table.insert(docs.where(F.col("lang") == "en"), "english")
+    table.insert(reqs, "requests")
+    table.insert(docs, "documents")
+    table.insert(reqs, "requests")
+    dead = [table.rejected(b).select(F.lit(b).alias("batch"), "seq", "path", "reason") for b in ("english", "requests", "documents")]
+    kept = table.files().select(F.lit("kept").alias("batch"), F.lit(None).cast("bigint").alias("seq"), "path", F.col("contents").alias("reason"))
+    return kept.unionByName(dead[0]).unionByName(dead[1]).unionByName(dead[2])
+
+
 def q_add_files_rejected(spark, sf):
     _, rejected = C.add_files(english_catalog(spark, sf), insert_batch(spark, sf))
     return rejected
@@ -421,7 +439,15 @@ def q_serve_stream(spark, sf):
 
 
 def q_completed_requests_stream(spark, sf):
-    return completed_available(spark, sf)
+    return completed_available(spark, sf, lateness="1 hour")
+
+
+def q_completed_requests_late(spark, sf):
+    return completed_arrivals(spark, sf, "5 days")
+
+
+def q_serve_live(spark, sf):
+    return serve_arrivals(spark, sf).select("request_id", "path", "status", "body")
 
 
 CATALOG = {
@@ -438,6 +464,7 @@ CATALOG = {
     "add_files": q_add_files,
     "add_files_accepted": q_add_files_accepted,
     "add_files_rejected": q_add_files_rejected,
+    "insert_files": q_insert_files,
 }
 
 REQUESTS = {
@@ -448,7 +475,9 @@ REQUESTS = {
     "completed_requests": q_completed_requests,
     "response_check": q_response_check,
     "serve_stream": q_serve_stream,
+    "serve_live": q_serve_live,
     "completed_requests_stream": q_completed_requests_stream,
+    "completed_requests_late": q_completed_requests_late,
 }
 
 

@@ -86,3 +86,54 @@ def delete_dir(spark: SparkSession, path: str) -> None:
     """Remove a folder of ours through the file system that holds it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file under ``path`` if there is none: whole or not at all, and of
+    several writers one succeeds.  True for that one."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(conf)
+    if fs.exists(target):
+        return False
+    staged = jvm.org.apache.hadoop.fs.Path(f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}.tmp")
+    out = fs.create(staged, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf)
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(context.makeQualified(staged), context.makeQualified(target), options)
+    except Exception as e:
+        fs.delete(staged, False)
+        if "FileAlreadyExists" in str(e):
+            return False
+        raise
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None where there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def publish_once(spark: SparkSession, staged: str, target: str) -> None:
+    """Rename a written folder to its final name; where that is there already (an
+    attempt that was repeated) it stays and the new copy goes."""
+    jvm = spark._jvm
+    source, to = jvm.org.apache.hadoop.fs.Path(staged), jvm.org.apache.hadoop.fs.Path(target)
+    fs = to.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(to):
+        fs.delete(source, True)
+        return
+    fs.mkdirs(to.getParent())
+    if not fs.rename(source, to):
+        raise RuntimeError(f"could not rename {staged} to {target}")

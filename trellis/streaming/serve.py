@@ -21,8 +21,9 @@ from pyspark.sql.streaming import StreamingQuery
 from trellis.operators.catalog import keyed_files
 from trellis.operators.requests import serve
 from trellis.plans.tables import write_bucketed
-from trellis.session import shared_dir
+from trellis.session import publish_once, shared_dir
 from trellis.sources import views
+from trellis.streaming import late
 
 EVENTS_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
                  "value double, props string")
@@ -32,9 +33,11 @@ def request_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int
     """The ``events`` files of a folder read as a stream, turned into request lines.
 
     The folder is the feed: every ``events*.parquet`` file landing in it is a
-    new micro-batch input.
+    new micro-batch input.  A folder pattern (``feed/*``) reads every parquet file in
+    the folders that match.
     """
-    reader = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events*.parquet")
+    reader = spark.readStream.schema(EVENTS_SCHEMA).option(
+        "pathGlobFilter", "*.parquet" if sf_dir.endswith("*") else "events*.parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     events = reader.parquet(sf_dir)
@@ -142,16 +145,70 @@ def serve_available(spark: SparkSession, sf_dir: str, max_files_per_trigger: int
     return spark.read.parquet(out)
 
 
-def completed_available(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Run R5 -> R6 (streaming) over everything in the feed; return the counts.
-    Only whether a request completes matters, so no contents are read."""
-    files = views.files(spark, sf_dir).select("path", F.lit("").alias("contents"))
-    catalog = prepare_catalog(files)
-    out = shared_dir(spark, "completed-out")
-    try:
-        served = serve(request_stream(spark, sf_dir, max_files_per_trigger), files, keyed=catalog.table)
-        q = completed_stream(served, out, shared_dir(spark, "completed-ckpt"), available_now=True)
-        q.awaitTermination()
-    finally:
-        catalog.release()
-    return completed_counts(spark, out)
+class CompletedRun:
+    """R5 -> R6 over a feed of ``events*.parquet`` files that grows between calls of
+    ``advance``.  With a ``lateness`` the state is bounded: rows pass the gate of
+    ``trellis.streaming.late`` and windows close.  Only whether a request
+    completes matters, so no contents are read."""
+
+    def __init__(self, spark: SparkSession, feed: str, files: DataFrame, lateness: str | None = None,
+                 max_files_per_trigger: int | None = None):
+        self.spark, self.feed, self.lateness, self.per_trigger = spark, feed, lateness, max_files_per_trigger
+        self.files = files.select("path", F.lit("").alias("contents"))
+        names = ("completed-out", "completed-ckpt", "completed-gate", "completed-gate-ckpt")
+        self.out, self.checkpoint, self.gate, self.gate_checkpoint = (shared_dir(spark, n) for n in names)
+        self.dropped = 0
+
+    def advance(self) -> StreamingQuery:
+        """Count what has come since; returns the counting query, ended."""
+        catalog = prepare_catalog(self.files)
+        try:
+            served = serve(request_stream(self.spark, self.feed, self.per_trigger), self.files, keyed=catalog.table)
+            if self.lateness:
+                late.admit_stream(served, self.gate, self.gate_checkpoint, self.lateness, available_now=True).awaitTermination()
+                served = late.admitted_stream(self.spark, self.gate)
+            q = completed_stream(served, self.out, self.checkpoint, lateness=self.lateness, available_now=True)
+            q.awaitTermination()
+        finally:
+            catalog.release()
+        self.dropped += late.dropped_by_watermark(q)
+        return q
+
+    def counts(self) -> DataFrame:
+        return completed_counts(self.spark, self.out)
+
+    def late_rows(self) -> DataFrame:
+        return late.late_rows(self.spark, self.gate)
+
+
+def completed_available(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None,
+                        lateness: str | None = None) -> DataFrame:
+    """Run R5 -> R6 (streaming) over everything in the feed; return the counts."""
+    run = CompletedRun(spark, sf_dir, views.files(spark, sf_dir), lateness, max_files_per_trigger)
+    run.advance()
+    return run.counts()
+
+
+def completed_arrivals(spark: SparkSession, sf_dir: str, lateness: str) -> DataFrame:
+    """R6 over a feed that arrives in ``views.ARRIVALS`` parts, some rows of each a part too
+    late: ``(window_start, driver, n, n_late)`` of counted and of late requests."""
+    feed = shared_dir(spark, "feed")
+    run = CompletedRun(spark, f"{feed}/*", views.files(spark, sf_dir), lateness)
+    events = views.arrivals(spark, sf_dir)
+    for k in range(views.ARRIVALS):
+        put_arrival(events.where(F.col("arrival") == k), feed, k)
+        run.advance()
+    if run.dropped:
+        raise RuntimeError(f"{run.dropped} admitted rows were dropped")
+    missed = late.late_counts(run.late_rows())
+    keys = ["window_start", "driver"]
+    both = run.counts().select(*keys, "n", F.lit(0).alias("n_late")).unionByName(missed.select(*keys, F.lit(0).alias("n"), "n_late"))
+    return both.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("n_late").alias("n_late"))
+
+
+def put_arrival(events: DataFrame, feed: str, k: int) -> None:
+    """Put one part of a feed where ``request_stream`` finds it, in whole files."""
+    spark = events.sparkSession
+    staged = shared_dir(spark, "arrival")
+    events.drop("arrival").write.parquet(staged)
+    publish_once(spark, staged, f"{feed}/events-{k}.parquet")
