@@ -14,9 +14,11 @@ one to compute on (a hub site never becomes one huge array), and
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trellis.functions.rank import damp
+from trellis.plans.tables import stored
 
 
 # ---------------------------------------------------------------- conversions
@@ -62,6 +64,38 @@ def links_to_adjacency_chunks(links: DataFrame, chunk: int = 100_000) -> DataFra
         F.array_sort(F.flatten(F.collect_list(F.array_repeat("dst", F.col("n"))))).alias("edges"))
 
 
+def links_to_adjacency_parts(links: DataFrame, part_links: int = 100_000, num_partitions: int | None = None) -> DataFrame:
+    """G2 in ordered parts: ``(id, part, edges)``, where part p of a site holds the links
+    from ``p * part_links`` on of its sorted list, so the parts end to end are the list.
+
+    The links are first counted by target, then sorted by range, which cuts a hub's list
+    over as many tasks as it fills.  The position of each piece is the sum of what
+    lies before it: of a hub one number a task is summed, never its list.  No row
+    and no group holds more than ``part_links`` links.
+    """
+    n = num_partitions or int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = links.groupBy(F.col("src").alias("id"), "dst").agg(F.count(F.lit(1)).alias("mult"))
+    # stored, so that a pair keeps the task that its position counts from
+    ranged = stored(pairs.repartitionByRange(n, "id", "dst").withColumn("task", F.spark_partition_id()))
+    sums = ranged.groupBy("id", "task").agg(F.sum("mult").alias("held"))
+    before = W.partitionBy("id").orderBy("task").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sums.select("id", "task", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("offset"))
+    inside = W.partitionBy("id", "task").orderBy("dst").rowsBetween(W.unboundedPreceding, -1)
+    placed = (ranged.withColumn("inside", F.coalesce(F.sum("mult").over(inside), F.lit(0))).join(offsets, ["id", "task"])
+              .select("id", "dst", "mult", (F.col("offset") + F.col("inside")).alias("start")))
+    size = F.lit(part_links).cast("bigint")
+
+    def part_of(position):
+        return F.call_function("div", position, size)
+
+    last = F.col("start") + F.col("mult") - 1
+    pieces = placed.select("id", "dst", "start", "mult", F.explode(F.sequence(part_of(F.col("start")), part_of(last))).alias("part"))
+    count = F.least(F.col("start") + F.col("mult"), (F.col("part") + 1) * size) - F.greatest(F.col("start"), F.col("part") * size)
+    return (pieces.select("id", "part", F.struct("dst", count.cast("int").alias("n")).alias("piece"))
+            .groupBy("id", "part").agg(F.array_sort(F.collect_list("piece")).alias("pieces"))
+            .select("id", "part", F.flatten(F.transform("pieces", lambda p: F.array_repeat(p["dst"], p["n"]))).alias("edges")))
+
+
 def out_degree(sites: DataFrame) -> DataFrame:
     """G3 on the array form: number of out-links, parallel links counted."""
     return sites.select("id", F.size("edges").cast("bigint").alias("n_out"))
@@ -83,6 +117,19 @@ def site_rank_join(sites: DataFrame, ranks: DataFrame) -> DataFrame:
     return sites.join(ranks, "id", "inner").select("id", "edges", "rank")
 
 
+def site_rank_join_parts(nodes: DataFrame, parts: DataFrame, ranks: DataFrame) -> DataFrame:
+    """G4 on lists in parts: ``(id, part, edges, rank)``, each part beside its site's rank; a
+    site without links has part 0 with an empty list.  Both joins move keys and parts,
+    never a whole list, and AQE splits a hub's parts over tasks; a list is put
+    together, if at all, by who reads the parts in order."""
+    ranked = nodes.select("id").join(ranks.select("id", "rank"), "id")
+    held = parts.join(ranked, "id").select("id", "part", "edges", "rank")
+    empty = F.array().cast("array<bigint>")
+    linkless = (ranked.join(parts.select("id").distinct(), "id", "left_anti")
+                .select("id", F.lit(0).cast("bigint").alias("part"), empty.alias("edges"), "rank"))
+    return held.unionByName(linkless)
+
+
 def rank_contributions(joined: DataFrame) -> DataFrame:
     """Each site sends ``rank / n_out`` along every link.
 

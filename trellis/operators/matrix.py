@@ -172,6 +172,56 @@ def matmul_cells(a: DataFrame, b: DataFrame) -> DataFrame:
             .groupBy("i", "j").agg(F.sum(F.col("va") * F.col("vb")).alias("v")))
 
 
+def k_blocks(a: DataFrame, b: DataFrame, tasks: int) -> DataFrame:
+    """``(k, ra, rb)`` of every k whose pairs are more than a fair share of a task: the row
+    blocks that its left cells and the column blocks that its right cells are cut
+    into, so that one block pair is about such a share.  At most ``tasks`` rows, since
+    so many such k are all pairs there are."""
+    left = a.groupBy(F.col("j").alias("k")).agg(F.count(F.lit(1)).alias("na"))
+    right = b.groupBy(F.col("i").alias("k")).agg(F.count(F.lit(1)).alias("nb"))
+    pairs = stored(left.join(right, "k").withColumn("pairs", F.col("na").cast("double") * F.col("nb")))
+    total = pairs.agg(F.sum("pairs")).first()[0] or 0.0
+    share = total / tasks
+    times = F.ceil(F.col("pairs") / F.lit(share or 1.0))
+    rows = F.greatest(F.lit(1), F.least(F.col("na"), F.ceil(F.sqrt(times * F.col("na") / F.col("nb")))))
+    return (pairs.where(F.col("pairs") > share)
+            .select("k", rows.cast("int").alias("ra"),
+                    F.greatest(F.lit(1), F.least(F.col("nb"), F.ceil(times / rows))).cast("int").alias("rb")))
+
+
+def spread_pairs(a: DataFrame, b: DataFrame, tasks: int | None = None) -> DataFrame:
+    """``(i, j, va, vb)`` of all matching cells, joined in the grid of ``matmul_cells_spread``."""
+    n = tasks or int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.broadcast(stored(k_blocks(a, b, 8 * n)))    # at most 8 n rows; several keys a task even out
+    left = a.select("i", F.col("j").alias("k"), F.col("v").alias("va")).join(hot, "k", "left")
+    right = b.select(F.col("i").alias("k"), "j", F.col("v").alias("vb")).join(hot, "k", "left")
+    one = F.lit(1)
+
+    def block(of, count):
+        return F.pmod(F.xxhash64(of), F.coalesce(count, one)).cast("int")
+
+    def copies(count):
+        return F.explode(F.sequence(F.lit(0), F.coalesce(count, one) - 1))
+
+    left = left.select("i", "k", "va", block("i", F.col("ra")).alias("x"), copies(F.col("rb")).alias("y"))
+    right = right.select("j", "k", "vb", block("j", F.col("rb")).alias("y"), copies(F.col("ra")).alias("x"))
+    return left.join(right, ["k", "x", "y"]).select("i", "j", "va", "vb")
+
+
+def matmul_cells_spread(a: DataFrame, b: DataFrame, tasks: int | None = None) -> DataFrame:
+    """M8 where a k may hold a large share of both sides.
+
+    A hot k's pairs are the product of its two sides, while a split by rows of one
+    side at a time (AQE) copies the whole other side to every part.  Here a hot k
+    becomes a grid of ``ra x rb`` keys: a left cell goes to the row block of its i, once
+    for each column block, a right cell to the column block of its j, once for each
+    row block.  Every pair meets in one key and no key holds more than about a
+    task's fair share.  Other k are one key, as in ``matmul_cells``; the cells are
+    the same.
+    """
+    return (spread_pairs(a, b, tasks).groupBy("i", "j").agg(F.sum(F.col("va") * F.col("vb")).alias("v")))
+
+
 def check_inner(shape_a: tuple, shape_b: tuple) -> None:
     if shape_a[1] != shape_b[0]:
         raise ShapeError(f"cannot multiply {shape_a[0]}x{shape_a[1]} by {shape_b[0]}x{shape_b[1]}")
@@ -207,6 +257,10 @@ def matmul_broadcast(a: DataFrame, b: DataFrame, shape_b: tuple, max_cells: int
     shuffle, so the number of tasks follows the data; a task multiplies a
     slice of rows of bounded size at a time.  As in ``matmul_cells`` only
     cells with a matching k are returned.
+
+    The rows are dealt to a fixed number of tasks: a scan of one row group is one
+    task, and AQE, which sees only few bytes, would join the shuffle's parts to one
+    again, though the product of a row costs far more than its bytes.
     """
     nrows_b, ncols_b = shape_b
     if nrows_b * ncols_b > max_cells:
@@ -229,7 +283,8 @@ def matmul_broadcast(a: DataFrame, b: DataFrame, shape_b: tuple, max_cells: int
             yield pa.RecordBatch.from_arrays(
                 [pa.array(i[rr]), pa.array(cc.astype(np.int64)), pa.array((av @ bv)[rr, cc])], ["i", "j", "v"])
 
-    return (_row_lists(a).select(F.col("i").cast("bigint").alias("i"), "js", "vs")
+    n = int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (_row_lists(a.repartition(n, "i")).select(F.col("i").cast("bigint").alias("i"), "js", "vs")
             .mapInArrow(run, "i bigint, j bigint, v double"))
 
 

@@ -122,6 +122,12 @@ def graph_sql() -> dict:
         JOIN customer ON c_custkey = n.id
         LEFT JOIN (SELECT src, list_sort(list(dst)) AS edges FROM trade_links GROUP BY src) e
              ON e.src = n.id"""
+    q["site_rank_join_parts"] = _with(TRADE_LINKS, TRADE_NODES) + f""",
+        lists AS (SELECT src, list_sort(list(dst)) AS edges FROM trade_links GROUP BY src),
+        sites AS (SELECT n.id, coalesce(e.edges, []::BIGINT[]) AS edges, {start_rank_sql('c_custkey')} AS rank
+                  FROM trade_nodes n JOIN customer ON c_custkey = n.id LEFT JOIN lists e ON e.src = n.id)
+        SELECT id, CAST(p AS BIGINT) AS part, edges[20 * p + 1:20 * p + 20] AS edges, rank
+        FROM (SELECT *, unnest(range(greatest(1, (len(edges) + 19) // 20))) AS p FROM sites) t"""
     q["rank_contributions"] = _with(PART_LINKS, PART_DEG, PART_R0) + """
         SELECT l.dst AS id, round(r.rank / d.n_out, 9) AS c
         FROM part_links l JOIN part_deg d ON d.src = l.src JOIN part_r0 r ON r.id = l.src"""
@@ -225,6 +231,13 @@ def matrix_sql() -> dict:
     q["matmul_cells"] = _with(SUPPLY, SUPPLY_T, PRODUCT) + "SELECT i, j, v FROM product"
     q["matmul_blocked"] = q["matmul_cells"]
     q["matmul"] = q["matmul_cells"]
+    q["matmul_hot_k"] = """
+        WITH m AS (SELECT l_suppkey AS i, CAST(l_linenumber AS BIGINT) AS k, CAST(sum(l_quantity) AS DOUBLE) AS v
+                   FROM lineitem GROUP BY l_suppkey, l_linenumber)
+        SELECT a.i, b.i AS j, sum(a.v * b.v) AS v FROM m a JOIN m b ON a.k = b.k GROUP BY a.i, b.i"""
+    q["read_row_range"] = _with(SUPPLY) + """,
+        n AS (SELECT max(i) + 1 AS n FROM supply)
+        SELECT i, k AS j, v FROM supply, n WHERE i >= n // 3 AND i < 2 * n // 3"""
     q["matmul_dense"] = _with(EMB, EMB_POS, GRAM) + """,
         product AS (SELECT a.i, g.j, sum(a.v * g.v) AS v FROM pos a JOIN gram g ON a.k = g.i GROUP BY a.i, g.j),
         shape AS (SELECT max(p.i) + 1 AS nr, (SELECT max(j) + 1 FROM gram) AS nc FROM pos p),

@@ -20,6 +20,13 @@ def at_most(df: DataFrame, limit: int) -> bool:
     return df.count() <= limit
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt evenly over the cluster's cores where their scan has fewer tasks: before
+    an explode whose work is far more than the bytes that are read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def default_parallelism(df: DataFrame) -> int:
     spark = df.sparkSession
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -26,6 +26,7 @@ from trellis.sources import views
 from trellis.sources.tables import read_table
 from trellis.session import shared_dir
 from trellis.sources.catalog_log import CatalogTable
+from trellis.sources.row_blocks import read_rows, write_row_blocks
 from trellis.streaming.live import serve_arrivals
 from trellis.streaming.serve import completed_arrivals, completed_available, serve_available
 
@@ -75,6 +76,13 @@ def q_site_rank_join(spark, sf):
     return G.site_rank_join(trade_sites(spark, sf), synth.initial_ranks(cust))
 
 
+def q_site_rank_join_parts(spark, sf):
+    """Lists in parts of 20 links, so that most sites have several."""
+    cust = read_table(spark, sf, "customer", "c_custkey").select(F.col("c_custkey").alias("id"))
+    parts = G.links_to_adjacency_parts(views.trade_links(spark, sf), 20)
+    return G.site_rank_join_parts(trade_nodes(spark, sf), parts, synth.initial_ranks(cust))
+
+
 def q_rank_contributions(spark, sf):
     out = G.rank_contributions_links(views.part_links(spark, sf), synth.initial_ranks(part_nodes(spark, sf)))
     return out.select("id", _r9("c"))
@@ -146,6 +154,7 @@ GRAPH = {
     "links_to_adjacency": q_links_to_adjacency,
     "out_degree": q_out_degree,
     "site_rank_join": q_site_rank_join,
+    "site_rank_join_parts": q_site_rank_join_parts,
     "rank_contributions": q_rank_contributions,
     "contribution_sum": q_contribution_sum,
     "damp": q_damp,
@@ -221,6 +230,17 @@ def q_matmul_cells(spark, sf):
     return M.matmul_cells(s, M.transpose(s))
 
 
+def line_cells(spark, sf):
+    """(supplier, line number) quantities: as many k as an order has lines, all of them hot."""
+    li = read_table(spark, sf, "lineitem", "l_suppkey", "l_linenumber", "l_quantity")
+    return li.groupBy(F.col("l_suppkey").alias("i"), F.col("l_linenumber").cast("bigint").alias("j")).agg(F.sum("l_quantity").alias("v"))
+
+
+def q_matmul_hot_k(spark, sf):
+    m = line_cells(spark, sf)
+    return M.matmul_cells_spread(m, M.transpose(m))
+
+
 def q_matmul_dense(spark, sf):
     e = views.emb_positive(spark, sf)
     g = views.emb_gram(spark, sf)
@@ -266,6 +286,15 @@ def q_gather_blocks(spark, sf):
     return M.gather_blocks(supply_cells(spark, sf))
 
 
+def q_read_row_range(spark, sf):
+    """The middle third of the rows, from files in seven row blocks."""
+    s = stored(supply_cells(spark, sf))
+    nrows, ncols = M.shape_of(s)
+    path = shared_dir(spark, "row-blocks")
+    write_row_blocks(s, path, nrows, ncols, 7)
+    return read_rows(spark, path, nrows // 3, 2 * nrows // 3)
+
+
 def q_matrix_diff(spark, sf):
     s = supply_cells(spark, sf)
     return M.matrix_diff(s, M.matrix_set(s, _updates(spark, sf)))
@@ -284,6 +313,7 @@ MATRIX = {
     "matrix_incr": q_matrix_incr,
     "densify": q_densify,
     "matmul_cells": q_matmul_cells,
+    "matmul_hot_k": q_matmul_hot_k,
     "matmul_dense": q_matmul_dense,
     "matmul_blocked": q_matmul_blocked,
     "matmul": q_matmul,
@@ -291,6 +321,7 @@ MATRIX = {
     "row_blocks": q_row_blocks,
     "row_block_assign": q_row_block_assign,
     "gather_blocks": q_gather_blocks,
+    "read_row_range": q_read_row_range,
     "matrix_diff": q_matrix_diff,
     "synth_matrix": q_synth_matrix,
 }

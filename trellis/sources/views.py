@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from trellis.plans.sizing import spread
 from trellis.sources.tables import read_table
 
 # Supplier ids are shifted by this offset in ``trade_links`` so
@@ -120,7 +121,7 @@ def emb_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def emb_gram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(i, j, v): the embeddings' Gram matrix over all rows (width x width)."""
-    e = read_table(spark, sf_dir, "embeddings", "embedding")
+    e = spread(read_table(spark, sf_dir, "embeddings", "embedding"))
     cells = e.select(F.posexplode("embedding").alias("i", "a"), "embedding").select(
         "i", "a", F.posexplode("embedding").alias("j", "b"))
     return (cells.groupBy(F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j"))
