@@ -31,9 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trellis.llm.common import byte_ranks, documents, text_slices, texts_of
+from trellis.llm.common import Memo, byte_ranks, documents, map_arrow, text_slices, texts_of
 
-CACHE_CHUNKS = 300_000
 #: A space that white space or the text's end follows: the quick cut fails there.
 _ODD = re.compile(r" (?=\s|$)")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
@@ -100,7 +99,7 @@ class ByteEncoder:
 
     def __init__(self, path: str, pattern: str):
         self.tokenizer = build(path, pattern)
-        self.known: dict[str, bytes] = {}
+        self.known = Memo()                 # str -> bytes
 
     def learn(self, chunks) -> None:
         known = self.known
@@ -108,11 +107,10 @@ class ByteEncoder:
         for i in range(0, len(fresh), 20_000):
             some = fresh[i:i + 20_000]
             for c, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[c] = np.array(e.ids, "<u4").tobytes()
+                known.put(c, np.array(e.ids, "<u4").tobytes())
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > CACHE_CHUNKS:
-            self.known.clear()
+        self.known.trim()
         chunks = [cut(t) for t in texts]
         self.learn(c for own in chunks for c in own)
         known = self.known
@@ -152,8 +150,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", doc_id:
                      pa.array([a.astype(np.int32) for a, _ in at], lists),
                      pa.array([b.astype(np.int32) for _, b in at], lists)], ["doc_id", "ids", "starts", "ends"])
 
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, ids array<int>, starts array<int>, ends array<int>")
+    return map_arrow(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), run, f"doc_id {kind}, ids array<int>, starts array<int>, ends array<int>")
 
 
 def decode_ids(table: list[bytes], ids) -> bytes:
@@ -184,8 +181,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", doc_id: str = "doc_i
                     [part.column(0), pa.array([decode_ids(table, x or ()) for x in part.column(1).to_pylist()], pa.binary())],
                     ["doc_id", "bytes"])
 
-    return encoded.select(F.col(doc_id).alias("doc_id"), F.col(ids).alias("ids")).mapInArrow(
-        run, f"doc_id {kind}, bytes binary")
+    return map_arrow(encoded.select(F.col(doc_id).alias("doc_id"), F.col(ids).alias("ids")), run, f"doc_id {kind}, bytes binary")
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -218,8 +214,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text", doc
                      pa.array(out_sha, pa.string()), pa.array(split, pa.int64())],
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_split_chars"])
 
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, n_split_chars long")
+    return map_arrow(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, n_split_chars long")
 
 
 def op7_byte_bpe(spark, sf_dir):

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trellis.llm.common import releasing
+from trellis.llm.common import map_arrow
 from trellis.plans.sizing import BROADCAST_ROW_LIMIT, at_most
 from trellis.plans.tables import stored
 from trellis.sources.tables import read_table
@@ -158,7 +158,7 @@ def _numbers(values: np.ndarray) -> np.ndarray:
 
 def _update(vectors: DataFrame, books: list[Codebook]) -> list[Codebook]:
     shared = vectors.sparkSession.sparkContext.broadcast(books)
-    rows = (vectors.select("vec").mapInArrow(releasing(_parts_sum(shared)), "part int, entry int, n long, totals array<string>")
+    rows = (map_arrow(vectors.select("vec"), _parts_sum(shared), "part int, entry int, n long, totals array<string>")
             .groupBy("part", "entry").applyInArrow(_mean, "part int, entry int, means array<string>").toArrow())
     entries = [np.array(b.entries, object) for b in books]
     for part, entry, means in zip(*[rows[c].to_pylist() for c in ("part", "entry", "means")], strict=True):
@@ -217,7 +217,7 @@ def encode(vectors: DataFrame, books: list[Codebook]) -> DataFrame:
                     [*[part.schema.names[i] for i in others], "code", "error"])
 
     fields = ", ".join(f"`{vectors.columns[i]}` {vectors.dtypes[i][1]}" for i in others)
-    return vectors.mapInArrow(releasing(run), f"{fields}, code string, error long")
+    return map_arrow(vectors, run, f"{fields}, code string, error long")
 
 
 def compress(vectors: DataFrame, vec_id: str = "vec_id", vec: str = "embedding", label: str = "label") -> DataFrame:

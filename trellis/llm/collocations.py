@@ -37,7 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from trellis.llm.common import column_bytes, documents, mix64, releasing, text_slices, word_hashes
+from trellis.llm.common import (LOWER, WINDOW_BYTES, column_bytes, documents, map_arrow, mix64, text_slices, window_ends,
+                                word_array, word_hashes)
 from trellis.plans.tables import stored
 
 LEAST = 10
@@ -49,14 +50,10 @@ COVERED = 50
 SAMPLE_SHARE = 0.25
 LOWERED = 0.8
 FILTER_BITS = 1 << 25
-#: A text longer than this is read in windows of about so many bytes.
-WINDOW_BYTES = 4 << 20
 #: The ranking keeps ``TOP`` of each of so many parts of a language first.
 RANK_PARTS = 64
 
 _U = np.uint64
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A"):ord("Z") + 1] += 32
 _BREAK = np.zeros(256, bool)
 _BREAK[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
 _GAP = _BREAK.copy()
@@ -78,46 +75,26 @@ class Words:
 
 
 def _windows(data: np.ndarray, longest: int):
-    """(context, start, end) of windows of one long text.  A window ends at a gap;
-    its context reaches back over the words that a phrase may share with it."""
-    n, a = len(data), 0
-    while a < n:
-        b = min(a + WINDOW_BYTES, n)
-        while b < n:
-            step = np.flatnonzero(_GAP[data[b:b + 65536]])
-            if len(step):
-                b += int(step[0])
-                break
-            b = min(b + 65536, n)
+    """(context, start, end) of windows of one long text; a window's context
+    reaches back over the words that a phrase may share with it."""
+    for a, b in window_ends(data, _GAP, WINDOW_BYTES):
         context, words = a, 0
         while context > 0 and words < longest - 1 and not _BREAK[data[context - 1]]:
             context -= 1
             if not _GAP[data[context]] and (context == 0 or _GAP[data[context - 1]]):
                 words += 1
         yield context, a, b
-        a = b
 
 
 def _split(data: np.ndarray, offsets: np.ndarray, langs: pa.Array, context: int) -> Words | None:
     """``data`` holds the texts cut by ``offsets``; words that begin before
     ``context`` (bytes) are not new."""
-    data = _LOWER[data]
-    gap = _GAP[data]
-    first = ~gap
-    first[1:] &= gap[:-1]
-    border = offsets[:-1][offsets[:-1] < len(data)]
-    first[border] = ~gap[border]
-    start = np.flatnonzero(first)
+    data = LOWER[data]
+    words, start = word_array(data, offsets, _GAP[data])
     if not len(start):
         return None
-    inside = ~gap
-    held = np.cumsum(inside, dtype=np.int32 if len(data) < 1 << 31 else np.int64)
     row = np.searchsorted(offsets, start, side="right") - 1
-    broken = np.cumsum(_BREAK[data], dtype=held.dtype)
-    piece = broken[start].astype(np.int64) + row
-    ends = np.append(held[start[1:] - 1], held[-1]).astype(np.int64)
-    words = pa.Array.from_buffers(pa.large_string(), len(start), [
-        None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int64)), pa.py_buffer(data[inside])])
+    piece = np.cumsum(_BREAK[data], dtype=np.int32 if len(data) < 1 << 31 else np.int64)[start].astype(np.int64) + row
     coded = words.dictionary_encode()
     spoken = langs.dictionary_encode()
     lang_of_row = spoken.indices.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -204,8 +181,7 @@ class Proposals:
     def with_phrases(self, phrases: DataFrame) -> tuple[Proposals, bool]:
         """These and the (k, lang, phrase) rows, and whether that adds a bit.  What
         comes to the driver is the map itself: FILTER_BITS / 64 rows a level at most."""
-        rows = (phrases.select(F.col("k").cast("int").alias("k"), "lang", "phrase")
-                .mapInArrow(releasing(_bits_of), "level int, slot int, bits long")
+        rows = (map_arrow(phrases.select(F.col("k").cast("int").alias("k"), "lang", "phrase"), _bits_of, "level int, slot int, bits long")
                 .groupBy("level", "slot").agg(F.bit_or("bits").alias("bits")).toArrow())
         out = Proposals({k: v.copy() for k, v in self.maps.items()})
         level, slot = rows["level"].to_numpy(), rows["slot"].to_numpy()
@@ -291,7 +267,7 @@ def _pass(texts: DataFrame, levels: tuple[int, ...], least: int, now: Proposals
     def run(batches):
         yield from _count(levels, *shared.value, totals, longest)(batches)
 
-    rows = texts.mapInArrow(releasing(run), "lang string, k int, phrase string, n long")
+    rows = map_arrow(texts, run, "lang string, k int, phrase string, n long")
     summed = rows.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
     return stored(summed.where((F.col("n") >= least) | (F.col("k") == 0)))
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import base64
+import ctypes
 import math
+import sys
 from functools import lru_cache
 
 import numpy as np
@@ -18,6 +20,8 @@ from trellis.sources.tables import read_table
 WORD = r"[^\x20\x09-\x0D]+"
 #: Python works through a batch in slices of about this many text bytes.
 SLICE_BYTES = 4 << 20
+#: Bytes of remembered results that a worker keeps in one ``Memo``.
+MEMO_BYTES = 32 << 20
 
 
 def documents(spark, sf_dir, *columns):
@@ -49,6 +53,81 @@ def text_slices(batch: pa.RecordBatch, index: int, limit: int = SLICE_BYTES):
         start = end
 
 
+class Memo(dict):
+    """Remembered results of a worker, bounded in bytes: ``trim``, called between
+    slices, empties it once what ``put`` stored takes over ``limit`` bytes."""
+
+    def __init__(self, limit: int = MEMO_BYTES):
+        super().__init__()
+        self.limit, self.used = limit, 0
+
+    def put(self, key, value) -> None:
+        if key not in self:
+            self.used += sys.getsizeof(key) + sys.getsizeof(value) + 100    # and its place in the table
+        self[key] = value
+
+    def trim(self) -> None:
+        if self.used > self.limit:
+            self.clear()
+            self.used = 0
+
+
+@lru_cache(maxsize=1)
+def _malloc_trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):       # not the GNU C library
+        return lambda _: 0
+
+
+def release_memory() -> None:
+    """Hand what Arrow's pool and the C library keep unused back to the system."""
+    pa.default_memory_pool().release_unused()
+    _malloc_trim()(0)
+
+
+def releasing(run):
+    """An Arrow function for ``mapInArrow`` that gives up unused memory at its
+    task's end: Spark keeps the worker, which would otherwise idle with it."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+    return wrapped
+
+
+def gathered(batches, index: int, limit: int):
+    """Consecutive batches joined up to about ``limit`` bytes of the text column at ``index``."""
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.column(index).nbytes
+        if size >= limit:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+_BATCH_DEFAULT = 64 << 20
+#: Bytes of an Arrow batch between Spark and its Python workers, about.
+BATCH_BYTES = 4 << 20
+
+
+def map_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``df.mapInArrow`` for rows with texts or vectors.  Batches are bounded in bytes,
+    not only in rows: 10,000 texts would take tens of MB in the executor and as much in
+    each worker.  A session whose own bound is not Spark's default keeps it.  Unused
+    memory is given up at each task's end."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_CONF).rstrip("b") == str(_BATCH_DEFAULT):
+        conf.set(_BATCH_CONF, str(BATCH_BYTES))
+    return df.mapInArrow(releasing(run), schema)
+
+
 def texts_of(batch: pa.RecordBatch, index: int) -> list[str]:
     """The text column as strings; a null counts as the empty text."""
     return [t or "" for t in batch.column(index).to_pylist()]
@@ -82,8 +161,8 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 _BYTE = mix64(np.arange(256, dtype=np.uint64))
 _BASE = 0xD6E8FEB86659FD93
-_IS_SPACE = np.zeros(256, dtype=bool)
-_IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+IS_SPACE = np.zeros(256, dtype=bool)
+IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
 @lru_cache(maxsize=2)
@@ -102,7 +181,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     """
     if len(data) == 0:
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    space = _IS_SPACE[data]
+    space = IS_SPACE[data]
     first = ~space
     first[1:] &= space[:-1] | False
     border = offsets[:-1][offsets[:-1] < len(data)]
@@ -160,6 +239,48 @@ def shingles(data: np.ndarray, offsets: np.ndarray, width: int = 5) -> tuple[np.
     return out, out_at
 
 
+# ------------------------------------------------------------------ words as strings
+
+#: Lower case of A to Z, byte by byte.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A"):ord("Z") + 1] += 32
+#: A text longer than this is read in windows of about so many bytes.
+WINDOW_BYTES = 4 << 20
+
+
+def word_array(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The words of consecutive texts, as large strings, and the byte where each
+    begins; ``gap`` tells for each byte of ``data`` whether it parts words."""
+    first = ~gap
+    first[1:] &= gap[:-1]
+    border = offsets[:-1][offsets[:-1] < len(data)]
+    first[border] = ~gap[border]
+    start = np.flatnonzero(first)
+    if not len(start):
+        return pa.array([], pa.large_string()), start
+    inside = ~gap
+    held = np.cumsum(inside, dtype=np.int32 if len(data) < 1 << 31 else np.int64)
+    ends = np.concatenate([[0], held[start[1:] - 1], held[-1:]]).astype(np.int64)
+    # a word that the next text's first word follows without a gap ends at the border all the same
+    return pa.Array.from_buffers(pa.large_string(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(data[inside])]), start
+
+
+def window_ends(data: np.ndarray, is_gap: np.ndarray, size: int):
+    """(start, end) of consecutive windows of about ``size`` bytes that end at a gap
+    (``is_gap``: by byte value); a word longer than that stays whole."""
+    n, a = len(data), 0
+    while a < n:
+        b = min(a + size, n)
+        while b < n:
+            step = np.flatnonzero(is_gap[data[b:b + 65536]])
+            if len(step):
+                b += int(step[0])
+                break
+            b = min(b + 65536, n)
+        yield a, b
+        a = b
+
+
 def bits_for(n: float) -> int:
     return max(1, math.ceil(math.log2(max(2.0, n))))
 

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from trellis.llm.common import column_bytes, documents, fresh, mix64, shingles, text_slices
+from trellis.llm.common import column_bytes, documents, fresh, map_arrow, mix64, shingles, text_slices
 from trellis.llm.components import connected_components, star_edges
 from trellis.plans.sizing import BROADCAST_ROW_LIMIT, at_most
 from trellis.plans.tables import stored
@@ -231,21 +231,13 @@ def _verify(key, table):
                      "links": pa.array(rows[2], pa.int64()), "weight": pa.array(rows[3], pa.int64())})
 
 
-def _sets_of(batches):
-    for batch in batches:
-        for part in text_slices(batch, 1, SET_BYTES):
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([x.tobytes() for x in text_sets(part, 1)], pa.binary())], ["key", "set"])
-
-
 def _judged(docs: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, DataFrame]:
     """(doc_id, key) of every document and the facts of every class: key,
     class_id, copies, n_links, n_class_links, group_id, stands (for its group)."""
     depth = matched_depth()
     depths = (depth - 1, depth) if depth > 1 else (depth,)
     kind = dict(docs.dtypes)[doc_id]
-    signed = stored(_members(docs, text, doc_id).mapInArrow(
-        _signatures(depths), f"doc_id {kind}, key binary, n long, nodes array<long>"))
+    signed = stored(map_arrow(_members(docs, text, doc_id), _signatures(depths), f"doc_id {kind}, key binary, n long, nodes array<long>"))
     members = signed.select("doc_id", "key")
     classes = stored(signed.where("key is not null").groupBy("key")
                      .agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies"), F.max("n").alias("n"),
@@ -256,8 +248,8 @@ def _judged(docs: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, DataFra
     named = wanted.select("class_id").distinct()       # null where a class has no other id
     if groups.count() <= BROADCAST_ROW_LIMIT:
         named = F.broadcast(named)                      # else both sides are shuffled
-    texts = (_members(docs, text, doc_id).join(named, F.col("doc_id").eqNullSafe(F.col("class_id")), "left_semi")
-             .select("text").mapInArrow(_keyed_sets, "key binary, set binary").dropDuplicates(["key"]))
+    texts = _members(docs, text, doc_id).join(named, F.col("doc_id").eqNullSafe(F.col("class_id")), "left_semi").select("text")
+    texts = map_arrow(texts, _keyed_sets, "key binary, set binary").dropDuplicates(["key"])
     dealt = _dealt(groups)
     sized = dealt.join(texts, "key").join(classes.select("key", "copies"), "key")
     found = stored(sized.select("key", "set", "copies", "group", "band", "block", "pair.band_a", "pair.block_a", "pair.band_b", "pair.block_b")
@@ -312,7 +304,7 @@ def _with_key(docs: DataFrame, text: str, name: str) -> DataFrame:
                 keys = [_digest(x) if len(x) else None for x in text_sets(part, at)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(keys, pa.binary())], [*part.schema.names, name])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, BinaryType())]))
+    return map_arrow(docs, run, StructType([*docs.schema.fields, StructField(name, BinaryType())]))
 
 
 def keep_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

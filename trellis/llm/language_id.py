@@ -26,7 +26,7 @@ from four or more languages in like parts does not.
 from __future__ import annotations
 
 import math
-import re
+import sys
 from bisect import bisect_right
 from dataclasses import dataclass
 
@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trellis.llm.common import crc_of_id, documents, mix64, text_slices, texts_of
+from trellis.llm.common import crc_of_id, documents, map_arrow, mix64, text_slices, texts_of
 
 _U = np.uint64
 
@@ -49,10 +49,11 @@ FLOOR_ROWS = 50
 SWITCH_PENALTY = 12.0
 #: A word's log-score lies at most so far below its best language's.
 WORD_RANGE = 6.0
+#: Distinct training words that a task holds before it counts their n-grams.
 CACHE_WORDS = 300_000
-#: Scores (words x languages) that a worker remembers, and (n-gram, language)
-#: pairs and scores that it works on at a time.
-CACHE_SCORES = 20_000_000
+#: Bytes of remembered words and scores that a worker keeps.
+CACHE_BYTES = 64 << 20
+#: (n-gram, language) pairs and scores that a worker works on at a time.
 WORK_PAIRS = 250_000
 #: Words whose n-grams are counted at a time.
 COUNT_WORDS = 10_000
@@ -71,7 +72,6 @@ SCRIPTS = [
     (0xFB00, "latin"), (0xFB13, "other"), (0x20000, "han"), (0x32000, "other"),
 ]
 _STARTS = [a for a, _ in SCRIPTS]
-_LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def script_of(letters: str) -> str:
@@ -86,7 +86,8 @@ def script_of(letters: str) -> str:
 
 
 def letters_of(word: str) -> str:
-    return word if word.isalpha() else "".join(_LETTERS.findall(word))
+    """Its characters of a Unicode letter category (not numerals such as Roman ones)."""
+    return word if word.isalpha() else "".join(filter(str.isalpha, word))
 
 
 def gram_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -166,18 +167,20 @@ class WordTable:
 
     def reset(self):
         self.at: dict[str, int] = {}
+        self.used = 0
         self.letters = np.zeros(0, np.int64)
         self.scores = np.zeros((0, len(self.model.languages)), np.float32)
 
     def rows(self, words: list[list[str]]) -> np.ndarray:
         """Table rows of all words in order."""
-        if len(self.at) > min(CACHE_WORDS, CACHE_SCORES // len(self.model.languages)):
+        if self.used > CACHE_BYTES:
             self.reset()
         at = self.at
         fresh = list({w for own in words for w in own if w not in at})
         if fresh:
             letters, scores = self.model.word_scores(fresh)
             at.update(zip(fresh, range(len(at), len(at) + len(fresh)), strict=True))
+            self.used += sum(map(sys.getsizeof, fresh)) + 140 * len(fresh) + letters.nbytes + scores.nbytes
             self.letters = np.concatenate([self.letters, letters])
             self.scores = np.concatenate([self.scores, scores])
         return np.array([at[w] for own in words for w in own], np.int64)
@@ -245,7 +248,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", max_rows: i
         F.col(text).alias("text"), F.col(lang).alias("lang")), max_rows)
     if not languages:
         return LanguageModel([], np.zeros(BUCKETS + 1, np.int64), np.zeros(0, np.int32), np.zeros(0, np.float32), np.zeros(0), {})
-    summed = (rows.mapInArrow(_count_batches, "lang string, script string, bucket int, n long")
+    summed = (map_arrow(rows, _count_batches, "lang string, script string, bucket int, n long")
               .groupBy("lang", "script", "bucket").agg(F.sum("n").alias("n")).toArrow())
     place = pc.index_in(summed["lang"], pa.array(languages)).to_numpy()
     counts = summed["n"].to_numpy()
@@ -341,7 +344,7 @@ def label_texts(words: WordTable, texts: list[str]) -> tuple[list[str], np.ndarr
 def kept_texts(words: WordTable, texts: list[str]) -> np.ndarray:
     """Whether each text stays in the corpus (see the module's rule)."""
     if not words.model.languages:
-        return np.array([_LETTERS.search(t) is not None for t in texts], bool)
+        return np.array([any(map(str.isalpha, t)) for t in texts], bool)
     held, _, _, _ = _paths(words, texts)
     total = held.sum(axis=1)
     return (total > 0) & (held.max(axis=1) >= KEEP_SHARE * total)
@@ -376,8 +379,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", doc_id: s
                     ["doc_id", "lang_pred", "score"])
 
     kind = dict(docs.dtypes)[doc_id]
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, lang_pred string, score double")
+    return map_arrow(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), run, f"doc_id {kind}, lang_pred string, score double")
 
 
 def keep_documents(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
@@ -391,7 +393,7 @@ def keep_documents(docs: DataFrame, model: LanguageModel, text: str = "text") ->
             for part in text_slices(batch, at, _slice_bytes(own.model)):
                 yield part.filter(pa.array(kept_texts(own, texts_of(part, at)), pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)
 
 
 def held_out(column: str = "doc_id"):

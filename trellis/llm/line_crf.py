@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trellis.llm.common import column_bytes, crc_of_id, documents, mix64, text_slices, word_hashes
+from trellis.llm.common import column_bytes, crc_of_id, documents, map_arrow, mix64, text_slices, word_hashes
 from trellis.sources.tables import read_table
 
 MAX_TRAINING_DOCS = 4_000
@@ -243,7 +243,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINI
                      pa.array([np.packbits(lines.features[s]).tobytes() for s in own], pa.binary())],
                     ["label", "n", "length", "features"])
 
-    return rows.mapInArrow(run, "label int, n long, length binary, features binary")
+    return map_arrow(rows, run, "label int, n long, length binary, features binary")
 
 
 def fit_documents(docs: DataFrame, labels: DataFrame) -> Crf:
@@ -268,7 +268,7 @@ def score_documents(docs: DataFrame, model: Crf) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(score, pa.float64())], ["doc_id", "score"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
+    return map_arrow(docs.select("doc_id", "text"), run, f"doc_id {kind}, score double")
 
 
 def held_out(column: str = "doc_id"):

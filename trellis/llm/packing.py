@@ -32,13 +32,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trellis.llm.byte_bpe import byte_alphabet
-from trellis.llm.common import documents, text_slices, texts_of
+from trellis.llm.common import Memo, documents, map_arrow, text_slices, texts_of
 from trellis.plans.tables import stored
 
 CAPACITY = 4096
 END_ID = 1
-#: Distinct chunks whose ids a worker remembers before it starts anew.
-CACHE_CHUNKS = 400_000
 
 
 @lru_cache(maxsize=2)
@@ -80,14 +78,15 @@ class ChunkEncoder:
         self.tokenizer = word_tokenizer(path)
         self.model = self.tokenizer.model
         self.byte_chars = dict(enumerate(byte_alphabet()))
-        self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {"": b""}
+        self.known, self.words = Memo(), Memo()     # str -> bytes
+        self.words.put("", b"")
 
     def _word(self, word: str) -> bytes:
         ids = self.words.get(word)
         if ids is None:
             as_chars = word.encode().decode("latin-1").translate(self.byte_chars)
-            ids = self.words[word] = np.array([t.id for t in self.model.tokenize(as_chars)], "<u4").tobytes()
+            ids = np.array([t.id for t in self.model.tokenize(as_chars)], "<u4").tobytes()
+            self.words.put(word, ids)
         return ids
 
     def _learn(self, chunks: set[str]) -> None:
@@ -95,22 +94,22 @@ class ChunkEncoder:
         for c in chunks:
             plain = _PLAIN.fullmatch(c.lower())
             if plain and plain[2] in self.words:
-                self.known[c] = self._word(plain[1]) + self.words[plain[2]]
+                self.known.put(c, self._word(plain[1]) + self.words[plain[2]])
             else:
                 rest.append(c)
         for i in range(0, len(rest), 20_000):
             some = rest[i:i + 20_000]
             for c, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                ids = self.known[c] = np.array(e.ids, "<u4").tobytes()
+                ids = np.array(e.ids, "<u4").tobytes()
+                self.known.put(c, ids)
                 if c and not any(x.isalnum() or x.isspace() for x in c) and c.isascii():
-                    self.words[c] = ids          # punctuation by itself, for the words it follows
+                    self.words.put(c, ids)       # punctuation by itself, for the words it follows
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers."""
-        if len(self.known) > CACHE_CHUNKS:
-            self.known.clear()
-        if len(self.words) > CACHE_CHUNKS:
-            self.words = {"": b""}
+        self.known.trim()
+        self.words.trim()
+        self.words.put("", b"")
         chunks = [_lowered(t).replace("\n", " ").split(" ") for t in texts]
         fresh = {c for own in chunks for c in own if c not in self.known}
         if fresh:
@@ -168,7 +167,7 @@ def tokenise(docs: DataFrame, vocabulary: str, text: str = "text", doc_id: str =
 
     kind = dict(docs.dtypes)[doc_id]
     schema = f"doc_id {kind}, {PIECE_SCHEMA}" + (", ids array<int>" if ids else "")
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return map_arrow(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), run, schema)
 
 
 def _longest(left: np.ndarray) -> np.ndarray:

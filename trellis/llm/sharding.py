@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from trellis.llm.common import documents
+from trellis.llm.common import documents, map_arrow
 from trellis.plans.tables import stored
 
 SHARDS = 16
@@ -70,7 +70,7 @@ def place(df: DataFrame, key: str, weights: Sequence[float], *payload: Column) -
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema)
     # stored, so that the numbers counted are the numbers used
-    kept = stored(narrow.mapInArrow(run, f"{fields}, _task int, _nth long"))
+    kept = stored(map_arrow(narrow, run, f"{fields}, _task int, _nth long"))
     tally = kept.groupBy("shard", "_task").agg(F.count("*").alias("n"))
     before = W.partitionBy("shard").orderBy("_task").rowsBetween(W.unboundedPreceding, -1)
     first = tally.select("shard", "_task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_first"))

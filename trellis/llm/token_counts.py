@@ -25,11 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trellis.llm.common import documents, text_slices, texts_of
+from trellis.llm.common import Memo, documents, map_arrow, text_slices, texts_of
 
 BLANK = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHE_WORDS = 400_000
 
 
 def vocabulary(path: str) -> tuple[list[tuple[str, float]], int]:
@@ -55,8 +54,7 @@ class Counter:
         self.longest = max(len(p) for p, _ in pieces)
         inner = any(BLANK in p.lstrip(BLANK) for p in names)
         self.by_word = self.byte_fallback and not inner and not any("\n" in p for p in names)
-        self.counts: dict[str, int] = {}
-        self.scores: dict[str, float] = {}
+        self.counts, self.scores = Memo(), Memo()       # by word
 
     def solve(self, s: str) -> tuple[int, float]:
         """(pieces, score) of a normalised string."""
@@ -93,16 +91,17 @@ class Counter:
         for w in words:
             if w not in self.counts:
                 # a word that a line break leads has no blank before it
-                self.counts[w], self.scores[w] = self.solve(w if w[:1] == "\n" else BLANK + w)
+                n, score = self.solve(w if w[:1] == "\n" else BLANK + w)
+                self.counts.put(w, n)
+                self.scores.put(w, score)
 
     def count(self, text: str) -> tuple[int, float]:
         if not text:
             return 0, 0.0
         if not self.by_word:
             return self.solve(BLANK + text.replace(" ", BLANK))
-        if len(self.counts) > CACHE_WORDS:
-            self.counts.clear()
-            self.scores.clear()
+        self.counts.trim()
+        self.scores.trim()
         words = text.replace("\n", " \n").split(" ")
         if "" in words or BLANK in text:
             words = self._joined(text)
@@ -155,8 +154,7 @@ def token_counts(docs: DataFrame, path: str, text: str = "text", doc_id: str = "
                     [part.column(0), pa.array([n for n, _ in found], pa.int64()),
                      pa.array([float(s) for _, s in found], pa.float64())], ["doc_id", "n_tokens", "score"])
 
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, n_tokens long, score double")
+    return map_arrow(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), run, f"doc_id {kind}, n_tokens long, score double")
 
 
 def op10_token_counts(spark, sf_dir):
