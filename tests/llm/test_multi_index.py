@@ -76,3 +76,58 @@ def test_multi_sequence_visits_cells_in_order():
     total = (a[:, None] + b[None, :]).ravel()
     assert sorted(got) == sorted(np.flatnonzero(total <= 0.9).tolist())
     assert (np.diff(total[got]) >= 0).all()
+
+
+def unit(x):
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+def shaped(kind, n, r):
+    """Vectors that differ along few directions, as real ones do."""
+    if kind.startswith("rank"):
+        k = int(kind[4:])
+        return r.standard_normal((n, k)) @ r.standard_normal((k, 64))
+    if kind == "noisy":
+        return r.standard_normal((n, 4)) @ r.standard_normal((4, 128)) + 0.05 * r.standard_normal((n, 128))
+    if kind == "half":
+        return np.concatenate([r.standard_normal((n, 3)) @ r.standard_normal((3, 32)), np.full((n, 32), 0.7)], axis=1)
+    if kind == "segments":
+        centres, t = r.standard_normal((40, 64)), r.random(n)[:, None]
+        return centres[r.integers(40, size=n)] * t + centres[r.integers(40, size=n)] * (1 - t)
+    return np.repeat(r.standard_normal((n // 12, 64)), 12, axis=0) + 0.15 * r.standard_normal((n // 12 * 12, 64))
+
+
+@pytest.mark.parametrize("kind", ["rank3", "rank6", "rank10", "noisy", "half", "segments", "clusters"])
+def test_recall_against_all_pairs(kind):
+    r = np.random.default_rng(8)
+    x = unit(shaped(kind, 9000 if kind == "rank10" else 4200, r))
+    index = M.fit(x, 8)
+    home, visits = index.home(x), [set(v.tolist()) for v in index.visits(x)]
+    a, b = np.nonzero(np.triu(x @ x.T >= M.THRESHOLD, 1))
+    some = r.permutation(len(a))[:30_000]
+    found = [home[j] in visits[i] or home[i] in visits[j] for i, j in zip(a[some], b[some], strict=True)]
+    assert len(found) > 50 and np.mean(found) >= 0.995
+    assert index.reach <= (2 - 2 * M.THRESHOLD) * 1.001
+
+
+def test_links_of_low_rank_vectors(spark):
+    x = shaped("noisy", 1500, np.random.default_rng(6)).astype(np.float32)
+    link, want = brute(list(enumerate(x)))
+    got = {v.vec_id: v for v in M.near_duplicates(frame(spark, list(enumerate(x))), centroids=6).collect()}
+    assert sum(v.n_links for v in got.values()) >= 0.995 * link.sum() and link.sum() > 10_000
+    assert all(v.n_links <= want[i][0] for i, v in got.items())
+
+
+def test_finite_vectors_of_any_size(spark):
+    schema = T.StructType([SCHEMA[0], T.StructField("embedding", T.ArrayType(T.DoubleType()))])
+    rows = [(1, [1e300, 1e300]), (2, [1e-300, 1e-300]), (3, [1.0, 1.0]), (4, [1.0, -1.0])]
+    out = M.near_duplicates(spark.createDataFrame(rows, schema)).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in out) == [(1, 2, 1), (2, 2, 1), (3, 2, 1), (4, 0, 4)]
+
+
+def test_query(spark, tmp_path):
+    rows = vectors()
+    frame(spark, rows).select("vec_id", "embedding", "label").write.parquet(str(tmp_path / "embeddings.parquet"))
+    _, want = brute(rows)
+    out = M.op2_multi_index(spark, str(tmp_path)).collect()
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in out} == {i: (n, c, i == c) for i, (n, c) in want.items()}

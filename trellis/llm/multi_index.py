@@ -6,9 +6,12 @@ stored in the cell of its nearest centroids.  To find its neighbours it visits
 cells in multi-sequence order: nearest first, by the squared distance it would
 have to move to fall into the cell (to the bisectors between its own centroids
 and the cell's).  A neighbour at the threshold is never further than the
-chord; how far a traversal goes is set on a sample so that the target share of
-vectors turned by exactly the threshold's angle is reached from at least one
-side.  Everything met is verified by the cosine in double precision.
+chord, so a traversal to the chord misses nothing; how far it goes is set on a sample
+so that the target share is reached, from at least one side, of each of: the
+sample's own pairs at the threshold or above, and vectors turned by exactly the
+threshold's angle towards their nearest sampled vectors, towards any sampled vectors
+(the directions in which the data differ), and in any direction.  The furthest of
+these counts.  Everything met is verified by the cosine in double precision.
 
 Equal vectors are one class.  A cell's members and visitors meet in blocks, so
 that a hot cell spreads over tasks, and a pair counts only where the rule of
@@ -27,21 +30,25 @@ import hashlib
 import heapq
 import math
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trellis.llm.common import map_arrow
 from trellis.llm.components import connected_components, star_edges
 from trellis.plans.tables import stored
 from trellis.sources.tables import read_table
 
 THRESHOLD = 0.95
-RECALL = 0.995
+RECALL = 0.999
 #: Vectors that codebooks are learned from, about, chosen by their hash.
 SAMPLE = 20_000
-MAX_CENTROIDS = 256
+MAX_CENTROIDS = 1024
+#: Sampled vectors whose pairs with the whole sample set the reach.
+PROBES = 2000
 #: Classes to a cell, about, while the grid may grow.
 PER_CELL = 256
 BLOCK_STORED = 2048
@@ -54,29 +61,41 @@ class MultiIndex:
     second: np.ndarray
     reach: float               # squared distance that a traversal goes to
 
-    def _moves(self, half: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    @cached_property
+    def apart(self) -> list[np.ndarray]:
+        """Distances between the centroids of each half."""
+        return [_distances(book, book) for book in (self.first, self.second)]
+
+    def _moves(self, half: np.ndarray, which: int) -> tuple[np.ndarray, np.ndarray]:
         """Nearest centroid, and squared distance to the bisector with each."""
+        book = (self.first, self.second)[which]
         square = (half ** 2).sum(1)[:, None] - 2 * half @ book.T + (book ** 2).sum(1)[None, :]
         own = square.argmin(axis=1)
-        apart = np.sqrt(((book[own][:, None, :] - book[None, :, :]) ** 2).sum(2))
-        move = (square - square[np.arange(len(half)), own][:, None]) / (2 * np.maximum(apart, 1e-12))
+        move = square - square[np.arange(len(half)), own][:, None]
+        move /= 2 * np.maximum(self.apart[which][own], 1e-12)
         move[np.arange(len(half)), own] = 0.0
-        return own, np.maximum(move, 0.0) ** 2
+        np.maximum(move, 0.0, out=move)
+        move *= move
+        return own, move
 
     def home(self, unit: np.ndarray) -> np.ndarray:
         h = self.first.shape[1]
-        a, _ = self._moves(unit[:, :h], self.first)
-        b, _ = self._moves(unit[:, h:], self.second)
+        a, _ = self._moves(unit[:, :h], 0)
+        b, _ = self._moves(unit[:, h:], 1)
         return a * len(self.second) + b
 
     def visits(self, unit: np.ndarray) -> list[np.ndarray]:
         """Cells of each vector's traversal, its home first."""
         h = self.first.shape[1]
-        _, first = self._moves(unit[:, :h], self.first)
-        _, second = self._moves(unit[:, h:], self.second)
+        _, first = self._moves(unit[:, :h], 0)
+        _, second = self._moves(unit[:, h:], 1)
         return [multi_sequence(a, b, self.reach) for a, b in zip(first, second, strict=True)]
 
 
+def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum((x ** 2).sum(1)[:, None] - 2 * x @ y.T + (y ** 2).sum(1)[None, :], 0.0))
+
+
 def multi_sequence(a: np.ndarray, b: np.ndarray, reach: float) -> np.ndarray:
     """Cells i * len(b) + j in order of a[i] + b[j], while that is at most ``reach``."""
     by_a, by_b = np.argsort(a, kind="stable"), np.argsort(b, kind="stable")
@@ -113,23 +132,48 @@ def fit(sample: np.ndarray, centroids: int, threshold: float = THRESHOLD, recall
     h = max(1, sample.shape[1] // 2)
     first, second = _k_means(sample[:, :h], centroids), _k_means(sample[:, h:], centroids)
     index = MultiIndex(first, second, math.inf)
+    needed = max((float(np.quantile(x, recall, method="higher")) for x in _needs(index, sample, threshold) if len(x)), default=math.inf)
+    return MultiIndex(first, second, min(needed, 2 - 2 * threshold) * (1 + 1e-9))
+
+
+def _needs(index: MultiIndex, sample: np.ndarray, threshold: float):
+    """Squared reach that finds each of several kinds of neighbours at the threshold."""
+    h = index.first.shape[1]
     random = np.random.default_rng(11)
-    x = sample[random.choice(len(sample), min(2000, len(sample)), replace=False)]
-    turn = random.standard_normal(x.shape)
-    turn -= (turn * x).sum(1)[:, None] * x
-    turn /= np.maximum(np.linalg.norm(turn, axis=1), 1e-12)[:, None]
-    y = threshold * x + math.sqrt(1 - threshold ** 2) * turn
+    x = sample[random.choice(len(sample), min(PROBES, len(sample)), replace=False)]
 
     def moves(from_, to):
         cell = index.home(to)
-        _, a = index._moves(from_[:, :h], first)
-        _, b = index._moves(from_[:, h:], second)
         at = np.arange(len(from_))
-        return a[at, cell // len(second)] + b[at, cell % len(second)]
-
-    needed = np.minimum(moves(x, y), moves(y, x))   # either side finds the pair
-    reach = float(np.quantile(needed, recall, method="higher"))
-    return MultiIndex(first, second, min(reach, 2 - 2 * threshold) * (1 + 1e-9))
+        a, b = np.divmod(cell, len(index.second))
+        return index._moves(from_[:, :h], 0)[1][at, a] + index._moves(from_[:, h:], 1)[1][at, b]
+
+    def either(a, b):
+        return np.concatenate([np.minimum(moves(a[i:i + 1000], b[i:i + 1000]), moves(b[i:i + 1000], a[i:i + 1000]))
+                               for i in range(0, len(a), 1000)]) if len(a) else np.zeros(0)
+
+    def turned(towards):
+        towards = towards - (towards * x).sum(1)[:, None] * x
+        size = np.linalg.norm(towards, axis=1)
+        ok = size > 1e-9                # no direction towards an equal or opposite vector
+        return either(x[ok], threshold * x[ok] + math.sqrt(1 - threshold ** 2) * towards[ok] / size[ok][:, None])
+
+    yield turned(random.standard_normal(x.shape))
+    yield turned(sample[random.integers(len(sample), size=len(x))])
+    nearest = np.zeros(len(x), np.int64)
+    left, right = [], []
+    for i in range(0, len(x), 250):
+        close = x[i:i + 250] @ sample.T
+        close[close > 1 - 1e-9] = -2    # itself and its copies
+        nearest[i:i + 250] = close.argmax(axis=1)
+        r, c = np.nonzero(close >= threshold)
+        some = random.permutation(len(r))[:20_000]
+        left.append(r[some] + i)
+        right.append(c[some])
+    yield turned(sample[nearest])
+    left, right = np.concatenate(left), np.concatenate(right)
+    some = random.permutation(len(left))[:40_000]
+    yield either(x[left[some]], sample[right[some]])
 
 
 def _doubles(column: pa.Array) -> list[np.ndarray | None]:
@@ -139,8 +183,8 @@ def _doubles(column: pa.Array) -> list[np.ndarray | None]:
             out.append(None)
             continue
         x = v.values.to_numpy(zero_copy_only=False).astype(np.float64) + 0.0
-        with np.errstate(over="ignore", invalid="ignore"):
-            out.append(x if np.isfinite(x).all() and 0 < np.linalg.norm(x) < math.inf else None)
+        top = np.abs(x).max() if np.isfinite(x).all() else 0.0
+        out.append(x if top > 0 else None)
     return out
 
 
@@ -158,6 +202,7 @@ def _keyed(batches):
 
 def _unit(column: pa.Array) -> np.ndarray:
     x = np.stack([v.values.to_numpy(zero_copy_only=False).astype(np.float64) for v in column])
+    x /= np.abs(x).max(axis=1)[:, None]             # squares of any finite vector stay in range
     return x / np.linalg.norm(x, axis=1)[:, None]
 
 
@@ -226,8 +271,7 @@ def _found(classes: DataFrame, width: int, n: int, threshold: float, centroids:
         centroids = min(MAX_CENTROIDS, max(1, math.ceil(math.sqrt(n / PER_CELL))))
     index = spark.sparkContext.broadcast(fit(unit, centroids, threshold))
     kind = dict(own.dtypes)["vec"]
-    placed = stored(own.select("key", "copies", "vec").mapInArrow(
-        _assign(index), f"key binary, copies long, vec {kind}, home int, cells array<int>"))
+    placed = stored(map_arrow(own.select("key", "copies", "vec"), _assign(index), f"key binary, copies long, vec {kind}, home int, cells array<int>"))
     # at most centroids squared rows
     held = placed.groupBy(F.col("home").alias("cell")).agg(F.ceil(F.count("*") / F.lit(BLOCK_STORED)).cast("int").alias("blocks"))
     visited = (placed.select(F.explode("cells").alias("cell")).groupBy("cell")
@@ -258,7 +302,7 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", vec: str = "embe
     kept, n_class_links (other distinct vectors linked)."""
     kind = dict(vectors.dtypes)[vec]
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vec).alias("vec"))
-    keyed = stored(rows.mapInArrow(_keyed, f"vec_id long, key binary, width int, vec {kind}"))
+    keyed = stored(map_arrow(rows, _keyed, f"vec_id long, key binary, width int, vec {kind}"))
     classes = stored(keyed.where("key is not null").groupBy("key")
                      .agg(F.min("vec_id").alias("class_id"), F.count("*").alias("copies"),
                           F.first("width").alias("width"), F.first("vec").alias("vec")))
