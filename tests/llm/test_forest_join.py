@@ -80,9 +80,54 @@ def test_keeps_one_of_each_group(spark):
     assert got == sorted(stay) and len(got) < len(want)
 
 
-def test_signature_depth_reaches_the_recall():
-    d = J.matched_depth()
-    assert J.recall_at(d) >= J.RECALL > J.recall_at(d + 1)
+def test_least_depth_reaches_the_recall():
+    assert J.recall_at(J.LEAST) >= J.RECALL > J.recall_at(J.LEAST + 1)
+
+
+def test_prefixes_are_shortened_until_likely_partners_are_matched():
+    full = [50] * (J.DEPTH - J.LEAST + 1)
+    assert J.stop_depth(full) == J.DEPTH
+    assert J.stop_depth([50, 50, 50, 49]) == 7 and J.stop_depth([1000, 1000, 995, 990]) == 7
+    assert J.stop_depth([3, 2, 1, 1]) == J.LEAST and J.stop_depth([0, 0, 0, 0]) == J.LEAST
+
+
+def test_matches_of_paths():
+    r = random.Random(1)
+    sets = [J.mix64(J.np.array(sorted(r.sample(range(300), 250)), J.np.uint64)) for _ in range(40)]
+    paths = J.np.stack([J.labels(x) for x in sets])
+    i, j = J.np.triu_indices(40, 1)
+    first, longest, equal = J.match(paths, i, j)
+    for k, (a, b) in enumerate(zip(i, j, strict=True)):
+        shared = [next((d for d in range(J.DEPTH) if paths[a, t, d] != paths[b, t, d]), J.DEPTH) for t in range(J.TREES)]
+        assert longest[k] == max(shared) and equal[k] == (paths[a] == paths[b]).sum()
+        assert first[k] == next((t for t, d in enumerate(shared) if d >= J.LEAST), -1)
+
+
+def test_groups_across_batches_stay_whole():
+    names = J._PLACE
+    rows = [(g, 0, 0, 0, 0, i) for g in range(7) for i in range(g % 4)]
+    table = J.pa.table({c: J.pa.array([r[k] for r in rows]) for k, c in enumerate([*names, "row"])})
+    for size in (1, 2, 5, 100):
+        got = [t.column("group").to_pylist() for t in J.whole_groups(table.to_batches(max_chunksize=size), names)]
+        assert sum(got, []) == [r[0] for r in rows]
+        ends = [(t[0], t[-1]) for t in got]
+        assert all(x[1] != y[0] for x, y in zip(ends, ends[1:], strict=False))
+
+
+def test_a_chain_of_texts_is_not_compared_all_with_all(spark):
+    """Each text shares most shingles with the next one only: blocks and tried pairs grow
+    with the chain, not with its square."""
+    w = words(31, 2000)
+    counts = []
+    for n in (100, 200):
+        rows = [(i + 1, " ".join(w[8 * i:8 * i + 160])) for i in range(n)]
+        signed = J.map_arrow(docs_frame(spark, rows).select("doc_id", "text"), J._signatures, "doc_id long, key binary, n long, paths binary")
+        classes = signed.withColumn("class_id", J.F.col("doc_id")).persist()
+        groups = J.subtries(classes).persist()
+        counts.append((groups.groupBy("group").count().agg(J.F.max("count")).first()[0], J._dealt(groups).count()))
+        out = J.near_duplicates(docs_frame(spark, rows)).collect()
+        assert sorted(((r.doc_id, r.n_links, r.group_id) for r in out), key=str) == brute(rows)
+    assert counts[1][0] <= counts[0][0] + 6 and counts[1][1] < 2.6 * counts[0][1]
 
 
 def test_empty_table_and_no_links(spark):
@@ -128,8 +173,3 @@ def test_rows_without_an_id_leave_one_of_a_group(spark):
     rows.append((4, near_rows()[0][1]))
     kept = J.keep_documents(docs_frame(spark, rows)).where("doc_id = 4 or text is null").collect()
     assert sorted((r.doc_id or -1) for r in kept) == [-1, 4]
-
-
-def test_labels_of_the_matched_depth_are_a_prefix():
-    own = J.mix64(J.np.arange(500, dtype=J.np.uint64))
-    assert (J.labels(own, J.matched_depth()) == J.labels(own)[:, :J.matched_depth()]).all()

@@ -30,7 +30,7 @@ def test_edges_pass_through_all_stages(spark, rows):
 
 def test_registered_names():
     names = list(queries.all_queries())
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)]
     assert set(queries.all_sql()) <= set(names)
 
 

@@ -2,22 +2,27 @@
 
 1. Texts with the same set of shingles (five words) are one class; everything
    below works on one representative of each class.
-2. A signature has ``TREES`` tries.  The depth of the matched prefixes follows
-   from the parameters alone, not from the data: of at most ``DEPTH`` labels the
-   longest prefix for which the chance that a pair at the threshold shares one in
-   some tree reaches ``RECALL`` (5 here; 6 would reach 0.992), so this is banding,
-   16 bands of 5 rows.  Where a node one label higher has at most ``SPARSE``
-   classes, they match at that depth (4) too; deeper labels are not computed.
-   Classes that share a node are joined to the node's smallest class, so a node of m classes gives m - 1 rows, never pairs.
-3. Connected candidates form groups.  Only their texts are read again; every
-   pair inside a group is verified exactly on the shingle sets, block by block
-   (blocks of hashed members within bands of set size; bands too far apart to
-   reach the threshold never meet).  Blocks return link counts and a spanning
-   forest of the links, never the links, so rows grow with members.
-
-The forest decides which pairs are tried (a pair at exactly the threshold is
-missed with a chance of at most 1 - RECALL, more alike ones far more rarely);
-the link itself is exact but for collisions of 64-bit shingle hashes.
+2. A signature is a forest's paths: ``TREES`` paths of ``DEPTH`` labels.  A trie node is the
+   classes whose paths begin alike.  A tree's subtries below ``LEAST`` labels, the shortest
+   prefix that may be matched, are laid side by side, each sorted by path; one that a
+   single class has is left out.  ``LEAST`` is the longest prefix with which the forest
+   finds a pair at the threshold with a chance of ``RECALL``.
+3. All trees in step, prefixes are shortened from their full length.  A class's own
+   partners tell when to stop: from the signatures, ``likely`` partners are counted by the
+   longest prefix that they share with it in any tree, and its prefixes are
+   shortened until those still unmatched are at most a share of 1 - ``RECALL``.  A class
+   whose likely partners all share full paths (a large group of near copies) stops there;
+   one without any goes down to ``LEAST``.  A pair is tried if it is matched for either side.
+4. A pair is tried in one place: the first tree in which it shares a subtrie.  Only
+   classes that have such a pair there send their sets, which are compared exactly, block
+   by block (hashed members within bands of set size; bands too far apart to reach the
+   threshold never meet).  So work follows the pairs that share a prefix: texts that are
+   alike only through others in between never meet.  Blocks return link counts and a
+   spanning forest of the links, never the links.
+
+The forest decides which pairs are tried (a pair at exactly the threshold is missed with a
+chance of about 1 - RECALL, more alike ones far more rarely); the link itself is exact but
+for collisions of 64-bit shingle hashes.
 
 Defined results: a null, empty or blank text has no shingles, its document is a
 class of its own and links with nothing; a text of one to four words has one
@@ -30,6 +35,7 @@ smallest key); an empty table gives an empty result; further columns are ignored
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,10 +53,14 @@ THRESHOLD = 0.8
 TREES = 16
 DEPTH = 8
 RECALL = 0.995
-SPARSE = 4
+#: Share of equal labels from which a pair counts as likely: over four standard
+#: deviations of 128 labels below the threshold.
+LIKELY = 0.65
 #: Verification works on blocks of about so many sets and shingles.
 BLOCK_SETS = 256
 BLOCK_SHINGLES = 1_000_000
+#: Pairs whose signatures are compared at a time.
+PAIRS = 1 << 15
 #: Sets are made of about so many text bytes at a time, which bounds their arrays.
 SET_BYTES = 1 << 20
 
@@ -59,9 +69,9 @@ def recall_at(depth: int, threshold: float = THRESHOLD, trees: int = TREES) -> f
     return 1 - (1 - threshold ** depth) ** trees
 
 
-def matched_depth(threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> int:
-    """The longest prefix, of at most ``depth`` labels, that reaches the target
-    recall: fixed by the parameters, whatever the data."""
+def least_depth(threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> int:
+    """The longest prefix, of at most ``depth`` labels, with which the forest finds a
+    pair at the threshold with the target recall; shorter ones are never needed."""
     while depth > 1 and recall_at(depth, threshold, trees) < recall:
         depth -= 1
     return depth
@@ -81,65 +91,48 @@ def _digest(own: np.ndarray) -> bytes:
 _SEEDS = mix64(np.arange(1, TREES * DEPTH + 1, dtype=np.uint64))
 
 
-def labels(own: np.ndarray, depth: int = DEPTH) -> np.ndarray:
-    """TREES x depth trie labels: the least of each permutation, mixed to 16 bits."""
-    seeds = _SEEDS.reshape(TREES, DEPTH)[:, :depth].ravel()
-    out = np.empty(len(seeds), np.uint64)
+LEAST = least_depth()
+
+
+def labels(own: np.ndarray) -> np.ndarray:
+    """TREES x DEPTH trie labels: the least of each permutation, mixed to 16 bits."""
+    out = np.full(len(_SEEDS), np.uint64(0xFFFFFFFFFFFFFFFF))
     with np.errstate(over="ignore"):
-        step = max(1, (1 << 18) // len(seeds))
-        out[:] = np.uint64(0xFFFFFFFFFFFFFFFF)
+        step = max(1, (1 << 18) // len(_SEEDS))
         for a in range(0, len(own), step):
-            x = own[a:a + step, None] ^ seeds[None, :]
+            x = own[a:a + step, None] ^ _SEEDS[None, :]
             x *= np.uint64(0xBF58476D1CE4E5B9)
             x ^= x >> np.uint64(32)
             x *= np.uint64(0x94D049BB133111EB)
             np.minimum(out, x.min(axis=0), out=out)
-    return (mix64(out) >> np.uint64(48)).reshape(TREES, depth)
+    return (mix64(out) >> np.uint64(48)).astype(">u2").reshape(TREES, DEPTH)
 
 
-def _signatures(depths: tuple[int, ...]):
-    """Arrow function: id, class key, set size, one trie node key per tree and depth."""
-    salt = mix64(np.arange(TREES * (DEPTH + 1), dtype=np.uint64)).reshape(TREES, DEPTH + 1)
-
-    def run(batches):
-        for batch in batches:
-            for part in text_slices(batch, 1, SET_BYTES):
-                keys, sizes, nodes = [], [], []
-                for own in text_sets(part, 1):
-                    sizes.append(len(own))
-                    if not len(own):
-                        keys.append(None)
-                        nodes.append(None)
-                        continue
-                    keys.append(_digest(own))
-                    path = labels(own, max(depths))
-                    with np.errstate(over="ignore"):
-                        made, state = [], salt[:, 0].copy()
-                        for d in range(max(depths)):
-                            state = mix64(state * np.uint64(0xD6E8FEB86659FD93) + path[:, d])
-                            if d + 1 in depths:
-                                made.append(state ^ salt[:, d + 1])
-                    nodes.append(np.concatenate(made).view(np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
-                     pa.array(nodes, pa.list_(pa.int64()))], ["doc_id", "key", "n", "nodes"])
-    return run
+def _signatures(batches):
+    """id, class key, set size and paths (big-endian labels, so that they sort as bytes)."""
+    for batch in batches:
+        for part in text_slices(batch, 1, SET_BYTES):
+            sets = text_sets(part, 1)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array([_digest(x) if len(x) else None for x in sets], pa.binary()),
+                 pa.array([len(x) for x in sets], pa.int64()),
+                 pa.array([labels(x).tobytes() if len(x) else None for x in sets], pa.binary())],
+                ["doc_id", "key", "n", "paths"])
 
 
 def _members(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
 
 
-def candidate_groups(classes: DataFrame, depth: int) -> DataFrame:
-    """(key, group, n) of the classes that share a trie node with another."""
-    rows = classes.select("key", F.posexplode("nodes").alias("at", "node"))
-    rows = rows.withColumn("sparse", F.col("at") < (TREES if depth > 1 else 0)).select("key", "node", "sparse")
-    met = (rows.groupBy("node", "sparse").agg(F.count("*").alias("m"), F.min("key").alias("least"))
-           .where((F.col("m") > 1) & (~F.col("sparse") | (F.col("m") <= SPARSE))).select("node", "least"))
-    edges = rows.select("key", "node").join(met, "node").where("key != least").select("key", "least")
-    groups = connected_components(edges, "key", "least")
-    return groups.join(classes.select(F.col("key").alias("node"), "n"), "node").select(
-        F.col("node").alias("key"), F.col("root").alias("group"), "n")
+def subtries(classes: DataFrame) -> DataFrame:
+    """(key, n, tree, group): each class in each tree, where another class shares its
+    first ``LEAST`` labels; ``group`` names the subtrie."""
+    prefix = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)),
+                         lambda t: F.substring(F.col("paths"), 2 * DEPTH * t + 1, F.lit(2 * LEAST)))
+    rows = classes.select("key", "n", F.posexplode(prefix).alias("tree", "prefix"))
+    rows = rows.select("key", "n", "tree", F.xxhash64("tree", "prefix").alias("group"))
+    shared = rows.groupBy("group").agg(F.count("*").alias("m")).where("m > 1").select("group")
+    return rows.join(shared, "group")
 
 
 def _dealt(groups: DataFrame) -> DataFrame:
@@ -168,93 +161,229 @@ def _dealt(groups: DataFrame) -> DataFrame:
         F.col("band").alias("band_b"), F.greatest("block", o).alias("block_b")))
     both = F.concat(same, pairs(F.col("band"), F.col("band") + 1, F.col("above"), True),
                     pairs(F.col("band") - 1, F.col("band"), F.col("below"), False))
-    return own.select("key", "group", "band", "block", F.explode(both).alias("pair"))
-
-
-def _pair_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections of two lists of sorted sets."""
-    all_right = np.concatenate(right)
-    owner = np.repeat(np.arange(len(right)), [len(x) for x in right])
-    order = np.argsort(all_right, kind="stable")
-    values, owner = all_right[order], owner[order]
-    out = np.zeros((len(left), len(right)), np.int64)
-    for i, own in enumerate(left):
-        a = np.searchsorted(values, own, side="left")
-        b = np.searchsorted(values, own, side="right")
-        n = b - a
-        hit = np.flatnonzero(n)
-        if len(hit):
-            a, n = a[hit], n[hit]
-            at = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            out[i] = np.bincount(owner[at], minlength=len(right))
-    return out
-
-
-def _verify(key, table):
-    """Links of one pair of blocks: (key, other, links, weight): link counts
-    with other null, and connecting edges with links null."""
-    band_a, block_a, band_b, block_b = (k.as_py() for k in key[1:])
-    keys = table.column("key").to_pylist()
-    sets = [np.frombuffer(x, np.uint64) for x in table.column("set").to_pylist()]
-    copies = table.column("copies").to_numpy()
-    bands = table.column("band").to_numpy()
-    blocks = table.column("block").to_numpy()
-    left = np.flatnonzero((bands == band_a) & (blocks == block_a))
-    right = np.flatnonzero((bands == band_b) & (blocks == block_b))
-    rows = ([], [], [], [])
-    if len(left) and len(right):
-        alike = (band_a, block_a) == (band_b, block_b)
-        size = np.array([len(x) for x in sets])
-        both = _pair_counts([sets[i] for i in left], [sets[i] for i in right])
-        union = size[left][:, None] + size[right][None, :] - both
-        link = both * 5 >= union * 4 if THRESHOLD == 0.8 else both >= THRESHOLD * union
-        if alike:
-            np.fill_diagonal(link, False)
-        seen = np.zeros(len(keys), np.int64)
-        weight = np.zeros(len(keys), np.int64)
-        seen[left] += link.sum(axis=1)
-        weight[left] += link @ copies[right]
-        if not alike:
-            seen[right] += link.sum(axis=0)
-            weight[right] += copies[left] @ link
-        for i in np.flatnonzero(seen):
-            rows[0].append(keys[i])
-            rows[1].append(None)
-            rows[2].append(int(seen[i]))
-            rows[3].append(int(weight[i]))
-        for x, y in zip(*star_edges(link, left, right), strict=True):
-            rows[0].append(keys[x])
-            rows[1].append(keys[y])
-            rows[2].append(None)
-            rows[3].append(None)
-    return pa.table({"key": pa.array(rows[0], pa.binary()), "other": pa.array(rows[1], pa.binary()),
-                     "links": pa.array(rows[2], pa.int64()), "weight": pa.array(rows[3], pa.int64())})
+    return own.select("key", "tree", "group", "band", "block", F.explode(both).alias("pair"))
+
+
+_PLACE = ["group", "band_a", "block_a", "band_b", "block_b"]
+
+
+def whole_groups(batches, names):
+    """Tables that hold whole groups of rows, from batches sorted by ``names``."""
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+        if not table.num_rows:
+            continue
+        last = np.ones(table.num_rows, bool)
+        for c in names:
+            x = table.column(c).to_numpy()
+            last &= x == x[-1]
+        cut = int(np.argmax(last))
+        if cut:
+            yield table.slice(0, cut).combine_chunks()
+        held = table.slice(cut)
+    if held is not None and held.num_rows:
+        yield held.combine_chunks()
+
+
+@lru_cache(maxsize=512)
+def _triangle(m: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.triu_indices(m, 1)
+
+
+def _group_pairs(table: pa.Table):
+    """For each group of a table: its first row and end, and the row pairs that meet
+    in it: within one block, or of the left and the right block."""
+    cols = {c: table.column(c).to_numpy() for c in [*_PLACE, "band", "block"]}
+    change = np.zeros(table.num_rows, bool)
+    change[0] = True
+    for c in _PLACE:
+        change[1:] |= cols[c][1:] != cols[c][:-1]
+    starts = [*np.flatnonzero(change).tolist(), table.num_rows]
+    alike = (cols["band_a"] == cols["band_b"]) & (cols["block_a"] == cols["block_b"])
+    left = (cols["band"] == cols["band_a"]) & (cols["block"] == cols["block_a"])
+    for a, b in zip(starts[:-1], starts[1:], strict=True):
+        if b - a < 2:
+            continue
+        if alike[a]:
+            i, j = _triangle(b - a) if b - a < 300 else np.triu_indices(b - a, 1)
+            yield a, b, i + a, j + a
+        else:
+            x, y = np.flatnonzero(left[a:b]) + a, np.flatnonzero(~left[a:b]) + a
+            yield a, b, np.repeat(x, len(y)), np.tile(y, len(x))
+
+
+def _paths_of(table: pa.Table) -> np.ndarray:
+    """Rows x trees x labels."""
+    return np.frombuffer(b"".join(table.column("paths").to_pylist()), ">u2").astype(np.uint16).reshape(-1, TREES, DEPTH)
+
+
+def match(paths: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For row pairs: the first tree in which they share a subtrie (-1: none), the longest
+    prefix that they share in any tree, and their number of equal labels."""
+    first, longest, equal = np.empty(len(i), np.int64), np.empty(len(i), np.int64), np.empty(len(i), np.int64)
+    for a in range(0, len(i), PAIRS):
+        same = paths[i[a:a + PAIRS]] == paths[j[a:a + PAIRS]]
+        equal[a:a + PAIRS] = same.sum(axis=(1, 2))
+        depth = np.logical_and.accumulate(same, axis=2).sum(axis=2)
+        longest[a:a + PAIRS] = depth.max(axis=1)
+        met = depth >= LEAST
+        first[a:a + PAIRS] = np.where(met.any(axis=1), met.argmax(axis=1), -1)
+    return first, longest, equal
+
+
+def _batched(table: pa.Table):
+    """The pairs of many small groups at a time: (group numbers' rows, i, j)."""
+    i, j, n = [], [], 0
+    for _, _, x, y in _group_pairs(table):
+        i.append(x)
+        j.append(y)
+        n += len(x)
+        if n >= PAIRS:
+            yield np.concatenate(i), np.concatenate(j)
+            i, j, n = [], [], 0
+    if n:
+        yield np.concatenate(i), np.concatenate(j)
+
+
+def _prospects(batches):
+    """Rows of signatures, by place: whether the class has a pair to try there, and its
+    likely partners by the longest prefix shared (f of LEAST to DEPTH labels or more)."""
+    depths = range(LEAST, DEPTH + 1)
+    for table in whole_groups(batches, _PLACE):
+        paths, tree = _paths_of(table), table.column("tree").to_numpy()
+        here = np.zeros(len(paths), bool)
+        found = np.zeros((len(depths), len(paths)), np.int64)
+        for i, j in _batched(table):
+            first, longest, equal = match(paths, i, j)
+            own = first == tree[i]
+            i, j, longest, likely = i[own], j[own], longest[own], equal[own] >= LIKELY * TREES * DEPTH
+            here[i] = here[j] = True
+            for d, row in zip(depths, found, strict=True):
+                at = likely & (longest >= d)
+                row += np.bincount(i[at], minlength=len(paths)) + np.bincount(j[at], minlength=len(paths))
+        rows = table.filter(pa.array(here)).drop_columns(["paths"])
+        yield from rows.append_column("found", pa.array(list(found[:, here].T), pa.list_(pa.int64()))).to_batches()
+
+
+def stop_depth(found: list[int], recall: float = RECALL) -> int:
+    """The longest prefix length at which likely partners still unmatched are at most a
+    share of 1 - recall; ``found`` counts those matched at LEAST to DEPTH labels."""
+    for d in range(DEPTH, LEAST, -1):
+        if found[0] and found[d - LEAST] >= recall * found[0]:
+            return d
+    return LEAST
+
+
+def _stop(found):
+    """``stop_depth`` as a Column of the summed counts."""
+    depth = F.lit(LEAST)
+    for d in range(LEAST + 1, DEPTH + 1):
+        depth = F.when((found[0] > 0) & (found[d - LEAST] >= RECALL * found[0]), d).otherwise(depth)
+    return depth
+
+
+class _Sets:
+    """The sets of a group's rows, all values of some of them in one sorted table."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sets = sets
+
+    def common(self, i: int, columns: np.ndarray) -> np.ndarray:
+        """Sizes of the intersections of set ``i`` with those of ``columns``."""
+        own = self.sets[i]
+        if len(columns) < 48:
+            out = np.empty(len(columns), np.int64)
+            for k, j in enumerate(columns.tolist()):
+                at = np.searchsorted(self.sets[j], own)
+                at[at == len(self.sets[j])] = 0
+                out[k] = np.count_nonzero(self.sets[j][at] == own)
+            return out
+        if not hasattr(self, "values"):
+            values = np.concatenate(self.sets)
+            owner = np.repeat(np.arange(len(self.sets)), [len(x) for x in self.sets])
+            order = np.argsort(values, kind="stable")
+            self.values, self.owner = values[order], owner[order]
+        a = np.searchsorted(self.values, own, side="left")
+        n = np.searchsorted(self.values, own, side="right") - a
+        at = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return np.bincount(self.owner[at], minlength=len(self.sets))[columns]
+
+
+def _verify(batches):
+    """Links of the pairs that are matched: (key, other, links, weight): link counts with
+    other null, and connecting edges with links null."""
+    for table in whole_groups(batches, _PLACE):
+        paths, tree, depth = _paths_of(table), table.column("tree").to_numpy(), table.column("depth").to_numpy()
+        keys, copies = table.column("key").to_pylist(), table.column("copies").to_numpy()
+        size = table.column("n").to_numpy()
+        bytes_of = table.column("set")
+        links, weight = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        edges = ([], [])
+        for a, b, i, j in _group_pairs(table):
+            first, longest, _ = match(paths, i, j)
+            tried = (first == tree[i]) & (longest >= np.minimum(depth[i], depth[j]))
+            i, j = i[tried], j[tried]
+            if not len(i):
+                continue
+            sets = _Sets([np.frombuffer(bytes_of[k].as_py(), np.uint64) for k in range(a, b)])
+            order = np.argsort(i, kind="stable")
+            i, j = i[order], j[order]
+            linked = np.zeros((b - a, b - a), bool)
+            cuts = [*np.flatnonzero(np.diff(i, prepend=-1)).tolist(), len(i)]
+            for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+                row, columns = i[x], j[x:y]
+                both = sets.common(row - a, columns - a)
+                union = size[row] + size[columns] - both
+                ok = both * 5 >= union * 4 if THRESHOLD == 0.8 else both >= THRESHOLD * union
+                linked[row - a, columns[ok] - a] = True
+            own = np.arange(a, b)
+            links[a:b] += linked.sum(axis=1) + linked.sum(axis=0)
+            weight[a:b] += linked @ copies[a:b] + copies[a:b] @ linked
+            for x, y in zip(*star_edges(linked | linked.T, own, own), strict=True):
+                edges[0].append(keys[x])
+                edges[1].append(keys[y])
+        some = np.flatnonzero(links).tolist()
+        none = [None] * len(edges[0])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([keys[k] for k in some] + edges[0], pa.binary()), pa.array([None] * len(some) + edges[1], pa.binary()),
+             pa.array(links[some].tolist() + none, pa.int64()), pa.array(weight[some].tolist() + none, pa.int64())],
+            ["key", "other", "links", "weight"])
+
+
+def _by_place(df: DataFrame) -> DataFrame:
+    """Rows of a place together and in order of their paths in its tree."""
+    path = F.expr(f"substring(paths, {2 * DEPTH} * tree + 1, {2 * DEPTH})")
+    return df.repartition(*_PLACE).sortWithinPartitions(*_PLACE, path)
 
 
 def _judged(docs: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, DataFrame]:
     """(doc_id, key) of every document and the facts of every class: key,
     class_id, copies, n_links, n_class_links, group_id, stands (for its group)."""
-    depth = matched_depth()
-    depths = (depth - 1, depth) if depth > 1 else (depth,)
     kind = dict(docs.dtypes)[doc_id]
-    signed = stored(map_arrow(_members(docs, text, doc_id), _signatures(depths), f"doc_id {kind}, key binary, n long, nodes array<long>"))
+    signed = stored(map_arrow(_members(docs, text, doc_id), _signatures, f"doc_id {kind}, key binary, n long, paths binary"))
     members = signed.select("doc_id", "key")
     classes = stored(signed.where("key is not null").groupBy("key")
                      .agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies"), F.max("n").alias("n"),
-                          F.first("nodes").alias("nodes")))
-    groups = stored(candidate_groups(classes, depth))
+                          F.first("paths").alias("paths")))
+    dealt = _dealt(stored(subtries(classes)))
+    place = ["key", "tree", "group", "band", "block", *[f"pair.{c}" for c in _PLACE[1:]]]
+    dealt = dealt.select(*place).join(classes.select("key", "paths"), "key")
+    fields = "key binary, tree int, group long, band int, block int, band_a int, block_a int, band_b int, block_b int"
+    prospects = stored(map_arrow(_by_place(dealt), _prospects, f"{fields}, found array<long>"))
+    depths = range(DEPTH - LEAST + 1)
+    partners = prospects.groupBy("key").agg(*[F.sum(F.col("found")[d]).alias(f"f{d}") for d in depths])
+    partners = partners.select("key", _stop([F.col(f"f{d}") for d in depths]).alias("depth"))
+    wanted = stored(partners.join(classes, "key"))
     # texts of the candidates, one for each class, read again
-    wanted = groups.select("key", "group", "n").join(classes.select("key", "class_id", "copies"), "key")
     named = wanted.select("class_id").distinct()       # null where a class has no other id
-    if groups.count() <= BROADCAST_ROW_LIMIT:
+    if wanted.count() <= BROADCAST_ROW_LIMIT:
         named = F.broadcast(named)                      # else both sides are shuffled
     texts = _members(docs, text, doc_id).join(named, F.col("doc_id").eqNullSafe(F.col("class_id")), "left_semi").select("text")
     texts = map_arrow(texts, _keyed_sets, "key binary, set binary").dropDuplicates(["key"])
-    dealt = _dealt(groups)
-    sized = dealt.join(texts, "key").join(classes.select("key", "copies"), "key")
-    found = stored(sized.select("key", "set", "copies", "group", "band", "block", "pair.band_a", "pair.block_a", "pair.band_b", "pair.block_b")
-             .groupBy("group", "band_a", "block_a", "band_b", "block_b")
-             .applyInArrow(_verify, "key binary, other binary, links long, weight long"))
+    sized = wanted.select("key", "depth", "copies", "n", "paths").join(texts, "key")
+    found = stored(map_arrow(_by_place(prospects.drop("found").join(sized, "key")), _verify,
+                             "key binary, other binary, links long, weight long"))
     counts = found.where("other is null").groupBy("key").agg(F.sum("links").alias("links"), F.sum("weight").alias("weight"))
     linked = connected_components(found.where("other is not null"), "key", "other")
     members_of = linked.join(classes.select(F.col("key").alias("node"), "class_id"), "node")
