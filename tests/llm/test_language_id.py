@@ -138,3 +138,14 @@ def test_sample_counts_copies_once_and_has_every_language(spark):
     assert languages == ["de", "en", "sw"]
     assert own["de"] == (3, 3) and own["sw"] == (3, 3) and 200 < own["en"][0] == own["en"][1] < 400
     assert L.fit(docs_frame(spark, rows), max_rows=300).languages == languages
+
+
+def test_numerals_are_no_letters(spark):
+    """A letter is of a Unicode letter category: fractions and Roman or circled numerals are not."""
+    rows = [(i, " ".join(["the of and to in"] * 4), "en") for i in range(30)] + [(100 + i, " ".join(["der die und das ist"] * 4), "de") for i in range(30)]
+    model = L.fit(docs_frame(spark, rows))
+    odd = [(1, "\u00bd \u00b2 \u2460", None), (2, "\u2167", None), (3, "\u2460 the \u2167", None), (4, "12 _ --", None)]
+    out = {r.doc_id: (r.lang_pred, r.score) for r in L.predict(docs_frame(spark, odd), model).collect()}
+    assert out[1] == out[2] == out[4] == ("und", 0.0) and out[3][0] == "en"
+    kept = {r.doc_id for r in L.keep_documents(docs_frame(spark, odd), model).collect()}
+    assert kept == {3}

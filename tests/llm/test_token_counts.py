@@ -17,7 +17,7 @@ def library(pieces, unknown, byte_fallback):
 
 
 TEXTS = ["a  b", " lead", "trail  ", "\nx", "x \n y", "  \n\n ", "▁ mark▁mark", "<0x0A> <s>", "日本語テキスト 😀", "don't stop\tnow", "é" * 50,
-         "a" * 400, "▁", " ", "\n"]
+         "a" * 400, "▁", " ", "\n", "<unk>", "Ö<unk>\n", "<unk><unk>", "a<unk>b", "<unk> \x01<unk>", "x <unk>\n<unk> \x02"]
 
 
 def test_counts_are_those_of_the_library(spark):
@@ -41,3 +41,22 @@ def test_ties_of_small_vocabularies(seed):
     for _ in range(200):
         text = "".join(r.choice("abc ") for _ in range(r.randint(0, 14)))
         assert counter.count(text)[0] == count(text), (pieces, text)
+
+
+def test_random_texts_with_the_unknown_mark():
+    pieces, unknown = C.vocabulary(PATH)
+    count, counter = library(pieces, unknown, True), C.Counter(pieces, unknown)
+    r = random.Random(3)
+    for _ in range(1500):
+        text = "".join(r.choice(["<unk>", "a", " ", "\n", "\x01", "\ue000", "the", "<", "unk>", "▁"]) for _ in range(r.randint(1, 9)))
+        assert counter.count(text)[0] == count(text), repr(text)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_unknown_mark_without_byte_fallback(seed):
+    r = random.Random(50 + seed)
+    pieces = [("<unk>", 0.0), ("▁", -2.0), ("a", -1.0), ("<", -3.0), ("ab", -1.0)]
+    counter, count = C.Counter(pieces), library(pieces, 0, False)
+    for _ in range(200):
+        text = "".join(r.choice(["<unk>", "a", "b", " ", "x", "<"]) for _ in range(r.randint(1, 8)))
+        assert counter.count(text)[0] == count(text), repr(text)

@@ -19,6 +19,7 @@ held out); an empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,10 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trellis.llm.common import column_bytes, crc_of_id, documents, map_arrow, mix64, text_slices, word_hashes
+from trellis.plans.tables import stored
 from trellis.sources.tables import read_table
 
 MAX_TRAINING_DOCS = 4_000
 MAX_TRAINING_LINES = 2_000
+#: Lines of all training documents together, about; the features of so many take 40 MB.
+MAX_LINES = 400_000
+#: Lines whose features are numbers at a time.
+BLOCK_LINES = 20_000
 ROUNDS = 150
 #: A share counts as many indicators as it passes of these.
 STEPS = np.array([0.01, 0.03, 0.06, 0.12, 0.25, 0.5])
@@ -172,11 +178,30 @@ def document_quality(good: np.ndarray, lines: Lines) -> np.ndarray:
     return np.divide(value, total, out=np.full(n, np.nan), where=total > 0)
 
 
+def _blocks(features: np.ndarray):
+    """Rows of the 0 and 1 features as numbers, a block at a time."""
+    for a in range(0, len(features), BLOCK_LINES):
+        yield slice(a, a + BLOCK_LINES), features[a:a + BLOCK_LINES].astype(np.float64)
+
+
+def _scores(features: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    out = np.empty(len(features))
+    for at, x in _blocks(features):
+        out[at] = x @ weights
+    return out
+
+
+def _sums(features: np.ndarray, by: np.ndarray) -> np.ndarray:
+    out = np.zeros(features.shape[1])
+    for at, x in _blocks(features):
+        out += x.T @ by[at]
+    return out
+
+
 def fit(features: np.ndarray, counts: np.ndarray, length: np.ndarray, label: np.ndarray, rounds: int = ROUNDS) -> Crf:
     """Penalised maximum likelihood by Adam, classes weighed alike; then the curve."""
     if not len(label):
         return Crf(np.zeros(WIDTH), np.zeros((2, 2)), 1.0, 0.0, 0.5)
-    x = features.astype(np.float64)
     y = np.repeat(label, counts).astype(np.float64)
     doc = np.repeat(np.arange(len(label)), counts)
     lines = Lines(doc, length, features, counts)
@@ -189,12 +214,12 @@ def fit(features: np.ndarray, counts: np.ndarray, length: np.ndarray, label: np.
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for k in range(1, rounds + 1):
         w, pair = theta[:WIDTH], theta[WIDTH:].reshape(2, 2)
-        good, expected = forward_backward(x @ w, counts, pair)
-        grad = np.concatenate([x.T @ (y - good), (observed - expected).ravel()]) / max(1, len(y)) - 1e-4 * theta
+        good, expected = forward_backward(_scores(features, w), counts, pair)
+        grad = np.concatenate([_sums(features, y - good), (observed - expected).ravel()]) / max(1, len(y)) - 1e-4 * theta
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad ** 2
         theta = theta + 0.1 * (m / (1 - 0.9 ** k)) / (np.sqrt(v / (1 - 0.99 ** k)) + 1e-8)
     w, pair = theta[:WIDTH], theta[WIDTH:].reshape(2, 2)
-    good, _ = forward_backward(x @ w, counts, pair)
+    good, _ = forward_backward(_scores(features, w), counts, pair)
     prior = float(np.clip(label.mean(), 0.01, 0.99))
     q = _logit(np.nan_to_num(document_quality(good, lines), nan=prior))
     slope, shift = 1.0, 0.0
@@ -219,14 +244,16 @@ def score_texts(model: Crf, data: np.ndarray, offsets: np.ndarray) -> np.ndarray
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS,
-                  max_lines: int = MAX_TRAINING_LINES) -> DataFrame:
+                  max_lines: int = MAX_TRAINING_LINES, all_lines: int = MAX_LINES) -> DataFrame:
     """Features of the sampled labelled documents: label, counts, length, features.
-    The label side of the join holds at most about ``max_docs`` rows."""
+    The label side of the join holds at most about ``max_docs`` rows, and of the documents
+    (repeated ids too) as many stay, by a hash of their features, as hold about ``all_lines``
+    lines."""
     known = (labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg(F.max("quality").alias("label")))
     n = known.count()
     if n > max_docs:
-        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * max_docs / n))
+        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < math.ceil((1 << 40) * max_docs / n))
     rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "label")
 
     def run(batches):
@@ -243,7 +270,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINI
                      pa.array([np.packbits(lines.features[s]).tobytes() for s in own], pa.binary())],
                     ["label", "n", "length", "features"])
 
-    return map_arrow(rows, run, "label int, n long, length binary, features binary")
+    made = stored(map_arrow(rows, run, "label int, n long, length binary, features binary"))
+    held = made.agg(F.sum("n")).first()[0] or 0
+    if held > all_lines:
+        made = made.where(F.pmod(F.xxhash64("features", "length"), F.lit(1 << 40)) < math.ceil((1 << 40) * all_lines / held))
+    return made
 
 
 def fit_documents(docs: DataFrame, labels: DataFrame) -> Crf:

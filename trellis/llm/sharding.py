@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from trellis.llm.common import documents, map_arrow
+from trellis.llm.common import documents, fresh, map_arrow
 from trellis.plans.tables import stored
 
 SHARDS = 16
@@ -45,9 +45,14 @@ def shard_of(key: Column, weights: Sequence[float]) -> Column:
     return (-F.greatest(*scores)["place"]).cast("int") if len(scores) > 1 else F.lit(0)
 
 
-def assign(df: DataFrame, key: str, weights: Sequence[float], into: str = "shard") -> DataFrame:
-    """``df`` with the shard of each row; no shuffle."""
-    return df.withColumn(into, shard_of(F.col(f"`{key}`"), weights))
+def assign(df: DataFrame, key: str, weights: Sequence[float], into: str | None = None) -> DataFrame:
+    """``df``, all columns as they are, and the shard of each row in ``into``; no shuffle.
+    Without ``into`` the column is ``shard``, with underscores before it where ``df`` has
+    such a column; an ``into`` that is taken is an error."""
+    name = into or fresh(df, "shard")
+    if name != fresh(df, name):
+        raise ValueError(f"{name!r} is a column already")
+    return df.select("*", shard_of(F.col(f"`{key}`"), weights).alias(name))
 
 
 def place(df: DataFrame, key: str, weights: Sequence[float], *payload: Column) -> DataFrame:
@@ -79,8 +84,9 @@ def place(df: DataFrame, key: str, weights: Sequence[float], *payload: Column) -
 
 
 def write_shards(df: DataFrame, key: str, weights: Sequence[float], path: str) -> None:
-    """Write ``df`` below ``path``, a folder for each shard, without a shuffle."""
-    assign(df, key, weights).write.partitionBy("shard").parquet(path)
+    """Write ``df`` below ``path``, a folder for each shard (the column that ``assign``
+    names), without a shuffle."""
+    assign(df, key, weights).write.partitionBy(fresh(df, "shard")).parquet(path)
 
 
 def op6_rendezvous_sharding(spark, sf_dir):

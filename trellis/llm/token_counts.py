@@ -5,7 +5,14 @@ dynamic programming over the ends carries the best score and the number of
 pieces on its path.  Ties follow the tokenizers library's unigram model:
 of equal scores the piece that starts first (the longest) wins; a character
 that is no piece costs the least score less ten and counts as its bytes
-(byte fallback) or, with its neighbours, as one unknown token.
+(byte fallback) or, with its neighbours, as one unknown token.  The piece that stands
+for the unknown joins such a run where its own letters stand in the text: alone it is
+one token, beside another unknown its letters count as bytes too.
+
+The scores are taken from the vocabulary file as a unigram model's, whatever model the
+file was made for.  ``piece_bpe_32k.model`` holds merge ranks as scores, so the counts
+of its query are those of the unigram model with these scores, not those of the file's
+own tokenizer.
 
 No piece holds a blank mark after another character, so a text's best path is
 the best paths of its blank-led words in order; each distinct word is solved
@@ -41,15 +48,16 @@ def vocabulary(path: str) -> tuple[list[tuple[str, float]], int]:
 class Counter:
     """Best score and piece count of texts under a unigram vocabulary."""
 
-    def __init__(self, pieces: list[tuple[str, float]]):
+    def __init__(self, pieces: list[tuple[str, float]], unknown_id: int | None = 0):
         import ahocorasick
         names = {p for p, _ in pieces}
+        self.mark = pieces[unknown_id][0] if unknown_id is not None else ""
         self.byte_fallback = all(f"<0x{b:02X}>" in names for b in range(256))
         self.unknown = min(s for _, s in pieces) - UNKNOWN_PENALTY
         self.automaton = ahocorasick.Automaton()
         for p, s in pieces:
             if p:
-                self.automaton.add_word(p, (len(p), s))
+                self.automaton.add_word(p, (len(p), s, p == self.mark))
         self.automaton.make_automaton()
         self.longest = max(len(p) for p, _ in pieces)
         inner = any(BLANK in p.lstrip(BLANK) for p in names)
@@ -57,35 +65,45 @@ class Counter:
         self.counts, self.scores = Memo(), Memo()       # by word
 
     def solve(self, s: str) -> tuple[int, float]:
-        """(pieces, score) of a normalised string."""
+        """(pieces, score) of a normalised string.  A state holds the tokens before the run of
+        unknowns that it ends with, and the run's tokens and parts (none: no run)."""
         size = self.longest + 1
-        best, count, open_unknown = [0.0] * size, [0] * size, [False] * size
+        best, count, run, parts = [0.0] * size, [0] * size, [0] * size, [0] * size
         matches = self.automaton.iter(s)
         nxt = next(matches, None)
         for end in range(1, len(s) + 1):
             top = None
-            pieces, unknown, single = 0, False, False
+            from_, length, marked, single = 0, 0, False, False
             while nxt is not None and nxt[0] == end - 1:   # longest first
-                length, score = nxt[1]
-                at = (end - length) % size
-                value = best[at] + score
+                n, score, is_mark = nxt[1]
+                value = best[(end - n) % size] + score
                 if top is None or value > top:
-                    top, pieces, unknown = value, count[at] + 1, False
-                single |= length == 1
+                    top, from_, length, marked = value, (end - n) % size, n, is_mark
+                single |= n == 1
                 nxt = next(matches, None)
+            unknown = marked
             if not single:
                 at = (end - 1) % size
                 value = best[at] + self.unknown
                 if top is None or value > top:
-                    top, unknown = value, True
-                    if self.byte_fallback:
-                        pieces = count[at] + len(s[end - 1].encode())
-                    else:
-                        pieces = count[at] + (not open_unknown[at])
+                    top, from_, length, marked, unknown = value, at, 1, False, True
             here = end % size
-            best[here], count[here], open_unknown[here] = top, pieces, unknown
+            if not unknown:
+                count[here], run[here], parts[here] = count[from_] + run[from_] + 1, 0, 0
+            else:
+                # the run's tokens: its bytes, but one where it is the mark alone, or without byte fallback
+                more = len(s[end - length:end].encode())
+                held = run[from_] if parts[from_] != -1 else len(self.mark.encode())
+                count[here] = count[from_]
+                if not self.byte_fallback:
+                    run[here], parts[here] = 1, 1
+                elif parts[from_] == 0 and marked:
+                    run[here], parts[here] = 1, -1          # the mark alone
+                else:
+                    run[here], parts[here] = held + more, 1
+            best[here] = top
         here = len(s) % size
-        return count[here], best[here]
+        return count[here] + run[here], best[here]
 
     def _learn(self, words) -> None:
         for w in words:
@@ -98,7 +116,7 @@ class Counter:
     def count(self, text: str) -> tuple[int, float]:
         if not text:
             return 0, 0.0
-        if not self.by_word:
+        if not self.by_word or self.mark and self.mark in text:     # a run may reach over words
             return self.solve(BLANK + text.replace(" ", BLANK))
         self.counts.trim()
         self.scores.trim()
@@ -138,7 +156,7 @@ class Counter:
 
 @lru_cache(maxsize=2)
 def _counter(path: str) -> Counter:
-    return Counter(vocabulary(path)[0])
+    return Counter(*vocabulary(path))
 
 
 def token_counts(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
