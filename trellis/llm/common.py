@@ -165,6 +165,11 @@ IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
+#: Bytes of text whose words are hashed at a time, and of a word that have powers of their own.
+HASH_WINDOW = 2 << 20
+_PLACE_BITS = 16
+
+
 @lru_cache(maxsize=2)
 def _powers(bits: int) -> np.ndarray:
     out = np.full(1 << bits, _U(_BASE))
@@ -173,32 +178,71 @@ def _powers(bits: int) -> np.ndarray:
         return np.multiply.accumulate(out)
 
 
+def _terms(data: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """What each byte adds to its word's hash, by its place in the word."""
+    with np.errstate(over="ignore"):
+        out = _BYTE[data] * _powers(_PLACE_BITS)[place & ((1 << _PLACE_BITS) - 1)]
+        far = place >> _PLACE_BITS
+        if len(far) and far.max() > 0:
+            out *= np.where(far > 0, mix64(far.astype(np.uint64)) | _U(1), _U(1))
+        return out
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of consecutive texts.
 
     ``data`` holds the UTF-8 bytes of all texts, ``offsets`` (n + 1 long) their
-    borders.  Returns the hashes in order and the n + 1 borders among them.
+    borders.  Returns the hashes in order and the n + 1 borders among them.  Bytes are
+    read a window at a time; a word that a window leaves open goes on in the next.
     """
-    if len(data) == 0:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    space = IS_SPACE[data]
-    first = ~space
-    first[1:] &= space[:-1] | False
-    border = offsets[:-1][offsets[:-1] < len(data)]
-    first[border] = ~space[border]
-    starts = np.flatnonzero(first)
-    if len(starts) == 0:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    word_of = np.cumsum(first) - 1
-    inside = np.flatnonzero(~space)
-    owner = word_of[inside]
-    place = inside - starts[owner]
-    power = _powers(max(10, int(place.max()).bit_length()))
-    with np.errstate(over="ignore"):
-        terms = _BYTE[data[inside]] * power[place]
+    sums, sizes, starts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    last = 0
+    for a in range(0, len(data), HASH_WINDOW):
+        part = data[a:a + HASH_WINDOW]
+        space = IS_SPACE[part]
+        first = ~space
+        first[1:] &= space[:-1]
+        if a:
+            first[0] &= IS_SPACE[data[a - 1]]
+        border = offsets[np.searchsorted(offsets, a):np.searchsorted(offsets, a + len(part))] - a
+        first[border] = ~space[border]
+        inside = np.flatnonzero(~space)
+        if not len(inside):
+            continue
+        begin = np.flatnonzero(first) + a
+        goes_on = not space[0] and not first[0]
+        if goes_on:
+            begin = np.concatenate([[last], begin])
+        owner = np.cumsum(first)[inside] - (0 if goes_on else 1)
+        terms = _terms(part[inside], inside + a - begin[owner])
         cut = np.flatnonzero(np.diff(owner, prepend=-1))
-        hashes = mix64(np.add.reduceat(terms, cut) + np.diff(np.append(cut, len(inside))).astype(np.uint64))
-    return hashes, np.searchsorted(starts, offsets).astype(np.int64)
+        with np.errstate(over="ignore"):
+            own, n = np.add.reduceat(terms, cut), np.diff(np.append(cut, len(inside)))
+            if goes_on:
+                at = max(i for i, x in enumerate(sums) if len(x))
+                sums[at][-1] += own[0]
+                sizes[at][-1] += n[0]
+                own, n, begin = own[1:], n[1:], begin[1:]
+        sums.append(own)
+        sizes.append(n)
+        starts.append(begin)
+        if len(begin):
+            last = int(begin[-1])
+    with np.errstate(over="ignore"):
+        hashes = mix64(np.concatenate(sums) + np.concatenate(sizes).astype(np.uint64))
+    if not len(hashes):
+        return hashes[:0], np.zeros(len(offsets), np.int64)
+    return hashes, np.searchsorted(np.concatenate(starts), offsets).astype(np.int64)
+
+
+def byte_hashes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the whole texts (none empty) that ``offsets`` cuts out of ``data``."""
+    sizes = np.diff(offsets)
+    if not len(sizes):
+        return np.zeros(0, np.uint64)
+    place = np.arange(len(data)) - np.repeat(offsets[:-1], sizes)
+    with np.errstate(over="ignore"):
+        return mix64(np.add.reduceat(_terms(data, place), offsets[:-1]) + sizes.astype(np.uint64))
 
 
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
