@@ -100,8 +100,11 @@ def test_stage_decides_by_the_share_of_the_spans(spark):
     parts = [f"{text} " * 6 for text in own.values()]
     letters = max(len(p) for p in parts)
     salad = "".join(p * round(letters / len(p)) for p in parts)
-    cases = docs_frame(spark, [(1, parts[0]), (2, parts[0] + parts[2]), (3, parts[2] + parts[3] + parts[0]), (4, salad)])
-    assert sorted(r.doc_id for r in L.keep_documents(cases, model).collect()) == [1, 2, 3]
+    n = {p: len(p.replace(" ", "")) for p in parts}
+    half = parts[0] * 3 + parts[2] * round(3 * n[parts[0]] / n[parts[2]])
+    cases = docs_frame(spark, [(1, parts[0]), (2, parts[0] * 2 + parts[2]), (3, parts[1] * 6 + parts[3] + parts[0]), (4, salad), (5, half),
+                               *[(10 + k, p) for k, p in enumerate(parts)]])
+    assert sorted(r.doc_id for r in L.keep_documents(cases, model).collect()) == [1, 2, 3, 10, 11, 12, 13, 14]
 
 
 def test_every_language_of_many_is_learned(spark):

@@ -17,10 +17,10 @@ without any labelled row every text is ``und``; further columns are ignored.
 
 ``keep_documents`` tells "no letter" from "nothing learned": a text without a
 letter goes; without a learned language every text with a letter stays; else a
-text stays if the spans of some language hold at least ``KEEP_SHARE`` of its
-letters.  Texts in one, two or three languages reach that, and so do words that
-give no evidence (they stay in their neighbours' span); a text pieced together
-from four or more languages in like parts does not.
+text stays if it has a main language, one whose spans hold at least ``KEEP_SHARE`` of its
+letters.  A text in one language has, with names, quotations and passages of others in it,
+and so do words that give no evidence (they stay in their neighbours' span); a text
+pieced together from two or more languages in like parts has not.
 """
 
 from __future__ import annotations
@@ -58,7 +58,7 @@ WORK_PAIRS = 250_000
 #: Words whose n-grams are counted at a time.
 COUNT_WORDS = 10_000
 #: Least share of a kept text's letters in the spans of one language.
-KEEP_SHARE = 0.3
+KEEP_SHARE = 0.6
 
 #: First code points of script ranges (Unicode blocks) and names.
 SCRIPTS = [
