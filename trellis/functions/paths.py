@@ -99,10 +99,6 @@ def path_canonical(components) -> Column:
     return F.when(F.size(c) == 0, F.lit("")).otherwise(F.concat(F.lit("/"), F.array_join(c, "/")))
 
 
-def path_prefix_key(components, n) -> Column:
-    """Canonical key of the first ``n`` components."""
-    return path_canonical(F.slice(_c(components), 1, n))
-
 
 def path_part(components, n: int) -> Column:
     """component ``n`` (0-based), NULL when out of range."""
@@ -118,17 +114,3 @@ def under_root(components, root: str = ROOT_NAME) -> Column:
     """at least one component and the first equals the root name."""
     c = _c(components)
     return F.coalesce((F.size(c) > 0) & (F.get(c, 0) == F.lit(root)), F.lit(False))
-
-
-def parent_key(components) -> Column:
-    """Key of the folder holding the node (all but the last component)."""
-    c = _c(components)
-    return path_prefix_key(c, F.size(c) - 1)
-
-
-def strict_prefix_lengths(components, shortest: int = 1) -> Column:
-    """``[shortest .. depth-1]`` (empty when the path is too short); never a
-    downward ``sequence``."""
-    d = F.size(_c(components))
-    return F.when(d - 1 >= shortest, F.sequence(F.lit(shortest), d - 1)).otherwise(
-        F.array().cast("array<int>"))

@@ -88,12 +88,6 @@ def matrix_to_rows(m: DataFrame, ncols: int) -> DataFrame:
             .mapInArrow(run, "i bigint, row_offset bigint, row array<double>"))
 
 
-def rows_to_cells(rows: DataFrame) -> DataFrame:
-    """Row form back to cells."""
-    return rows.select("i", F.posexplode("row").alias("j", "v")).select(
-        "i", F.col("j").cast("bigint").alias("j"), "v")
-
-
 def transpose(m: DataFrame) -> DataFrame:
     return m.select(F.col("j").alias("i"), F.col("i").alias("j"), "v")
 

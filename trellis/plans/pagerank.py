@@ -40,7 +40,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trellis.functions.rank import damp
-from trellis.operators.graph import adjacency_to_links
 from trellis.plans.sizing import BROADCAST_ROW_LIMIT, at_most, default_parallelism
 from trellis.plans.tables import write_bucketed
 from trellis.session import ensure_checkpoint_dir
@@ -144,8 +143,3 @@ def pagerank(links: DataFrame, ranks: DataFrame, iterations: int = 5,
             # the checkpointed result no longer depends on the link tables
             graph.unpersist()
     return current
-
-
-def pagerank_sites(sites: DataFrame, ranks: DataFrame, iterations: int = 5, **kw) -> DataFrame:
-    """G10 on the array form ``sites(id, edges)``."""
-    return pagerank(adjacency_to_links(sites), ranks, iterations, **kw)
