@@ -11,12 +11,12 @@
 3. Training goes once over all training documents, in rounds that take growing
    shares of them (by a hash of the row).  In a round every task trains its own
    copy from the common weights on all its documents (streams of documents side by
-   side, backpropagation through windows of ``STEPS`` words, the state carried from
-   window to window, Adagrad); then weights and step sizes are averaged by tokens.
+   side, long ones in segments; backpropagation through windows of ``STEPS`` words, the
+   state carried from window to window, Adagrad); then weights and step sizes are averaged by tokens.
 4. Scoring lays whole documents end to end on parallel streams.  A document starts from
    the zero state and carries its state through all of its windows to its end mark.
 
-Tasks send one copy of the weights a round (some 1.6 MB, averaged in two steps so that
+Tasks send one copy of the weights a round (some 2.3 MB, averaged in two steps so that
 no row gathers all tasks); the driver holds one copy.
 
 Defined results: a null text is empty and has one token, its end; words of any script
@@ -48,14 +48,18 @@ from trellis.plans.tables import stored
 HEAD = 1 << 18
 VOCABULARY = 4096
 CLASSES = 32
-WIDTH = 24                  # of the state and of a word's input vector
+WIDTH = 16                  # of the state and of a word's input vector
 STEPS = 32
-STREAMS = 256
+STREAMS = 384
 RATE = 0.05
+#: Words of a document that training reads from one starting state; scoring carries the state
+#: through whole documents.
+SEGMENT = 1024
 #: Borders between the rounds, as shares of the training documents.
 ROUNDS = (0.0, 1 / 16, 5 / 16, 1.0)
-#: Text bytes that are laid on streams together.
+#: Text bytes that are counted, or laid on streams for scoring, together; and for training.
 SLICE = 16 << 20
+TRAIN_SLICE = 8 << 20
 #: Weights are summed in blocks of so many, of so many tasks at a time.
 BLOCK = 1 << 14
 SALTS = 16
@@ -88,7 +92,7 @@ def _documents(column: pa.Array):
 
 def _counts(batches):
     """(word, n) of each slice, and its documents under the end mark."""
-    for batch in batches:
+    for batch in gathered(batches, 0, SLICE):
         for _, rows, words, _ in _documents(batch.column(0)):
             found = pc.value_counts(words)
             names = found.field("values").cast(pa.string())
@@ -118,12 +122,12 @@ class Vocabulary:
         #: Add-one denominator of the words outside the network, one unseen word included.
         self.rest = self.total - inside + self.distinct - self.known + 1
 
-    def place(self, words) -> np.ndarray:
-        """Index of each word in the head, -1 for the others."""
+    def place(self, words, known: bool = False) -> np.ndarray:
+        """Index of each word in the head, or among the network's words, -1 for the others."""
         if isinstance(words, pa.ChunkedArray):
             words = words.combine_chunks()
         coded = words.dictionary_encode()
-        at = pc.index_in(coded.dictionary.cast(pa.large_string()), value_set=self.words).fill_null(-1).to_numpy()
+        at = pc.index_in(coded.dictionary.cast(pa.large_string()), value_set=self.words.slice(0, self.known) if known else self.words).fill_null(-1).to_numpy()
         return (at[coded.indices.to_numpy()] if len(coded) else np.zeros(0)).astype(np.int32)
 
 
@@ -238,11 +242,13 @@ class Network:
         resets = fresh.any(axis=1).tolist()
         by_x, by_h = np.ascontiguousarray(w["x"].T), np.ascontiguousarray(w["h"].T)
         bias = w["bias"][:, None]
-        went, pulled = self._room("went", steps, n, streams), self._room("pulled", steps, 3 * n, streams)
-        gate, new = self._room("gate", steps, 2 * n, streams), self._room("new", steps, n, streams)
+        kept = steps if train else 1                    # scoring needs no step but the last
+        went, pulled = self._room("went", kept, n, streams), self._room("pulled", kept, 3 * n, streams)
+        gate, new = self._room("gate", kept, 2 * n, streams), self._room("new", kept, n, streams)
         hidden, fed = self._room("hidden", steps, n, streams), self._room("fed", 3 * n, streams)
         for t in range(steps):
-            h, u, zr, c = went[t], pulled[t], gate[t], new[t]
+            k = t if train else 0
+            h, u, zr, c = went[k], pulled[k], gate[k], new[k]
             if resets[t]:
                 np.multiply(state, stays[t], out=h)
             else:
@@ -386,6 +392,14 @@ def lay_out(words: np.ndarray, lengths: np.ndarray, streams: int) -> Streams:
     return Streams(laid.T, owner.T, total[order])
 
 
+def segments(lengths: np.ndarray, most: int = SEGMENT) -> np.ndarray:
+    """Lengths of the parts that documents are cut into, ``most`` words at most."""
+    parts = -(-lengths // most)
+    out = np.full(parts.sum(), most, lengths.dtype)
+    out[np.cumsum(parts) - 1] = lengths - (parts - 1) * most
+    return out
+
+
 def run_network(network: Network, streams: Streams, train: bool = False) -> np.ndarray:
     """Natural log-probability of every laid word (steps x streams)."""
     steps, n = streams.words.shape
@@ -409,12 +423,13 @@ def run_network(network: Network, streams: Streams, train: bool = False) -> np.n
     return out
 
 
-def laid_documents(vocabulary: Vocabulary, column: pa.Array):
-    """Per slice: first row, number of rows, words' places in the head (each document's
-    end mark last), words per document, and the words themselves with their rows."""
-    end = vocabulary.place(pa.array([END], pa.large_string()))[0]
+def laid_documents(vocabulary: Vocabulary, column: pa.Array, known: bool = False):
+    """Per slice: first row, number of rows, words' places in the head or among the
+    network's words (each document's end mark last), words per document, and the words
+    themselves with their rows."""
+    end = vocabulary.place(pa.array([END], pa.large_string()), known)[0]
     for base, rows, words, row in _documents(column):
-        own = vocabulary.place(words)
+        own = vocabulary.place(words, known)
         lengths = np.bincount(row, minlength=rows) + 1
         places = np.full(len(own) + rows, end, np.int32)
         places[np.arange(len(own)) + row] = own
@@ -429,10 +444,10 @@ def _trained(shared):
         vocabulary, flat, steps = shared.value
         network = Network(vocabulary, flat.copy(), steps.copy())
         tokens = 0
-        for batch in gathered(batches, 0, SLICE):
-            for _, _, places, lengths, *_ in laid_documents(vocabulary, batch.column(0)):
+        for batch in gathered(batches, 0, TRAIN_SLICE):
+            for _, _, places, lengths, *_ in laid_documents(vocabulary, batch.column(0), known=True):
                 tokens += len(places)
-                run_network(network, lay_out(places, lengths, STREAMS), train=True)
+                run_network(network, lay_out(places, segments(lengths), STREAMS), train=True)
         if tokens:
             both = np.concatenate([network.flat, network.steps]).astype(np.float64) * tokens
             blocks = [both[a:a + BLOCK] for a in range(0, len(both), BLOCK)]
