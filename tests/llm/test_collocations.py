@@ -119,12 +119,25 @@ def test_empty_table_and_nothing_frequent(spark):
     assert C.collocations(docs_frame(spark, [(1, "each word differs", "en"), (2, None, None)])).count() == 0
 
 
-def test_maps_hold_every_phrase(spark):
-    names = pa.array(["a", "b", "a b", "b a c"])
-    rows = pa.RecordBatch.from_arrays([pa.array([1, 1, 2, 3], pa.int32()), pa.array(["en"] * 4), names], ["k", "lang", "phrase"])
-    found = {(b.column(0)[i].as_py(), b.column(1)[i].as_py()) for b in C._bits_of([rows]) for i in range(b.num_rows)}
-    unit = C._name_hashes(pa.array(["a", "b", "c"]), pa.array(["en"] * 3))
-    two = C._longer(unit[:1], unit[1:2])
-    three = C._longer(C._longer(unit[1:2], unit[:1]), unit[2:3])
-    for level, h in ((1, unit[0]), (1, unit[1]), (2, two[0]), (3, three[0])):
-        assert (level, int(h % np.uint64(C.FILTER_BITS)) >> 6) in found
+def test_maps_hold_every_proposed_phrase(spark):
+    r = np.random.default_rng(2)
+    hashes = r.integers(0, 2 ** 64, 500, dtype=np.uint64)
+    hashes[:2] = [0, 2 ** 64 - 1]
+    codes = np.concatenate([C.codes_of(hashes[:200], 1), C.codes_of(hashes[200:], 3)]).view(np.int64)
+    now, failed = C.Proposals().with_codes(spark.createDataFrame([(int(c),) for c in codes], "code long"))
+    assert failed and now.has(1, hashes[:200]).all() and now.has(3, hashes[200:]).all()
+    assert not now.has(2, hashes).any() and now.has(1, hashes[200:]).mean() < 0.01
+    same, failed = now.with_codes(spark.createDataFrame([], "code long"))
+    assert not failed and all((same.maps[k] == now.maps[k]).all() for k in now.maps)
+
+
+def test_equal_hashes_of_different_texts_stay_apart():
+    tally = C._Tally()
+    one = np.array([5, 5, 9], np.uint64)
+    for texts in (["a", "b", "c"], ["b", "a", "c"], ["b", "b2", "c"]):
+        tally.add(pa.array(texts, pa.large_string()), np.array([1, 10, 100]), one)
+    out = Counter()
+    for batch in tally.spend():
+        for name, n in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            out[name] += n
+    assert out == {"a": 11, "b": 12, "b2": 10, "c": 300} and not list(tally.spend())

@@ -1,22 +1,23 @@
 """Phrase collocations by Toivonen mining: a sample proposes, full passes decide.
 
-1. A share of the documents is mined levelwise: its frequent words, then the word
-   pairs that its frequent words form, up to one word short of the longest phrase.
-   The threshold is lowered, since the sample only proposes.
-2. A full pass counts the proposed phrases and their negative border exactly: a
-   phrase is counted if it is one word, or if the two phrases that it holds with one
-   word less are both proposed.  The border is never listed; a phrase that does
-   not occur needs no count.
-3. A counted phrase that is frequent but was not proposed is a border failure: it
-   is proposed now, and a further pass counts the phrases that this adds to the
-   border, and only those.  Passes go on until no failure is left; then, as no
-   phrase is more frequent than its parts, every frequent phrase has been counted.
-
-Proposals are handed to tasks as one bit map a level (``FILTER_BITS`` bits, whatever
-the corpus).  Two phrases that share a bit only make a pass count more, so results
-do not depend on it.  Inside a slice of text words and phrases are numbered, which
-compares them exactly; slices send counts of distinct phrases, never occurrences, and
-a common phrase costs one row a slice.
+1. A share of the documents is mined levelwise: its frequent words, then the phrases
+   that can be made of them, word by word longer.  The threshold is lowered, since the
+   sample only proposes.
+2. A full pass counts the proposed phrases by their text, and their negative border: every
+   phrase that is not proposed itself while the two phrases it holds with one word less
+   are (a word has none).  The border is never listed, what does not occur needs no
+   count, and it is far larger than what is frequent; so it is counted by a
+   hash, which never counts too little.
+3. A hash of the border that reaches the threshold is a failure: its phrases are proposed
+   now, and a further pass counts them by their text, and whatever this adds to the border.
+   Passes go on until there is no failure; then, as no phrase is more frequent than
+   its parts, every frequent phrase has been counted exactly.
+
+Proposals are handed to tasks as one bit map a level (2 ** ``FILTER_BITS`` bits, whatever
+the corpus).  Two phrases that share a bit or a hash only make a pass count more, so
+results do not depend on either.  Inside a slice of text words and phrases are numbered,
+which compares them exactly; tasks send counts of distinct phrases, never occurrences, and
+a common phrase costs one row a task.
 
 Defined results: a null text is empty; a null language is ``und`` (and joins one that is
 spelt so); ids are ignored, so repeated rows count as often as they occur; a phrase
@@ -49,7 +50,11 @@ COVERED = 50
 #: Share of the documents that proposes, and how far its threshold is lowered.
 SAMPLE_SHARE = 0.25
 LOWERED = 0.8
-FILTER_BITS = 1 << 25
+#: Places in a bit map of proposals, as a power of two.
+FILTER_BITS = 25
+#: Distinct phrases that a task adds up before it sends them, and sends at a time.
+TALLY_ROWS = 700_000
+SEND_ROWS = 100_000
 #: The ranking keeps ``TOP`` of each of so many parts of a language first.
 RANK_PARTS = 64
 
@@ -97,10 +102,18 @@ def _split(data: np.ndarray, offsets: np.ndarray, langs: pa.Array, context: int)
     piece = np.cumsum(_BREAK[data], dtype=np.int32 if len(data) < 1 << 31 else np.int64)[start].astype(np.int64) + row
     coded = words.dictionary_encode()
     spoken = langs.dictionary_encode()
-    lang_of_row = spoken.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     n = len(coded.dictionary)
-    both, unit = np.unique(lang_of_row[row] * n + coded.indices.to_numpy(), return_inverse=True)
-    return Words(unit, piece, start >= context, coded.dictionary.take(pa.array(both % n)),
+    key = spoken.indices.to_numpy(zero_copy_only=False).astype(np.int64)[row] * n + coded.indices.to_numpy()
+    if n * len(spoken.dictionary) <= 16 * len(key) + (1 << 20):     # few languages: number what occurs without a sort
+        occurs = np.zeros(n * len(spoken.dictionary), bool)
+        occurs[key] = True
+        both = np.flatnonzero(occurs)
+        number = np.zeros(len(occurs), np.int32)
+        number[both] = np.arange(len(both), dtype=np.int32)
+        unit = number[key]
+    else:
+        both, unit = np.unique(key, return_inverse=True)
+    return Words(unit.astype(np.int64), piece, start >= context, coded.dictionary.take(pa.array(both % n)),
                  spoken.dictionary.take(pa.array(both // n)))
 
 
@@ -143,133 +156,188 @@ def _longer(head: np.ndarray, last: np.ndarray) -> np.ndarray:
         return mix64(head * _U(5) + last)
 
 
-def _bits_of(batches):
-    """(level, slot, bits) that (k, lang, phrase) rows set in the maps."""
-    for batch in batches:
-        words, at = word_hashes(*column_bytes(batch.column(2)))
-        spoken = batch.column(1).dictionary_encode()
-        by_lang = mix64(np.array([hash_of_text(x) for x in spoken.dictionary.to_pylist()], np.uint64))
-        lang = by_lang[spoken.indices.to_numpy(zero_copy_only=False)]
-        level = batch.column(0).to_numpy()
-        with np.errstate(over="ignore"):
-            own = mix64(words * _U(3) + np.repeat(lang, np.diff(at)))
-        found = own[at[:-1]].copy()
-        for i in range(1, int(level.max(initial=1))):
-            more = np.flatnonzero(level > i)
-            found[more] = _longer(found[more], own[at[:-1][more] + i])
-        place = found % _U(FILTER_BITS)
-        key, inverse = np.unique(level.astype(np.int64) * FILTER_BITS + (place >> _U(6)).astype(np.int64), return_inverse=True)
-        bits = np.zeros(len(key), np.uint64)
-        np.bitwise_or.at(bits, inverse, _U(1) << (place & _U(63)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array((key // FILTER_BITS).astype(np.int32)), pa.array((key % FILTER_BITS).astype(np.int32)),
-             pa.array(bits.view(np.int64))], ["level", "slot", "bits"])
+def codes_of(hashes: np.ndarray, k: int) -> np.ndarray:
+    """A hash with the number of words, up to 7, in its last bits."""
+    return (hashes & ~_U(7)) | _U(k)
 
 
 @dataclass
 class Proposals:
-    """A bit map for each level, from one word up; a level without one is closed."""
+    """A bit map for each level, from one word up; its bit is the first of the hash."""
 
     maps: dict[int, np.ndarray] = field(default_factory=dict)
 
     def has(self, level: int, hashes: np.ndarray) -> np.ndarray:
         if level not in self.maps:
             return np.zeros(len(hashes), bool)
-        place = hashes % _U(FILTER_BITS)
+        place = hashes >> _U(64 - FILTER_BITS)
         return (self.maps[level][(place >> _U(6)).astype(np.int64)] >> (place & _U(63)) & _U(1)).astype(bool)
 
-    def with_phrases(self, phrases: DataFrame) -> tuple[Proposals, bool]:
-        """These and the (k, lang, phrase) rows, and whether that adds a bit.  What
-        comes to the driver is the map itself: FILTER_BITS / 64 rows a level at most."""
-        rows = (map_arrow(phrases.select(F.col("k").cast("int").alias("k"), "lang", "phrase"), _bits_of, "level int, slot int, bits long")
-                .groupBy("level", "slot").agg(F.bit_or("bits").alias("bits")).toArrow())
+    def with_codes(self, rows: DataFrame) -> tuple[Proposals, bool]:
+        """These and the phrases of ``code``s, and whether there is any.  What comes to the
+        driver is the map itself: 2 ** FILTER_BITS / 64 rows a level at most."""
+        place = F.shiftrightunsigned("code", 64 - FILTER_BITS)
+        bits = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(code, {64 - FILTER_BITS}) & 63 as int))")
+        found = (rows.select(F.col("code").bitwiseAND(7).cast("int").alias("level"), F.shiftright(place, 6).cast("int").alias("slot"), bits.alias("bits"))
+                 .groupBy("level", "slot").agg(F.bit_or("bits").alias("bits")).toArrow())
         out = Proposals({k: v.copy() for k, v in self.maps.items()})
-        level, slot = rows["level"].to_numpy(), rows["slot"].to_numpy()
-        bits = rows["bits"].to_numpy().view(np.uint64)
-        grown = False
+        level, slot = found["level"].to_numpy(), found["slot"].to_numpy()
+        bits = found["bits"].to_numpy().view(np.uint64)
         for k in np.unique(level).tolist():
-            own = out.maps.setdefault(k, np.zeros(FILTER_BITS // 64, np.uint64))
-            at = level == k
-            grown |= bool((bits[at] & ~own[slot[at]]).any())
-            own[slot[at]] |= bits[at]
-        return out, grown
+            own = out.maps.setdefault(k, np.zeros((1 << FILTER_BITS) // 64, np.uint64))
+            own[slot[level == k]] |= bits[level == k]
+        return out, found.num_rows > 0
 
 
 # ------------------------------------------------------------------ counting
 
-def _count(levels: tuple[int, ...], now: Proposals | None, before: Proposals | None, totals: bool, longest: int):
-    """Arrow function: (lang, k, phrase, n) of the distinct phrases of a slice.
-    A phrase of two words or more counts if both phrases it holds with one word
-    less are proposed ``now`` and were not both proposed ``before``.  With
-    ``totals``, each language's number of words comes as a phrase of 0 words."""
-    top = max(levels)
-
-    def row_batch(k, names, langs, n):
-        return pa.RecordBatch.from_arrays(
-            [langs.cast(pa.string()), pa.array(np.full(len(n), k, np.int32)), names.cast(pa.string()), pa.array(n.astype(np.int64))],
-            ["lang", "k", "phrase", "n"])
-
+def _phrases(words: Words, of_unit: np.ndarray, first: np.ndarray, k: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct phrases of ``k`` words that begin at the words ``first``, each after its
+    language and a tab, how often each occurs, and their hashes."""
+    units = len(words.names)
+    if units ** k < 1 << 63:
+        key = words.unit[first]
+        for i in range(1, k):
+            key = key * units + words.unit[first + i]
+        found, n = np.unique(key, return_counts=True)
+        own = []
+        for _ in range(k):
+            found, last = np.divmod(found, units)
+            own.append(last)
+        own.reverse()
+    else:
+        rows, n = np.unique(np.stack([words.unit[first + i] for i in range(k)], axis=1), axis=0, return_counts=True)
+        own = list(rows.T)
+    parts = [words.names.take(pa.array(x)) for x in own]
+    text = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if k > 1 else parts[0]
+    langs = words.langs.take(pa.array(own[0])).cast(pa.large_string())
+    hashes = of_unit[own[0]]
+    for x in own[1:]:
+        hashes = _longer(hashes, of_unit[x])
+    return pc.binary_join_element_wise(langs, text, pa.scalar("\t", pa.large_string())), n, hashes
+
+
+def _selected(words: Words, of_unit: np.ndarray, levels: tuple[int, ...], now: Proposals, before: Proposals | None):
+    """(k, first words of the phrases to count by text, hashes of those of the border), level by
+    level.  A phrase is taken up if both phrases that it holds with one word less are
+    proposed ``now``; what was counted with the proposals ``before`` is not again."""
+    first = np.arange(len(words.unit))
+    hashes = of_unit[words.unit]
+    old = np.full(len(first), before is not None)       # its parts were proposed before
+    last = first
+    for k in range(1, max(levels) + 1):
+        proposed = now.has(k, hashes)
+        known = before.has(k, hashes) if before else np.zeros(len(first), bool)
+        if k in levels:
+            new = words.new[last]
+            yield k, first[proposed & ~(old & known) & new], hashes[~proposed & ~old & new]
+        if k == max(levels):
+            return
+        # phrases that begin next to each other, both proposed, in one piece
+        at = np.flatnonzero((first[1:] == first[:-1] + 1) & proposed[1:] & proposed[:-1])
+        last = first[at] + k
+        inside = words.piece[first[at]] == words.piece[last]
+        at, last = at[inside], last[inside]
+        old = known[at] & known[at + 1] & old[at] & old[at + 1]
+        hashes = _longer(hashes[at], of_unit[words.unit[last]])
+        first = first[at]
+
+
+class _Tally:
+    """Counts of a task's phrases, added up over slices before they are sent.  Of texts,
+    equal hashes are neighbours in order, and are one only where the texts are."""
+
+    def __init__(self):
+        self.texts, self.counts, self.hashes, self.codes, self.code_counts, self.held = [], [], [], [], [], 0
+
+    def add(self, texts: pa.Array, counts: np.ndarray, hashes: np.ndarray) -> None:
+        if len(counts):
+            self.texts.append(texts)
+            self.counts.append(counts.astype(np.int64))
+            self.hashes.append(hashes)
+            self.held += len(counts)
+
+    def add_codes(self, codes: np.ndarray) -> None:
+        codes, counts = np.unique(codes, return_counts=True)
+        self.codes.append(codes)
+        self.code_counts.append(counts)
+        self.held += len(codes) // 2                    # no text
+
+    def _by_text(self):
+        texts, counts, hashes = pa.concat_arrays(self.texts), np.concatenate(self.counts), np.concatenate(self.hashes)
+        order = np.argsort(hashes, kind="stable")
+        hashes, counts = hashes[order], counts[order]
+        new = np.ones(len(hashes), bool)
+        new[1:] = hashes[1:] != hashes[:-1]
+        twin = np.flatnonzero(~new)
+        if len(twin):
+            same = pc.equal(texts.take(pa.array(order[twin])), texts.take(pa.array(order[twin - 1]))).to_numpy(zero_copy_only=False)
+            new[twin[~same]] = True                     # two texts with one hash: both are sent
+        start = np.flatnonzero(new)
+        return texts.take(pa.array(order[start])), np.add.reduceat(counts, start)
+
+    def spend(self):
+        if self.texts:
+            texts, sums = self._by_text()
+            for a in range(0, len(sums), SEND_ROWS):
+                n = pa.array(sums[a:a + SEND_ROWS])
+                yield pa.RecordBatch.from_arrays([texts.slice(a, SEND_ROWS).cast(pa.string()), pa.nulls(len(n), pa.int64()), n], ["name", "code", "n"])
+        if self.codes:
+            codes, counts = np.concatenate(self.codes), np.concatenate(self.code_counts)
+            order = np.argsort(codes, kind="stable")
+            codes, counts = codes[order], counts[order]
+            start = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.zeros(0, np.int64)
+            sums = np.add.reduceat(counts, start) if len(codes) else counts
+            for a in range(0, len(start), SEND_ROWS):
+                n = pa.array(sums[a:a + SEND_ROWS])
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(n), pa.string()), pa.array(codes[start[a:a + SEND_ROWS]].view(np.int64)), n], ["name", "code", "n"])
+        self.__init__()
+
+
+def _count(levels: tuple[int, ...], now: Proposals, before: Proposals | None, totals: bool, longest: int):
+    """Arrow function: (name, code, n) of the phrases that ``_selected`` takes: a name (the language,
+    a tab and the phrase) or a code of the border.  With ``totals``, each language's number
+    of words comes as a phrase of no words."""
     def run(batches):
+        tally = _Tally()
         for words in _slices(batches, longest):
-            units = len(words.names)
-            if 1 in levels:
-                n = np.bincount(words.unit[words.new], minlength=units)
-                seen = np.flatnonzero(n)
-                yield row_batch(1, words.names.take(pa.array(seen)), words.langs.take(pa.array(seen)), n[seen])
-                if totals:
-                    summed = pa.table({"lang": words.langs, "n": n}).group_by("lang").aggregate([("n", "sum")])
-                    yield row_batch(0, pa.array([""] * len(summed)), summed["lang"].combine_chunks(), summed["n_sum"].to_numpy())
-            if top == 1:
-                continue
-            hashes = _name_hashes(words.names, words.langs)
-            # phrases of k words by the place of their first word: number among the distinct ones
-            place = np.arange(len(words.unit))
-            own, names, langs = words.unit, words.names, words.langs
-            for k in range(2, top + 1):
-                ok = now.has(k - 1, hashes)
-                old = before.has(k - 1, hashes) if before else np.zeros(len(hashes), bool)
-                # a phrase of k words from two of k - 1 that begin next to each other
-                follows = np.flatnonzero((place[1:] == place[:-1] + 1) & (words.piece[place[:-1]] == words.piece[np.minimum(place[:-1] + k - 1, len(words.piece) - 1)]) & (place[:-1] + k - 1 < len(words.piece)))
-                a, b = own[follows], own[follows + 1]
-                good = ok[a] & ok[b]
-                last = words.unit[place[follows] + k - 1]
-                key = a * units + last
-                # phrases whose parts are proposed live on to the next length; those not counted before are counted
-                follows, key, fresh = follows[good], key[good], ~(old[a] & old[b])[good]
-                place = place[follows]
-                both, own, n_all = np.unique(key, return_inverse=True, return_counts=True)
-                head, tail = both // units, both % units
-                hashes = _longer(hashes[head], _name_hash_at(words, tail))
-                names = pc.binary_join_element_wise(names.take(pa.array(head)), words.names.take(pa.array(tail)), pa.scalar(" ", pa.large_string()))
-                langs = langs.take(pa.array(head))
-                if k in levels and len(both):
-                    counts = fresh & words.new[place + k - 1]
-                    n = np.bincount(own[counts], minlength=len(both))
-                    seen = np.flatnonzero(n)
-                    yield row_batch(k, names.take(pa.array(seen)), langs.take(pa.array(seen)), n[seen])
-
+            of_unit = _name_hashes(words.names, words.langs)
+            for k, first, border in _selected(words, of_unit, levels, now, before):
+                if len(first):
+                    tally.add(*_phrases(words, of_unit, first, k))
+                if len(border):
+                    tally.add_codes(codes_of(border, k))
+            if totals:
+                n = np.bincount(words.unit[words.new], minlength=len(words.names))
+                summed = pa.table({"lang": words.langs.cast(pa.large_string()), "n": n}).group_by("lang").aggregate([("n", "sum")])
+                langs = summed["lang"].combine_chunks()
+                tally.add(pc.binary_join_element_wise(langs, pa.scalar("", pa.large_string()), pa.scalar("\t", pa.large_string())),
+                          summed["n_sum"].to_numpy(), mix64(np.array([hash_of_text(x) for x in langs.to_pylist()], np.uint64)))
+            if tally.held >= TALLY_ROWS:
+                yield from tally.spend()
+        yield from tally.spend()
     return run
 
 
-def _name_hash_at(words: Words, units: np.ndarray) -> np.ndarray:
-    if not hasattr(words, "_hashes"):
-        words._hashes = _name_hashes(words.names, words.langs)
-    return words._hashes[units]
-
-
-def _pass(texts: DataFrame, levels: tuple[int, ...], least: int, now: Proposals | None = None,
-          before: Proposals | None = None, totals: bool = False, longest: int = LONGEST) -> DataFrame:
-    """Exact counts (lang, k, phrase, n) of the phrases that ``_count`` selects, those
-    that occur ``least`` times at least."""
-    spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast((now, before))
+def _pass(texts: DataFrame, levels: tuple[int, ...], least: int, now: Proposals, before: Proposals | None = None,
+          totals: bool = False, longest: int = LONGEST) -> DataFrame:
+    """Counts (name, code, n) of what ``_selected`` takes and that occurs ``least`` times at
+    least: exact for names, too large at most for codes."""
+    shared = texts.sparkSession.sparkContext.broadcast((now, before))
 
     def run(batches):
         yield from _count(levels, *shared.value, totals, longest)(batches)
 
-    rows = map_arrow(texts, run, "lang string, k int, phrase string, n long")
-    summed = rows.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
-    return stored(summed.where((F.col("n") >= least) | (F.col("k") == 0)))
+    summed = map_arrow(texts, run, "name string, code long, n long").groupBy("name", "code").agg(F.sum("n").alias("n"))
+    return stored(summed.where((F.col("n") >= least) | F.col("name").endswith("\t")))
+
+
+def _named(counted: DataFrame) -> DataFrame:
+    """(lang, k, phrase, n) of the rows with a name."""
+    phrase = F.substring_index("name", "\t", -1)           # a word holds no tab, a language may
+    named = counted.where("name is not null").select(
+        F.col("name").substr(F.lit(1), F.length("name") - F.length(phrase) - 1).alias("lang"), phrase.alias("phrase"), "n")
+    return named.select("lang", F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " "))).alias("k"), "phrase", "n")
 
 
 def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, longest: int = LONGEST,
@@ -277,26 +345,29 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", le
     """(lang, k, phrase, n): every phrase of 1 to ``longest`` words that occurs
     ``least`` times or more in its language, exactly counted, and under k = 0 the
     number of words of each language."""
-    texts = docs.select(F.col(f"`{text}`").alias("text"), F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"))
+    if not 1 < longest < 8:
+        raise ValueError("phrases have 2 to 7 words")
+
+    def columns(df):
+        return df.select(F.col(f"`{text}`").alias("text"), F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"))
+
     # chosen by the whole row, so that a text that many rows share is sampled like any other
-    picked = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c, t in docs.dtypes if "map<" not in t]), F.lit(1 << 20)) < int(share * (1 << 20))
-    sample = docs.where(picked).select(*[F.col(f"`{c}`") for c in (text, lang)]).toDF("text", "lang").select(
-        "text", F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
+    row = F.xxhash64(*[F.col(f"`{c}`") for c, t in docs.dtypes if "map<" not in t and t != "variant"])
+    sample = columns(docs.where(F.pmod(row, F.lit(1 << 20)) < int(share * (1 << 20))))
+    texts = columns(docs)
     lowered = max(1, int(LOWERED * least * share))
     now = Proposals()
-    for k in range(1, longest):
-        now, _ = now.with_phrases(_pass(sample, (k,), lowered, now, longest=longest).select("k", "lang", "phrase"))
+    for k in range(1, longest + 1):
+        now, _ = now.with_codes(_pass(sample, (k,), lowered, now, longest=longest).where("code is not null"))
     levels = tuple(range(1, longest + 1))
-    counted = _pass(texts, levels, least, now, totals=True, longest=longest)
-    found, fresh = counted, counted
+    before, found = None, None
     while True:
-        # failures: frequent, short enough to be part of a phrase, and not proposed
-        more, grown = now.with_phrases(fresh.where(F.col("k").between(1, longest - 1)).select("k", "lang", "phrase"))
-        if not grown:
+        counted = _pass(texts, levels, least, now, before, totals=found is None, longest=longest)
+        found = _named(counted) if found is None else found.unionByName(_named(counted))
+        more, failed = now.with_codes(counted.where("code is not null"))
+        if not failed:
             return found
         before, now = now, more
-        fresh = _pass(texts, levels[1:], least, now, before, longest=longest)
-        found = found.unionByName(fresh)
 
 
 # ------------------------------------------------------------------ scores

@@ -235,16 +235,6 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return hashes, np.searchsorted(np.concatenate(starts), offsets).astype(np.int64)
 
 
-def byte_hashes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the whole texts (none empty) that ``offsets`` cuts out of ``data``."""
-    sizes = np.diff(offsets)
-    if not len(sizes):
-        return np.zeros(0, np.uint64)
-    place = np.arange(len(data)) - np.repeat(offsets[:-1], sizes)
-    with np.errstate(over="ignore"):
-        return mix64(np.add.reduceat(_terms(data, place), offsets[:-1]) + sizes.astype(np.uint64))
-
-
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and row borders (a null is empty)."""
     column = column.cast(pa.large_binary()).fill_null(b"")
