@@ -96,11 +96,13 @@ def test_matches_of_paths():
     sets = [J.mix64(J.np.array(sorted(r.sample(range(300), 250)), J.np.uint64)) for _ in range(40)]
     paths = J.np.stack([J.labels(x) for x in sets])
     i, j = J.np.triu_indices(40, 1)
-    first, longest, equal = J.match(paths, i, j)
+    longest, equal = J.match(paths, i, j)
+    here = J.np.stack([J.met_here(J.starts_of(paths), J.np.full(40, t), i, j) for t in range(J.TREES)])
     for k, (a, b) in enumerate(zip(i, j, strict=True)):
         shared = [next((d for d in range(J.DEPTH) if paths[a, t, d] != paths[b, t, d]), J.DEPTH) for t in range(J.TREES)]
         assert longest[k] == max(shared) and equal[k] == (paths[a] == paths[b]).sum()
-        assert first[k] == next((t for t, d in enumerate(shared) if d >= J.LEAST), -1)
+        first = next((t for t, d in enumerate(shared) if d >= J.LEAST), -1)
+        assert J.np.flatnonzero(here[:, k]).tolist() == ([first] if first >= 0 else [])
 
 
 def test_groups_across_batches_stay_whole():

@@ -218,18 +218,34 @@ def _paths_of(table: pa.Table) -> np.ndarray:
     return np.frombuffer(b"".join(table.column("paths").to_pylist()), ">u2").astype(np.uint16).reshape(-1, TREES, DEPTH)
 
 
-def match(paths: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For row pairs: the first tree in which they share a subtrie (-1: none), the longest
-    prefix that they share in any tree, and their number of equal labels."""
-    first, longest, equal = np.empty(len(i), np.int64), np.empty(len(i), np.int64), np.empty(len(i), np.int64)
+def starts_of(paths: np.ndarray) -> np.ndarray:
+    """Rows x trees: a 64-bit hash of the first ``LEAST`` labels."""
+    out = np.zeros(paths.shape[:2], np.uint64)
+    with np.errstate(over="ignore"):
+        for d in range(LEAST):
+            out = mix64(out * np.uint64(0xD6E8FEB86659FD93) + paths[:, :, d])
+    return out
+
+
+def met_here(starts: np.ndarray, tree: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which row pairs share no subtrie in a tree before that of their place."""
+    out = np.empty(len(i), bool)
+    for a in range(0, len(i), PAIRS):
+        x, y = i[a:a + PAIRS], j[a:a + PAIRS]
+        same = starts[x] == starts[y]
+        out[a:a + PAIRS] = same.any(axis=1) & (same.argmax(axis=1) == tree[x])
+    return out
+
+
+def match(paths: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For row pairs: the longest prefix that they share in any tree, and their number of
+    equal labels."""
+    longest, equal = np.empty(len(i), np.int64), np.empty(len(i), np.int64)
     for a in range(0, len(i), PAIRS):
         same = paths[i[a:a + PAIRS]] == paths[j[a:a + PAIRS]]
         equal[a:a + PAIRS] = same.sum(axis=(1, 2))
-        depth = np.logical_and.accumulate(same, axis=2).sum(axis=2)
-        longest[a:a + PAIRS] = depth.max(axis=1)
-        met = depth >= LEAST
-        first[a:a + PAIRS] = np.where(met.any(axis=1), met.argmax(axis=1), -1)
-    return first, longest, equal
+        longest[a:a + PAIRS] = np.logical_and.accumulate(same, axis=2).sum(axis=2).max(axis=1)
+    return longest, equal
 
 
 def _batched(table: pa.Table):
@@ -252,12 +268,14 @@ def _prospects(batches):
     depths = range(LEAST, DEPTH + 1)
     for table in whole_groups(batches, _PLACE):
         paths, tree = _paths_of(table), table.column("tree").to_numpy()
+        starts = starts_of(paths)
         here = np.zeros(len(paths), bool)
         found = np.zeros((len(depths), len(paths)), np.int64)
         for i, j in _batched(table):
-            first, longest, equal = match(paths, i, j)
-            own = first == tree[i]
-            i, j, longest, likely = i[own], j[own], longest[own], equal[own] >= LIKELY * TREES * DEPTH
+            own = met_here(starts, tree, i, j)
+            i, j = i[own], j[own]
+            longest, equal = match(paths, i, j)
+            likely = equal >= LIKELY * TREES * DEPTH
             here[i] = here[j] = True
             for d, row in zip(depths, found, strict=True):
                 at = likely & (longest >= d)
@@ -316,13 +334,14 @@ def _verify(batches):
     for table in whole_groups(batches, _PLACE):
         paths, tree, depth = _paths_of(table), table.column("tree").to_numpy(), table.column("depth").to_numpy()
         keys, copies = table.column("key").to_pylist(), table.column("copies").to_numpy()
-        size = table.column("n").to_numpy()
+        size, starts = table.column("n").to_numpy(), starts_of(paths)
         bytes_of = table.column("set")
         links, weight = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
         edges = ([], [])
         for a, b, i, j in _group_pairs(table):
-            first, longest, _ = match(paths, i, j)
-            tried = (first == tree[i]) & (longest >= np.minimum(depth[i], depth[j]))
+            own = met_here(starts, tree, i, j)
+            i, j = i[own], j[own]
+            tried = match(paths, i, j)[0] >= np.minimum(depth[i], depth[j])
             i, j = i[tried], j[tried]
             if not len(i):
                 continue
