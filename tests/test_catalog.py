@@ -225,3 +225,14 @@ def test_keys_equal_canonical_components(spark):
         assert r.k == r.want
         if r.c:
             assert r.d == len(r.c) and r.name == r.c[-1] and r.up == "".join("/" + x for x in r.c[:-1])
+
+
+def test_files_are_loaded_whole(spark, tmp_path):
+    """A file of many lines, breaks of all kinds and a last line without one is one row."""
+    want = {"/static/a.txt": "one\ntwo\r\nthree\n\n", "/static/d/e/b c.txt": "\n", "/static/d/long.txt": "line\n" * 5000 + "end",
+            "/static/d/plain": "x"}
+    for path, contents in want.items():
+        file = tmp_path / path.removeprefix("/static/")
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_bytes(contents.encode())
+    assert {r.path: r.contents for r in load_files(spark, str(tmp_path)).collect()} == want

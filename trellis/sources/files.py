@@ -24,8 +24,8 @@ def _uri_prefix(root_dir: str) -> str:
 
 def load_files(spark: SparkSession, root_dir: str, root_name: str = ROOT_NAME) -> DataFrame:
     """``(path, contents)`` for every file below ``root_dir``."""
-    raw = (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-           .text(root_dir)
+    # an argument: the reader's own default would override an option of that name
+    raw = (spark.read.option("recursiveFileLookup", True).text(root_dir, wholetext=True)
            .select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("contents")))
     prefix = _uri_prefix(root_dir)
     # the scan reports file:/x or file:///x depending on the file system; normalise both
