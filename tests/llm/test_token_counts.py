@@ -60,3 +60,14 @@ def test_unknown_mark_without_byte_fallback(seed):
     for _ in range(200):
         text = "".join(r.choice(["<unk>", "a", "b", " ", "x", "<"]) for _ in range(r.randint(1, 8)))
         assert counter.count(text)[0] == count(text), repr(text)
+
+
+def test_counts_and_scores_are_forgotten_together():
+    """The counts take more bytes than the scores, so each reached its limit at another text."""
+    pieces = [("<unk>", 0.0), ("▁a", -1.0), ("b", -2.0), *((f"<0x{x:02X}>", -9.0) for x in range(256))]
+    counter, fresh = C.Counter(pieces), C.Counter(pieces)
+    counter.counts.limit = counter.scores.limit = 30_000
+    texts = [f"a{k} b{k * 7 % 300}" for k in range(1000)]
+    for t in texts:
+        assert counter.count(t) == fresh.count(t)
+        assert counter.counts.keys() == counter.scores.keys()

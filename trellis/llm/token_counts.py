@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trellis.llm.common import Memo, documents, map_arrow, text_slices, texts_of
+from trellis.llm.common import Memo, documents, map_arrow, text_slices, texts_of, trim_together
 
 BLANK = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -118,8 +118,7 @@ class Counter:
             return 0, 0.0
         if not self.by_word or self.mark and self.mark in text:     # a run may reach over words
             return self.solve(BLANK + text.replace(" ", BLANK))
-        self.counts.trim()
-        self.scores.trim()
+        trim_together(self.counts, self.scores)     # a word is in both or in none
         words = text.replace("\n", " \n").split(" ")
         if "" in words or BLANK in text:
             words = self._joined(text)
