@@ -1,11 +1,11 @@
 """Choosing a physical strategy for a matrix product from sizes.
 
-* ``cells`` - a sparse left operand: join on k and aggregate, letting Spark
-  combine partial sums map-side;
+* ``cells`` - a sparse left operand: pairs made and added up block by block
+  of the output, blocks sized from the pairs;
 * ``broadcast`` - a dense left operand and a right operand that, densified,
   holds at most ``broadcast_cells`` values: ship it whole (the reference's
   strategy) and run one GEMM per slice of rows of the left operand;
-* ``blocked`` - everything else: bounded blocks, GEMM per block pair.
+* ``blocked`` - everything else: the same, with GEMM where blocks are dense.
 
 The strategies differ in cost only: each returns the cells with at least one
 matching k.
@@ -30,8 +30,7 @@ def sizes(m: DataFrame) -> tuple[int, tuple[int, int]]:
 def choose(shape_a: tuple, shape_b: tuple, nnz_a: int, broadcast_cells: int = M.SLICE_CELLS,
            density_cutoff: float = 0.05) -> str:
     """A sparse left side (at most ``density_cutoff`` of its cells stored)
-    joins on k - densifying its rows would cost more than the product, and
-    Spark broadcasts a small right side of that join by its own size check.
+    is multiplied by cells - densifying its rows would cost more than the product.
     A dense left side uses the broadcast GEMM when the right side is proven
     small by its shape, else the blocked product.
     """
