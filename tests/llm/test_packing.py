@@ -71,3 +71,17 @@ def test_one_common_length_and_empty_table(spark):
 def test_ids_are_returned_on_request(spark):
     row = P.tokenise(docs_frame(spark, [(1, "one two")]), P.vocabulary_path(), ids=True).first()
     assert row.ids[-1] == 1 and len(row.ids) == row.length
+
+
+def test_a_word_is_tokenised_once_whatever_follows_it(monkeypatch):
+    encoder = P.ChunkEncoder(P.vocabulary_path())
+    tried = []
+    word = encoder._word
+    monkeypatch.setattr(encoder, "_word", lambda w: tried.append(w) or word(w))
+    texts = ["straße, straße. Straße (straße)", "straße; STRASSE! straße", "straße…", "straße,"]
+    whole = P.word_tokenizer(P.vocabulary_path())
+    got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)]
+    assert got == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sorted(tried) == ["strasse", "straße"]
+    assert encoder.known["straße"] + encoder.marks[","] == encoder.known["straße,"]
+    assert sum(map(len, encoder.known)) < 100 and "straße" not in encoder.marks       # kept in one place

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from functools import lru_cache
 
@@ -32,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trellis.llm.byte_bpe import byte_alphabet
-from trellis.llm.common import Memo, documents, map_arrow, text_slices, texts_of
+from trellis.llm.common import MEMO_BYTES, Memo, documents, map_arrow, text_slices, texts_of
 from trellis.plans.tables import stored
 
 CAPACITY = 4096
@@ -64,6 +65,11 @@ def _lowered(text: str) -> str:
     return text.lower()
 
 
+@lru_cache(maxsize=256)
+def _packer(n: int):
+    return struct.Struct(f"<{n}I").pack
+
+
 class ChunkEncoder:
     """Token ids of whole texts, chunk by chunk.
 
@@ -78,45 +84,66 @@ class ChunkEncoder:
         self.tokenizer = word_tokenizer(path)
         self.model = self.tokenizer.model
         self.byte_chars = dict(enumerate(byte_alphabet()))
-        self.known, self.words = Memo(), Memo()     # str -> bytes
-        self.words.put("", b"")
+        self.known = Memo(2 * MEMO_BYTES)   # chunk -> bytes; a plain word is a chunk too
+        self.marks = Memo()                 # punctuation by itself -> bytes, for the words it follows
+        self.marks.put("", b"")
 
     def _word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            as_chars = word.encode().decode("latin-1").translate(self.byte_chars)
-            ids = np.array([t.id for t in self.model.tokenize(as_chars)], "<u4").tobytes()
-            self.words.put(word, ids)
-        return ids
+        # ASCII letters stand for their own bytes
+        as_chars = word if word.isascii() else word.encode().decode("latin-1").translate(self.byte_chars)
+        ids = [t.id for t in self.model.tokenize(as_chars)]
+        return _packer(len(ids))(*ids)
+
+    def _whole(self, chunks: list[str]) -> None:
+        for i in range(0, len(chunks), 20_000):
+            some = chunks[i:i + 20_000]
+            for c, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                ids = np.array(e.ids, "<u4").tobytes()
+                self.known.put(c, ids)
+                if c and not any(x.isalnum() or x.isspace() for x in c) and c.isascii():
+                    self.marks.put(c, ids)
 
     def _learn(self, chunks: set[str]) -> None:
-        rest = []
+        known, marks = self.known, self.marks
+        new, later, rest = {}, [], []
+
+        def learn_plain(c, word, tail):
+            ids = new.get(word) or known.get(word)
+            if ids is None:
+                new[word] = ids = self._word(word)
+            if c != word:
+                new[c] = ids + tail
+
         for c in chunks:
-            plain = _PLAIN.fullmatch(c.lower())
-            if plain and plain[2] in self.words:
-                self.known.put(c, self._word(plain[1]) + self.words[plain[2]])
+            m = _PLAIN.fullmatch(c.lower())
+            if m is None:
+                rest.append(c)
+                continue
+            word, mark = m.groups()
+            tail = marks.get(mark)
+            if tail is None:
+                later.append((c, word, mark))
+            else:
+                learn_plain(c, word, tail)
+        self._whole(list({mark for _, _, mark in later if mark.isascii()}))
+        for c, word, mark in later:
+            if mark in marks:
+                learn_plain(c, word, marks[mark])
             else:
                 rest.append(c)
-        for i in range(0, len(rest), 20_000):
-            some = rest[i:i + 20_000]
-            for c, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                ids = np.array(e.ids, "<u4").tobytes()
-                self.known.put(c, ids)
-                if c and not any(x.isalnum() or x.isspace() for x in c) and c.isascii():
-                    self.words.put(c, ids)       # punctuation by itself, for the words it follows
+        known.put_all(new)
+        self._whole(rest)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers."""
         self.known.trim()
-        self.words.trim()
-        self.words.put("", b"")
+        self.marks.trim()
+        self.marks.put("", b"")
         chunks = [_lowered(t).replace("\n", " ").split(" ") for t in texts]
-        fresh = {c for own in chunks for c in own if c not in self.known}
+        known = self.known
+        fresh = {c for own in chunks for c in own if c not in known}
         if fresh:
-            marks = {m[2] for c in fresh if (m := _PLAIN.fullmatch(c)) and m[2].isascii()} - self.words.keys()
-            self._learn(marks)
             self._learn(fresh)
-        known = self.known
         return [b"".join([known[c] for c in own]) for own in chunks]
 
 
