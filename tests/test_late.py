@@ -3,12 +3,13 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from trellis.operators import requests as R
 from trellis.session import shared_dir
 from trellis.sources import views
 from trellis.streaming import late
-from trellis.streaming.serve import completed_arrivals, completed_available, completed_counts, completed_stream
+from trellis.streaming.serve import completed_arrivals, completed_available, completed_counts, completed_stream, put_arrival
 
 SF = "/root/testdata/sf0.001"
 START = dt.datetime(2024, 1, 1)
@@ -118,3 +119,16 @@ def test_arrivals_are_counted_or_late(spark):
     out = completed_arrivals(spark, SF, "5 days").collect()
     n, missed = sum(r.n for r in out), sum(r.n_late for r in out)
     assert n + missed == served and n > 0 and missed > 0
+
+
+def test_a_part_of_one_row_group_is_put_in_files_for_all_cores(spark):
+    events = spark.range(4000).coalesce(1).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(F.col("id")).cast("timestamp_ntz").alias("ts"),
+        F.col("id").alias("user_id"), F.lit("x").alias("event_type"), F.lit(1.0).alias("value"), F.lit("{}").alias("props"),
+        F.lit(0).alias("arrival"))
+    feed = shared_dir(spark, "test-feed")
+    put_arrival(events, feed, 0)
+    put = spark.read.parquet(f"{feed}/events-0.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    assert len(put.inputFiles()) >= cores and put.count() == 4000
+    assert put.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] < 2 * 4000 / cores

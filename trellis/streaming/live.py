@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from trellis.operators.requests import serve
+from trellis.plans.sizing import spread
 from trellis.session import create_once, publish_once, read_text, shared_dir
 from trellis.sources import views
 from trellis.sources.catalog_log import CatalogTable
@@ -70,7 +71,7 @@ def serve_live(requests: DataFrame, catalog: LiveCatalog, out_dir: str, checkpoi
         if before_answer:
             before_answer(batch_id)
         version = int(chosen)
-        served = serve(batch, catalog.table.files(0), keyed=catalog.at(version))
+        served = serve(spread(batch), catalog.table.files(0), keyed=catalog.at(version))
         staged = f"{out_dir}/staged/{uuid.uuid4().hex}"
         served.withColumn("version", F.lit(version).cast("bigint")).write.parquet(staged)
         publish_once(spark, staged, f"{out_dir}/answers/batch={batch_id:010d}")

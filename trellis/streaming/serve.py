@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from trellis.operators.catalog import keyed_files
 from trellis.operators.requests import serve
+from trellis.plans.sizing import spread
 from trellis.plans.tables import write_bucketed
 from trellis.session import publish_once, shared_dir
 from trellis.sources import views
@@ -207,8 +208,9 @@ def completed_arrivals(spark: SparkSession, sf_dir: str, lateness: str) -> DataF
 
 
 def put_arrival(events: DataFrame, feed: str, k: int) -> None:
-    """Put one part of a feed where ``request_stream`` finds it, in whole files."""
+    """Put one part of a feed where ``request_stream`` finds it, in whole files: as many as the
+    cluster has cores at least, since a file's row group is read by one task."""
     spark = events.sparkSession
     staged = shared_dir(spark, "arrival")
-    events.drop("arrival").write.parquet(staged)
+    spread(events.drop("arrival")).write.parquet(staged)
     publish_once(spark, staged, f"{feed}/events-{k}.parquet")
