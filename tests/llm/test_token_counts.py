@@ -71,3 +71,29 @@ def test_counts_and_scores_are_forgotten_together():
     for t in texts:
         assert counter.count(t) == fresh.count(t)
         assert counter.counts.keys() == counter.scores.keys()
+
+
+def test_words_of_known_characters_need_no_unknowns(monkeypatch):
+    """Nearly all words; keeping the runs of unknowns for them took twice the time."""
+    pieces, unknown = C.vocabulary(PATH)
+    counter, count = C.Counter(pieces, unknown), library(pieces, unknown, True)
+    text = "the cat sat\non a mat\n\nby the é-door, 12 times"
+    expected = C.Counter(pieces, unknown).solve(C.BLANK + text.replace(" ", C.BLANK))
+    monkeypatch.setattr(counter, "solve", lambda s: pytest.fail(f"solved with unknowns: {s!r}"))
+    assert counter.count(text) == expected and expected[0] == count(text)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_words_solved_either_way_agree(seed):
+    r = random.Random(80 + seed)
+    some = {"".join(r.choice("abé") for _ in range(r.randint(2, 5))) for _ in range(20)}
+    pieces = [("<unk>", 0.0), *((f"<0x{x:02X}>", -9.0) for x in range(256))]
+    pieces += [(p, r.choice([-1.0, -2.0, -r.random() * 3])) for p in [*"▁abé", "▁a", "▁ab", *sorted(some)]]
+    counter = C.Counter(pieces)
+    assert counter.by_word
+    for _ in range(400):
+        w = r.choice(["", "", "\n"]) + "".join(r.choice("aabbéé" if r.random() < .9 else ["c", "<unk>", "▁", "😀"])
+                                               for _ in range(r.randint(0, 12)))
+        assert counter.solve_word(w) == counter.solve(w if w[:1] == "\n" else C.BLANK + w), repr(w)
+    for w in ("ab" * C.PLAIN_CHARS, "\n" + "ab" * C.PLAIN_CHARS, "a" * (C.PLAIN_CHARS - 1), "a" * C.PLAIN_CHARS):
+        assert counter.solve_word(w) == counter.solve(w if w[:1] == "\n" else C.BLANK + w)

@@ -16,7 +16,8 @@ own tokenizer.
 
 No piece holds a blank mark after another character, so a text's best path is
 the best paths of its blank-led words in order; each distinct word is solved
-once per worker.  Scores of this vocabulary are whole numbers, so sums are
+once per worker, and without the unknowns' bookkeeping where each of its characters is a
+piece.  Scores of this vocabulary are whole numbers, so sums are
 exact and ties are the same word by word as over the whole text.
 
 Defined results: a null or empty text has 0 tokens and score 0; ids may be null
@@ -26,6 +27,7 @@ are ignored.  A word of any length is solved in memory of the longest piece.
 
 from __future__ import annotations
 
+import math
 from functools import lru_cache
 
 import pyarrow as pa
@@ -36,6 +38,10 @@ from trellis.llm.common import Memo, documents, map_arrow, text_slices, texts_of
 
 BLANK = "▁"
 UNKNOWN_PENALTY = 10.0
+#: Longest word that is solved in lists of its own length.
+PLAIN_CHARS = 4096
+#: Words whose results are held besides the memos.
+LEARN_WORDS = 10_000
 
 
 def vocabulary(path: str) -> tuple[list[tuple[str, float]], int]:
@@ -62,6 +68,8 @@ class Counter:
         self.longest = max(len(p) for p, _ in pieces)
         inner = any(BLANK in p.lstrip(BLANK) for p in names)
         self.by_word = self.byte_fallback and not inner and not any("\n" in p for p in names)
+        #: characters that are pieces: where all are, no unknown can be better
+        self.singles = {p for p in names if len(p) == 1} if all(math.isfinite(s) for _, s in pieces) else set()
         self.counts, self.scores = Memo(), Memo()       # by word
 
     def solve(self, s: str) -> tuple[int, float]:
@@ -105,13 +113,34 @@ class Counter:
         here = len(s) % size
         return count[here] + run[here], best[here]
 
+    def _plain(self, s: str, before: int, start: float) -> tuple[int, float]:
+        """``solve`` of a string without unknowns, after ``before`` tokens of score ``start``: every
+        character is a piece, so the best path to an end is one of the matches that end there."""
+        # by last character; what stands before the first is kept last, where -1 finds it
+        best, counts = [-math.inf] * len(s) + [start], [0] * len(s) + [before]
+        for end, (n, score, _) in self.automaton.iter(s):   # of an end, longest first
+            value = best[end - n] + score
+            if value > best[end]:
+                best[end] = value
+                counts[end] = counts[end - n] + 1
+        return counts[len(s) - 1], best[len(s) - 1]
+
+    def solve_word(self, w: str) -> tuple[int, float]:
+        """``solve`` of a word: a blank leads it unless a line break does, which is in no
+        piece and counts as its byte."""
+        broken = w[:1] == "\n"
+        s = w[1:] if broken else BLANK + w
+        if len(s) > PLAIN_CHARS or not self.singles.issuperset(s) or self.mark and self.mark in s:
+            return self.solve(w if broken else s)
+        return self._plain(s, 1, self.unknown) if broken else self._plain(s, 0, 0.0)
+
     def _learn(self, words) -> None:
-        for w in words:
-            if w not in self.counts:
-                # a word that a line break leads has no blank before it
-                n, score = self.solve(w if w[:1] == "\n" else BLANK + w)
-                self.counts.put(w, n)
-                self.scores.put(w, score)
+        new = [w for w in set(words) if w not in self.counts]
+        for i in range(0, len(new), LEARN_WORDS):
+            some = new[i:i + LEARN_WORDS]
+            found = list(map(self.solve_word, some))
+            self.counts.put_all(dict(zip(some, (n for n, _ in found))))
+            self.scores.put_all(dict(zip(some, (score for _, score in found))))
 
     def count(self, text: str) -> tuple[int, float]:
         if not text:
@@ -122,11 +151,8 @@ class Counter:
         words = text.replace("\n", " \n").split(" ")
         if "" in words or BLANK in text:
             words = self._joined(text)
-        try:
-            return sum(map(self.counts.__getitem__, words)), sum(map(self.scores.__getitem__, words))
-        except KeyError:
-            self._learn(set(words))
-            return sum(map(self.counts.__getitem__, words)), sum(map(self.scores.__getitem__, words))
+        self._learn(words)
+        return sum(map(self.counts.__getitem__, words)), sum(map(self.scores.__getitem__, words))
 
     @staticmethod
     def _joined(text: str) -> list[str]:
