@@ -86,3 +86,10 @@ def test_hot_k_product_copies_no_side(spark):
     m = spark.createDataFrame([(i, k, 1.0) for i in range(60) for k in range(7)], CELL)
     product = M.matmul_cells_spread(m, M.transpose(m))
     assert not_copied(product) and product.count() == 3600 and product.where("v != 7").count() == 0
+
+
+def test_blocked_product_copies_no_side(spark):
+    m = spark.createDataFrame([(i, (i * 7 + k) % 90, 1.0 + k) for i in range(80) for k in range(5)] + [(None, 3, 1.0)], CELL)
+    product = M.matmul_blocked(m, M.transpose(m))
+    assert not_copied(product)
+    assert rows(product) == [r for r in rows(M.joined_product(m, M.transpose(m))) if r[0] is not None and r[1] is not None]

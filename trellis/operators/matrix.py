@@ -309,16 +309,17 @@ def matmul_blocked(a: DataFrame, b: DataFrame, rows_per_block: int | None = None
     """Product for operands that do not fit in memory.
 
     The output is cut in blocks of ``rows_per_block x cols_per_block`` cells (by default sized
-    from the data, ``Grid``); a block is added up in one task from the parts of the
+    from the data, ``Tiles``); a block is added up in one task from the parts of the
     operands that meet in it, at most ``k_per_block`` k at a time where they are
     dense enough for numpy's matrix product.  The result stores exactly the cells that
     ``matmul_cells`` stores, of rows and columns that have a number.
 
     Memory per task is bounded by the block: SLICE_CELLS sums and marks.
     """
-    a, b = a.where(F.col("i").isNotNull()), b.where(F.col("j").isNotNull())
-    grid = Grid.of(a, b, num_partitions, rows_per_block, cols_per_block, k_per_block)
-    return grid.product() if grid else joined_product(a, b)
+    tiles = Tiles.of(a, b)
+    if tiles:
+        return tiles.product(num_partitions, rows_per_block, cols_per_block, k_per_block, numbered=True)
+    return joined_product(a.where(F.col("i").isNotNull()), b.where(F.col("j").isNotNull()))
 
 
 def gather_blocks(m: DataFrame, num_partitions: int | None = None) -> DataFrame:
