@@ -93,3 +93,23 @@ def test_blocked_product_copies_no_side(spark):
     product = M.matmul_blocked(m, M.transpose(m))
     assert not_copied(product)
     assert rows(product) == [r for r in rows(M.joined_product(m, M.transpose(m))) if r[0] is not None and r[1] is not None]
+
+
+def counted(spark, cells):
+    """The cells, and how many of them have been computed so far."""
+    n = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for batch in batches:
+            n.add(batch.num_rows)
+            yield batch
+    return spark.createDataFrame(cells, CELL).mapInArrow(run, CELL), n
+
+
+def test_a_side_and_its_transpose_are_read_once(spark):
+    cells = [(i, (i * 5 + k) % 70, 1.0 + k) for i in range(60) for k in range(4)]
+    m, n = counted(spark, cells)
+    product = M.matmul_cells(m, M.transpose(m))
+    assert not_copied(product)
+    plain = spark.createDataFrame(cells, CELL)
+    assert rows(product) == rows(M.joined_product(plain, M.transpose(plain))) and n.value == len(cells)

@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trellis.functions.blocks import row_chunk
-from trellis.operators.grid import Grid
 from trellis.operators.tiles import Tiles
 from trellis.plans.tables import stored
 
@@ -166,11 +165,10 @@ def joined_product(a: DataFrame, b: DataFrame) -> DataFrame:
 def matmul_cells(a: DataFrame, b: DataFrame) -> DataFrame:
     """M8: ``c[i,j] = sum_k a[i,k] * b[k,j]``; only cells with a match are stored.
 
-    Doubles are added up block by block (``grid_product``); other values, or
-    indices too far apart for it, by ``joined_product``.
+    Doubles are added up block by block (``Tiles``); other values by ``joined_product``.
     """
-    grid = Grid.of(a, b)
-    return grid.product() if grid else joined_product(a, b)
+    tiles = Tiles.of(a, b)
+    return tiles.product() if tiles else joined_product(a, b)
 
 
 def k_blocks(a: DataFrame, b: DataFrame, tasks: int) -> DataFrame:
