@@ -162,12 +162,13 @@ def joined_product(a: DataFrame, b: DataFrame) -> DataFrame:
             .groupBy("i", "j").agg(F.sum(F.col("va") * F.col("vb")).alias("v")))
 
 
-def matmul_cells(a: DataFrame, b: DataFrame) -> DataFrame:
+def matmul_cells(a: DataFrame, b: DataFrame, tiles: Tiles | None = None) -> DataFrame:
     """M8: ``c[i,j] = sum_k a[i,k] * b[k,j]``; only cells with a match are stored.
 
-    Doubles are added up block by block (``Tiles``); other values by ``joined_product``.
+    Doubles are added up block by block (``Tiles``, given where they are packed already);
+    other values by ``joined_product``.
     """
-    tiles = Tiles.of(a, b)
+    tiles = tiles or Tiles.of(a, b)
     return tiles.product() if tiles else joined_product(a, b)
 
 
@@ -303,7 +304,7 @@ def to_blocks(m: DataFrame, rows_per_block: int, cols_per_block: int) -> DataFra
 
 def matmul_blocked(a: DataFrame, b: DataFrame, rows_per_block: int | None = None,
                    k_per_block: int = 4096, cols_per_block: int | None = None,
-                   num_partitions: int | None = None) -> DataFrame:
+                   num_partitions: int | None = None, tiles: Tiles | None = None) -> DataFrame:
     """Product for operands that do not fit in memory.
 
     The output is cut in blocks of ``rows_per_block x cols_per_block`` cells (by default sized
@@ -314,7 +315,7 @@ def matmul_blocked(a: DataFrame, b: DataFrame, rows_per_block: int | None = None
 
     Memory per task is bounded by the block: SLICE_CELLS sums and marks.
     """
-    tiles = Tiles.of(a, b)
+    tiles = tiles or Tiles.of(a, b)
     if tiles:
         return tiles.product(num_partitions, rows_per_block, cols_per_block, k_per_block, numbered=True)
     return joined_product(a.where(F.col("i").isNotNull()), b.where(F.col("j").isNotNull()))

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trellis.operators import matrix as M
+from trellis.operators.tiles import Tiles
 
 STRATEGIES = ("auto", "broadcast", "cells", "blocked")
 
@@ -43,20 +44,23 @@ def matmul(a: DataFrame, b: DataFrame, shape_a: tuple | None = None, shape_b: tu
            strategy: str = "auto", **block_sizes) -> DataFrame:
     """``a @ b`` in cell form ``(i, j, v)``: the cells with a matching k,
     whatever the strategy.  Sizes are taken from one aggregate over each side;
-    a declared shape wins over the stored one.
+    a declared shape wins over the stored one.  A side times its own transpose is
+    packed first, so that its sizes and the product take one pass over its lineage.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
-    nnz_a = None
+    nnz_a = tiles = None
     if shape_a is None or strategy == "auto":
-        nnz_a, stored = sizes(a)
+        tiles = Tiles.of(a, b) if strategy != "broadcast" and Tiles.is_gram(a, b) else None
+        nnz_a, stored = tiles.sizes() if tiles else sizes(a)
         shape_a = shape_a or stored
+        shape_b = shape_b or (stored[::-1] if tiles else None)
     shape_b = shape_b or sizes(b)[1]
     M.check_inner(shape_a, shape_b)
     if strategy == "auto":
         strategy = choose(shape_a, shape_b, nnz_a)
     if strategy == "cells":
-        return M.matmul_cells(a, b)
+        return M.matmul_cells(a, b, tiles)
     if strategy == "blocked":
-        return M.matmul_blocked(a, b, **block_sizes)
+        return M.matmul_blocked(a, b, **block_sizes, tiles=tiles)
     return M.matmul_broadcast(a, b, shape_b)
